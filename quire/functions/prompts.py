@@ -50,8 +50,13 @@ def summarisable(abstract, conclusion) -> Column:
 def flag_missing(summary, abstract, conclusion) -> Column:
     """Prefix the generated summary with the missing-section flags; NULL when
     the summary is NULL or both sections are missing (H2)."""
+    return flag_missing_flags(summary, is_blank(abstract), is_blank(conclusion))
+
+
+def flag_missing_flags(summary, no_abstract, no_conclusion) -> Column:
+    """``flag_missing`` from precomputed "section is blank" booleans."""
     s = _col(summary)
-    miss_a, miss_k = is_blank(abstract), is_blank(conclusion)
+    miss_a, miss_k = _col(no_abstract), _col(no_conclusion)
     flags = F.concat_ws(" ", F.when(miss_a, F.lit(MISSING_ABSTRACT)),
                         F.when(miss_k, F.lit(MISSING_CONCLUSION)))
     return (F.when(s.isNull() | (miss_a & miss_k), F.lit(None).cast("string"))

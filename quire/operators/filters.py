@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.prompts import summarisable as _summarisable
 from quire.functions.search import date_range_predicate, has_any_author, keyword_predicate
+from quire.operators.layout import fence
 
 
 def search_papers(df: DataFrame, keywords: list[str], cols=("title", "content")) -> DataFrame:
@@ -50,5 +51,12 @@ def pending(df: DataFrame, col: str = "selected") -> DataFrame:
 
 def summarisable(df: DataFrame, abstract: str = "abstract",
                  conclusion: str = "conclusion") -> DataFrame:
-    """Rows with a non-blank abstract or conclusion."""
-    return df.filter(_summarisable(abstract, conclusion))
+    """Rows with a non-blank abstract or conclusion (B7). The sections are
+    usually computed columns, hence the fence (see ``layout.fence``)."""
+    return fence(df).filter(_summarisable(abstract, conclusion))
+
+
+def with_any_section(df: DataFrame, abstract: str = "abstract",
+                     conclusion: str = "conclusion") -> DataFrame:
+    """Rows where extraction found a section (the ones that are recorded)."""
+    return fence(df).filter(F.col(abstract).isNotNull() | F.col(conclusion).isNotNull())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -20,3 +21,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """Evaluate ``df``'s columns once, before any later filter.
+
+    Catalyst pushes a filter on a computed column below the projection that
+    computes it, substituting the expression: a filter on an extracted
+    section would rerun the whole regex cascade inside the filter (and, in
+    a small input, in the single scan task before ``spread``). Filters do
+    not cross a Generate on the generated columns, so the columns are
+    passed through a one-row ``inline``; it stays in whole-stage codegen.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.inline(F.array(row)))

@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.affiliation import affiliations
-from quire.functions.prompts import flag_missing, relevance_prompt, summary_prompt
+from quire.functions.prompts import (flag_missing, flag_missing_flags, relevance_prompt,
+                                     summary_prompt)
 from quire.functions.search import strip_version
 from quire.functions.sections import assemble_content, parsed_document_content, with_sections
-from quire.functions.text import default_text, first_tag_text, head_lines, preview as preview_col
+from quire.functions.text import default_text, first_tag_text, head_lines, is_blank
+from quire.functions.text import preview as preview_col
 from quire.functions.verdict import parse_verdict
 from quire.operators import aggregates, filters, generation, joins, upserts
 from quire.operators.layout import spread
@@ -70,11 +72,14 @@ def stored_summaries(spark, sf) -> DataFrame:
 
 def generated_summaries(spark, sf) -> DataFrame:
     """Prompt → batch generation (default: leading sentences) → flags.
-    (doc_id, id, summary); summary NULL where nothing was generated."""
-    s = sections(spark, sf).withColumn("prompt", summary_prompt("abstract", "conclusion"))
+    (doc_id, id, summary); summary NULL where nothing was generated.
+    Only the key, the prompt and the two blank tests cross to Python."""
+    s = sections(spark, sf).select(
+        "doc_id", "paper_id", summary_prompt("abstract", "conclusion").alias("prompt"),
+        is_blank("abstract").alias("no_abstract"), is_blank("conclusion").alias("no_conclusion"))
     g = generation.generate(s, "prompt", "generated")
     return g.select("doc_id", F.col("paper_id").alias("id"),
-                    flag_missing("generated", "abstract", "conclusion").alias("summary"))
+                    flag_missing_flags("generated", "no_abstract", "no_conclusion").alias("summary"))
 
 
 # ------------------------------------------------------------------- queries
@@ -270,10 +275,9 @@ def q_verify_update(spark, sf):
 
 def q_sections_appended(spark, sf):
     s = sections(spark, sf).select("doc_id", F.col("paper_id").alias("id"), "abstract", "conclusion")
-    found = s.filter(F.col("abstract").isNotNull() | F.col("conclusion").isNotNull())
+    found = filters.with_any_section(s)
     previous = found.filter(F.col("doc_id") % 3 == 0).drop("doc_id")
-    todo = joins.unprocessed(s.drop("doc_id"), previous, "id")
-    new = todo.filter(F.col("abstract").isNotNull() | F.col("conclusion").isNotNull())
+    new = joins.unprocessed(found.drop("doc_id"), previous, "id")
     return upserts.append_new(previous, new, "id")
 
 
