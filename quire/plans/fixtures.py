@@ -76,6 +76,9 @@ def papers(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataF
         F.concat(F.array_join(F.transform("blocks", lambda x: F.regexp_replace(x, strip_re, "")),
                               "\n\n"), F.lit("\n\n")).alias("content"),
         F.expr(_ATOM).alias("atom_xml"),
+        # Submission time for date ranges and "newest": one hour per doc_id.
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, doc_id, 0, 0)")
+         .alias("submitted_at"),
     )
     if not with_labels:
         return out

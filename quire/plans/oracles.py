@@ -39,7 +39,8 @@ papers as (
     case when b.doc_id % 5 = 0 then '<entry></entry>' else
       '<entry><author><arxiv:affiliation> ' || source || ' </arxiv:affiliation></author><author><affiliation>' || source || '</affiliation></author>' ||
       case b.doc_id % 3 when 0 then '<arxiv:comment>Lab of ' || lang || '</arxiv:comment>'
-                        when 1 then '<arxiv:comment>12 pages</arxiv:comment>' else '' end || '</entry>' end as atom_xml
+                        when 1 then '<arxiv:comment>12 pages</arxiv:comment>' else '' end || '</entry>' end as atom_xml,
+    timestamp '2024-01-01 00:00:00' + to_hours(b.doc_id) as submitted_at
   from papers_b b)"""
 
 PAPERS_LABELLED = PAPERS_BASE + r""",
@@ -204,7 +205,7 @@ def _affiliation_body() -> str:
 
 
 def oracles() -> dict[str, str]:
-    from quire.plans.queries import (AS_OF, AUTHORS, DATE_RANGE, SEARCH_KEYWORDS,
+    from quire.plans.queries import (AS_OF, AUTHORS, DATE_RANGE, SEARCH_CONFIG, SEARCH_KEYWORDS,
                                      SEARCH_MAX_RESULTS, SKIPPED_PAGE_MOD)
     from quire.functions.search import resolve_date
     import datetime as dt
@@ -219,7 +220,21 @@ def oracles() -> dict[str, str]:
     o["search_newest"] = with_papers(f"""
 select paper_id, title, array_to_string(author_names, ', ') as authors from papers
 where {keyword_sql(['title', 'content'], SEARCH_KEYWORDS)}
-order by doc_id desc, paper_id limit {SEARCH_MAX_RESULTS}""")
+order by submitted_at desc, paper_id limit {SEARCH_MAX_RESULTS}""")
+    cfg = SEARCH_CONFIG
+    clo = resolve_date(cfg["date_range"]["from"], as_of)
+    chi = resolve_date(cfg["date_range"]["to"], as_of) + dt.timedelta(days=1)
+    cauthors = ", ".join(sql_str(a) for a in cfg["authors"])
+    o["config_search"] = with_papers(f"""
+select paper_id, title, array_to_string(author_names, ', ') as authors from papers
+where {keyword_sql(['title', 'content'], cfg['keywords'])}
+  and list_has_any(author_names, [{cauthors}])
+  and submitted_at >= timestamp '{clo} 00:00:00' and submitted_at < timestamp '{chi} 00:00:00'
+order by submitted_at desc, paper_id limit {cfg['max_results']}""")
+    o["row_counts"] = with_papers("""
+select 'full_documents' as "table", count(*) as n from papers where doc_id % 2 = 0
+union all
+select 'summaries', count(*) from papers where doc_id % 2 = 0""")
     o["papers_with_url"] = with_papers(
         "select paper_id, pdf_url from papers where pdf_url is not null")
     o["pending_papers"] = with_papers("""

@@ -32,6 +32,13 @@ AUTHORS = ["Author 3", "Author 5"]
 DATE_RANGE = ("lastWeek", "today")
 AS_OF = "2024-01-20"
 SKIPPED_PAGE_MOD = 4  # pages with page_id % 4 = 0 already have an output
+# A named search in the config's shape (keywords, authors, date range, count).
+SEARCH_CONFIG = {
+    "keywords": ['"ndre" OR "eauou"', '"the of"'],
+    "authors": ["Author 1", "Author 2", "Author 4"],
+    "date_range": {"from": "lastWeek", "to": "today"},
+    "max_results": 4,
+}
 
 
 # ------------------------------------------------------------------ fixtures
@@ -108,10 +115,24 @@ def q_parsed_sections(spark, sf):
 def q_search_newest(spark, sf):
     p = fixtures.papers(spark, sf)
     hits = filters.search_papers(p, SEARCH_KEYWORDS, cols=("title", "content"))
-    top = filters.newest(hits, SEARCH_MAX_RESULTS, by="doc_id", tie="paper_id")
+    top = filters.newest(hits, SEARCH_MAX_RESULTS, by="submitted_at", tie="paper_id")
     return top.select("paper_id", "title", F.array_join("author_names", ", ").alias("authors"))
 
 
+def q_config_search(spark, sf):
+    from quire.plans.search import run_search
+    p = fixtures.papers(spark, sf)
+    top = run_search(p, SEARCH_CONFIG, AS_OF, id_col="paper_id")
+    return top.select("paper_id", "title", F.array_join("author_names", ", ").alias("authors"))
+
+
+def q_row_counts(spark, sf):
+    """Rows per table (E3), one aggregate over the tagged union."""
+    docs = stored_documents(spark, sf, filled=False).select(F.lit("full_documents").alias("table"))
+    summ = stored_summaries(spark, sf).select(F.lit("summaries").alias("table"))
+    return docs.unionByName(summ).groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_papers_with_url(spark, sf):
     return filters.with_url(fixtures.papers(spark, sf)).select("paper_id", "pdf_url")
 
@@ -322,6 +343,8 @@ QUERIES = {
     "extract_sections": q_extract_sections,
     "parsed_sections": q_parsed_sections,
     "search_newest": q_search_newest,
+    "config_search": q_config_search,
+    "row_counts": q_row_counts,
     "papers_with_url": q_papers_with_url,
     "pending_papers": q_pending_papers,
     "by_authors": q_by_authors,
