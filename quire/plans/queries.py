@@ -16,7 +16,7 @@ from quire.functions.affiliation import affiliations
 from quire.functions.prompts import (flag_missing, flag_missing_flags, relevance_prompt,
                                      summary_prompt)
 from quire.functions.search import strip_version
-from quire.functions.sections import assemble_content, parsed_document_content, with_sections
+from quire.functions.sections import assemble_text_blocks, parsed_document_content, with_sections
 from quire.functions.text import default_text, first_tag_text, head_lines, is_blank
 from quire.functions.text import preview as preview_col
 from quire.functions.verdict import parse_verdict
@@ -46,11 +46,10 @@ SEARCH_CONFIG = {
 def sections(spark, sf, keep=(), with_content: bool = False) -> DataFrame:
     """Extraction over all papers: (doc_id, paper_id, *keep, abstract,
     conclusion, status[, content]). Content is assembled from the text
-    blocks by ``assemble_content``; one pass, no join."""
+    blocks by ``assemble_text_blocks``; one pass, no join."""
     p = fixtures.papers(spark, sf).select(
         "doc_id", "paper_id", *keep,
-        assemble_content(F.transform("blocks", lambda b: F.create_map(F.lit("text"), b)))
-        .alias("content"))
+        assemble_text_blocks("blocks").alias("content"))
     out = with_sections(p)
     cols = ["doc_id", "paper_id", *keep, "abstract", "conclusion", "status"]
     return out.select(*cols, *(["content"] if with_content else []))
