@@ -57,10 +57,12 @@ def date_range_predicate(c, date_from: str, date_to: str, as_of) -> Column:
         as_of = dt.date.fromisoformat(as_of)
     lo = resolve_date(date_from, as_of)
     hi = resolve_date(date_to, as_of) + dt.timedelta(days=1)
-    start = dt.datetime.combine(lo, dt.time())
-    end = dt.datetime.combine(hi, dt.time())
+    # Bounds cast from text: no session time zone is involved, and the
+    # folded literals reach the parquet scan as pushed filters.
+    start = F.lit(f"{lo.isoformat()} 00:00:00").cast("timestamp_ntz")
+    end = F.lit(f"{hi.isoformat()} 00:00:00").cast("timestamp_ntz")
     c = _col(c)
-    return (c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end).cast("timestamp_ntz"))
+    return (c >= start) & (c < end)
 
 
 def author_string(names) -> Column:

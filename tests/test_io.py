@@ -81,3 +81,19 @@ def test_catalog_tables_create_clear_replace(spark):
     assert tables.clear_table(spark, "no_such_table") is None
     spark.sql("DROP TABLE full_documents")
     spark.sql("DROP TABLE summaries")
+
+
+def test_read_papers_prunes_and_pushes(spark, scratch_dir):
+    """On a stored table the B5/B6 filters reach the parquet scan and only
+    the selected columns are read."""
+    from quire.operators import filters
+    rows = [("a", "T", "x", "aff", "u", None, None, None),
+            ("b", "U", "y", None, "v", None, None, "yes"),
+            ("c", "V", "z", None, None, None, None, None)]
+    spark.createDataFrame(rows, schemas.RELEVANCE_DOCUMENTS).write.parquet(f"{scratch_dir}/docs")
+    df = files.read_papers(spark, f"{scratch_dir}/docs", schema=schemas.RELEVANCE_DOCUMENTS)
+    q = filters.pending(filters.with_url(df)).select("id", "pdf_url")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(pdf_url)" in plan and "IsNull(selected)" in plan
+    assert "ReadSchema: struct<id:string,pdf_url:string,selected:string>" in plan
+    assert [r.id for r in q.collect()] == ["a"]
