@@ -14,6 +14,11 @@ document table per micro-batch would not scale.
 
 There is no event time in this data, so no watermark: state is only the
 file log.
+
+Scale: a micro-batch holds at most ``max_files_per_trigger`` files, one id
+each. That bound is what makes it safe to broadcast the batch's ids to
+find which are already stored: the store is scanned and semi-joined
+against the broadcast set, never shuffled.
 """
 
 from __future__ import annotations
@@ -45,7 +50,7 @@ def parsed_document_stream(spark: SparkSession, in_dir: str, glob: str = "*.json
 def extract_stream(spark: SparkSession, in_dir: str, sections_dir: str, checkpoint: str,
                    glob: str = "*.json", exclude: list[str] | None = None,
                    available_now: bool = True,
-                   max_files_per_trigger: int | None = None) -> StreamingQuery:
+                   max_files_per_trigger: int = 10_000) -> StreamingQuery:
     """Start the stream; with ``available_now`` it handles what is there
     and stops (``query.awaitTermination()``)."""
     docs = parsed_document_stream(spark, in_dir, glob, exclude, max_files_per_trigger)
@@ -53,8 +58,10 @@ def extract_stream(spark: SparkSession, in_dir: str, sections_dir: str, checkpoi
         with_sections(docs, status=None).select("id", "abstract", "conclusion"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        store = read_sections(spark, sections_dir)
-        fresh = upserts.latest_per_key(joins.unprocessed(batch, store, "id"), "id")
+        ids = batch.select("id").distinct()  # <= max_files_per_trigger rows
+        seen = read_sections(spark, sections_dir).select("id").join(
+            F.broadcast(ids), "id", "left_semi")
+        fresh = upserts.latest_per_key(joins.unprocessed(batch, seen, "id"), "id")
         (fresh.select("id", "abstract", "conclusion")
               .write.mode("overwrite").parquet(f"{sections_dir}/batch_id={batch_id}"))
 

@@ -1,0 +1,32 @@
+"""Property test: Spark extraction equals the source pipeline's Python
+``re`` rule on generated texts made of heading words, section numbers,
+punctuation, filler and tricky characters (Unicode spaces and case
+folds). All examples go through Spark in one DataFrame."""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from quire.functions.sections import with_sections
+from tests.test_sections import py_sections
+
+TOKENS = ["Abstract", "ABSTRACT", "abstract", "Conclusion", "CONCLUSIONS", "Conclusions",
+          "Conclusion and Limitations", "Concluding Remarks", "Discussion", "DISCUSSION",
+          "Discussion and Future Work", "Discussion and Analysis", "Introduction",
+          "INTRODUCTION", "References", "REFERENCE", "Acknowledgement", "ACKNOWLEDGEMENTS",
+          "1", "2.", "3 ", "5.", ":", ".", "-", "–", "—", " ", "  ", "\n", "\n\n", "\r\n", "\t",
+          "\x0b", "\x0c", "\x1c", "\x1f", "\x85", "\xa0", " ", "　",
+          "ſ", "K", "é", "Ab", "xy", "Theory", "results show that the method works well",
+          "a long sentence that carries more than enough characters to pass the gate"]
+
+texts = st.lists(st.lists(st.sampled_from(TOKENS), min_size=0, max_size=40).map("".join),
+                 min_size=150, max_size=150)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.too_slow,
+                                                               HealthCheck.data_too_large])
+@given(texts)
+def test_generated_texts_match_python(spark, batch):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(batch)], "i int, content string")
+    got = {r.i: (r.abstract, r.conclusion) for r in with_sections(df, status=None).collect()}
+    for i, t in enumerate(batch):
+        assert got[i] == py_sections(t), repr(t)
