@@ -53,10 +53,11 @@ def summarisable(df: DataFrame, abstract: str = "abstract",
                  conclusion: str = "conclusion") -> DataFrame:
     """Rows with a non-blank abstract or conclusion (B7). The sections are
     usually computed columns, hence the fence (see ``layout.fence``)."""
-    return fence(df).filter(_summarisable(abstract, conclusion))
+    return fence(df, [abstract, conclusion]).filter(_summarisable(abstract, conclusion))
 
 
 def with_any_section(df: DataFrame, abstract: str = "abstract",
                      conclusion: str = "conclusion") -> DataFrame:
     """Rows where extraction found a section (the ones that are recorded)."""
-    return fence(df).filter(F.col(abstract).isNotNull() | F.col(conclusion).isNotNull())
+    return (fence(df, [abstract, conclusion])
+            .filter(F.col(abstract).isNotNull() | F.col(conclusion).isNotNull()))

@@ -10,28 +10,35 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Make sure CPU-heavy per-row work (regex cascades, HTML parsing,
     generation) has at least one task per core.
 
-    A large input already has one task per file split, and this is a no-op.
-    A small input stored as one file with one row group is read by one
-    task; then the rows are dealt round-robin to ``min_partitions``
-    partitions (default: the cluster's default parallelism). AQE leaves
-    an explicit partition count alone.
+    A large input already has one task per file split, and this is a no-op:
+    the plan is untouched, so filters and column pruning reach the scan as
+    usual. A small input stored as one file with one row group is read by
+    one task; then the rows are dealt round-robin to ``min_partitions``
+    partitions (default: the cluster's default parallelism) and fenced, so
+    that no filter on a value computed from them is pushed back into the
+    single scan task. AQE leaves an explicit partition count alone.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return fence(df.repartition(target))
 
 
-def fence(df: DataFrame) -> DataFrame:
-    """Evaluate ``df``'s columns once, before any later filter.
+def fence(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Evaluate ``cols`` (default: all columns) once, before any later filter.
 
     Catalyst pushes a filter on a computed column below the projection that
     computes it, substituting the expression: a filter on an extracted
-    section would rerun the whole regex cascade inside the filter (and, in
+    section would rerun the whole regex cascade inside the filter (and, on
     a small input, in the single scan task before ``spread``). Filters do
-    not cross a Generate on the generated columns, so the columns are
-    passed through a one-row ``inline``; it stays in whole-stage codegen.
+    not cross a Generate on its generated columns, so ``cols`` are passed
+    through a one-row ``inline``, which stays in whole-stage codegen. The
+    other columns pass through as the Generate's child output, which
+    column pruning can still drop.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return df.select(F.inline(F.array(row)))
+    cols = list(df.columns) if cols is None else list(cols)
+    rest = [c for c in df.columns if c not in cols]
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    out = df.select(*[F.col(f"`{c}`") for c in rest], F.inline(F.array(row)))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
