@@ -3,30 +3,35 @@
 Each job returns DataFrames (new table contents and counters); writing
 them is the caller's step (``quire.sinks.tables``), which is also the
 lineage cut between jobs: a job reads the tables the previous one wrote.
+The extraction pass is the exception: it writes its new sections itself,
+so that the expensive extraction runs once for all of its outputs.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.prompts import relevance_prompt, summary_prompt
+from quire import schemas
+from quire.functions.prompts import flag_missing_flags, relevance_prompt, summary_prompt
 from quire.functions.sections import with_sections
 from quire.functions.text import is_blank
-from quire.functions.prompts import flag_missing_flags
 from quire.functions.verdict import parse_verdict
 from quire.operators import aggregates, filters, generation, joins, upserts
+from quire.sinks.tables import write_sections
 from quire.sources.files import read_parsed_documents, read_sections
 
 
 @dataclass
 class ExtractionRun:
     documents: DataFrame      # next version of the document table
-    new_sections: DataFrame   # (id, abstract, conclusion) to append to the store
+    new_sections: DataFrame   # (id, abstract, conclusion) written to the store by this run
     outcomes: DataFrame       # (id, outcome) per document: ok / skipped / failed
     counters: DataFrame       # one row of run statistics
+    batch_path: str           # where this run's sections were written
 
 
 def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
@@ -38,10 +43,16 @@ def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
     sections were wiped is extracted again); else the sections are
     extracted, and a document with at least one section is ok and is
     recorded, one with none is failed and will be tried again next run.
+
+    The new sections are written to the store here, once (this is the only
+    step that runs the regex cascade); the table update, outcomes and
+    counters are then read from what was written, so writing them later
+    does not extract again, and their lineage starts at the written batch.
     """
     exclude = [sections_file_name] if sections_file_name else None
+    run_id = int(time.time() * 1000)
     files = read_parsed_documents(spark, parsed_dir, exclude=exclude)
-    store = read_sections(spark, sections_path)
+    store = read_sections(spark, sections_path, exclude_batch=run_id)
     filled = documents.filter(F.col("abstract").isNotNull() | F.col("conclusion").isNotNull())
     done = joins.known_only(store.select("id"), filled.select("id"), "id")
 
@@ -51,7 +62,8 @@ def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
     todo = tagged.filter(F.col("has_file") & ~F.col("done")).select("id")
     extracted = with_sections(joins.known_only(files.select("id", "content"), todo, "id"),
                               status=None).select("id", "abstract", "conclusion")
-    found = filters.with_any_section(extracted)
+    batch_path = write_sections(filters.with_any_section(extracted), sections_path, run_id)
+    found = spark.read.schema(schemas.SECTIONS).parquet(batch_path)
 
     outcome = (F.when(~F.col("has_file"), F.lit("failed"))
                 .when(F.col("done"), F.lit("skipped"))
@@ -61,7 +73,7 @@ def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
                 .select("id", outcome.alias("outcome")))
     new_docs = upserts.partial_update(documents, found, ["abstract", "conclusion"], "id")
     counters = aggregates.extraction_counters(outcomes, files.select("id"), store.select("id"))
-    return ExtractionRun(new_docs, found, outcomes, counters)
+    return ExtractionRun(new_docs, found, outcomes, counters, batch_path)
 
 
 def summarise(documents: DataFrame, summaries: DataFrame, make_fn=None,

@@ -89,6 +89,11 @@ def write_documents(df: DataFrame, path: str, key: str = "id", texts: str = "tex
     df.select(key, texts).write.mode(mode).json(path)
 
 
-def write_sections(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Append newly extracted sections to the sections store."""
-    df.select("id", "abstract", "conclusion").write.mode(mode).parquet(path)
+def write_sections(df: DataFrame, path: str, batch_id: int | None = None) -> str:
+    """Add newly extracted sections to the sections store (G9) as their own
+    ``batch_id=<n>`` folder, overwritten if it exists: a retried batch
+    rewrites the same folder. Returns the folder written."""
+    batch_id = int(time.time() * 1000) if batch_id is None else batch_id
+    out = f"{path}/batch_id={batch_id}"
+    df.select("id", "abstract", "conclusion").write.mode("overwrite").parquet(out)
+    return out

@@ -58,14 +58,18 @@ def read_binary_documents(spark: SparkSession, path: str, glob: str = "*.pdf") -
                          "path", "length", "content"))
 
 
-def read_sections(spark: SparkSession, path: str) -> DataFrame:
+def read_sections(spark: SparkSession, path: str, exclude_batch: int | None = None) -> DataFrame:
     """Previously extracted sections (A4): (id, abstract, conclusion); an
-    empty frame when nothing has been stored yet."""
+    empty frame when nothing has been stored yet. The store is a folder of
+    ``batch_id=<n>`` parts; ``exclude_batch`` leaves one of them out."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
         return spark.createDataFrame([], schemas.SECTIONS)
-    return spark.read.schema(schemas.SECTIONS).parquet(path)
+    df = spark.read.schema(schemas.SECTIONS_STORED).parquet(path)
+    if exclude_batch is not None:
+        df = df.filter(F.col("batch_id") != exclude_batch)
+    return df.select("id", "abstract", "conclusion")
 
 
 def read_sections_json(spark: SparkSession, path: str) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.sections import parsed_document_content, with_sections
 from quire.operators import filters, joins, upserts
+from quire.sinks.tables import write_sections
 from quire.sources.files import file_stem, read_sections
 
 
@@ -62,8 +63,7 @@ def extract_stream(spark: SparkSession, in_dir: str, sections_dir: str, checkpoi
         seen = read_sections(spark, sections_dir).select("id").join(
             F.broadcast(ids), "id", "left_semi")
         fresh = upserts.latest_per_key(joins.unprocessed(batch, seen, "id"), "id")
-        (fresh.select("id", "abstract", "conclusion")
-              .write.mode("overwrite").parquet(f"{sections_dir}/batch_id={batch_id}"))
+        write_sections(fresh, sections_dir, batch_id)
 
     writer = (found.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))

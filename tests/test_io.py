@@ -59,9 +59,11 @@ def test_write_documents_and_sections(spark, scratch_dir):
     tables.write_documents(df, f"{scratch_dir}/docs")
     assert spark.read.json(f"{scratch_dir}/docs").first().id == "p1"
     s = spark.createDataFrame([("p1", "a", None)], schemas.SECTIONS)
-    tables.write_sections(s, f"{scratch_dir}/sections")
-    tables.write_sections(s.withColumn("id", F.lit("p2")), f"{scratch_dir}/sections")
+    tables.write_sections(s, f"{scratch_dir}/sections", batch_id=1)
+    tables.write_sections(s.withColumn("id", F.lit("p2")), f"{scratch_dir}/sections", batch_id=2)
+    tables.write_sections(s.withColumn("id", F.lit("p2")), f"{scratch_dir}/sections", batch_id=2)
     assert files.read_sections(spark, f"{scratch_dir}/sections").count() == 2
+    assert files.read_sections(spark, f"{scratch_dir}/sections", exclude_batch=2).count() == 1
 
 
 def test_catalog_tables_create_clear_replace(spark):

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.plans import workflow
-from quire.sinks.tables import write_sections
 
 LONG = "This sentence is long enough to pass the minimum length gate easily."
 
@@ -26,7 +25,6 @@ def test_extraction_pass_counts_and_idempotence(spark, scratch_dir):
     c = run.counters.first().asDict()
     assert c == {"total_documents": 4, "json_files": 3, "previously_processed": 0,
                  "ok": 2, "skipped": 0, "failed": 2}
-    write_sections(run.new_sections, store)
     table = spark.createDataFrame(run.documents.collect(), schemas.FULL_DOCUMENTS)
     assert sorted(r.id for r in table.filter(F.col("abstract").isNotNull()).collect()) == ["a", "b"]
 
