@@ -89,6 +89,20 @@ def papers(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataF
                .drop("quality"))
 
 
+def paper_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text-free columns of ``papers`` (doc_id, paper_id, author_names,
+    pdf_url), all derived from ``doc_id``: a one-column scan, no spread."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return docs.select(
+        "doc_id",
+        F.expr("concat('2401.', lpad(cast(doc_id as string), 6, '0'), 'v', doc_id % 3 + 1)")
+         .alias("paper_id"),
+        F.expr("array(concat('Author ', doc_id % 7), concat('Author ', doc_id % 11))")
+         .alias("author_names"),
+        F.expr("case when doc_id % 10 <> 0 then concat('https://example.org/pdf/', doc_id) end")
+         .alias("pdf_url"))
+
+
 def papers_table(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataFrame:
     """``papers`` shaped as the document table: (id, title, authors,
     pdf_url, affiliation[, selected]) with no sections filled yet."""

@@ -70,6 +70,18 @@ def stored_documents(spark, sf, filled: bool) -> DataFrame:
                      "pdf_url", "abstract", "conclusion"))
 
 
+def stored_ids(spark, sf, mod: int) -> DataFrame:
+    """Ids of the papers with doc_id % mod = 0 (one side of an update)."""
+    return (fixtures.paper_keys(spark, sf).filter(F.col("doc_id") % mod == 0)
+            .select(F.col("paper_id").alias("id")))
+
+
+def parsed_file_stems(spark, sf) -> DataFrame:
+    """Stems of the parsed-document files: every paper but doc_id % 5 = 0."""
+    return (fixtures.paper_keys(spark, sf).filter(F.col("doc_id") % 5 != 0)
+            .select(F.col("paper_id").alias("stem")))
+
+
 def stored_summaries(spark, sf) -> DataFrame:
     return (fixtures.papers(spark, sf).filter(F.col("doc_id") % 2 == 0)
             .select(F.col("paper_id").alias("id"),
@@ -127,8 +139,8 @@ def q_config_search(spark, sf):
 
 def q_row_counts(spark, sf):
     """Rows per table (E3), one aggregate over the tagged union."""
-    docs = stored_documents(spark, sf, filled=False).select(F.lit("full_documents").alias("table"))
-    summ = stored_summaries(spark, sf).select(F.lit("summaries").alias("table"))
+    docs = stored_ids(spark, sf, 2).select(F.lit("full_documents").alias("table"))
+    summ = stored_ids(spark, sf, 2).select(F.lit("summaries").alias("table"))
     return docs.unionByName(summ).groupBy("table").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -169,29 +181,28 @@ def q_summaries_report(spark, sf):
 
 
 def q_unprocessed(spark, sf):
-    p = fixtures.papers(spark, sf).select("paper_id")
-    done = fixtures.papers(spark, sf).filter(F.col("doc_id") % 3 == 0).select("paper_id")
+    p = fixtures.paper_keys(spark, sf).select("paper_id")
+    done = fixtures.paper_keys(spark, sf).filter(F.col("doc_id") % 3 == 0).select("paper_id")
     return joins.unprocessed(p, done, key="paper_id")
 
 
 def q_missing_outputs(spark, sf):
-    inputs = filters.with_url(fixtures.papers(spark, sf)).select("paper_id", "pdf_url")
-    outputs = (fixtures.papers(spark, sf).filter(F.col("doc_id") % 4 == 0)
+    inputs = filters.with_url(fixtures.paper_keys(spark, sf)).select("paper_id", "pdf_url")
+    outputs = (fixtures.paper_keys(spark, sf).filter(F.col("doc_id") % 4 == 0)
                .select(F.concat("paper_id", F.lit(".pdf")).alias("file_name")))
     stems = outputs.select(F.regexp_extract("file_name", r"^(.*)\.[^.]+$", 1).alias("stem"))
     return joins.missing_outputs(inputs, stems, key="paper_id", output_key="stem")
 
 
 def q_match_known(spark, sf):
-    new = sections(spark, sf).filter(F.col("doc_id") % 3 == 0).select(F.col("paper_id").alias("id"))
-    table = stored_documents(spark, sf, filled=False).select("id")
+    new = stored_ids(spark, sf, 3)
+    table = stored_ids(spark, sf, 2)
     return joins.match_known(new, table, "id").select(F.col("id").alias("paper_id"), "known")
 
 
 def q_with_parsed_file(spark, sf):
-    docs = stored_documents(spark, sf, filled=False).select("id")
-    files = (fixtures.papers(spark, sf).filter(F.col("doc_id") % 5 != 0)
-             .select(F.col("paper_id").alias("stem")))
+    docs = stored_ids(spark, sf, 2)
+    files = parsed_file_stems(spark, sf)
     return joins.with_parsed_file(docs, files, "id", "stem").select(
         F.col("id").alias("paper_id"), "has_file")
 
@@ -204,11 +215,9 @@ def extraction_outcomes(spark, sf) -> DataFrame:
     """One row per stored document: ok / skipped / failed, as an extraction
     pass decides: no parsed file → failed; already in the sections store →
     skipped; else extracted, ok when a section was found."""
-    table = stored_documents(spark, sf, filled=False).select("id")
-    files = (fixtures.papers(spark, sf).filter(F.col("doc_id") % 5 != 0)
-             .select(F.col("paper_id").alias("stem")))
-    done = (fixtures.papers(spark, sf).filter(F.col("doc_id") % 3 == 0)
-            .select(F.col("paper_id").alias("done_id")))
+    table = stored_ids(spark, sf, 2)
+    files = parsed_file_stems(spark, sf)
+    done = stored_ids(spark, sf, 3).select(F.col("id").alias("done_id"))
     s = sections(spark, sf).select(F.col("paper_id").alias("id"), "abstract", "conclusion")
     tagged = joins.flag_exists(joins.with_parsed_file(table, files, "id", "stem"),
                                done, "done", "id", "done_id")
@@ -253,8 +262,7 @@ def q_upsert_replace(spark, sf):
 
 def q_insert_if_absent(spark, sf):
     old = stored_summaries(spark, sf)
-    new = (fixtures.papers(spark, sf).filter(F.col("doc_id") % 3 == 0)
-           .select(F.col("paper_id").alias("id")))
+    new = stored_ids(spark, sf, 3)
     return upserts.insert_if_absent(old, new, "id")
 
 
