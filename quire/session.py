@@ -24,6 +24,20 @@ SCALE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (not applied by the library): many
+# initial shuffle partitions that AQE coalesces to ~256 MB each; 128 MB
+# scan splits; small Arrow batches for binary-file conversion, where one
+# row can be a whole PDF.
+CLUSTER_CONF = {
+    **SCALE_CONF,
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "quire") -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]")
