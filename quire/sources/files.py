@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import schemas
-from quire.functions.sections import parsed_document_content
+from quire.functions.sections import assemble_content, parsed_document_content
 
 STEM = r"^(.*)\.[^.]+$"
 
@@ -43,6 +43,14 @@ def read_parsed_documents(spark: SparkSession, path: str, glob: str = "*.json",
                      parsed_document_content("raw").alias("content"))
 
 
+def read_converted_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Documents as ``write_documents`` stores them (JSON lines
+    ``{"id": .., "texts": [{"text": ..}, ..]}``, many per file, read in
+    parallel): (id, content) with the blocks assembled as for A2."""
+    df = spark.read.schema("id string, texts array<map<string,string>>").json(path)
+    return df.select("id", assemble_content("texts").alias("content"))
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """File listing (id = stem, path, length) without reading any content:
     the ``binaryFile`` source skips the bytes when ``content`` is pruned."""

@@ -75,15 +75,15 @@ def test_strip_version(spark):
 
 
 def test_parse_keywords():
-    assert Q.parse_keywords(['"World Model" OR "world models"', 'JEPA']) == \
-        ["world model", "world models", "jepa"]
+    assert Q.parse_keywords(['"World Model" OR "world models"', 'Diffusion']) == \
+        ["world model", "world models", "diffusion"]
 
 
 def test_keyword_predicate(spark):
-    df = spark.createDataFrame([("A World Model paper", None), ("x", "about JEPA"), ("x", "y")],
+    df = spark.createDataFrame([("A World Model paper", None), ("x", "about diffusion"), ("x", "y")],
                                "title string, content string")
     got = [r.title for r in df.filter(Q.keyword_predicate(["title", "content"],
-                                                      ['"world model"', '"JEPA"'])).collect()]
+                                                      ['"world model"', '"Diffusion"'])).collect()]
     assert got == ["A World Model paper", "x"]
 
 

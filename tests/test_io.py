@@ -20,9 +20,9 @@ def test_read_parsed_documents(spark, scratch_dir):
     write(f"{scratch_dir}/p1.json", json.dumps({"texts": [{"text": " A "}, {"text": "B"}]}))
     write(f"{scratch_dir}/p2.json", json.dumps("bare text"))
     write(f"{scratch_dir}/p3.json", json.dumps({"text": "root"}))
-    write(f"{scratch_dir}/sections_regex.json", json.dumps({"p1": {}}))
+    write(f"{scratch_dir}/sections_store.json", json.dumps({"p1": {}}))
     write(f"{scratch_dir}/notes.txt", "ignored")
-    df = files.read_parsed_documents(spark, scratch_dir, exclude=["sections_regex.json"])
+    df = files.read_parsed_documents(spark, scratch_dir, exclude=["sections_store.json"])
     got = {r.id: r.content for r in df.collect()}
     assert got == {"p1": "A\n\nB\n\n", "p2": "bare text", "p3": "root"}
 
@@ -99,3 +99,31 @@ def test_read_papers_prunes_and_pushes(spark, scratch_dir):
     assert "IsNotNull(pdf_url)" in plan and "IsNull(selected)" in plan
     assert "ReadSchema: struct<id:string,pdf_url:string,selected:string>" in plan
     assert [r.id for r in q.collect()] == ["a"]
+
+
+def test_convert_binary_write_read_extract(spark, scratch_dir):
+    """H6 on binary files with a caller's parser → G10 → read back → C3/C4."""
+    from quire.functions.sections import with_sections
+    from quire.operators.generation import convert_documents
+    long = "This sentence is long enough to pass the minimum length gate easily."
+    src = f"{scratch_dir}/pdfs"
+    os.makedirs(src)
+    write(f"{src}/p1.pdf", f"Abstract\n{long}\n1 Intro\nConclusion\n{long}\n".encode(), "wb")
+    write(f"{src}/p2.pdf", b"\xff\xfe broken", "wb")
+    done = f"{scratch_dir}/done"
+    os.makedirs(done)
+    write(f"{done}/p3.json", "{}")
+
+    def parse_fn(content: bytes):
+        return [{"text": line} for line in bytes(content).decode("utf-8").split("\n")]
+
+    pdfs = files.read_binary_documents(spark, src)
+    pdfs = (pdfs.join(files.list_files(spark, done, "*.json").select("id").withColumn("exists", F.lit(True)),
+                      "id", "left").fillna(False, ["exists"]))
+    out = convert_documents(pdfs, "content", ["id"], parse_fn, skip_col="exists")
+    status = {r.id: r.status for r in out.collect()}
+    assert status == {"p1": "ok", "p2": "failed"}
+    tables.write_documents(out.filter(F.col("status") == "ok"), f"{scratch_dir}/conv")
+    docs = files.read_converted_documents(spark, f"{scratch_dir}/conv")
+    got = with_sections(docs).first()
+    assert (got.id, got.abstract, got.conclusion, got.status) == ("p1", long, long, "ok")

@@ -17,7 +17,7 @@ def doc(i):
 
 
 def run(spark, src, store, ckpt):
-    q = extract_stream(spark, src, store, ckpt, exclude=["sections_regex.json"])
+    q = extract_stream(spark, src, store, ckpt, exclude=["sections_store.json"])
     q.awaitTermination(120)
     return read_sections(spark, store)
 
