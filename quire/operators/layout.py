@@ -18,9 +18,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     that no filter on a value computed from them is pushed back into the
     single scan task. AQE leaves an explicit partition count alone.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD access (e.g. a Connect session): leave the plan as is
         return df
     return fence(df.repartition(target))
 
