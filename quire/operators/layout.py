@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +46,20 @@ def fence(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in cols])
     out = df.select(*[F.col(f"`{c}`") for c in rest], F.inline(F.array(row)))
     return out.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def stage(df: DataFrame, name: str = "batch") -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back.
+
+    Used for the update batch of a keyed merge: it is computed once however
+    often the merge reads it, its lineage starts at the written files, and
+    the planner sees its real size. A batch below the broadcast threshold
+    is then broadcast, so the (large) old table is scanned and filtered
+    without being shuffled; a larger batch gets a sort-merge join.
+    """
+    from quire.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"staged/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -2,7 +2,7 @@
 
 No MERGE-capable table format is assumed. Each function returns the new
 content of the table; the caller writes it to a fresh location and then
-points readers at it (``quire.sinks.tables.write_version``).
+points readers at it (``quire.sinks.tables.replace_table``).
 
 Scale notes:
 * A batch that repeats a key is reduced with ``max_by``/``min_by``: a hash
@@ -10,7 +10,14 @@ Scale notes:
   of the batch is cut to one row per task before the shuffle (a
   ``row_number`` window would sort that whole key in one task).
 * After that reduction both sides are unique on the key, so the joins are
-  1:1 and the aggregate's hash partitioning is reused by the join.
+  1:1.
+* The reduced batch is staged (written once to the shared checkpoint
+  folder, ``layout.stage``). The planner then knows its size: a small
+  batch is broadcast and the old table is only scanned, never shuffled; a
+  large one gets a sort-merge join. When the batch is on the left of the
+  anti join (insert-if-absent, append), the overlap is first found by a
+  semi join of the old table's keys against the batch, so the old table
+  is still only scanned.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.joins import _keys
+from quire.operators.layout import stage
 
 SEQ = "__seq"
 
@@ -63,8 +70,8 @@ def upsert_replace(old: DataFrame, new: DataFrame, key: str = "id",
     """Whole-row replace by key (G1): a new row replaces the old one, and
     columns the batch does not supply become NULL; within a batch the last
     row of a key wins."""
-    fresh = latest_per_key(new, key, seq)
-    kept = old.join(_keys(fresh, key), key, "left_anti")
+    fresh = stage(latest_per_key(new, key, seq), "upsert")
+    kept = old.join(fresh.select(key), key, "left_anti")
     return kept.unionByName(_conform(fresh, old))
 
 
@@ -72,9 +79,16 @@ def insert_if_absent(old: DataFrame, new: DataFrame, key: str = "id",
                      seq: str | None = None) -> DataFrame:
     """Add a key only when it is not there yet (G2); within a batch the first
     row of a key wins."""
-    fresh = first_per_key(new, key, seq)
-    added = fresh.join(_keys(old, key), key, "left_anti")
-    return old.unionByName(_conform(added, old))
+    fresh = stage(first_per_key(new, key, seq), "insert")
+    return old.unionByName(_conform(_not_in(fresh, old, key), old))
+
+
+def _not_in(fresh: DataFrame, old: DataFrame, key: str) -> DataFrame:
+    """Rows of the (staged, unique-key) batch whose key is not in ``old``.
+    The overlap comes from a semi join of ``old``'s keys against the batch,
+    which the planner broadcasts when the batch is small."""
+    overlap = old.select(key).join(fresh.select(key), key, "left_semi")
+    return fresh.join(overlap, key, "left_anti")
 
 
 def partial_update(old: DataFrame, new: DataFrame, cols: list[str], key: str = "id",
@@ -82,7 +96,7 @@ def partial_update(old: DataFrame, new: DataFrame, cols: list[str], key: str = "
     """Overwrite ``cols`` with the batch's non-NULL values (G3). Keys not
     in ``old`` are ignored, as an UPDATE of a missing row changes nothing."""
     fresh = latest_per_key(new.select(key, *cols, *([seq] if seq else [])), key, seq)
-    fresh = fresh.select(key, *[F.col(c).alias(f"__new_{c}") for c in cols])
+    fresh = stage(fresh.select(key, *[F.col(c).alias(f"__new_{c}") for c in cols]), "update")
     joined = old.join(fresh, key, "left")
     out = [F.coalesce(F.col(f"__new_{c}"), F.col(c)).alias(c) if c in cols else F.col(c)
            for c in old.columns]
@@ -105,15 +119,15 @@ def set_selected(old: DataFrame, verdicts: DataFrame, key: str = "id",
 def append_new(previous: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """Previous rows plus new rows for keys not seen before (G9). Re-running
     with the same batch changes nothing."""
-    added = new.join(_keys(previous, key), key, "left_anti")
-    return previous.unionByName(_conform(added, previous))
+    fresh = stage(first_per_key(new, key), "append")
+    return previous.unionByName(_conform(_not_in(fresh, previous, key), previous))
 
 
 def verify_update(after: DataFrame, new: DataFrame, cols: list[str],
                   key: str = "id") -> DataFrame:
     """Read-back check of a partial update (G11): per updated key, did every
     non-NULL new value land. Columns: (key, verified)."""
-    fresh = latest_per_key(new.select(key, *cols), key)
+    fresh = stage(latest_per_key(new.select(key, *cols), key), "verify")
     a = after.select(key, *[F.col(c).alias(f"__after_{c}") for c in cols])
     checks = [F.col(c).isNull() | F.col(c).eqNullSafe(F.col(f"__after_{c}")) for c in cols]
     ok = checks[0]
