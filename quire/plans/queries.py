@@ -21,7 +21,7 @@ from quire.functions.text import default_text, first_tag_text, head_lines, is_bl
 from quire.functions.text import preview as preview_col
 from quire.functions.verdict import parse_verdict
 from quire.operators import aggregates, filters, generation, joins, upserts
-from quire.operators.layout import spread
+from quire.operators.layout import spread, stage
 from quire.plans import fixtures
 
 # Parameters of the queries (the search config's shape: keyword expressions,
@@ -295,14 +295,17 @@ def q_set_selected(spark, sf):
 
 def q_verify_update(spark, sf):
     old = stored_documents(spark, sf, filled=False)
-    new = (sections(spark, sf).filter(F.col("doc_id") % 3 == 0)
-           .select(F.col("paper_id").alias("id"), "abstract", "conclusion"))
+    # the batch is read twice (update, then check): written once
+    new = stage(sections(spark, sf).filter(F.col("doc_id") % 3 == 0)
+                .select(F.col("paper_id").alias("id"), "abstract", "conclusion"), "sections")
     after = upserts.partial_update(old, new, ["abstract", "conclusion"], "id")
     return upserts.verify_update(after, new, ["abstract", "conclusion"], "id")
 
 
 def q_sections_appended(spark, sf):
-    s = sections(spark, sf).select("doc_id", F.col("paper_id").alias("id"), "abstract", "conclusion")
+    # the old store and the new batch both come from one extraction: written once
+    s = stage(sections(spark, sf).select("doc_id", F.col("paper_id").alias("id"),
+                                         "abstract", "conclusion"), "sections")
     found = filters.with_any_section(s)
     previous = found.filter(F.col("doc_id") % 3 == 0).drop("doc_id")
     new = joins.unprocessed(found.drop("doc_id"), previous, "id")
