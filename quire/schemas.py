@@ -39,12 +39,6 @@ SECTIONS = T.StructType([
 # The sections store on disk: one folder per written batch.
 SECTIONS_STORED = T.StructType(SECTIONS.fields + [T.StructField("batch_id", T.LongType(), True)])
 
-# Parsed-document JSON: blocks are maps so that "no text key" and
-# "text is null" stay distinguishable.
-BLOCKS = T.ArrayType(T.MapType(S, S))
-
-VERDICT_DDL = "is_prestigious boolean, reason string"
-
 TABLES = {
     "full_documents": FULL_DOCUMENTS,
     "summaries": SUMMARIES,

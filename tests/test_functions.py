@@ -134,3 +134,13 @@ def test_text_helpers(spark):
     assert one(spark, lambda c: T.default_text(c, "d"), "") == "d"
     assert one(spark, lambda c: T.default_text(c, "d"), None) == "d"
     assert one(spark, T.decode_xml_entities, "a &amp;lt; &quot;b&quot;") == 'a &lt; "b"'
+
+
+def test_small_public_helpers(spark):
+    from quire.functions.sections import extract_discussion
+    assert one(spark, lambda c: T.min_length(c, 3), "abcd") == "abcd"
+    assert one(spark, lambda c: T.min_length(c, 3), "abc") is None
+    assert one(spark, lambda c: Q.has_any_author_in_string(c, ["B C"]), "A, B C") is True
+    assert one(spark, Q.author_struct_string, [("A",), ("B",)], "v array<struct<name:string>>") == "A, B"
+    long = "This sentence is long enough to pass the minimum length gate easily."
+    assert one(spark, extract_discussion, f"Discussion\n{long}\nReferences") == long

@@ -150,3 +150,12 @@ def test_convert_documents_status(spark):
     assert got[2][0] == "failed" and got[3] == ("skipped", None)
     counters = aggregates.conversion_counters(out).first()
     assert (counters.total, counters.ok, counters.failed, counters.skipped) == (3, 1, 1, 1)
+
+
+def test_row_count_unknown_only_texts_json(spark):
+    assert aggregates.row_count(docs(spark)).first().n == 3
+    new = spark.createDataFrame([("a",), ("zz",)], "id string")
+    assert rows(joins.unknown_only(new, docs(spark)), "id") == [("zz",)]
+    assert rows(joins.known_only(new, docs(spark)), "id") == [("a",)]
+    t = spark.createDataFrame([([{"text": "x"}],)], "texts array<map<string,string>>")
+    assert t.select(generation.texts_to_json().alias("j")).first().j == '{"texts":[{"text":"x"}]}'
