@@ -231,6 +231,18 @@ where {keyword_sql(['title', 'content'], cfg['keywords'])}
   and list_has_any(author_names, [{cauthors}])
   and submitted_at >= timestamp '{clo} 00:00:00' and submitted_at < timestamp '{chi} 00:00:00'
 order by submitted_at desc, paper_id limit {cfg['max_results']}""")
+    o["fetch_upsert"] = with_papers(STORED_FILLED_CTE + f""",
+hits as (
+  select paper_id as id, title, array_to_string(author_names, ', ') as authors, pdf_url
+  from papers
+  where {keyword_sql(['title', 'content'], cfg['keywords'])}
+    and list_has_any(author_names, [{cauthors}])
+    and submitted_at >= timestamp '{clo} 00:00:00' and submitted_at < timestamp '{chi} 00:00:00'
+  order by submitted_at desc, paper_id limit {cfg['max_results']})
+select id, title, authors, pdf_url, abstract, conclusion from stored
+where id not in (select id from hits)
+union all
+select id, title, authors, pdf_url, null, null from hits""", sections=True)
     o["row_counts"] = with_papers("""
 select 'full_documents' as "table", count(*) as n from papers where doc_id % 2 = 0
 union all

@@ -137,6 +137,18 @@ def q_config_search(spark, sf):
     return top.select("paper_id", "title", F.array_join("author_names", ", ").alias("authors"))
 
 
+def q_fetch_upsert(spark, sf):
+    """The fetch step: the named search over the papers as a catalog,
+    its hits replacing rows of the stored document table."""
+    from quire.plans import workflow
+    catalog = fixtures.papers(spark, sf).select(
+        F.col("paper_id").alias("id"), "title", "author_names", "pdf_url",
+        F.col("content").alias("summary"), "submitted_at")
+    docs, _ = workflow.fetch(catalog, stored_documents(spark, sf, filled=True),
+                             stored_summaries(spark, sf), SEARCH_CONFIG, AS_OF)
+    return docs
+
+
 def q_row_counts(spark, sf):
     """Rows per table (E3), one aggregate over the tagged union."""
     docs = stored_ids(spark, sf, 2).select(F.lit("full_documents").alias("table"))
@@ -355,6 +367,7 @@ QUERIES = {
     "search_newest": q_search_newest,
     "config_search": q_config_search,
     "row_counts": q_row_counts,
+    "fetch_upsert": q_fetch_upsert,
     "papers_with_url": q_papers_with_url,
     "pending_papers": q_pending_papers,
     "by_authors": q_by_authors,

@@ -100,3 +100,45 @@ def judge_relevance(documents: DataFrame, make_fn=None, partitions: int | None =
     verdicts = answers.select("id", parse_verdict("answer").alias("selected"))
     updated = upserts.set_selected(documents, verdicts, "id")
     return updated, aggregates.selection_stats(updated)
+
+
+def fetch(catalog: DataFrame, documents: DataFrame, summaries: DataFrame, config: dict,
+          as_of, text_cols=("title", "summary")):
+    """The fetch step over a paper catalog (the remote search re-aimed at a
+    table with ``id, title, author_names, pdf_url, summary, submitted_at``):
+    run the named search, replace the hits in the document table (their
+    sections become NULL, as a re-fetch does) and add their ids to the
+    summaries table if absent. Returns (next documents, next summaries)."""
+    from quire.functions.search import author_string
+    from quire.plans.search import run_search
+
+    hits = run_search(catalog, config, as_of, text_cols=text_cols, id_col="id")
+    rows = hits.select("id", "title", author_string("author_names").alias("authors"), "pdf_url")
+    return (upserts.upsert_replace(documents, rows, "id"),
+            upserts.insert_if_absent(summaries, rows.select("id"), "id"))
+
+
+def fetch_with_affiliations(catalog: DataFrame, documents: DataFrame, summaries: DataFrame,
+                            config: dict, as_of, strict_ids: bool = False,
+                            text_cols=("title", "summary")):
+    """The relevance variant of fetch: ids without version, affiliations
+    from the Atom entry (``atom_xml``), the abstract filled from the
+    catalog summary, and ``selected`` reset to pending."""
+    from quire.functions.affiliation import affiliations
+    from quire.functions.search import author_string, strip_version
+    from quire.plans.search import run_search
+
+    hits = run_search(catalog, config, as_of, text_cols=text_cols, id_col="id")
+    rows = hits.select(strip_version("id", strict_ids).alias("id"), "title",
+                       author_string("author_names").alias("authors"),
+                       affiliations("atom_xml").alias("affiliation"), "pdf_url",
+                       F.col("summary").alias("abstract"))
+    return (upserts.upsert_replace(documents, rows, "id"),
+            upserts.insert_if_absent(summaries, rows.select("id"), "id"))
+
+
+def download_todo(documents: DataFrame, downloaded: DataFrame) -> DataFrame:
+    """Papers with a PDF link whose file is not there yet: (id, pdf_url).
+    ``downloaded`` is a file listing (``sources.files.list_files``)."""
+    return joins.missing_outputs(filters.with_url(documents).select("id", "pdf_url"),
+                                 downloaded.select("id"), "id")

@@ -50,3 +50,35 @@ def test_summarise_and_judge(spark):
     updated, stats = workflow.judge_relevance(rel, make_fn)
     assert sorted(r.selected for r in updated.collect()) == ["yes", "yes"]
     assert [(r.label, r.n) for r in stats.collect()] == [("selected", 2)]
+
+
+def test_fetch_with_affiliations_and_download_todo(spark):
+    import datetime as dt
+    catalog = spark.createDataFrame([
+        ("2401.00001v2", "World model paper", ["A B", "C D"], "https://x/1", "About world models.",
+         dt.datetime(2024, 1, 19, 12), "<entry><affiliation>Uni X</affiliation></entry>"),
+        ("2401.00002v1", "Other", ["E F"], None, "Nothing relevant.",
+         dt.datetime(2024, 1, 19, 13), "<entry></entry>"),
+        ("2401.00003v1", "Old world model", ["G H"], "https://x/3", "world model",
+         dt.datetime(2023, 1, 1), "<entry></entry>"),
+    ], "id string, title string, author_names array<string>, pdf_url string, summary string, "
+       "submitted_at timestamp_ntz, atom_xml string")
+    docs = spark.createDataFrame([("2401.00001", "stale", None, None, "u", "old abs", "c", "yes")],
+                                 schemas.RELEVANCE_DOCUMENTS)
+    summaries = spark.createDataFrame([("2401.00001", "kept")], schemas.SUMMARIES)
+    config = {"keywords": ['"world model"'], "date_range": {"from": "lastWeek", "to": "today"},
+              "max_results": 5}
+    d, s = workflow.fetch_with_affiliations(catalog, docs, summaries, config, "2024-01-20")
+    got = {r.id: r for r in d.collect()}
+    assert set(got) == {"2401.00001"}
+    row = got["2401.00001"]
+    assert (row.title, row.authors, row.affiliation, row.abstract, row.conclusion, row.selected) == \
+        ("World model paper", "A B, C D", "Uni X", "About world models.", None, None)
+    assert {(r.id, r.summary) for r in s.collect()} == {("2401.00001", "kept")}
+
+    listing = spark.createDataFrame([("2401.00001", "/p/2401.00001.pdf", 3)],
+                                    "id string, path string, length long")
+    more = d.unionByName(spark.createDataFrame(
+        [("b", None, None, None, "https://x/b", None, None, None),
+         ("c", None, None, None, None, None, None, None)], schemas.RELEVANCE_DOCUMENTS))
+    assert [tuple(r) for r in workflow.download_todo(more, listing).collect()] == [("b", "https://x/b")]
