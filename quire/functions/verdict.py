@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 
 # Strings accepted as a true boolean (lower-cased).
 TRUE_STRINGS = ["1", "on", "t", "true", "y", "yes"]
-_OBJECT_TEXT = r"(?s)^\s*\{.*\}\s*$"
+
+# The JSON parser stops after the first value, so "{...}}" or "{...} x"
+# would parse. Wrapping the text as the first element of an array that ends
+# with a sentinel string makes any trailing token either a parse error or a
+# displaced sentinel, so "exactly one JSON value" can be tested.
+_SENTINEL = "\u0000end-of-answer"
 
 
 def _col(c) -> Column:
@@ -25,7 +30,10 @@ def _col(c) -> Column:
 
 def verdict_is_true(response) -> Column:
     r = _col(response)
-    v = F.try_parse_json(r)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), r, F.lit(',"\\u0000end-of-answer"]')))
+    whole = ((F.try_variant_get(wrapped, "$[1]", "string") == F.lit(_SENTINEL))
+             & F.try_variant_get(wrapped, "$[2]", "variant").isNull())
+    v = F.try_variant_get(wrapped, "$[0]", "variant")
     flag = F.try_variant_get(v, "$.is_prestigious", "variant")
     reason = F.try_variant_get(v, "$.reason", "variant")
     ftype = F.schema_of_variant(flag)
@@ -35,7 +43,7 @@ def verdict_is_true(response) -> Column:
            & F.lower(F.try_variant_get(flag, "$", "string")).isin(TRUE_STRINGS))
         | ((ftype.isin("BIGINT", "DOUBLE", "FLOAT") | ftype.startswith("DECIMAL"))
            & (F.try_variant_get(flag, "$", "double") == 1.0)))
-    valid = (r.rlike(_OBJECT_TEXT) & v.isNotNull()
+    valid = (whole & F.schema_of_variant(v).startswith("OBJECT")
              & (F.schema_of_variant(reason) == "STRING"))
     return F.coalesce(valid & truthy, F.lit(False))
 
