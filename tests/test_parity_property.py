@@ -30,3 +30,19 @@ def test_generated_texts_match_python(spark, batch):
     got = {r.i: (r.abstract, r.conclusion) for r in with_sections(df, status=None).collect()}
     for i, t in enumerate(batch):
         assert got[i] == py_sections(t), repr(t)
+
+
+WHITESPACE = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(st.text(alphabet=st.sampled_from(WHITESPACE + list("ab.é✓")), max_size=12),
+                min_size=300, max_size=300))
+def test_whitespace_helpers_match_python(spark, batch):
+    import re
+    from quire.functions.text import clean_span, is_blank, strip
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(batch)], "i int, t string")
+    got = {r.i: (r.s, r.c, r.b) for r in df.select(
+        "i", strip("t").alias("s"), clean_span("t").alias("c"), is_blank("t").alias("b")).collect()}
+    for i, t in enumerate(batch):
+        assert got[i] == (t.strip(), re.sub(r"\s+", " ", t.strip()), not t.strip()), repr(t)
