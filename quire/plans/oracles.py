@@ -243,6 +243,9 @@ select id, title, authors, pdf_url, abstract, conclusion from stored
 where id not in (select id from hits)
 union all
 select id, title, authors, pdf_url, null, null from hits""", sections=True)
+    o["stream_sections"] = with_papers("""
+select paper_id as id, abstract, conclusion from sections
+where abstract is not null or conclusion is not null""", sections=True)
     o["row_counts"] = with_papers("""
 select 'full_documents' as "table", count(*) as n from papers where doc_id % 2 = 0
 union all

@@ -149,6 +149,28 @@ def q_fetch_upsert(spark, sf):
     return docs
 
 
+def q_stream_sections(spark, sf):
+    """I1 end to end: the papers are written as converted documents under
+    the shared checkpoint folder, a file stream (``availableNow``) extracts
+    them into the sections store, and the store is returned."""
+    import uuid
+
+    from quire.session import scratch_path
+    from quire.sinks.tables import write_documents
+    from quire.sources.files import read_sections
+    from quire.streaming.extract_stream import extract_stream
+
+    root = scratch_path(spark, f"stream-sections-{uuid.uuid4().hex}")
+    docs = fixtures.papers(spark, sf).select(
+        F.col("paper_id").alias("id"),
+        F.transform("blocks", lambda b: F.create_map(F.lit("text"), b)).alias("texts"))
+    write_documents(docs, f"{root}/in")
+    q = extract_stream(spark, f"{root}/in", f"{root}/store", f"{root}/checkpoint",
+                       source="converted")
+    q.awaitTermination()
+    return read_sections(spark, f"{root}/store")
+
+
 def q_row_counts(spark, sf):
     """Rows per table (E3), one aggregate over the tagged union."""
     docs = stored_ids(spark, sf, 2).select(F.lit("full_documents").alias("table"))
@@ -368,6 +390,7 @@ QUERIES = {
     "config_search": q_config_search,
     "row_counts": q_row_counts,
     "fetch_upsert": q_fetch_upsert,
+    "stream_sections": q_stream_sections,
     "papers_with_url": q_papers_with_url,
     "pending_papers": q_pending_papers,
     "by_authors": q_by_authors,

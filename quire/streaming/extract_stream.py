@@ -15,10 +15,15 @@ document table per micro-batch would not scale.
 There is no event time in this data, so no watermark: state is only the
 file log.
 
-Scale: a micro-batch holds at most ``max_files_per_trigger`` files, one id
-each. That bound is what makes it safe to broadcast the batch's ids to
-find which are already stored: the store is scanned and semi-joined
-against the broadcast set, never shuffled.
+Scale: a micro-batch holds at most ``max_files_per_trigger`` files. Each
+micro-batch is staged (written once, ``layout.stage``): its extraction runs
+once although the batch is read twice, and the planner sees its real size.
+A batch below the broadcast threshold has its ids broadcast to find the
+ones already stored, so the store is only scanned, never shuffled.
+
+Two source layouts: ``"parsed"`` (one JSON document per file, id = file
+stem) and ``"converted"`` (JSON lines ``{"id", "texts"}`` as
+``sinks.tables.write_documents`` writes them).
 """
 
 from __future__ import annotations
@@ -27,8 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quire.functions.sections import parsed_document_content, with_sections
+from quire.functions.sections import assemble_content, parsed_document_content, with_sections
 from quire.operators import filters, joins, upserts
+from quire.operators.layout import stage
 from quire.sinks.tables import write_sections
 from quire.sources.files import file_stem, read_sections
 
@@ -48,21 +54,33 @@ def parsed_document_stream(spark: SparkSession, in_dir: str, glob: str = "*.json
                       parsed_document_content("raw").alias("content"))
 
 
+def converted_document_stream(spark: SparkSession, in_dir: str,
+                              max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema("id string, texts array<map<string,string>>")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(in_dir).select("id", assemble_content("texts").alias("content"))
+
+
 def extract_stream(spark: SparkSession, in_dir: str, sections_dir: str, checkpoint: str,
                    glob: str = "*.json", exclude: list[str] | None = None,
                    available_now: bool = True,
-                   max_files_per_trigger: int = 10_000) -> StreamingQuery:
+                   max_files_per_trigger: int = 10_000,
+                   source: str = "parsed") -> StreamingQuery:
     """Start the stream; with ``available_now`` it handles what is there
     and stops (``query.awaitTermination()``)."""
-    docs = parsed_document_stream(spark, in_dir, glob, exclude, max_files_per_trigger)
+    if source == "converted":
+        docs = converted_document_stream(spark, in_dir, max_files_per_trigger)
+    else:
+        docs = parsed_document_stream(spark, in_dir, glob, exclude, max_files_per_trigger)
     found = filters.with_any_section(
         with_sections(docs, status=None).select("id", "abstract", "conclusion"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        ids = batch.select("id").distinct()  # <= max_files_per_trigger rows
+        staged = stage(batch, f"stream-{batch_id}")
         seen = read_sections(spark, sections_dir).select("id").join(
-            F.broadcast(ids), "id", "left_semi")
-        fresh = upserts.latest_per_key(joins.unprocessed(batch, seen, "id"), "id")
+            staged.select("id"), "id", "left_semi")
+        fresh = upserts.latest_per_key(joins.unprocessed(staged, seen, "id"), "id")
         write_sections(fresh, sections_dir, batch_id)
 
     writer = (found.writeStream.foreachBatch(write_batch)
