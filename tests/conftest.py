@@ -30,3 +30,18 @@ def spark():
 @pytest.fixture()
 def scratch_dir():
     return tempfile.mkdtemp(prefix="quire-case-")
+
+
+@pytest.fixture(scope="session")
+def query_runs(spark):
+    """Every registered query run once at sf0.001: name -> (columns, rows,
+    final executed plan). Shared by the oracle and the plan tests."""
+    import __spark_entry__ as E
+
+    runs = {}
+    for name, fn in E.queries().items():
+        df = fn(spark, SF0001)
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        runs[name] = (df.columns, rows, plan.split("== Initial Plan ==")[0])
+    return runs

@@ -4,20 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
-from tests.conftest import SF0001
-
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython"]
 
 
-def executed(df):
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-
-
 @pytest.fixture(scope="module")
-def plans(spark):
-    return {name: executed(fn(spark, SF0001)) for name, fn in E.queries().items()}
+def plans(query_runs):
+    return {name: plan for name, (_, _, plan) in query_runs.items()}
 
 
 def test_no_pairs_windows_or_row_udfs(plans):
