@@ -127,3 +127,13 @@ def test_convert_binary_write_read_extract(spark, scratch_dir):
     docs = files.read_converted_documents(spark, f"{scratch_dir}/conv")
     got = with_sections(docs).first()
     assert (got.id, got.abstract, got.conclusion, got.status) == ("p1", long, long, "ok")
+
+
+def test_clear_external_table(spark, scratch_dir):
+    made = tables.create_tables(spark, database=None, location=f"{scratch_dir}/tables")
+    assert set(made) == {"full_documents", "summaries"}
+    spark.createDataFrame([("a", "s")], schemas.SUMMARIES).write.insertInto("summaries")
+    assert tables.clear_table(spark, "summaries") == 1
+    assert spark.table("summaries").count() == 0
+    spark.sql("DROP TABLE full_documents")
+    spark.sql("DROP TABLE summaries")
