@@ -32,6 +32,7 @@ AUTHORS = ["Author 3", "Author 5"]
 DATE_RANGE = ("lastWeek", "today")
 AS_OF = "2024-01-20"
 SKIPPED_PAGE_MOD = 4  # pages with page_id % 4 = 0 already have an output
+STREAM_TIMEOUT_S = 3600  # an availableNow stream stops by itself; this only guards a hang
 # A named search in the config's shape (keywords, authors, date range, count).
 SEARCH_CONFIG = {
     "keywords": ['"ndre" OR "eauou"', '"the of"'],
@@ -167,7 +168,9 @@ def q_stream_sections(spark, sf):
     write_documents(docs, f"{root}/in")
     q = extract_stream(spark, f"{root}/in", f"{root}/store", f"{root}/checkpoint",
                        source="converted")
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_TIMEOUT_S):
+        q.stop()
+        raise TimeoutError(f"stream did not finish within {STREAM_TIMEOUT_S}s")
     return read_sections(spark, f"{root}/store")
 
 
