@@ -145,9 +145,8 @@ def q_fetch_upsert(spark, sf):
     catalog = fixtures.papers(spark, sf).select(
         F.col("paper_id").alias("id"), "title", "author_names", "pdf_url",
         F.col("content").alias("summary"), "submitted_at")
-    docs, _ = workflow.fetch(catalog, stored_documents(spark, sf, filled=True),
-                             stored_summaries(spark, sf), SEARCH_CONFIG, AS_OF)
-    return docs
+    rows = workflow.search_hits(catalog, SEARCH_CONFIG, AS_OF)
+    return upserts.upsert_replace(stored_documents(spark, sf, filled=True), rows, "id")
 
 
 def q_stream_sections(spark, sf):

@@ -21,6 +21,7 @@ from quire.functions.sections import with_sections
 from quire.functions.text import is_blank
 from quire.functions.verdict import parse_verdict
 from quire.operators import aggregates, filters, generation, joins, upserts
+from quire.operators.layout import stage
 from quire.sinks.tables import write_sections
 from quire.sources.files import read_parsed_documents, read_sections
 
@@ -102,18 +103,26 @@ def judge_relevance(documents: DataFrame, make_fn=None, partitions: int | None =
     return updated, aggregates.selection_stats(updated)
 
 
-def fetch(catalog: DataFrame, documents: DataFrame, summaries: DataFrame, config: dict,
-          as_of, text_cols=("title", "summary")):
-    """The fetch step over a paper catalog (the remote search re-aimed at a
-    table with ``id, title, author_names, pdf_url, summary, submitted_at``):
-    run the named search, replace the hits in the document table (their
-    sections become NULL, as a re-fetch does) and add their ids to the
-    summaries table if absent. Returns (next documents, next summaries)."""
+def search_hits(catalog: DataFrame, config: dict, as_of,
+                text_cols=("title", "summary")) -> DataFrame:
+    """The named search over a paper catalog (the remote search re-aimed at
+    a table with ``id, title, author_names, pdf_url, summary,
+    submitted_at``), as the fetch step stores it: (id, title, authors,
+    pdf_url). Staged, so the search runs once for every table it feeds."""
     from quire.functions.search import author_string
     from quire.plans.search import run_search
 
     hits = run_search(catalog, config, as_of, text_cols=text_cols, id_col="id")
-    rows = hits.select("id", "title", author_string("author_names").alias("authors"), "pdf_url")
+    return stage(hits.select("id", "title", author_string("author_names").alias("authors"),
+                             "pdf_url"), "fetch")
+
+
+def fetch(catalog: DataFrame, documents: DataFrame, summaries: DataFrame, config: dict,
+          as_of, text_cols=("title", "summary")):
+    """The fetch step: replace the search hits in the document table (their
+    sections become NULL, as a re-fetch does) and add their ids to the
+    summaries table if absent. Returns (next documents, next summaries)."""
+    rows = search_hits(catalog, config, as_of, text_cols)
     return (upserts.upsert_replace(documents, rows, "id"),
             upserts.insert_if_absent(summaries, rows.select("id"), "id"))
 
@@ -129,10 +138,10 @@ def fetch_with_affiliations(catalog: DataFrame, documents: DataFrame, summaries:
     from quire.plans.search import run_search
 
     hits = run_search(catalog, config, as_of, text_cols=text_cols, id_col="id")
-    rows = hits.select(strip_version("id", strict_ids).alias("id"), "title",
-                       author_string("author_names").alias("authors"),
-                       affiliations("atom_xml").alias("affiliation"), "pdf_url",
-                       F.col("summary").alias("abstract"))
+    rows = stage(hits.select(strip_version("id", strict_ids).alias("id"), "title",
+                             author_string("author_names").alias("authors"),
+                             affiliations("atom_xml").alias("affiliation"), "pdf_url",
+                             F.col("summary").alias("abstract")), "fetch")
     return (upserts.upsert_replace(documents, rows, "id"),
             upserts.insert_if_absent(summaries, rows.select("id"), "id"))
 
