@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None,
+           fence_cols: list[str] | None = None) -> DataFrame:
     """Make sure CPU-heavy per-row work (regex cascades, HTML parsing,
     generation) has at least one task per core.
 
@@ -16,9 +17,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the plan is untouched, so filters and column pruning reach the scan as
     usual. A small input stored as one file with one row group is read by
     one task; then the rows are dealt round-robin to ``min_partitions``
-    partitions (default: the cluster's default parallelism) and fenced, so
-    that no filter on a value computed from them is pushed back into the
-    single scan task. AQE leaves an explicit partition count alone.
+    partitions (default: the cluster's default parallelism) and
+    ``fence_cols`` (default: all) are fenced, so that no filter on a value
+    computed from them is pushed back into the single scan task. Filters on
+    the other columns (cheap keys) still reach the scan. AQE leaves an
+    explicit partition count alone.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
@@ -26,7 +29,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
             return df
     except Exception:  # no RDD access (e.g. a Connect session): leave the plan as is
         return df
-    return fence(df.repartition(target))
+    return fence(df.repartition(target), fence_cols)
 
 
 def fence(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -56,7 +56,8 @@ _MODEL_RESPONSE = """case doc_id % 6
 
 
 def papers(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"),
+                  fence_cols=["text"])
     d = docs.selectExpr(
         "doc_id", "lang", "source", "split(text, '\\n') ls",
         "cast(doc_id % 6 as int) av", "cast((doc_id div 6) % 6 as int) cv")
