@@ -89,11 +89,16 @@ def stored_summaries(spark, sf) -> DataFrame:
                     F.concat(F.lit("Summary of "), F.col("title")).alias("summary")))
 
 
-def generated_summaries(spark, sf) -> DataFrame:
+def generated_summaries(spark, sf, where=None) -> DataFrame:
     """Prompt → batch generation (default: leading sentences) → flags.
     (doc_id, id, summary); summary NULL where nothing was generated.
-    Only the key, the prompt and the two blank tests cross to Python."""
-    s = sections(spark, sf).select(
+    Only the key, the prompt and the two blank tests cross to Python.
+    ``where`` (on doc_id) picks the papers before generation: filters do
+    not cross ``mapInPandas``, so a later filter would generate for all."""
+    s = sections(spark, sf)
+    if where is not None:
+        s = s.filter(where)
+    s = s.select(
         "doc_id", "paper_id", summary_prompt("abstract", "conclusion").alias("prompt"),
         is_blank("abstract").alias("no_abstract"), is_blank("conclusion").alias("no_conclusion"))
     g = generation.generate(s, "prompt", "generated")
@@ -311,7 +316,7 @@ def q_partial_update(spark, sf):
 
 def q_upsert_summary(spark, sf):
     old = stored_summaries(spark, sf)
-    new = generated_summaries(spark, sf).filter(F.col("doc_id") % 3 == 0).select("id", "summary")
+    new = generated_summaries(spark, sf, where=F.col("doc_id") % 3 == 0).select("id", "summary")
     return upserts.upsert_summary(old, new, "id")
 
 
