@@ -49,23 +49,25 @@ def _finish(texts: pd.Series) -> pd.Series:
 
 
 def generate(df: DataFrame, prompt_col: str = "prompt", out_col: str = "generated",
-             make_fn: Callable[[], Callable[[pd.Series], pd.Series]] | None = None,
-             partitions: int | None = None) -> DataFrame:
+             make_fn: Callable[..., Callable[[pd.Series], pd.Series]] | None = None,
+             partitions: int | None = None, options: dict | None = None) -> DataFrame:
     """Add ``out_col``: one generated text per prompt (H3).
 
-    ``make_fn`` is called once per task and returns the batch function
-    (prompts → texts); this is where a caller opens its model client.
-    Outputs are stripped; empty, missing or failed ones are NULL. A NULL
-    prompt is not sent. ``partitions`` bounds how many tasks (and so
-    clients) run at once.
+    ``make_fn(**options)`` is called once per task and returns the batch
+    function (prompts → texts); this is where a caller opens its model
+    client, and ``options`` carries settings such as the model name or the
+    system prompt. Outputs are stripped; empty, missing or failed ones are
+    NULL. A NULL prompt is not sent. ``partitions`` bounds how many tasks
+    (and so clients) run at once.
     """
-    make_fn = make_fn or (lambda: lead_sentences)
+    options = dict(options or {})
+    make_fn = make_fn or (lambda **_: lead_sentences)
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType(), True)])
     if partitions:
         df = df.repartition(partitions)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = make_fn()
+        fn = make_fn(**options)
         for pdf in batches:
             prompts = pdf[prompt_col]
             live = prompts.notna()
@@ -100,7 +102,6 @@ class _BlockParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, str]] = []
-        self._stack: list[str] = []
         self._skip = 0
         self._buf: list[str] = []
         self._label: str | None = None

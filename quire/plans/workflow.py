@@ -78,26 +78,28 @@ def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
 
 
 def summarise(documents: DataFrame, summaries: DataFrame, make_fn=None,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, options: dict | None = None) -> DataFrame:
     """Summarise every paper with a section and upsert the results; a failed
-    generation keeps the previous summary. Returns the next summaries table."""
+    generation keeps the previous summary. Returns the next summaries table.
+    ``options`` (e.g. ``model``, ``system_prompt``) go to ``make_fn``."""
     src = filters.summarisable(documents.select("id", "abstract", "conclusion"))
     prompts = src.select("id", summary_prompt("abstract", "conclusion").alias("prompt"),
                          is_blank("abstract").alias("no_abstract"),
                          is_blank("conclusion").alias("no_conclusion"))
-    gen = generation.generate(prompts, "prompt", "generated", make_fn, partitions)
+    gen = generation.generate(prompts, "prompt", "generated", make_fn, partitions, options)
     new = gen.select("id", flag_missing_flags("generated", "no_abstract", "no_conclusion")
                      .alias("summary"))
     return upserts.upsert_summary(summaries, new, "id")
 
 
-def judge_relevance(documents: DataFrame, make_fn=None, partitions: int | None = None):
+def judge_relevance(documents: DataFrame, make_fn=None, partitions: int | None = None,
+                    options: dict | None = None):
     """Judge pending papers (``selected IS NULL``) by their affiliation and
     write yes/no. Any failure is a final 'no'. Returns (next document
     table, selection statistics)."""
     todo = filters.pending(documents).select(
         "id", relevance_prompt("title", "authors", "affiliation", "abstract").alias("prompt"))
-    answers = generation.generate(todo, "prompt", "answer", make_fn, partitions)
+    answers = generation.generate(todo, "prompt", "answer", make_fn, partitions, options)
     verdicts = answers.select("id", parse_verdict("answer").alias("selected"))
     updated = upserts.set_selected(documents, verdicts, "id")
     return updated, aggregates.selection_stats(updated)

@@ -132,6 +132,18 @@ def test_generate_custom_fn_and_failures(spark):
     assert rows(out, "id", "g") == [("1", "HELLO"), ("2", None), ("3", None), ("4", None)]
 
 
+def test_generate_passes_options_once_per_task(spark):
+    def make_fn(system_prompt=None, model=None):
+        def fn(prompts):
+            return prompts.map(lambda p: f"{model}|{system_prompt}|{p}")
+        return fn
+
+    df = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, prompt string").coalesce(1)
+    out = generation.generate(df, "prompt", "g", make_fn,
+                              options={"system_prompt": "be brief", "model": "m1"})
+    assert rows(out, "id", "g") == [("1", "m1|be brief|a"), ("2", "m1|be brief|b")]
+
+
 def test_default_generator_leading_sentences(spark):
     df = spark.createDataFrame([("Here is x:\n\nAbstract:\nOne. Two!  Three?\n\nAsk.",)], "prompt string")
     assert generation.generate(df, "prompt", "g").first().g == "Abstract: One. Two!"

@@ -44,7 +44,7 @@ def test_summarise_and_judge(spark):
 
     rel = docs.withColumn("affiliation", F.lit("MIT")).withColumn("selected", F.lit(None).cast("string"))
 
-    def make_fn():
+    def make_fn(**_):
         return lambda prompts: pd.Series(['{"is_prestigious": true, "reason": "r"}'] * len(prompts),
                                          index=prompts.index)
     updated, stats = workflow.judge_relevance(rel, make_fn)
