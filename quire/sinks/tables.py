@@ -21,21 +21,37 @@ from quire import schemas
 
 
 def create_tables(spark: SparkSession, relevance: bool = False, database: str | None = None,
-                  location: str | None = None) -> list[str]:
+                  location: str | None = None, buckets: int | None = None) -> list[str]:
     """Create ``full_documents`` and ``summaries`` as parquet catalog tables
-    when absent (G7). Returns the names that were created."""
+    when absent (G7). Returns the names that were created.
+
+    With ``buckets``, both tables are bucketed (and sorted) by ``id`` into
+    the same number of buckets, so joins between them on ``id`` (the
+    summaries report, table-to-table merges) read co-located buckets and
+    shuffle neither side."""
     made = []
     tables = schemas.RELEVANCE_TABLES if relevance else schemas.TABLES
     for name, schema in tables.items():
         full = f"{database}.{name}" if database else name
         if spark.catalog.tableExists(full):
             continue
-        kwargs = {"path": f"{location}/{name}"} if location else {}
-        spark.catalog.createTable(full, source="parquet", schema=schema, **kwargs)
+        if buckets:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            where = f" LOCATION '{location}/{name}'" if location else ""
+            spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet "
+                      f"CLUSTERED BY (id) SORTED BY (id) INTO {int(buckets)} BUCKETS{where}")
+        else:
+            kwargs = {"path": f"{location}/{name}"} if location else {}
+            spark.catalog.createTable(full, source="parquet", schema=schema, **kwargs)
         made.append(full)
     return made
 
 
+def _describe(spark: SparkSession, name: str) -> dict:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
+
+
 def clear_table(spark: SparkSession, name: str) -> int | None:
     """Delete all rows, keep the schema (G6). Returns the rows removed, or
     None when the table does not exist."""
@@ -53,15 +69,31 @@ def clear_table(spark: SparkSession, name: str) -> int | None:
 
 def replace_table(spark: SparkSession, name: str, new_content: DataFrame,
                   root: str | None = None) -> str:
-    """Write ``new_content`` (which may read ``name`` itself) to a fresh
-    location and switch the table to it. Returns the new location."""
-    if root is None:
-        loc = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(
-            F.col("col_name") == "Location").first()["data_type"]
-        root = loc.rsplit("/", 1)[0]
-    fresh = f"{root}/{name.split('.')[-1]}__v{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
+    """Write ``new_content`` (which may read ``name`` itself) as a new version
+    and switch the table to it. Returns the new version's location.
+
+    A plain table gets a fresh location and ``SET LOCATION``. A bucketed
+    table gets a twin (``CREATE TABLE .. LIKE`` keeps the bucket spec), is
+    filled with ``insertInto`` (which buckets the rows) and swapped in by
+    renames, so its joins stay shuffle-free. A plain table's previous files
+    are kept for readers that started before the switch (removing them is
+    the caller's housekeeping); a bucketed table's previous version is
+    dropped after the swap."""
+    info = _describe(spark, name)
     target = spark.table(name).schema
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields]
+    stamp = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
+    if info.get("Num Buckets") not in (None, "", "-1"):
+        twin, old = f"{name}__v{stamp}", f"{name}__old{stamp}"
+        spark.sql(f"CREATE TABLE {twin} LIKE {name}")
+        new_content.select(*cols).write.insertInto(twin)
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old.split('.')[-1]}")
+        spark.sql(f"ALTER TABLE {twin} RENAME TO {name.split('.')[-1]}")
+        spark.sql(f"DROP TABLE {old}")
+        return _describe(spark, name)["Location"]
+    if root is None:
+        root = info["Location"].rsplit("/", 1)[0]
+    fresh = f"{root}/{name.split('.')[-1]}__v{stamp}"
     new_content.select(*cols).write.mode("errorifexists").parquet(fresh)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
     spark.catalog.refreshTable(name)

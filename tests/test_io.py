@@ -67,22 +67,22 @@ def test_write_documents_and_sections(spark, scratch_dir):
 
 
 def test_catalog_tables_create_clear_replace(spark):
-    made = tables.create_tables(spark, relevance=True)
-    assert set(made) == {"full_documents", "summaries"}
-    assert tables.create_tables(spark, relevance=True) == []
-    assert spark.table("full_documents").columns == [f.name for f in schemas.RELEVANCE_DOCUMENTS]
+    spark.sql("CREATE DATABASE IF NOT EXISTS cat1")
+    made = tables.create_tables(spark, relevance=True, database="cat1")
+    assert set(made) == {"cat1.full_documents", "cat1.summaries"}
+    assert tables.create_tables(spark, relevance=True, database="cat1") == []
+    docs = "cat1.full_documents"
+    assert spark.table(docs).columns == [f.name for f in schemas.RELEVANCE_DOCUMENTS]
     rows = spark.createDataFrame([("a", "T", None, None, None, None, None, None)],
                                  schemas.RELEVANCE_DOCUMENTS)
-    rows.write.insertInto("full_documents")
+    rows.write.insertInto(docs)
     # next version computed from the table itself, then switched in
-    nxt = spark.table("full_documents").withColumn("selected", F.lit("yes"))
-    tables.replace_table(spark, "full_documents", nxt)
-    assert spark.table("full_documents").first().selected == "yes"
-    assert tables.clear_table(spark, "full_documents") == 1
-    assert spark.table("full_documents").count() == 0
-    assert tables.clear_table(spark, "no_such_table") is None
-    spark.sql("DROP TABLE full_documents")
-    spark.sql("DROP TABLE summaries")
+    nxt = spark.table(docs).withColumn("selected", F.lit("yes"))
+    tables.replace_table(spark, docs, nxt)
+    assert spark.table(docs).first().selected == "yes"
+    assert tables.clear_table(spark, docs) == 1
+    assert spark.table(docs).count() == 0
+    assert tables.clear_table(spark, "cat1.no_such_table") is None
 
 
 def test_read_papers_prunes_and_pushes(spark, scratch_dir):
@@ -130,10 +130,36 @@ def test_convert_binary_write_read_extract(spark, scratch_dir):
 
 
 def test_clear_external_table(spark, scratch_dir):
-    made = tables.create_tables(spark, database=None, location=f"{scratch_dir}/tables")
-    assert set(made) == {"full_documents", "summaries"}
-    spark.createDataFrame([("a", "s")], schemas.SUMMARIES).write.insertInto("summaries")
-    assert tables.clear_table(spark, "summaries") == 1
-    assert spark.table("summaries").count() == 0
-    spark.sql("DROP TABLE full_documents")
-    spark.sql("DROP TABLE summaries")
+    spark.sql("CREATE DATABASE IF NOT EXISTS ext1")
+    made = tables.create_tables(spark, database="ext1", location=f"{scratch_dir}/tables")
+    assert set(made) == {"ext1.full_documents", "ext1.summaries"}
+    spark.createDataFrame([("a", "s")], schemas.SUMMARIES).write.insertInto("ext1.summaries")
+    assert tables.clear_table(spark, "ext1.summaries") == 1
+    assert spark.table("ext1.summaries").count() == 0
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from quire.operators.joins import summaries_report
+    spark.sql("CREATE DATABASE IF NOT EXISTS bkt1")
+    spark.catalog.setCurrentDatabase("bkt1")
+    tables.create_tables(spark, buckets=4)
+    spark.createDataFrame([(str(i), f"T{i}", None, None, None, None) for i in range(40)],
+                          schemas.FULL_DOCUMENTS).write.insertInto("full_documents")
+    spark.createDataFrame([(str(i), f"S{i}") for i in range(0, 40, 2)],
+                          schemas.SUMMARIES).write.insertInto("summaries")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = summaries_report(spark.table("full_documents"), spark.table("summaries"))
+        assert report.count() == 20
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        # a new version keeps the bucketing
+        nxt = spark.table("summaries").withColumn("summary", F.concat("summary", F.lit("!")))
+        tables.replace_table(spark, "summaries", nxt)
+        assert spark.table("summaries").filter(F.col("summary").endswith("!")).count() == 20
+        desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED summaries").collect()}
+        assert desc["Num Buckets"] == "4"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.catalog.setCurrentDatabase("default")
