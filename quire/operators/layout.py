@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -66,3 +67,24 @@ def stage(df: DataFrame, name: str = "batch") -> DataFrame:
     path = scratch_path(spark, f"staged/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def remove_staged(spark: SparkSession, older_than_s: float = 24 * 3600) -> int:
+    """Housekeeping: delete staged batches older than ``older_than_s``
+    seconds from the shared checkpoint folder. A job's own staged batches
+    must outlive its final write, so run this between jobs. Returns the
+    number of folders removed."""
+    from quire.session import scratch_path
+
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "staged"))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    cutoff_ms = (time.time() - older_than_s) * 1000
+    removed = 0
+    for status in fs.listStatus(root):
+        if status.isDirectory() and status.getModificationTime() < cutoff_ms:
+            fs.delete(status.getPath(), True)
+            removed += 1
+    return removed

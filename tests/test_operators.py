@@ -171,3 +171,12 @@ def test_row_count_unknown_only_texts_json(spark):
     assert rows(joins.known_only(new, docs(spark)), "id") == [("a",)]
     t = spark.createDataFrame([([{"text": "x"}],)], "texts array<map<string,string>>")
     assert t.select(generation.texts_to_json().alias("j")).first().j == '{"texts":[{"text":"x"}]}'
+
+
+def test_stage_and_remove_staged(spark):
+    from quire.operators.layout import remove_staged, stage
+    staged = stage(spark.range(10).toDF("id"), "housekeeping")
+    assert staged.count() == 10
+    assert remove_staged(spark, older_than_s=3600) >= 0     # keeps recent batches
+    assert staged.count() == 10
+    assert remove_staged(spark, older_than_s=-60) >= 1      # everything older than "the future"
