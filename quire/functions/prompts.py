@@ -12,18 +12,31 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# The prompt texts.
+# ---------------------------------------------------------------------------
+# The prompt texts, in the order they appear in each prompt.
+# Summary prompt: head, which sections, source line, labelled sections, ask.
 SUMMARY_HEAD = "Here is "
 SUMMARY_BOTH = "the abstract and conclusion"
 SUMMARY_ABSTRACT = "the abstract"
 SUMMARY_CONCLUSION = "the conclusion"
 SUMMARY_FROM = " from a research paper:\n\n"
+ABSTRACT_LABEL = "Abstract:\n"
+CONCLUSION_LABEL = "Conclusion:\n"
+SECTION_END = "\n\n"
 SUMMARY_ASK = "Please provide a clear and concise summary of the key findings and implications."
+# Flags put in front of a generated summary.
 MISSING_ABSTRACT = "(missing abstract)"
 MISSING_CONCLUSION = "(missing conclusion)"
-RELEVANCE_ASK = ("Analyze the affiliation information and determine if this is from a "
+# Relevance prompt: four labelled lines, a blank line, the ask.
+RELEVANCE_HEAD = "Paper Information:\nTitle: "
+RELEVANCE_AUTHORS = "\nAuthors: "
+RELEVANCE_AFFILIATION = "\nAffiliation: "
+RELEVANCE_ABSTRACT = "\nAbstract: "
+RELEVANCE_ASK = ("\n\nAnalyze the affiliation information and determine if this is from a "
                  "prestigious institution.")
 NOT_PROVIDED = "Not provided"
+MISSING_VALUE = "None"
+# ---------------------------------------------------------------------------
 
 
 def summary_prompt(abstract, conclusion) -> Column:
@@ -36,8 +49,8 @@ def summary_prompt(abstract, conclusion) -> Column:
               .otherwise(F.lit(SUMMARY_CONCLUSION)))
     body = F.concat(
         F.lit(SUMMARY_HEAD), which, F.lit(SUMMARY_FROM),
-        F.when(has_a, F.concat(F.lit("Abstract:\n"), a, F.lit("\n\n"))).otherwise(F.lit("")),
-        F.when(has_k, F.concat(F.lit("Conclusion:\n"), k, F.lit("\n\n"))).otherwise(F.lit("")),
+        F.when(has_a, F.concat(F.lit(ABSTRACT_LABEL), a, F.lit(SECTION_END))).otherwise(F.lit("")),
+        F.when(has_k, F.concat(F.lit(CONCLUSION_LABEL), k, F.lit(SECTION_END))).otherwise(F.lit("")),
         F.lit(SUMMARY_ASK))
     return F.when(has_a | has_k, body)
 
@@ -66,15 +79,15 @@ def flag_missing_flags(summary, no_abstract, no_conclusion) -> Column:
 
 def _or_none(c) -> Column:
     # Python's f-string renders a missing value as 'None'.
-    return F.coalesce(_col(c), F.lit("None"))
+    return F.coalesce(_col(c), F.lit(MISSING_VALUE))
 
 
 def relevance_prompt(title, authors, affiliation, abstract) -> Column:
     """Relevance prompt (H4). A missing affiliation reads 'Not provided';
     other missing fields read 'None'."""
     return F.concat(
-        F.lit("Paper Information:\nTitle: "), _or_none(title),
-        F.lit("\nAuthors: "), _or_none(authors),
-        F.lit("\nAffiliation: "), default_text(affiliation, NOT_PROVIDED),
-        F.lit("\nAbstract: "), _or_none(abstract),
-        F.lit("\n\n" + RELEVANCE_ASK))
+        F.lit(RELEVANCE_HEAD), _or_none(title),
+        F.lit(RELEVANCE_AUTHORS), _or_none(authors),
+        F.lit(RELEVANCE_AFFILIATION), default_text(affiliation, NOT_PROVIDED),
+        F.lit(RELEVANCE_ABSTRACT), _or_none(abstract),
+        F.lit(RELEVANCE_ASK))

@@ -112,8 +112,9 @@ def strip_sql(x: str) -> str:
 
 
 def decode_sql(x: str) -> str:
+    from quire.functions.text import XML_ENTITIES
     out = x
-    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
+    for ent, ch in XML_ENTITIES:
         out = f"replace({out}, {sql_str(ent)}, {sql_str(ch)})"
     return out
 
@@ -124,22 +125,24 @@ def first_tag_sql(x: str, tag: str) -> str:
 
 
 def prompt_sql(a: str = "abstract", c: str = "conclusion") -> str:
+    from quire.functions import prompts as P
     ha, hc = f"(not {blank_sql(a)})", f"(not {blank_sql(c)})"
-    nl2 = "chr(10)||chr(10)"
+    L = lambda text: sql_str(text).replace("\n", "' || chr(10) || '")
     return f"""(case when {ha} or {hc} then
-      'Here is ' || case when {ha} and {hc} then 'the abstract and conclusion'
-                         when {ha} then 'the abstract' else 'the conclusion' end
-      || ' from a research paper:' || {nl2}
-      || case when {ha} then 'Abstract:' || chr(10) || {strip_sql(a)} || {nl2} else '' end
-      || case when {hc} then 'Conclusion:' || chr(10) || {strip_sql(c)} || {nl2} else '' end
-      || 'Please provide a clear and concise summary of the key findings and implications.' end)"""
+      {L(P.SUMMARY_HEAD)} || case when {ha} and {hc} then {L(P.SUMMARY_BOTH)}
+                         when {ha} then {L(P.SUMMARY_ABSTRACT)} else {L(P.SUMMARY_CONCLUSION)} end
+      || {L(P.SUMMARY_FROM)}
+      || case when {ha} then {L(P.ABSTRACT_LABEL)} || {strip_sql(a)} || {L(P.SECTION_END)} else '' end
+      || case when {hc} then {L(P.CONCLUSION_LABEL)} || {strip_sql(c)} || {L(P.SECTION_END)} else '' end
+      || {L(P.SUMMARY_ASK)} end)"""
 
 
 def flag_sql(s: str, a: str = "abstract", c: str = "conclusion") -> str:
+    from quire.functions import prompts as P
     ba, bc = blank_sql(a), blank_sql(c)
     return f"""(case when {s} is null or ({ba} and {bc}) then null
-      when {ba} then '(missing abstract) ' || {s}
-      when {bc} then '(missing conclusion) ' || {s}
+      when {ba} then {sql_str(P.MISSING_ABSTRACT + ' ')} || {s}
+      when {bc} then {sql_str(P.MISSING_CONCLUSION + ' ')} || {s}
       else {s} end)"""
 
 
@@ -152,11 +155,13 @@ def lead_sql(prompt: str) -> str:
 
 
 def verdict_sql(m: str = "model_response") -> str:
+    from quire.functions.verdict import TRUE_STRINGS
+    true_strings = ", ".join(sql_str(t) for t in TRUE_STRINGS)
     j = f"(case when json_valid({m}) then {m} end)"
     t = f"json_type({j}, '$.is_prestigious')"
     truthy = f"""(({t} = 'BOOLEAN' and json_extract({j}, '$.is_prestigious')::varchar = 'true')
       or ({t} = 'VARCHAR' and lower(json_extract_string({j}, '$.is_prestigious'))
-                              in ('1', 'on', 't', 'true', 'y', 'yes'))
+                              in ({true_strings}))
       or ({t} in ('UBIGINT', 'BIGINT', 'DOUBLE') and try_cast(json_extract({j}, '$.is_prestigious') as double) = 1))"""
     valid = (f"(regexp_matches({m}, '(?s)^\\s*\\{{.*\\}}\\s*$') and json_type({j}) = 'OBJECT' "
              f"and json_type({j}, '$.reason') = 'VARCHAR')")
@@ -374,14 +379,15 @@ select s.paper_id, {flag_sql('p.title')} as summary
 from sections s join papers p on s.doc_id = p.doc_id""", sections=True)
     o["lead_summary"] = with_papers(GEN_CTE + """
 select id as paper_id, summary from gen""", sections=True)
-    o["relevance_prompt"] = with_papers("""
+    from quire.functions import prompts as P
+    L = lambda text: sql_str(text).replace("\n", "' || chr(10) || '")
+    o["relevance_prompt"] = with_papers(f"""
 select p.paper_id as id,
-  'Paper Information:' || chr(10) || 'Title: ' || coalesce(p.title, 'None')
-  || chr(10) || 'Authors: ' || coalesce(array_to_string(p.author_names, ', '), 'None')
-  || chr(10) || 'Affiliation: ' || coalesce(nullif(p.affiliation, ''), 'Not provided')
-  || chr(10) || 'Abstract: ' || coalesce(s.abstract, 'None')
-  || chr(10) || chr(10)
-  || 'Analyze the affiliation information and determine if this is from a prestigious institution.'
+  {L(P.RELEVANCE_HEAD)} || coalesce(p.title, {L(P.MISSING_VALUE)})
+  || {L(P.RELEVANCE_AUTHORS)} || coalesce(array_to_string(p.author_names, ', '), {L(P.MISSING_VALUE)})
+  || {L(P.RELEVANCE_AFFILIATION)} || coalesce(nullif(p.affiliation, ''), {L(P.NOT_PROVIDED)})
+  || {L(P.RELEVANCE_ABSTRACT)} || coalesce(s.abstract, {L(P.MISSING_VALUE)})
+  || {L(P.RELEVANCE_ASK)}
   as prompt
 from lpapers p left join sections s on p.doc_id = s.doc_id
 where p.selected is null""", labelled=True, sections=True)
