@@ -159,23 +159,73 @@ def assemble_text_blocks(blocks) -> Column:
     return F.when(~F.exists(b, lambda t: t.isNull()), joined)
 
 
+def _is_text_string(x) -> Column:
+    return (F.schema_of_variant(x) == "STRING") & (F.try_variant_get(x, "$", "string") == "text")
+
+
+def _assemble_variant_blocks(texts) -> Column:
+    """C1 over the raw ``texts`` value, with each element's JSON type tested
+    as the source pipeline's loop would meet it: an object with a string
+    ``text`` is kept (stripped); an object without ``text`` is skipped; an
+    object whose ``text`` is not a string (null, number, ..) breaks the
+    document. A non-object element is skipped unless the ``'text' in el``
+    test succeeds on it (a string containing "text", a list holding "text")
+    or fails (number, boolean, null), both of which break the document.
+    A ``texts`` that is a string yields ''; an object is walked by its keys;
+    anything else breaks the document (NULL)."""
+    ttype = F.schema_of_variant(texts)
+    elems = F.try_variant_get(texts, "$", "array<variant>")
+
+    def text_of(e):
+        return F.try_variant_get(e, "$.text", "variant")
+
+    def kept(e):
+        return (F.schema_of_variant(e).startswith("OBJECT") & text_of(e).isNotNull()
+                & (F.schema_of_variant(text_of(e)) == "STRING"))
+
+    def breaks(e):
+        k = F.schema_of_variant(e)
+        obj_bad = (k.startswith("OBJECT") & text_of(e).isNotNull()
+                   & (F.schema_of_variant(text_of(e)) != "STRING"))
+        str_bad = (k == "STRING") & F.try_variant_get(e, "$", "string").contains("text")
+        arr_bad = k.startswith("ARRAY") & F.exists(
+            F.try_variant_get(e, "$", "array<variant>"), _is_text_string)
+        other_bad = ~(k.startswith("OBJECT") | (k == "STRING") | k.startswith("ARRAY"))
+        return obj_bad | str_bad | arr_bad | other_bad
+
+    joined = F.array_join(F.transform(
+        F.filter(elems, kept),
+        lambda e: F.concat(strip(F.try_variant_get(e, "$.text", "string")), F.lit("\n\n"))), "")
+    keys = F.map_keys(F.try_variant_get(texts, "$", "map<string,variant>"))
+    return (F.when(ttype.startswith("ARRAY"), F.when(~F.exists(elems, breaks), joined))
+             .when(ttype == "STRING", F.lit(""))
+             .when(ttype.startswith("OBJECT"),
+                   F.when(~F.exists(keys, lambda k: k.contains("text")), F.lit(""))))
+
+
 def parsed_document_content(raw_json) -> Column:
     """Content of one parsed-document JSON text, for its three shapes:
     ``{"texts": [{"text": ..}, ..]}``, a bare JSON string, or
     ``{"text": ..}``. The type is tested first, so a bare string that
-    happens to contain "texts" is read as text. Unparseable JSON or a
-    broken block list gives NULL; an object with neither key gives ''.
+    happens to contain "texts" is read as text. Unparseable JSON, a broken
+    block list, a non-string root text, or a document the source pipeline
+    could not read (number, boolean, null, a list holding "texts") gives
+    NULL; anything else without content gives ''.
     """
     raw = F.col(raw_json) if isinstance(raw_json, str) else raw_json
     v = F.try_parse_json(raw)
     kind = F.schema_of_variant(v)
     texts = F.try_variant_get(v, "$.texts", "variant")
-    blocks = F.try_variant_get(v, "$.texts", "array<map<string,string>>")
     root_text = F.try_variant_get(v, "$.text", "variant")
+    list_with_texts = kind.startswith("ARRAY") & F.exists(
+        F.try_variant_get(v, "$", "array<variant>"),
+        lambda x: (F.schema_of_variant(x) == "STRING")
+        & (F.try_variant_get(x, "$", "string") == "texts"))
     return (F.when(v.isNull(), F.lit(None).cast("string"))
              .when(kind == "STRING", F.try_variant_get(v, "$", "string"))
-             .when(~kind.startswith("OBJECT"), F.lit(""))
-             .when(texts.isNotNull(), assemble_content(blocks))
+             .when(kind.startswith("ARRAY"), F.when(~list_with_texts, F.lit("")))
+             .when(~kind.startswith("OBJECT"), F.lit(None).cast("string"))
+             .when(texts.isNotNull(), _assemble_variant_blocks(texts))
              .when(root_text.isNotNull(),
                    F.when(F.schema_of_variant(root_text) == "STRING",
                           F.try_variant_get(v, "$.text", "string")))
