@@ -83,9 +83,11 @@ def decode_xml_entities(c) -> Column:
 
 
 def tag_pattern(tags: list[str]) -> str:
-    """Regex for elements whose content is plain text (no child element),
-    as BeautifulSoup's ``tag.string`` requires. Group 1 is the text.
-    XML names are case-sensitive, so no (?i)."""
+    """Regex for elements whose content is plain text. Group 1 is the text.
+    BeautifulSoup's ``tag.string`` also reads through a single nested
+    child element (``<a><b>x</b></a>`` gives 'x'); this does not, as
+    metadata affiliations are plain text. XML names are case-sensitive,
+    so no (?i)."""
     names = "|".join(re.escape(t) for t in tags)
     return rf"<(?:{names})(?:\s[^>]*)?>([^<]+)</"
 
