@@ -63,8 +63,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="quire-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # a core config may be read-only at run time;
+            pass           # getCheckpointDir() finds the folder from now on
     return path
 
 
