@@ -39,12 +39,12 @@ CLUSTER_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "quire") -> SparkSession:
+                  app_name: str = "quire", extra_conf: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]")
                .appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
-    for k, v in SCALE_CONF.items():
+    for k, v in {**SCALE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
