@@ -180,3 +180,16 @@ def test_stage_and_remove_staged(spark):
     assert remove_staged(spark, older_than_s=3600) >= 0     # keeps recent batches
     assert staged.count() == 10
     assert remove_staged(spark, older_than_s=-60) >= 1      # everything older than "the future"
+
+
+def test_upsert_with_a_hot_key_holding_a_third_of_the_batch(spark):
+    n = 300_000
+    batch = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
+        F.col("id").alias("seq"),
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("title"))
+    old = spark.createDataFrame([("hot", "old"), ("x", "keep")], "id string, title string")
+    out = upserts.upsert_replace(old, batch, "id", seq="seq")
+    assert out.count() == 1 + 1 + (n - n // 3)          # x, hot, every cold key
+    hot = out.filter(F.col("id") == "hot").collect()
+    assert [r.title for r in hot] == [f"t{n - 3}"]        # the last row of the hot key
