@@ -83,26 +83,39 @@ def decode_xml_entities(c) -> Column:
 
 
 def tag_pattern(tags: list[str]) -> str:
-    """Regex for elements whose content is plain text. Group 1 is the text.
-    BeautifulSoup's ``tag.string`` also reads through a single nested
-    child element (``<a><b>x</b></a>`` gives 'x'); this does not, as
-    metadata affiliations are plain text. XML names are case-sensitive,
-    so no (?i)."""
+    """Regex for an element whose text is what BeautifulSoup's ``tag.string``
+    reads: its only child is text, or its only child is an element whose
+    ``.string`` is text (``<a><b>x</b></a>`` gives 'x'). Groups: 1 the
+    opening tags of the nested chain, 2 the text, 3 the closing tags; a
+    match counts only when the chain's openers and closers pair up
+    (``_paired``). XML names are case-sensitive, so no (?i)."""
     names = "|".join(re.escape(t) for t in tags)
-    return rf"<(?:{names})(?:\s[^>]*)?>([^<]+)</"
+    return (rf"<(?:{names})(?:\s[^>]*)?>((?:<[^/!?>][^>]*>)*)([^<]+)((?:</[^>]+>)*)"
+            rf"</(?:{names})>")
+
+
+def _paired(opens, closes) -> Column:
+    return F.size(F.split(opens, "<")) == F.size(F.split(closes, "<"))
 
 
 def tag_texts(c, tags: list[str]) -> Column:
-    """Text of every plain-text element named in ``tags``, entity-decoded
-    and stripped, in document order (an array; empty if none)."""
-    found = F.regexp_extract_all(_col(c), F.lit(tag_pattern(tags)), 1)
-    return F.transform(found, lambda t: strip(decode_xml_entities(t)))
+    """``.string`` of every element named in ``tags`` that has one,
+    entity-decoded and stripped, in document order (an array; empty if
+    none)."""
+    pat = F.lit(tag_pattern(tags))
+    found = F.arrays_zip(F.regexp_extract_all(_col(c), pat, 1).alias("o"),
+                         F.regexp_extract_all(_col(c), pat, 2).alias("t"),
+                         F.regexp_extract_all(_col(c), pat, 3).alias("c"))
+    kept = F.filter(found, lambda z: _paired(z["o"], z["c"]))
+    return F.transform(kept, lambda z: strip(decode_xml_entities(z["t"])))
 
 
 def first_tag_text(c, tag: str) -> Column:
-    """Text of the first ``tag`` element if that element holds plain text,
-    else NULL (``soup.find(tag).string``). The atomic group pins the match
-    to the first opening tag."""
-    pat = rf"(?s)^(?>.*?<{re.escape(tag)}(?:\s[^>]*)?>)([^<]+)</"
-    raw = F.regexp_extract(_col(c), pat, 1)
-    return F.when(raw != "", strip(decode_xml_entities(raw)))
+    """``.string`` of the first ``tag`` element, or NULL when it has none.
+    The atomic group pins the match to the first opening tag."""
+    name = re.escape(tag)
+    pat = (rf"(?s)^(?>.*?<{name}(?:\s[^>]*)?>)((?:<[^/!?>][^>]*>)*)([^<]+)((?:</[^>]+>)*)"
+           rf"</{name}>")
+    col = _col(c)
+    opens, text, closes = (F.regexp_extract(col, pat, i) for i in (1, 2, 3))
+    return F.when((text != "") & _paired(opens, closes), strip(decode_xml_entities(text)))

@@ -54,11 +54,15 @@ AFF = [
     ('<entry><affiliation>X</affiliation><arxiv:comment>Work done at Example Institute</arxiv:comment></entry>',
      "Work done at Example Institute; X"),
     ('<entry><arxiv:comment>12 pages, 3 figures</arxiv:comment></entry>', None),
-    ('<entry><affiliation><b>nested</b></affiliation></entry>', None),      # no plain text
+    ('<entry><affiliation><b>nested</b></affiliation></entry>', "nested"),  # one child: read through
+    ('<entry><affiliation><b>x</b><i>y</i></affiliation></entry>', None),   # two children
+    ('<entry><affiliation>a <b>x</b></affiliation></entry>', None),         # text + element
+    ('<entry><affiliation><br/>x</affiliation></entry>', None),             # empty element + text
     ('<entry></entry>', None),
     ('<entry><affiliation>Broken', None),                                   # malformed: no crash
-    ('<entry><arxiv:comment><i>x</i></arxiv:comment><arxiv:comment>Big Company</arxiv:comment></entry>',
+    ('<entry><arxiv:comment><i>x</i> y</arxiv:comment><arxiv:comment>Big Company</arxiv:comment></entry>',
      None),                                                                 # only the first comment counts
+    ('<entry><arxiv:comment><i>Some University</i></arxiv:comment></entry>', "Some University"),
 ]
 
 
