@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm.common import table
+from quire.llm.common import remainder, table
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -15,6 +15,16 @@ def op1_quality_rules(spark, sf_dir):
         "base_failed", "kept", "posterior")
 
 
+def op3_language_crf(spark, sf_dir):
+    from quire.llm import language_crf
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = remainder(F.col("doc_id"), 3) == 1
+    model = language_crf.fit(docs.where(~held))
+    return language_crf.predict(docs.select("doc_id", "text", held.alias("held_out")), model).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_source_mix(spark, sf_dir):
     from quire.llm import mixing
 
@@ -22,4 +32,36 @@ def op5_source_mix(spark, sf_dir):
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_source_mix)}
+def op6_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    from quire.llm import token_counts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op7_quality_classifier(spark, sf_dir):
+    from quire.llm import quality_classifier
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = remainder(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held)
+    model = quality_classifier.fit(docs, labels)
+    return quality_classifier.score(docs.select("doc_id", "text", held.alias("held_out")), model).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op9_pieces(spark, sf_dir):
+    import public_tokenizers
+
+    from quire.llm import pieces
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", "n_pieces", "n_byte_pieces", "score", "round_trip", "ids")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_language_crf, op5_source_mix, op6_token_counts,
+                                   op7_quality_classifier, op9_pieces)}
