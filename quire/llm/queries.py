@@ -25,6 +25,12 @@ def op3_language_crf(spark, sf_dir):
         "doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_exact_topk(spark, sf_dir):
+    from quire.llm import topk
+
+    return topk.search(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
 def op5_source_mix(spark, sf_dir):
     from quire.llm import mixing
 
@@ -63,5 +69,16 @@ def op9_pieces(spark, sf_dir):
         "doc_id", "n_pieces", "n_byte_pieces", "score", "round_trip", "ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_language_crf, op5_source_mix, op6_token_counts,
-                                   op7_quality_classifier, op9_pieces)}
+def op10_warc_revisits(spark, sf_dir):
+    from quire.llm import warc
+
+    records = warc.captures(table(spark, sf_dir, "pages"))
+    headers = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(
+        e["key"], F.lit(": "), e["value"])), "\n")
+    return warc.resolve(records).select("record_id", "url_key", "resolution", "response_id", "status",
+                                        headers.alias("headers"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op3_language_crf, op4_exact_topk, op5_source_mix, op6_token_counts,
+    op7_quality_classifier, op9_pieces, op10_warc_revisits)}
