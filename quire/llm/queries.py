@@ -59,6 +59,12 @@ def op7_quality_classifier(spark, sf_dir):
         "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_jaccard_join(spark, sf_dir):
+    from quire.llm import jaccard_join
+
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_pieces(spark, sf_dir):
     import public_tokenizers
 
@@ -81,4 +87,4 @@ def op10_warc_revisits(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op3_language_crf, op4_exact_topk, op5_source_mix, op6_token_counts,
-    op7_quality_classifier, op9_pieces, op10_warc_revisits)}
+    op7_quality_classifier, op8_jaccard_join, op9_pieces, op10_warc_revisits)}
