@@ -15,6 +15,12 @@ def op1_quality_rules(spark, sf_dir):
         "base_failed", "kept", "posterior")
 
 
+def op2_deleted_interpolation(spark, sf_dir):
+    from quire.llm import interpolation
+
+    return interpolation.score(table(spark, sf_dir, "documents"))
+
+
 def op3_language_crf(spark, sf_dir):
     from quire.llm import language_crf
 
@@ -86,5 +92,5 @@ def op10_warc_revisits(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op3_language_crf, op4_exact_topk, op5_source_mix, op6_token_counts,
+    op1_quality_rules, op2_deleted_interpolation, op3_language_crf, op4_exact_topk, op5_source_mix, op6_token_counts,
     op7_quality_classifier, op8_jaccard_join, op9_pieces, op10_warc_revisits)}
