@@ -38,6 +38,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys of at most so many rows (some 16 bytes each) are broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def narrow(keys: DataFrame) -> DataFrame:
+    """A written table of keys to join a wide table with: broadcast when it has
+    at most ``BROADCAST_ROWS`` rows, joined by shuffle otherwise."""
+    keys = stage(keys, "keys")
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; a component is
     named by its smallest node.

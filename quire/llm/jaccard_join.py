@@ -34,12 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import text_arrays as ta
-from quire.llm.common import components, stage
+from quire.llm.common import components, narrow, stage
 
 #: A shingle in the prefixes of more classes than this is handled by tiles.
 FEW = 8
-#: Keys of at most so many rows are broadcast (16 bytes each), others join by shuffle.
-BROADCAST_ROWS = 1_000_000
 _STEP = ta.randoms(64, 3)
 _BIT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -306,11 +304,9 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
                     "clusters")
 
     # the sets of the classes that need verifying, from one row of each class
-    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("class")).unionByName(cluster.select("class"))
-                   .distinct().join(classes.select("class", "rep"), "class"), "wanted")
-    keys = wanted.select(F.col("class").alias("expected"), F.col("rep").alias("doc_id"))
-    if wanted.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
+    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("class")).unionByName(cluster.select("class"))
+              .distinct().join(classes.select("class", "rep"), "class"))
+    keys = narrow(wanted.select(F.col("class").alias("expected"), F.col("rep").alias("doc_id")))
 
     def sets_of(batches):
         import pyarrow as pa

@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from quire.llm import text_arrays as ta
 
@@ -123,7 +124,7 @@ def encode(docs: DataFrame, model: str, text_col="text") -> DataFrame:
     names = ("ids", "n_pieces", "n_byte_pieces", "score", "round_trip")
     place = docs.columns.index(text_col)
     keep = [i for i, c in enumerate(docs.columns) if c not in names]
-    schema = (docs.drop(*names).schema.add("ids", "array<int>").add("n_pieces", "long")
+    schema = (docs.drop(*names).schema.add("ids", T.ArrayType(T.IntegerType())).add("n_pieces", "long")
               .add("n_byte_pieces", "long").add("score", "double").add("round_trip", "boolean"))
 
     def run(batches):

@@ -169,12 +169,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     return train([(np.frombuffer(r["f"], np.int32).astype(np.int64), r["y"]) for r in got])
 
 
-def score(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
-    """All columns of ``docs`` and ``score``, the probability of label 1."""
+def score(docs: DataFrame, model: Model, text_col="text", as_column="score") -> DataFrame:
+    """All columns of ``docs`` and ``as_column``, the probability of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))   # about half a megabyte
     place = docs.columns.index(text_col)
-    schema = docs.drop("score").schema.add("score", "double")
-    keep = [i for i, c in enumerate(docs.columns) if c != "score"]
+    schema = docs.drop(as_column).schema.add(as_column, "double")
+    keep = [i for i, c in enumerate(docs.columns) if c != as_column]
 
     def run(batches):
         import pyarrow as pa

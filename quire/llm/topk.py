@@ -131,12 +131,14 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col="vec_id", vec_col="
     (rows with ``is_query(id column)``) with all other rows, ties to the
     smaller vec_id."""
     base = stage(integers(vectors, id_col, vec_col, scale), "vectors")
-    band = F.when(F.col("len") > 0, F.floor(F.log("len") / math.log(ratio))).otherwise(-1)
+    band = F.when(F.col("len") > 0, F.floor(F.log("len") / math.log(ratio))).otherwise(F.lit(-1)).cast("long")
     banded = base.withColumn("band", band)
-    per_band = banded.groupBy("band").agg(F.count("*").alias("n"))
+    # lengths are under 2 ** 31, so there are a few hundred bands at most
+    per_band = {r["band"]: r["n"] for r in banded.groupBy("band").agg(F.count("*").alias("n")).collect()}
     h = F.xxhash64("vec_id")
-    tiles = (banded.join(per_band, "band")
-             .withColumn("salt", F.pmod(h, F.ceil(F.col("n") / tile_rows))))
+    cuts = F.create_map(*[F.lit(x).cast("long") for b, n in sorted(per_band.items()) for x in (b, -(-n // tile_rows))] or
+                        [F.lit(-1).cast("long"), F.lit(1).cast("long")])
+    tiles = banded.withColumn("salt", F.pmod(h, F.element_at(cuts, F.col("band")).cast("long")))
     marks = tiles.groupBy("band", "salt").agg(F.max("len").alias("longest"), F.count("*").alias("rows"))
     seed = marks.where(F.col("rows") > k).orderBy(F.desc("longest"), "band", "salt").first() \
         or marks.orderBy(F.desc("longest"), "band", "salt").first()
