@@ -206,9 +206,12 @@ def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", fit_
                     F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
         & F.length("text").between(1, fit_chars)).withColumn("h", F.xxhash64("id"))
-    # a row limit per language, which Spark applies in each task before the shuffle
-    keys = d.select("id", "lang", "h").withColumn("r", F.row_number().over(
-        Window.partitionBy("lang").orderBy("h", "id"))).where(F.col("r") <= fit_rows)
+    # a row limit per language, first in 64 parts of it; Spark applies it in each
+    # task before the shuffle
+    keys = d.select("id", "lang", "h").withColumn("part", F.pmod(F.xxhash64("h"), F.lit(64)))
+    for by in (("lang", "part"), ("lang",)):
+        keys = keys.withColumn("r", F.row_number().over(
+            Window.partitionBy(*by).orderBy("h", "id"))).where(F.col("r") <= fit_rows)
     keys = docs.sparkSession.createDataFrame(keys.select("id", "lang").distinct().collect(), "id string, lang string")
     got = d.join(F.broadcast(keys), ["id", "lang"]).select("lang", "h", "id", "text").collect()
     got.sort(key=lambda r: (r["lang"], r["h"], r["id"] or "", r["text"]))
