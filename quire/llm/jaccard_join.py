@@ -37,7 +37,7 @@ from quire.llm import text_arrays as ta
 from quire.llm.common import components, narrow, stage
 
 #: A shingle in the prefixes of more classes than this is handled by tiles.
-FEW = 8
+FEW = 32
 _STEP = ta.randoms(64, 3)
 _BIT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -119,7 +119,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
-    """At most ``most`` shingles of largest count (counts below 3 in a slice of
+    """At most ``most`` shingles of largest count (counts below 2 in a slice of
     a few MB are left out), sorted."""
     def run(batches):
         import pyarrow as pa
@@ -127,7 +127,7 @@ def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
         for batch in batches:
             for part in ta.slices(batch, "text"):
                 h, count = np.unique(shingle_sets(part.column(0), n)[1], return_counts=True)
-                some = count >= 3
+                some = count >= 2
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[some].view(np.int64)), pa.array(count[some])], ["h", "n"])
 
@@ -370,7 +370,7 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
 
 
 def join(docs: DataFrame, id_col="doc_id", text_col="text", words: int = 5, percent: int = 80,
-         hot_list: int = 100_000) -> DataFrame:
+         hot_list: int = 400_000) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per document."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     hot = hot_shingles(docs, words, hot_list)

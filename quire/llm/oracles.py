@@ -1,5 +1,202 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The learned and tokenizer queries (2, 3, 6, 7, 9) and the pipeline have none;
+``tests/llm`` holds them against brute-force versions.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+import string
+
+GAP = r"'[\x20\x09-\x0D]+'"
+WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), {GAP}), lambda x: x <> '')"
+
+#: The rules' votes, written by hand in the order of ``quality_rules.RULES``.
+VOTES = (
+    "case when n_words < 10 then -1 else 0 end",
+    "case when 100.0 * n_repeat_words / greatest(n_words, 1) > 20 then -1 else 0 end",
+    "case when 100.0 * n_same / greatest(n_words, 1) > 10 then -1 else 0 end",
+    "case when 100.0 * n_dup_lines / greatest(n_lines, 1) > 30 then -1 else 0 end",
+    "case when 100.0 * n_symbols / greatest(word_chars, 1) > 5 then -1 else 0 end",
+    "case when 100.0 * n_shouts / greatest(n_words, 1) > 15 then -1 else 0 end",
+    "case when 100.0 * n_bars / greatest(n_words, 1) > 15 then -1 else 0 end",
+    "case when 100.0 * (n_symbols + n_shouts) / greatest(n_words, 1) > 20 then -1 "
+    "when 100.0 * (n_symbols + n_shouts) / greatest(n_words, 1) <= 3 then 1 else 0 end",
+)
+
+
+def quality_rules(rounds: int = 25) -> str:
+    m = len(VOTES)
+
+    def logit(p):
+        return f"ln({p} / (1 - {p}))"
+    q = " + ".join([logit("prior"), *[f"v[{i}] * {logit(f'acc[{i}]')}" for i in range(1, m + 1)]])
+    acc = ", ".join(
+        f"least(greatest((coalesce(sum(case when v[{i}] <> 0 then n * case when v[{i}] > 0 then q else 1 - q end end), 0)"
+        f" + 9.0) / (coalesce(sum(case when v[{i}] <> 0 then n end), 0) + 10.0), 0.6), 0.99)" for i in range(1, m + 1))
+    steps = [f"e0 as materialized (select [{', '.join(['0.9::double'] * m)}] as acc, 0.5::double as prior)"]
+    for r in range(rounds):
+        steps.append(f"p{r} as materialized (select v, n, 1 / (1 + exp(-({q}))) as q from pat, e{r})")
+        steps.append(f"e{r + 1} as materialized (select [{acc}] as acc, least(greatest("
+                     f"(coalesce(sum(n * q), 0) + 5.0) / (coalesce(sum(n), 0) + 10.0), 0.1), 0.9) as prior from p{r})")
+    return rf"""
+with d as (
+  select row_number() over () as row, doc_id, coalesce(text, '') as t, {WORDS} as ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+  from documents),
+win as (
+  select row, i, array_to_string(ws[i:i + 4], ' ') as w
+  from (select row, ws, unnest(range(1, len(ws) - 3)) as i from d)),
+rep as (select row, i from win where (row, w) in (select (row, w) from win group by row, w having count(*) > 1)),
+covered as (select row, count(distinct p) as n from (select row, unnest(range(i, i + 5)) as p from rep) group by row),
+f as (
+  select d.row, doc_id, len(ws) as n_words, length(array_to_string(ws, '')) as word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+         length(regexp_replace(t, '[^!]', '', 'g')) as n_shouts,
+         len(ls) - len(list_distinct(ls)) as n_dup_lines, len(ls) as n_lines,
+         coalesce(c.n, 0) as n_repeat_words,
+         len(list_filter(ws, lambda x: x = '|')) as n_bars,
+         len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) as n_same
+  from d left join covered c on c.row = d.row),
+v as (select *, [{', '.join(VOTES)}] as v from f),
+pat as materialized (select v, count(*)::double as n from v group by v),
+{', '.join(steps)}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and 1 / (1 + exp(-({q}))) >= 0.5 as kept
+from (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from v), e{rounds}"""
+
+
+TOPK = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as c from embeddings
+  where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, o.vec_id, list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * o.c[i]))::bigint as score
+  from v q join v o on o.vec_id <> q.vec_id where q.vec_id % 20 = 0)
+select query_id, rank::integer as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20"""
+
+MIX = rf"""
+with d as (
+  select row_number() over () as row, doc_id, source, len({WORDS})::bigint as size from documents),
+src as (
+  select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as pos,
+         (row_number() over (order by source nulls last) - 1) % 3 + 1 as w
+  from d group by source),
+c as (
+  select *, 3 * source_size as cap, sum(source_size) over () as total,
+         sum(source_size) over () - coalesce(sum(3 * source_size) over (
+           order by source_size::double / w, pos rows between unbounded preceding and 1 preceding), 0) as rest,
+         sum(w) over () - coalesce(sum(w) over (
+           order by source_size::double / w, pos rows between unbounded preceding and 1 preceding), 0) as w_rest
+  from src),
+r as (
+  select rest::double / w_rest as rate from c where cap >= rest::double / w_rest * w
+  order by source_size::double / w, pos limit 1),
+t as (
+  select c.*, least(cap::double, coalesce((select rate from r) * w, cap::double)) as target from c),
+h as (
+  select *, case when total > 0 then round(sum(target) over (order by pos) / total * 2147483648)::bigint else 0 end as hi from t),
+share as (select *, coalesce(lag(hi) over (order by pos), 0) as lo, (source_size + 31) // 32 as n_blocks from h),
+slot as (
+  select i, ((i + 1) % 2147483648) * 1327217885 % 2147483648 as x
+  from range(0, coalesce(((select max(total) from share) + 31) // 32, 0)::bigint) as g(i)),
+ranked as (
+  select pos, n_blocks, row_number() over (partition by pos order by i) as rank from slot join share on x >= lo and x < hi),
+times as (
+  select pos, (rank - 1) % n_blocks as block, count(*) as times from ranked where rank <= 3 * n_blocks group by all),
+place as (
+  select row, doc_id, size, pos, coalesce(sum(size) over (
+           partition by pos order by md5(coalesce(doc_id::varchar, '')), doc_id nulls first, size
+           rows between unbounded preceding and 1 preceding), 0)::bigint as start
+  from d join share on d.source is not distinct from share.source where size > 0),
+piece as (
+  select row, pos, block, least(start + size, (block + 1) * 32) - greatest(start, block * 32) as part
+  from (select *, unnest(range(start // 32, (start + size - 1) // 32 + 1)) as block from place)),
+taken as (
+  select row, sum(part * coalesce(times, 0))::bigint as taken from piece left join times using (pos, block) group by row)
+select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken
+from d join share on d.source is not distinct from share.source left join taken using (row)"""
+
+JACCARD = rf"""
+with recursive d as (
+  select row_number() over () as row, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+                                           {GAP}), lambda x: x <> '') as ws
+  from documents),
+s as (
+  select distinct row, unnest(case when len(ws) = 0 then []::varchar[] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as w
+  from d),
+n as (select row, count(*) as n from s group by row),
+both_in as (select a.row as a, b.row as b, count(*) as k from s a join s b on a.w = b.w and a.row < b.row group by all),
+link as (
+  select a, b from both_in join n x on x.row = a join n y on y.row = b where 100 * k >= 80 * (x.n + y.n - k)),
+edge as (select a, b from link union all select b, a from link),
+reach(row, other) as (
+  select row, row from d union select reach.row, edge.b from reach join edge on edge.a = reach.other)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.component_id
+from d left join n on n.row = d.row
+join (select reach.row, min(o.doc_id) as component_id from reach join d o on o.row = reach.other group by reach.row) m
+  on m.row = d.row"""
+
+
+def warc() -> str:
+    host = (r"regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), ':(80|443)$', '')")
+    path = r"regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1)"
+    fields = (r"list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), "
+              r"lambda x: x <> '' and not starts_with(x, 'utm_')))")
+
+    def lines(cache, length, date, etag, modified):
+        parts = [("cache-control", cache), ("content-length", length), ("date", date), ("etag", etag),
+                 ("last-modified", modified)]
+        return ("array_to_string(list_filter([" + ", ".join(f"'{k}: ' || {v}" for k, v in parts)
+                + "], lambda x: x is not null), chr(10))")
+    return rf"""
+with p as (
+  select page_id, url, md5(coalesce(html, '')) as tag, length(html) as n, unnest([0, 1, 2, 3]) as c from pages),
+r as (
+  select page_id * 4 + c as record_id, c, page_id, n, tag,
+         c = 0 or c = 3 and page_id % 4 = 0 as is_full,
+         case when c = 1 then regexp_replace(url, '#.*$', '') || '#again' else url end as url,
+         page_id * 7 + case when c < 3 then c * 86400 when page_id % 4 = 0 then 259200 else -100000 end as ts
+  from p),
+h as (
+  select *, regexp_replace(trim(url), '#.*$', '') as u,
+         case when c = 0 then '"' || tag || '"' when is_full then '"' || tag || '-2"'
+              when c = 2 and page_id % 5 = 0 then '"other"' when c = 2 and page_id % 5 in (1, 2) then null
+              when page_id % 3 = 0 then 'W/"' || tag || '"' else '"' || tag || '"' end as etag,
+         case when c = 2 and page_id % 5 = 2 then null else 'day ' || page_id % 100 end as modified,
+         'max-age=' || c * 60 as cache, (case when is_full then n else 0 end)::varchar as length, 't' || c as date
+  from r),
+k as (
+  select *, {host} || case when {path} = '' then '/' else {path} end
+         || case when len({fields}) > 0 then '?' || array_to_string({fields}, '&') else '' end as key
+  from h),
+a as (
+  select *, last_value(case when is_full then record_id end ignore nulls) over (
+           partition by key order by ts, record_id rows between unbounded preceding and 1 preceding) as found
+  from k),
+j as (
+  select a.*, f.record_id as response_id, f.etag as f_etag, f.modified as f_modified, f.length as f_length,
+         coalesce(regexp_replace(a.etag, '^W/', '') = regexp_replace(f.etag, '^W/', ''), a.modified = f.modified) as agree
+  from a left join k f on f.record_id = a.found and a.key is not null
+  where not a.is_full)
+select record_id, key as url_key,
+       case when response_id is null then 'missing' when agree is null then 'unproven'
+            when agree then 'resolved' else 'conflict' end as resolution,
+       response_id, case when response_id is not null and agree then 200 else 304 end as status,
+       case when response_id is not null and agree
+            then {lines('cache', 'f_length', 'date', 'coalesce(etag, f_etag)', 'f_modified')}
+            else {lines('cache', 'length', 'date', 'etag', 'modified')} end as headers
+from j"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_rules(),
+    "op4_exact_topk": TOPK,
+    "op5_source_mix": MIX,
+    "op8_jaccard_join": JACCARD,
+    "op10_warc_revisits": warc(),
+}

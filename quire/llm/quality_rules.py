@@ -35,8 +35,6 @@ RULES = (
     ("symbols", "100.0 * n_symbols / greatest(word_chars, 1)", None, "x > 5"),
     ("shouting", "100.0 * n_shouts / greatest(n_words, 1)", None, "x > 15"),
     ("bars", "100.0 * n_bars / greatest(n_words, 1)", None, "x > 15"),
-    ("shouting", "100.0 * n_shouts / greatest(n_words, 1)", None, "x > 15"),
-    ("bars", "100.0 * n_bars / greatest(n_words, 1)", None, "x > 15"),
     ("marks", "100.0 * (n_symbols + n_shouts) / greatest(n_words, 1)", "x <= 3", "x > 20"),
 )
 

@@ -12,7 +12,7 @@ def op1_quality_rules(spark, sf_dir):
 
     return quality_rules.score(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "posterior")
+        "base_failed", "kept")
 
 
 def op2_deleted_interpolation(spark, sf_dir):
