@@ -7,7 +7,7 @@ weights are learned by expectation-maximisation on the part of the training
 documents that is deleted from the counts for it (remainder ``part``); the
 final counts are those of all training documents.
 
-Data flow. Texts are read once, into chunks of some two million tokens: token
+Data flow. Texts are read once, into chunks of some million tokens: token
 sequences over the chunk's own word list. A chunk asks for the counts of its
 distinct words and bigrams: sorted hash lists, cut by hash range into buckets,
 so a word that makes a third of all text is one entry per chunk. A bucket adds
@@ -31,9 +31,9 @@ from quire.llm import text_arrays as ta
 from quire.llm.common import remainder, stage
 
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 #: Entries that a bucket should hold; the number of buckets follows the input.
-BUCKET_ENTRIES = 1_500_000
+BUCKET_ENTRIES = 750_000
 BUCKETS = 48        # context-frequency buckets: counts up to 2 ** 47
 
 
