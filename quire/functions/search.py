@@ -6,37 +6,95 @@ import datetime as dt
 import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_keywords(expressions: list[str]) -> list[str]:
-    """Phrases of a keyword spec: each expression is quoted phrases (or bare
-    words) joined by ``OR``; the spec is the OR of all expressions. This runs
-    on the few configured strings, not on data."""
-    phrases: list[str] = []
-    for expr in expressions:
-        for part in re.split(r"\s+OR\s+", expr.strip()):
-            part = part.strip()
-            if len(part) >= 2 and part[0] == part[-1] == '"':
-                part = part[1:-1]
-            if part and part.lower() not in phrases:
-                phrases.append(part.lower())
-    return phrases
+# The field prefixes of search expressions that are understood.
+FIELDS = ("ti", "abs", "all")
+_TOKEN = re.compile(r'\s*(?:([()])|(?:([A-Za-z_]+):)?(?:"([^"]*)"|([^\s()":]+)))')
+
+
+def _tokens(expr: str) -> list[tuple[str, str, str]]:
+    """(kind, field, text) of a search expression; a few configured words."""
+    out, at = [], 0
+    while expr[at:].strip():
+        m = _TOKEN.match(expr, at)
+        if not m:
+            raise ValueError(f"search expression not understood at {expr[at:]!r}")
+        at = m.end()
+        bracket, field, phrase, word = m.groups()
+        if bracket:
+            out.append((bracket, "", bracket))
+        elif word in ("AND", "OR", "ANDNOT") and not field:
+            out.append((word, "", word))
+        else:
+            if field and field not in FIELDS:
+                raise ValueError(f"search field {field!r} is not supported in {expr!r}")
+            text = phrase if phrase is not None else word
+            if out and phrase is None and out[-1][0] == "bare" and not field:
+                out[-1] = ("bare", out[-1][1], f"{out[-1][2]} {text}")   # words side by side: a phrase
+            else:
+                out.append(("phrase" if phrase is not None else "bare", field or "all", text))
+    return out
+
+
+def expression_predicate(expr: str, test) -> Column | None:
+    """The Column of one search expression: phrases joined by OR, AND, ANDNOT
+    and brackets (AND and ANDNOT bind tighter). ``test(field, phrase)`` gives a
+    phrase's Column. Anything else raises. None for an empty expression."""
+    tokens = _tokens(expr)
+
+    def either():
+        left = both()
+        while tokens and tokens[0][0] == "OR":
+            tokens.pop(0)
+            left = left | both()
+        return left
+
+    def both():
+        left = one()
+        while tokens and tokens[0][0] in ("AND", "ANDNOT"):
+            without = tokens.pop(0)[0] == "ANDNOT"
+            right = one()
+            left = left & (~right if without else right)
+        return left
+
+    def one():
+        kind, field, text = tokens.pop(0) if tokens else ("end", "", "")
+        if kind == "(":
+            inner = either()
+            if not tokens or tokens.pop(0)[0] != ")":
+                raise ValueError(f"bracket not closed in {expr!r}")
+            return inner
+        if kind not in ("phrase", "bare") or not text.strip():
+            raise ValueError(f"search expression not understood: {expr!r}")
+        return test(field, text.strip().lower())
+
+    if not tokens:
+        return None
+    out = either()
+    if tokens:
+        raise ValueError(f"search expression not understood: {expr!r}")
+    return out
 
 
 def keyword_predicate(cols: list, expressions: list[str]) -> Column:
-    """True when any phrase occurs, case-insensitively, in any of ``cols``."""
-    phrases = parse_keywords(expressions)
-    if not phrases:
-        return F.lit(False)
+    """True when any expression holds: a phrase occurs, case-insensitively, in
+    any of ``cols``; with ``ti:`` only in the first, with ``abs:`` in the others."""
     lowered = [F.lower(_col(c)) for c in cols]
-    hits = [F.coalesce(lc.contains(p), F.lit(False)) for lc in lowered for p in phrases]
-    return reduce(lambda a, b: a | b, hits)
+    where = {"all": lowered, "ti": lowered[:1], "abs": lowered[1:]}
+
+    def test(field, phrase):
+        hits = [F.coalesce(c.contains(phrase), F.lit(False)) for c in where[field]]
+        return reduce(lambda a, b: a | b, hits, F.lit(False))
+    found = [p for p in (expression_predicate(e, test) for e in expressions) if p is not None]
+    return reduce(lambda a, b: a | b, found, F.lit(False))
 
 
 # Symbolic dates of the query config, as days back from the as-of date.
@@ -65,9 +123,13 @@ def date_range_predicate(c, date_from: str, date_to: str, as_of) -> Column:
     return (c >= start) & (c < end)
 
 
-def author_string(names) -> Column:
-    """', '-joined author names (B8). Accepts array<string> or
-    array<struct<name: string>>."""
+def author_string(names, of: DataFrame | None = None) -> Column:
+    """', '-joined author names (B8). For a column of ``of`` that is
+    array<struct<name: string, ..>> the structs' names are joined."""
+    if of is not None and isinstance(names, str):
+        kind = of.schema[names].dataType
+        if isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType):
+            return author_struct_string(names)
     return F.array_join(_col(names), ", ")
 
 

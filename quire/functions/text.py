@@ -75,13 +75,43 @@ XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
                 ("&amp;", "&")]
 
 
+def _code_point(digits) -> Column:
+    """The character of a code point (a number)."""
+    return F.decode(F.unhex(F.lpad(F.hex(digits), 8, "0")), "UTF-32")
+
+
 def decode_xml_entities(c) -> Column:
+    """The five named entities and numeric ones (``&#201;``, ``&#xC9;``)."""
     out = _col(c)
+    numeric = F.array_distinct(F.regexp_extract_all(out, F.lit(r"&#(?:x[0-9A-Fa-f]{1,6}|[0-9]{1,7});"), 0))
+
+    def put(text, ent):
+        code = F.regexp_extract(ent, r"&#x?(.*);", 1)
+        value = F.when(ent.startswith("&#x"), F.conv(code, 16, 10)).otherwise(code).cast("long")
+        return F.when(value.between(1, 0x10FFFF), F.replace(text, ent, _code_point(value))).otherwise(text)
+    out = F.aggregate(numeric, out, put)
     for ent, ch in XML_ENTITIES:  # '&amp;' last so '&amp;lt;' stays '&lt;'
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
 
 
+#: Text content: characters that open no tag, and CDATA sections.
+CONTENT = r"(?:[^<]++|<!\[CDATA\[.*?\]\]>)++"
+
+
+def decoded_content(c) -> Column:
+    """Element text: CDATA sections stand for themselves, entities outside of
+    them are decoded. (A text that has CDATA sections is taken without decoding
+    when it is nothing else.)"""
+    c = _col(c)
+    marks = r"(?s)<!\[CDATA\[(.*?)\]\]>"
+    bare = F.regexp_replace(c, marks, "")
+    return F.when(~c.contains("<![CDATA["), decode_xml_entities(c)) \
+            .when(strip(bare) == "", F.regexp_replace(c, marks, "$1")) \
+            .otherwise(F.concat(decode_xml_entities(F.regexp_extract(c, r"(?s)^(.*?)<!\[CDATA\[", 1)),
+                                F.regexp_replace(F.regexp_replace(c, r"(?s)^.*?(?=<!\[CDATA\[)", ""), marks, "$1")))
+
+
 def tag_pattern(tags: list[str]) -> str:
     """Regex for an element whose text is what BeautifulSoup's ``tag.string``
     reads: its only child is text, or its only child is an element whose
@@ -90,7 +120,7 @@ def tag_pattern(tags: list[str]) -> str:
     match counts only when the chain's openers and closers pair up
     (``_paired``). XML names are case-sensitive, so no (?i)."""
     names = "|".join(re.escape(t) for t in tags)
-    return (rf"<(?:{names})(?:\s[^>]*)?>((?:<[^/!?>][^>]*>)*)([^<]+)((?:</[^>]+>)*)"
+    return (rf"(?s)<(?:{names})(?:\s[^>]*)?>((?:<[^/!?>][^>]*>)*)({CONTENT})((?:</[^>]+>)*)"
             rf"</(?:{names})>")
 
 
@@ -107,15 +137,17 @@ def tag_texts(c, tags: list[str]) -> Column:
                          F.regexp_extract_all(_col(c), pat, 2).alias("t"),
                          F.regexp_extract_all(_col(c), pat, 3).alias("c"))
     kept = F.filter(found, lambda z: _paired(z["o"], z["c"]))
-    return F.transform(kept, lambda z: strip(decode_xml_entities(z["t"])))
+    return F.transform(kept, lambda z: strip(decoded_content(z["t"])))
 
 
 def first_tag_text(c, tag: str) -> Column:
     """``.string`` of the first ``tag`` element, or NULL when it has none.
     The atomic group pins the match to the first opening tag."""
     name = re.escape(tag)
-    pat = (rf"(?s)^(?>.*?<{name}(?:\s[^>]*)?>)((?:<[^/!?>][^>]*>)*)([^<]+)((?:</[^>]+>)*)"
+    pat = (rf"(?s)^(?>.*?<{name}(?:\s[^>]*)?>)((?:<[^/!?>][^>]*>)*)({CONTENT})((?:</[^>]+>)*)"
            rf"</{name}>")
     col = _col(c)
     opens, text, closes = (F.regexp_extract(col, pat, i) for i in (1, 2, 3))
-    return F.when((text != "") & _paired(opens, closes), strip(decode_xml_entities(text)))
+    # decoded in a lambda, so that the scan for the text is evaluated once
+    decoded = F.get(F.transform(F.array(text), lambda x: strip(decoded_content(x))), 0)
+    return F.when((text != "") & _paired(opens, closes), decoded)

@@ -15,30 +15,32 @@ from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# ----------------------------------------------------------------- generation
+from quire.functions.text import is_blank
 
-# The stand-in generator's rule: after the first blank line, the first one
-# or two sentences (a sentence ends at . ! or ? followed by space or the
-# end). Python ``re`` syntax; ``lead_sentences_re2`` is the RE2 twin for
-# the SQL oracle.
-BODY_RE = r"(?s)\n\n(.*)"
-LEAD_RE = r"(?s)^\s*((?:.*?[.!?](?:\s|\Z)){1,2})"
+# ----------------------------------------------------------------- generation
 
+# The stand-in generator's rule: the first one or two sentences of the section
+# (a sentence ends at . ! or ? followed by space or the end).
+LEAD_RE = r"(?s)^\s*((?:.*?[.!?](?:\s|\z)){1,2})"
 
-def lead_sentences_re2() -> tuple[str, str]:
-    return BODY_RE, LEAD_RE.replace(r"\Z", r"\z")
 
+def lead_summary(abstract, conclusion) -> Column:
+    """Default summary, as a Column: the leading sentences of the abstract, or
+    of the conclusion when there is no abstract, with whitespace runs collapsed;
+    a section without a sentence end is taken whole. NULL without a section."""
+    section = F.coalesce(*[F.when(~is_blank(c), F.col(c) if isinstance(c, str) else c)
+                           for c in (abstract, conclusion)])
 
-def lead_sentences(prompts: pd.Series) -> pd.Series:
-    """Default generator: the leading sentences of the prompt body, with
-    whitespace runs collapsed. Vectorised over the Arrow batch."""
-    body = prompts.str.extract(BODY_RE, expand=False).fillna("")
-    lead = body.str.extract(LEAD_RE, expand=False).fillna("")
-    return lead.str.replace(r"\s+", " ", regex=True)
+    def short(s):
+        lead = F.regexp_extract(s, LEAD_RE, 1)
+        text = F.when(lead != "", lead).otherwise(s)
+        return F.nullif(F.trim(F.regexp_replace(text, r"\s+", " ")), F.lit(""))
+    # in a lambda, so that the section is evaluated once
+    return F.get(F.transform(F.array(section), short), 0)
 
 
 def _finish(texts: pd.Series) -> pd.Series:
@@ -48,8 +50,8 @@ def _finish(texts: pd.Series) -> pd.Series:
     return out.map(lambda s: s if s else None)
 
 
-def generate(df: DataFrame, prompt_col: str = "prompt", out_col: str = "generated",
-             make_fn: Callable[..., Callable[[pd.Series], pd.Series]] | None = None,
+def generate(df: DataFrame, prompt_col: str, out_col: str,
+             make_fn: Callable[..., Callable[[pd.Series], pd.Series]],
              partitions: int | None = None, options: dict | None = None) -> DataFrame:
     """Add ``out_col``: one generated text per prompt (H3).
 
@@ -61,7 +63,6 @@ def generate(df: DataFrame, prompt_col: str = "prompt", out_col: str = "generate
     (and so clients) run at once.
     """
     options = dict(options or {})
-    make_fn = make_fn or (lambda **_: lead_sentences)
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType(), True)])
     if partitions:
         df = df.repartition(partitions)
@@ -154,30 +155,31 @@ def convert_documents(df: DataFrame, content_col: str, keep: list[str],
     blocks with ``parse_fn`` (H6). Output: ``keep`` columns plus
     ``texts`` (array<map<string,string>>), ``status`` ok / failed / skipped
     and ``error``. Rows where ``skip_col`` is true (the output already
-    exists) are not converted and are reported as skipped.
+    exists) are reported as skipped; their bytes do not go to Python.
     """
-    cols = keep + [content_col] + ([skip_col] if skip_col else [])
-    src = df.select(*cols)
+    skip = F.coalesce(F.col(skip_col), F.lit(False)) if skip_col else F.lit(False)
+    src = df.filter(~skip).select(*keep, content_col)
     schema = T.StructType([f for f in src.schema.fields if f.name in keep] + CONVERTED.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts, status, error = [], [], []
-            skips = pdf[skip_col] if skip_col else [False] * len(pdf)
-            for content, skip in zip(pdf[content_col], skips):
-                if skip:
-                    texts.append(None), status.append("skipped"), error.append(None)
-                    continue
+            for content in pdf[content_col]:
                 try:
                     blocks = parse_fn(content)
                     texts.append([{str(k): (None if v is None else str(v)) for k, v in b.items()}
                                   for b in blocks])
                     status.append("ok"), error.append(None)
                 except Exception as e:  # per-row catch, as the source pipeline
-                    texts.append(None), status.append("failed"), error.append(repr(e)[:500])
+                    texts.append(None), status.append("failed"), error.append(repr(e))
             yield pdf[keep].assign(texts=texts, status=status, error=error)
 
-    return src.mapInPandas(run, schema)
+    done = src.mapInPandas(run, schema)
+    if not skip_col:
+        return done
+    none = [F.lit("skipped") if f.name == "status" else F.lit(None).cast(f.dataType) for f in CONVERTED.fields]
+    skipped = df.filter(skip).select(*keep, *[c.alias(f.name) for c, f in zip(none, CONVERTED.fields)])
+    return done.unionByName(skipped)
 
 
 def texts_to_json(texts_col: str = "texts"):

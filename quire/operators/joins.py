@@ -1,10 +1,10 @@
 """Joins and existence tests.
 
-Existence tests (semi / anti / flag joins) first reduce the other side to
-its distinct keys. The distinct is a partial + final hash aggregate whose
-output is already hash-partitioned on the key, so the join reuses that
-exchange; and a key repeated in a third of the rows shrinks to one row per
-map task before anything is shuffled.
+Semi and anti joins take the other side's keys as they are: both sides are
+then plain shuffles, and adaptive execution splits a hot key's partition (an
+aggregate between shuffle and join would forbid that). A flag join must not
+repeat rows, so its distinct keys are written first (``layout.stage``): again
+a plain shuffle, or a broadcast when the written keys are small.
 """
 
 from __future__ import annotations
@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.layout import stage
+
 
 def _keys(df: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
     k = F.col(other_key or key).alias(key)
-    return df.select(k).filter(F.col(key).isNotNull()).distinct()
+    return df.select(k).filter(F.col(key).isNotNull())
 
 
 def summaries_report(docs: DataFrame, summaries: DataFrame, key: str = "id",
@@ -54,7 +56,7 @@ def flag_exists(df: DataFrame, other: DataFrame, flag: str, key: str = "id",
                 other_key: str | None = None) -> DataFrame:
     """``df`` plus a boolean ``flag``: is the key present in ``other``.
     A left join against distinct keys, so no row is repeated."""
-    marks = _keys(other, key, other_key).withColumn(flag, F.lit(True))
+    marks = stage(_keys(other, key, other_key).distinct(), "flags").withColumn(flag, F.lit(True))
     return (df.join(marks, key, "left")
               .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 

@@ -2,35 +2,21 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, min_partitions: int | None = None,
-           fence_cols: list[str] | None = None) -> DataFrame:
-    """Make sure CPU-heavy per-row work (regex cascades, HTML parsing,
-    generation) has at least one task per core.
-
-    A large input already has one task per file split, and this is a no-op:
-    the plan is untouched, so filters and column pruning reach the scan as
-    usual. A small input stored as one file with one row group is read by
-    one task; then the rows are dealt round-robin to ``min_partitions``
-    partitions (default: the cluster's default parallelism) and
-    ``fence_cols`` (default: all) are fenced, so that no filter on a value
-    computed from them is pushed back into the single scan task. Filters on
-    the other columns (cheap keys) still reach the scan. AQE leaves an
-    explicit partition count alone.
+def spread(df: DataFrame, partitions: int, fence_cols: list[str] | None = None) -> DataFrame:
+    """Deal the rows round-robin to ``partitions`` tasks, for CPU-heavy work on
+    an input that the scan cannot split (one file of one row group).
+
+    An explicit call: the caller states the number, nothing is chosen here. It
+    shuffles every selected column. ``fence_cols`` (default: all) are fenced, so
+    no filter on a value computed from them is pushed back into the scan tasks.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no RDD access (e.g. a Connect session): leave the plan as is
-        return df
-    return fence(df.repartition(target), fence_cols)
+    return fence(df.repartition(partitions), fence_cols)
 
 
 def fence(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -64,27 +50,18 @@ def stage(df: DataFrame, name: str = "batch") -> DataFrame:
     from quire.session import scratch_path
 
     spark = df.sparkSession
-    path = scratch_path(spark, f"staged/{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"staged/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_staged(spark: SparkSession, older_than_s: float = 24 * 3600) -> int:
-    """Housekeeping: delete staged batches older than ``older_than_s``
-    seconds from the shared checkpoint folder. A job's own staged batches
-    must outlive its final write, so run this between jobs. Returns the
-    number of folders removed."""
+def remove_staged(spark: SparkSession, application_id: str) -> bool:
+    """Housekeeping: delete the staged batches of one job, named by its
+    application id, from the shared checkpoint folder. They must outlive the
+    job's final write, so call this when the job has ended. Returns whether
+    there was anything to remove."""
     from quire.session import scratch_path
 
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "staged"))
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, f"staged/{application_id}"))
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return 0
-    cutoff_ms = (time.time() - older_than_s) * 1000
-    removed = 0
-    for status in fs.listStatus(root):
-        if status.isDirectory() and status.getModificationTime() < cutoff_ms:
-            fs.delete(status.getPath(), True)
-            removed += 1
-    return removed
+    return bool(fs.exists(root) and fs.delete(root, True))

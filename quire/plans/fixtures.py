@@ -30,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_if_asked(df: DataFrame, fence_cols: list[str] | None = None) -> DataFrame:
+    """``spread`` to the number in the session setting ``spark.quire.inputPartitions``
+    (the bench sets it: its tables are one row group each); unset, the plain scan."""
+    n = df.sparkSession.conf.get("spark.quire.inputPartitions", None)
+    return spread(df, int(n), fence_cols) if n else df
+
+
 _BLOCKS = """concat(
   array(concat('Paper ', doc_id)),
   case av when 0 then array('Abstract', ls[0]) when 1 then array('ABSTRACT', ls[0])
@@ -56,8 +63,8 @@ _MODEL_RESPONSE = """case doc_id % 6
 
 
 def papers(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"),
-                  fence_cols=["text"])
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread_if_asked(docs, ["text"])
     d = docs.selectExpr(
         "doc_id", "lang", "source", "split(text, '\\n') ls",
         "cast(doc_id % 6 as int) av", "cast((doc_id div 6) % 6 as int) cv")

@@ -146,12 +146,12 @@ def flag_sql(s: str, a: str = "abstract", c: str = "conclusion") -> str:
       else {s} end)"""
 
 
-def lead_sql(prompt: str) -> str:
-    from quire.operators.generation import lead_sentences_re2
-    body_re, lead_re = lead_sentences_re2()
-    body = f"regexp_extract({prompt}, {sql_str(body_re)}, 1)"
-    lead = f"regexp_extract({body}, {sql_str(lead_re)}, 1)"
-    return f"nullif(trim(regexp_replace({lead}, '\\s+', ' ', 'g')), '')"
+def lead_sql(a: str = "abstract", c: str = "conclusion") -> str:
+    """Own statement of the rule: one or two sentences of the abstract, else of
+    the conclusion; the whole section where no sentence ends."""
+    section = f"(case when not {blank_sql(a)} then {a} when not {blank_sql(c)} then {c} end)"
+    lead = f"nullif(regexp_extract({section}, '(?s)^\\s*((?:.*?[.!?](?:\\s|\\z)){{1,2}})', 1), '')"
+    return f"nullif(trim(regexp_replace(coalesce({lead}, {section}), '\\s+', ' ', 'g')), '')"
 
 
 def verdict_sql(m: str = "model_response") -> str:
@@ -168,28 +168,31 @@ def verdict_sql(m: str = "model_response") -> str:
     return f"(case when coalesce({valid} and {truthy}, false) then 'yes' else 'no' end)"
 
 
-def keyword_sql(cols: list[str], expressions: list[str]) -> str:
-    from quire.functions.search import parse_keywords
-    hits = [f"coalesce(contains(lower({c}), {sql_str(p)}), false)"
-            for c in cols for p in parse_keywords(expressions)]
+def keyword_sql(cols: list[str], phrases: list[str]) -> str:
+    hits = [f"coalesce(contains(lower({c}), {sql_str(p)}), false)" for c in cols for p in phrases]
     return "(" + " or ".join(hits) + ")"
 
 
+#: The phrases of the queries' search expressions, written by hand.
+NEWEST_PHRASES = ["world model", "world models", "ndre", "eauou"]
+CONFIG_PHRASES = ["ndre", "eauou", "the of"]
+
+
 GEN_CTE = f""",
 gen as (
-  select doc_id, paper_id as id, {flag_sql(lead_sql('prompt'))} as summary
-  from (select *, {prompt_sql()} as prompt from sections))"""
+  select doc_id, paper_id as id, {flag_sql(lead_sql())} as summary
+  from sections)"""
 
 STORED_FILLED_CTE = """,
 stored as (
   select p.paper_id as id, p.title, array_to_string(p.author_names, ', ') as authors, p.pdf_url,
          s.abstract, s.conclusion, p.doc_id
   from papers p join sections s on p.doc_id = s.doc_id
-  where p.doc_id % 2 = 0)"""
+  where (p.doc_id % 2 = 0 or p.doc_id % 3 = 0))"""
 
 OLD_SUMMARIES_CTE = """,
 old_summaries as (
-  select paper_id as id, 'Summary of ' || title as summary from papers where doc_id % 2 = 0)"""
+  select paper_id as id, 'Summary of ' || title as summary from papers where (doc_id % 2 = 0 or doc_id % 3 = 0))"""
 
 AFFILIATION_SQL = r"""(case when len(aff) > 0 then array_to_string(aff, '; ') end)"""
 
@@ -210,8 +213,8 @@ def _affiliation_body() -> str:
 
 
 def oracles() -> dict[str, str]:
-    from quire.plans.queries import (AS_OF, AUTHORS, DATE_RANGE, SEARCH_CONFIG, SEARCH_KEYWORDS,
-                                     SEARCH_MAX_RESULTS, SKIPPED_PAGE_MOD)
+    from quire.plans.queries import (AS_OF, AUTHORS, DATE_RANGE, SEARCH_CONFIG, SEARCH_MAX_RESULTS,
+                                     SKIPPED_PAGE_MOD)
     from quire.functions.search import resolve_date
     import datetime as dt
     as_of = dt.date.fromisoformat(AS_OF)
@@ -224,7 +227,7 @@ def oracles() -> dict[str, str]:
     o["parsed_sections"] = with_papers(sec_cols, sections=True)
     o["search_newest"] = with_papers(f"""
 select paper_id, title, array_to_string(author_names, ', ') as authors from papers
-where {keyword_sql(['title', 'content'], SEARCH_KEYWORDS)}
+where {keyword_sql(['title', 'content'], NEWEST_PHRASES)}
 order by submitted_at desc, paper_id limit {SEARCH_MAX_RESULTS}""")
     cfg = SEARCH_CONFIG
     clo = resolve_date(cfg["date_range"]["from"], as_of)
@@ -232,7 +235,7 @@ order by submitted_at desc, paper_id limit {SEARCH_MAX_RESULTS}""")
     cauthors = ", ".join(sql_str(a) for a in cfg["authors"])
     o["config_search"] = with_papers(f"""
 select paper_id, title, array_to_string(author_names, ', ') as authors from papers
-where {keyword_sql(['title', 'content'], cfg['keywords'])}
+where {keyword_sql(['title', 'content'], CONFIG_PHRASES)}
   and list_has_any(author_names, [{cauthors}])
   and submitted_at >= timestamp '{clo} 00:00:00' and submitted_at < timestamp '{chi} 00:00:00'
 order by submitted_at desc, paper_id limit {cfg['max_results']}""")
@@ -240,7 +243,7 @@ order by submitted_at desc, paper_id limit {cfg['max_results']}""")
 hits as (
   select paper_id as id, title, array_to_string(author_names, ', ') as authors, pdf_url
   from papers
-  where {keyword_sql(['title', 'content'], cfg['keywords'])}
+  where {keyword_sql(['title', 'content'], CONFIG_PHRASES)}
     and list_has_any(author_names, [{cauthors}])
     and submitted_at >= timestamp '{clo} 00:00:00' and submitted_at < timestamp '{chi} 00:00:00'
   order by submitted_at desc, paper_id limit {cfg['max_results']})
@@ -252,9 +255,9 @@ select id, title, authors, pdf_url, null, null from hits""", sections=True)
 select paper_id as id, abstract, conclusion from sections
 where abstract is not null or conclusion is not null""", sections=True)
     o["row_counts"] = with_papers("""
-select 'full_documents' as "table", count(*) as n from papers where doc_id % 2 = 0
+select 'full_documents' as "table", count(*) as n from documents
 union all
-select 'summaries', count(*) from papers where doc_id % 2 = 0""")
+select 'labels', count(*) from labels""")
     o["papers_with_url"] = with_papers(
         "select paper_id, pdf_url from papers where pdf_url is not null")
     o["pending_papers"] = with_papers("""
@@ -283,12 +286,13 @@ where pdf_url is not null
   and paper_id not in (select paper_id from papers where doc_id % 4 = 0)""")
     o["match_known"] = with_papers("""
 select n.paper_id,
-       exists(select 1 from papers t where t.doc_id % 2 = 0 and t.paper_id = n.paper_id) as known
-from papers n where n.doc_id % 3 = 0""")
+       exists(select 1 from papers t where (t.doc_id % 2 = 0 or t.doc_id % 3 = 0)
+              and t.paper_id = n.paper_id) as known
+from papers n where (n.doc_id % 2 = 1 or n.doc_id % 3 = 0)""")
     o["with_parsed_file"] = with_papers("""
 select t.paper_id,
        exists(select 1 from papers f where f.doc_id % 5 <> 0 and f.paper_id = t.paper_id) as has_file
-from papers t where t.doc_id % 2 = 0""")
+from papers t""")
     o["selection_stats"] = with_papers("""
 select selected,
        case when selected = 'yes' then 'selected' when selected = 'no' then 'rejected'
@@ -306,7 +310,7 @@ from (select case when doc_id % 5 = 0 then 'failed'
                   when doc_id % 3 = 0 then 'skipped'
                   when abstract is not null or conclusion is not null then 'ok'
                   else 'failed' end as o
-      from sections where doc_id % 2 = 0)""", sections=True)
+      from sections)""", sections=True)
     m = SKIPPED_PAGE_MOD
     o["conversion_counters"] = f"""
 select count(*) as total,
@@ -317,7 +321,7 @@ from pages"""
     o["upsert_replace"] = with_papers(STORED_FILLED_CTE + """,
 batch as (
   select paper_id as id, title, array_to_string(author_names, ', ') as authors, pdf_url, 1 as seq
-  from papers where doc_id % 3 = 0
+  from papers where (doc_id % 2 = 1 or doc_id % 3 = 0)
   union all
   select paper_id, title || ' (revised)', array_to_string(author_names, ', '), pdf_url, 2
   from papers where doc_id % 9 = 0),
@@ -332,15 +336,15 @@ select id, title, authors, pdf_url, null, null from latest""", sections=True)
 select id, summary from old_summaries
 union all
 select paper_id, null from papers
-where doc_id % 3 = 0 and paper_id not in (select id from old_summaries)""")
+where (doc_id % 2 = 1 or doc_id % 3 = 0) and paper_id not in (select id from old_summaries)""")
     o["partial_update"] = with_papers("""
 select p.paper_id as id, p.title, array_to_string(p.author_names, ', ') as authors, p.pdf_url,
        case when p.doc_id % 3 = 0 then s.abstract end as abstract,
        case when p.doc_id % 3 = 0 then s.conclusion end as conclusion
 from papers p join sections s on p.doc_id = s.doc_id
-where p.doc_id % 2 = 0""", sections=True)
+where (p.doc_id % 2 = 0 or p.doc_id % 3 = 0)""", sections=True)
     o["upsert_summary"] = with_papers(GEN_CTE + OLD_SUMMARIES_CTE + """,
-new as (select id, summary from gen where doc_id % 3 = 0 and summary is not null)
+new as (select id, summary from gen where (doc_id % 2 = 1 or doc_id % 3 = 0) and summary is not null)
 select id, summary from old_summaries where id not in (select id from new)
 union all
 select id, summary from new""", sections=True)
@@ -352,12 +356,12 @@ from lpapers""", labelled=True)
   select p.paper_id as id,
          case when p.doc_id % 3 = 0 then s.abstract end as abstract,
          case when p.doc_id % 3 = 0 then s.conclusion end as conclusion
-  from papers p join sections s on p.doc_id = s.doc_id where p.doc_id % 2 = 0)
+  from papers p join sections s on p.doc_id = s.doc_id where (p.doc_id % 2 = 0 or p.doc_id % 3 = 0))
 select n.paper_id as id,
        (n.abstract is null or n.abstract is not distinct from a.abstract)
        and (n.conclusion is null or n.conclusion is not distinct from a.conclusion) as verified
 from sections n join after a on n.paper_id = a.id
-where n.doc_id % 3 = 0 and (n.abstract is not null or n.conclusion is not null)""",
+where (n.doc_id % 2 = 1 or n.doc_id % 3 = 0) and (n.abstract is not null or n.conclusion is not null)""",
                                        sections=True)
     o["sections_appended"] = with_papers("""
 , found as (select doc_id, paper_id as id, abstract, conclusion from sections
@@ -367,10 +371,12 @@ union all
 select id, abstract, conclusion from found
 where id not in (select id from found where doc_id % 3 = 0)""",
                                            sections=True)
-    o["dump_rows"] = with_papers(STORED_FILLED_CTE + """
+    o["dump_rows"] = with_papers("""
 select id, json_object(id, json_object('title', title, 'authors', authors, 'pdf_url', pdf_url,
                                        'abstract', abstract, 'conclusion', conclusion))::varchar as json
-from stored""", sections=True)
+from (select p.paper_id as id, p.title, array_to_string(p.author_names, ', ') as authors, p.pdf_url,
+             s.abstract, s.conclusion
+      from papers p join sections s on p.doc_id = s.doc_id)""", sections=True)
     o["summary_prompt"] = with_papers(f"""
 select paper_id, {prompt_sql()} as prompt from sections
 where not {blank_sql('abstract')} or not {blank_sql('conclusion')}""", sections=True)
@@ -391,6 +397,31 @@ select p.paper_id as id,
   as prompt
 from lpapers p left join sections s on p.doc_id = s.doc_id
 where p.selected is null""", labelled=True, sections=True)
+    o["generated_texts"] = with_papers(f"""
+select paper_id, nullif({strip_sql("right(" + prompt_sql() + ", 40)")}, '') as generated from sections""",
+                                       sections=True)
+    o["search_boolean"] = with_papers("""
+select paper_id from papers
+where (((contains(lower(title), 'ndre') or contains(lower(content), 'ndre'))
+        and (contains(lower(title), 'the of') or contains(lower(content), 'the of')))
+       and not (contains(lower(title), 'eauou') or contains(lower(content), 'eauou')))
+   or (contains(lower(title), 'que') and (contains(lower(title), 'la') or contains(lower(content), 'la')))""")
+    o["sections_current"] = with_papers("""
+select paper_id as id, case when doc_id % 3 = 0 then abstract || ' (revised)' else abstract end as abstract,
+       conclusion
+from sections where abstract is not null or conclusion is not null""", sections=True)
+    o["read_papers"] = with_papers("select paper_id as id, title, pdf_url from papers")
+    o["read_converted"] = with_papers("select paper_id as id, content from papers")
+    o["strict_ids"] = with_papers("""
+select paper_id, string_split(paper_id, 'v')[1] as id, paper_id || '.tar' as stem from papers""")
+    o["converted_lines"] = """
+select doc_id, case when text is null then 'failed' else 'ok' end as status,
+       case when text is null then -1 else len(string_split(text, chr(10))) end as n_blocks,
+       string_split(text, chr(10))[1] as first_block
+from documents"""
+    o["orphan_labels"] = """
+select doc_id, quality from labels
+where doc_id not in (select doc_id from documents where doc_id % 7 <> 0)"""
     o["verdicts"] = with_papers(f"""
 select paper_id, {verdict_sql()} as verdict from lpapers""", labelled=True)
     o["preview"] = with_papers("""

@@ -1,10 +1,10 @@
 """Named queries over the driver's tables: one per operator of the survey.
 
 Every query reads ``documents`` (through ``fixtures.papers``) or another
-given table, runs over all of it, and returns a DataFrame. Splits such as
-"ids with doc_id % 2 = 0 are already stored" only decide which rows play
-the old table and which the new batch of an update; every row is read
-and every row of the result is kept.
+given table, runs over all of it, and returns a DataFrame. In the update
+queries every document has a role: the stored table holds those with
+doc_id % 2 = 0 or doc_id % 3 = 0, the batch those with doc_id % 2 = 1 or
+doc_id % 3 = 0 (so a third of all are in both, and none is in neither).
 """
 
 from __future__ import annotations
@@ -13,15 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.affiliation import affiliations
-from quire.functions.prompts import (flag_missing, flag_missing_flags, relevance_prompt,
-                                     summary_prompt)
+from quire.functions.prompts import flag_missing, relevance_prompt, summary_prompt
 from quire.functions.search import strip_version
 from quire.functions.sections import assemble_text_blocks, parsed_document_content, with_sections
-from quire.functions.text import default_text, first_tag_text, head_lines, is_blank
+from quire.functions.text import default_text, first_tag_text, head_lines
 from quire.functions.text import preview as preview_col
 from quire.functions.verdict import parse_verdict
 from quire.operators import aggregates, filters, generation, joins, upserts
-from quire.operators.layout import spread, stage
+from quire.operators.layout import fence, stage
 from quire.plans import fixtures
 
 # Parameters of the queries (the search config's shape: keyword expressions,
@@ -31,8 +30,10 @@ SEARCH_MAX_RESULTS = 25
 AUTHORS = ["Author 3", "Author 5"]
 DATE_RANGE = ("lastWeek", "today")
 AS_OF = "2024-01-20"
+SEARCH_BOOLEAN = ['("ndre" AND "the of") ANDNOT "eauou"', 'ti:"que" AND "la"']
 SKIPPED_PAGE_MOD = 4  # pages with page_id % 4 = 0 already have an output
-STREAM_TIMEOUT_S = 3600  # an availableNow stream stops by itself; this only guards a hang
+IN_TABLE = "(doc_id % 2 = 0 or doc_id % 3 = 0)"
+IN_BATCH = "(doc_id % 2 = 1 or doc_id % 3 = 0)"
 # A named search in the config's shape (keywords, authors, date range, count).
 SEARCH_CONFIG = {
     "keywords": ['"ndre" OR "eauou"', '"the of"'],
@@ -44,11 +45,12 @@ SEARCH_CONFIG = {
 
 # ------------------------------------------------------------------ fixtures
 
-def sections(spark, sf, keep=(), with_content: bool = False) -> DataFrame:
+def sections(spark, sf, keep=(), with_content: bool = False, where: str = "true",
+             with_labels: bool = False) -> DataFrame:
     """Extraction over all papers: (doc_id, paper_id, *keep, abstract,
     conclusion, status[, content]). Content is assembled from the text
     blocks by ``assemble_text_blocks``; one pass, no join."""
-    p = fixtures.papers(spark, sf).select(
+    p = fixtures.papers(spark, sf, with_labels).filter(where).select(
         "doc_id", "paper_id", *keep,
         assemble_text_blocks("blocks").alias("content"))
     out = with_sections(p)
@@ -57,23 +59,23 @@ def sections(spark, sf, keep=(), with_content: bool = False) -> DataFrame:
 
 
 def stored_documents(spark, sf, filled: bool) -> DataFrame:
-    """The document table as stored before a run: papers with even doc_id;
-    with extracted sections when ``filled``."""
+    """The document table as stored before a run (``IN_TABLE``); with
+    extracted sections when ``filled``."""
     if filled:
         t = sections(spark, sf, keep=["title", "author_names", "pdf_url"])
     else:
         t = (fixtures.papers(spark, sf)
              .withColumn("abstract", F.lit(None).cast("string"))
              .withColumn("conclusion", F.lit(None).cast("string")))
-    return (t.filter(F.col("doc_id") % 2 == 0)
+    return (t.filter(IN_TABLE)
              .select(F.col("paper_id").alias("id"), "title",
                      F.array_join("author_names", ", ").alias("authors"),
                      "pdf_url", "abstract", "conclusion"))
 
 
-def stored_ids(spark, sf, mod: int) -> DataFrame:
-    """Ids of the papers with doc_id % mod = 0 (one side of an update)."""
-    return (fixtures.paper_keys(spark, sf).filter(F.col("doc_id") % mod == 0)
+def paper_ids(spark, sf, where: str = "true") -> DataFrame:
+    """Ids of the papers with a role (one side of an update)."""
+    return (fixtures.paper_keys(spark, sf).filter(where)
             .select(F.col("paper_id").alias("id")))
 
 
@@ -84,26 +86,28 @@ def parsed_file_stems(spark, sf) -> DataFrame:
 
 
 def stored_summaries(spark, sf) -> DataFrame:
-    return (fixtures.papers(spark, sf).filter(F.col("doc_id") % 2 == 0)
+    return (fixtures.papers(spark, sf).filter(IN_TABLE)
             .select(F.col("paper_id").alias("id"),
                     F.concat(F.lit("Summary of "), F.col("title")).alias("summary")))
 
 
 def generated_summaries(spark, sf, where=None) -> DataFrame:
-    """Prompt → batch generation (default: leading sentences) → flags.
-    (doc_id, id, summary); summary NULL where nothing was generated.
-    Only the key, the prompt and the two blank tests cross to Python.
-    ``where`` (on doc_id) picks the papers before generation: filters do
-    not cross ``mapInPandas``, so a later filter would generate for all."""
+    """Lead summary with its flags: (doc_id, id, summary); summary NULL where
+    there is no section. ``where`` (on doc_id) picks the papers."""
     s = sections(spark, sf)
     if where is not None:
         s = s.filter(where)
-    s = s.select(
-        "doc_id", "paper_id", summary_prompt("abstract", "conclusion").alias("prompt"),
-        is_blank("abstract").alias("no_abstract"), is_blank("conclusion").alias("no_conclusion"))
-    g = generation.generate(s, "prompt", "generated")
-    return g.select("doc_id", F.col("paper_id").alias("id"),
-                    flag_missing_flags("generated", "no_abstract", "no_conclusion").alias("summary"))
+    s = fence(s, ["abstract", "conclusion"])
+    out = s.select("doc_id", F.col("paper_id").alias("id"), "abstract", "conclusion",
+                   generation.lead_summary("abstract", "conclusion").alias("lead"))
+    out = fence(out, ["lead"]).select("doc_id", "id", flag_missing("lead", "abstract", "conclusion").alias("summary"))
+    return fence(out, ["summary"])
+
+
+def prompt_heads(**options):
+    """A caller's generator that SQL can mirror: the prompt's last characters."""
+    n = options["n"]
+    return lambda prompts: prompts.str.slice(-n)
 
 
 # ------------------------------------------------------------------- queries
@@ -165,24 +169,23 @@ def q_stream_sections(spark, sf):
     from quire.sources.files import read_sections
     from quire.streaming.extract_stream import extract_stream
 
-    root = scratch_path(spark, f"stream-sections-{uuid.uuid4().hex}")
+    root = scratch_path(spark, f"staged/{spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}")
     docs = fixtures.papers(spark, sf).select(
         F.col("paper_id").alias("id"),
         F.transform("blocks", lambda b: F.create_map(F.lit("text"), b)).alias("texts"))
     write_documents(docs, f"{root}/in")
     q = extract_stream(spark, f"{root}/in", f"{root}/store", f"{root}/checkpoint",
                        source="converted")
-    if not q.awaitTermination(STREAM_TIMEOUT_S):
-        q.stop()
-        raise TimeoutError(f"stream did not finish within {STREAM_TIMEOUT_S}s")
+    q.awaitTermination()
     return read_sections(spark, f"{root}/store")
 
 
 def q_row_counts(spark, sf):
-    """Rows per table (E3), one aggregate over the tagged union."""
-    docs = stored_ids(spark, sf, 2).select(F.lit("full_documents").alias("table"))
-    summ = stored_ids(spark, sf, 2).select(F.lit("summaries").alias("table"))
-    return docs.unionByName(summ).groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+    """Rows per table (E3): documents with a paper row, and the judged ones."""
+    docs = aggregates.row_count(fixtures.paper_keys(spark, sf))
+    judged = aggregates.row_count(fixtures.table(spark, sf, "labels"))
+    return (docs.select(F.lit("full_documents").alias("table"), "n")
+            .unionByName(judged.select(F.lit("labels").alias("table"), "n")))
 
 
 def q_papers_with_url(spark, sf):
@@ -212,7 +215,7 @@ def q_affiliations(spark, sf):
 
 
 def q_page_titles(spark, sf):
-    pages = spread(fixtures.table(spark, sf, "pages").select("page_id", "html"))
+    pages = fixtures.spread_if_asked(fixtures.table(spark, sf, "pages").select("page_id", "html"))
     return pages.select("page_id", first_tag_text("html", "title").alias("title"))
 
 
@@ -236,13 +239,13 @@ def q_missing_outputs(spark, sf):
 
 
 def q_match_known(spark, sf):
-    new = stored_ids(spark, sf, 3)
-    table = stored_ids(spark, sf, 2)
+    new = paper_ids(spark, sf, IN_BATCH)
+    table = paper_ids(spark, sf, IN_TABLE)
     return joins.match_known(new, table, "id").select(F.col("id").alias("paper_id"), "known")
 
 
 def q_with_parsed_file(spark, sf):
-    docs = stored_ids(spark, sf, 2)
+    docs = paper_ids(spark, sf)
     files = parsed_file_stems(spark, sf)
     return joins.with_parsed_file(docs, files, "id", "stem").select(
         F.col("id").alias("paper_id"), "has_file")
@@ -256,10 +259,12 @@ def extraction_outcomes(spark, sf) -> DataFrame:
     """One row per stored document: ok / skipped / failed, as an extraction
     pass decides: no parsed file → failed; already in the sections store →
     skipped; else extracted, ok when a section was found."""
-    table = stored_ids(spark, sf, 2)
+    table = paper_ids(spark, sf)
     files = parsed_file_stems(spark, sf)
-    done = stored_ids(spark, sf, 3).select(F.col("id").alias("done_id"))
-    s = sections(spark, sf).select(F.col("paper_id").alias("id"), "abstract", "conclusion")
+    done = paper_ids(spark, sf, "doc_id % 3 = 0").select(F.col("id").alias("done_id"))
+    # only what is to do is extracted: a file is there, and it is not done
+    s = sections(spark, sf, where="doc_id % 5 <> 0 and doc_id % 3 <> 0").select(
+        F.col("paper_id").alias("id"), "abstract", "conclusion")
     tagged = joins.flag_exists(joins.with_parsed_file(table, files, "id", "stem"),
                                done, "done", "id", "done_id")
     found = tagged.join(s, "id", "left")
@@ -276,7 +281,7 @@ def q_extraction_counters(spark, sf):
 
 
 def converted_pages(spark, sf) -> DataFrame:
-    pages = spread(fixtures.table(spark, sf, "pages").select("page_id", "html"))
+    pages = fixtures.spread_if_asked(fixtures.table(spark, sf, "pages").select("page_id", "html"))
     pages = pages.withColumn("exists", F.col("page_id") % SKIPPED_PAGE_MOD == 0)
     return generation.convert_documents(pages, "html", ["page_id"], skip_col="exists")
 
@@ -294,8 +299,7 @@ def q_conversion_counters(spark, sf):
 def q_upsert_replace(spark, sf):
     old = stored_documents(spark, sf, filled=True)
     p = fixtures.papers_table(spark, sf)
-    batch = p.filter(F.col("doc_id") % 3 == 0).select("id", "title", "authors", "pdf_url",
-                                                      F.lit(1).alias("seq"))
+    batch = p.filter(IN_BATCH).select("id", "title", "authors", "pdf_url", F.lit(1).alias("seq"))
     again = p.filter(F.col("doc_id") % 9 == 0).select("id", F.concat("title", F.lit(" (revised)")).alias("title"),
                                                       "authors", "pdf_url", F.lit(2).alias("seq"))
     return upserts.upsert_replace(old, batch.unionByName(again), "id", seq="seq")
@@ -303,20 +307,29 @@ def q_upsert_replace(spark, sf):
 
 def q_insert_if_absent(spark, sf):
     old = stored_summaries(spark, sf)
-    new = stored_ids(spark, sf, 3)
-    return upserts.insert_if_absent(old, new, "id")
+    new = paper_ids(spark, sf, IN_BATCH)
+    return upserts.insert_if_absent(old, new.unionAll(new), "id")    # every key twice
 
 
 def q_partial_update(spark, sf):
+    """Every key of the batch twice: first its abstract alone, then its
+    conclusion alone; both must land."""
     old = stored_documents(spark, sf, filled=False)
-    new = (sections(spark, sf).filter(F.col("doc_id") % 3 == 0)
-           .select(F.col("paper_id").alias("id"), "abstract", "conclusion"))
-    return upserts.partial_update(old, new, ["abstract", "conclusion"], "id")
+    return upserts.partial_update(old, update_batch(spark, sf), ["abstract", "conclusion"], "id", "seq")
+
+
+def update_batch(spark, sf) -> DataFrame:
+    """(id, seq, abstract, conclusion): two rows per key, one column each."""
+    s = sections(spark, sf, where=IN_BATCH)
+    none = F.lit(None).cast("string")
+    rows = F.array(F.struct(F.lit(1).alias("seq"), F.col("abstract"), none.alias("conclusion")),
+                   F.struct(F.lit(2).alias("seq"), none.alias("abstract"), F.col("conclusion")))
+    return s.select(F.col("paper_id").alias("id"), F.inline(rows))
 
 
 def q_upsert_summary(spark, sf):
     old = stored_summaries(spark, sf)
-    new = generated_summaries(spark, sf, where=F.col("doc_id") % 3 == 0).select("id", "summary")
+    new = generated_summaries(spark, sf, where=F.expr(IN_BATCH)).select("id", "summary")
     return upserts.upsert_summary(old, new, "id")
 
 
@@ -336,11 +349,10 @@ def q_set_selected(spark, sf):
 
 def q_verify_update(spark, sf):
     old = stored_documents(spark, sf, filled=False)
-    # the batch is read twice (update, then check): written once
-    new = stage(sections(spark, sf).filter(F.col("doc_id") % 3 == 0)
-                .select(F.col("paper_id").alias("id"), "abstract", "conclusion"), "sections")
-    after = upserts.partial_update(old, new, ["abstract", "conclusion"], "id")
-    return upserts.verify_update(after, new, ["abstract", "conclusion"], "id")
+    cols = ["abstract", "conclusion"]
+    # the batch is reduced and written once, for the update and for the check
+    new = upserts.reduce_update(update_batch(spark, sf), cols, "id", "seq")
+    return upserts.verify_update(upserts.apply_update(old, new, cols, "id"), new, cols, "id")
 
 
 def q_sections_appended(spark, sf):
@@ -349,13 +361,14 @@ def q_sections_appended(spark, sf):
                                          "abstract", "conclusion"), "sections")
     found = filters.with_any_section(s)
     previous = found.filter(F.col("doc_id") % 3 == 0).drop("doc_id")
-    new = joins.unprocessed(found.drop("doc_id"), previous, "id")
-    return upserts.append_new(previous, new, "id")
+    return upserts.append_new(previous, found.drop("doc_id"), "id")
 
 
 def q_dump_rows(spark, sf):
     from quire.sinks.tables import keyed_json
-    return keyed_json(stored_documents(spark, sf, filled=True), "id")
+    t = sections(spark, sf, keep=["title", "author_names", "pdf_url"])
+    return keyed_json(t.select(F.col("paper_id").alias("id"), "title", F.array_join("author_names", ", ")
+                               .alias("authors"), "pdf_url", "abstract", "conclusion"), "id")
 
 
 def q_summary_prompt(spark, sf):
@@ -372,11 +385,103 @@ def q_lead_summary(spark, sf):
     return generated_summaries(spark, sf).select(F.col("id").alias("paper_id"), "summary")
 
 
+def q_generated_texts(spark, sf):
+    """H3 with a caller's generator: one batch call per task over the prompts."""
+    s = sections(spark, sf).select("paper_id", summary_prompt("abstract", "conclusion").alias("prompt"))
+    out = generation.generate(s, "prompt", "generated", prompt_heads, options={"n": 40})
+    return out.select("paper_id", "generated")
+
+
+def q_search_boolean(spark, sf):
+    """B1 with AND, ANDNOT, brackets and a field."""
+    p = filters.search_papers(fixtures.papers(spark, sf), SEARCH_BOOLEAN, cols=("title", "content"))
+    return p.select("paper_id")
+
+
+def q_sections_current(spark, sf):
+    """A4 over a store with a document extracted twice: every section is stored
+    under one writer, then the papers with doc_id % 3 = 0 again, revised, under
+    another; one current row per id."""
+    import uuid
+
+    from quire.session import scratch_path
+    from quire.sinks.tables import write_sections
+    from quire.sources.files import read_sections
+
+    root = scratch_path(spark, f"staged/{spark.sparkContext.applicationId}/store-{uuid.uuid4().hex}")
+    s = stage(filters.with_any_section(sections(spark, sf).select(
+        "doc_id", F.col("paper_id").alias("id"), "abstract", "conclusion")), "sections")
+    write_sections(s, root, "first")
+    write_sections(s.filter("doc_id % 3 = 0").withColumn("abstract", F.concat("abstract", F.lit(" (revised)"))),
+                   root, "second")
+    return read_sections(spark, root)
+
+
+def q_read_papers(spark, sf):
+    """A1: the document table written out and read back with its schema."""
+    import uuid
+
+    from quire.session import scratch_path
+    from quire.sources.files import read_papers
+
+    root = scratch_path(spark, f"staged/{spark.sparkContext.applicationId}/papers-{uuid.uuid4().hex}")
+    stored_all = fixtures.papers_table(spark, sf).select(
+        "id", "title", "authors", "pdf_url", F.lit(None).cast("string").alias("abstract"),
+        F.lit(None).cast("string").alias("conclusion"))
+    stored_all.write.parquet(root)
+    return read_papers(spark, root, ["id", "title", "pdf_url"])
+
+
+def q_read_converted(spark, sf):
+    """G10 and its reader: documents written as JSON lines and assembled again."""
+    import uuid
+
+    from quire.session import scratch_path
+    from quire.sinks.tables import write_documents
+    from quire.sources.files import read_converted_documents
+
+    root = scratch_path(spark, f"staged/{spark.sparkContext.applicationId}/converted-{uuid.uuid4().hex}")
+    docs = fixtures.papers(spark, sf).select(F.col("paper_id").alias("id"), F.transform(
+        "blocks", lambda b: F.create_map(F.lit("text"), b)).alias("texts"))
+    write_documents(docs, root)
+    return read_converted_documents(spark, root)
+
+
+def q_strict_ids(spark, sf):
+    """B9 by the strict rule (the text before the first v), and the file stem."""
+    from quire.sources.files import file_stem
+
+    p = fixtures.paper_keys(spark, sf).withColumn("file_name", F.concat("paper_id", F.lit(".tar.gz")))
+    return p.select("paper_id", strip_version("paper_id", strict_reference=True).alias("id"),
+                    file_stem("file_name").alias("stem"))
+
+
+def q_converted_lines(spark, sf):
+    """H6 with a ``parse_fn`` that SQL can mirror: text to line blocks."""
+    docs = fixtures.table(spark, sf, "documents").select("doc_id", "text")
+    c = generation.convert_documents(docs, "text", ["doc_id"], line_blocks)
+    return c.select("doc_id", "status", F.size("texts").alias("n_blocks"),
+                    F.get("texts", 0)["text"].alias("first_block"))
+
+
+def line_blocks(text):
+    return [{"text": line} for line in text.split("\n")]
+
+
+def q_orphan_labels(spark, sf):
+    """Foreign-key check: labels whose document isn't in the table."""
+    from quire.sinks.tables import orphans
+
+    docs = fixtures.table(spark, sf, "documents").filter("doc_id % 7 <> 0")
+    return orphans(fixtures.table(spark, sf, "labels").select("doc_id", "quality"), docs, "doc_id")
+
+
 def q_relevance_prompt(spark, sf):
-    t = filters.pending(relevance_table(spark, sf))
-    s = sections(spark, sf).select(F.col("paper_id").alias("id"), "abstract")
-    return t.join(s, "id", "left").select(
-        "id", relevance_prompt("title", "authors", "affiliation", "abstract").alias("prompt"))
+    # one pass over the pending papers: extraction and prompt, no self-join
+    s = sections(spark, sf, keep=["title", "author_names", "affiliation"], where="selected is null",
+                 with_labels=True).withColumn("authors", F.array_join("author_names", ", "))
+    return s.select(F.col("paper_id").alias("id"),
+                    relevance_prompt("title", "authors", "affiliation", "abstract").alias("prompt"))
 
 
 def q_verdicts(spark, sf):
@@ -425,6 +530,14 @@ QUERIES = {
     "flag_missing": q_flag_missing,
     "lead_summary": q_lead_summary,
     "relevance_prompt": q_relevance_prompt,
+    "generated_texts": q_generated_texts,
+    "search_boolean": q_search_boolean,
+    "sections_current": q_sections_current,
+    "read_papers": q_read_papers,
+    "read_converted": q_read_converted,
+    "strict_ids": q_strict_ids,
+    "converted_lines": q_converted_lines,
+    "orphan_labels": q_orphan_labels,
     "verdicts": q_verdicts,
     "preview": q_preview,
 }

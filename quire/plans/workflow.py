@@ -9,9 +9,10 @@ so that the expensive extraction runs once for all of its outputs.
 
 from __future__ import annotations
 
-import time
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +23,9 @@ from quire.functions.text import is_blank
 from quire.functions.verdict import parse_verdict
 from quire.operators import aggregates, filters, generation, joins, upserts
 from quire.operators.layout import stage
-from quire.sinks.tables import write_sections
-from quire.sources.files import read_parsed_documents, read_sections
+from quire.sinks.tables import write_documents, write_sections
+from quire.sources.files import (list_files, read_converted_documents, read_parsed_documents,
+                                  read_section_rows)
 
 
 @dataclass
@@ -36,34 +38,46 @@ class ExtractionRun:
 
 
 def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
-                    sections_path: str, sections_file_name: str | None = None) -> ExtractionRun:
+                    sections_path: str, sections_file_name: str | None = None,
+                    source: str = "parsed") -> ExtractionRun:
     """One extraction pass over the document table.
 
+    ``source`` is ``"parsed"`` (one JSON document per file, id = file stem) or
+    ``"converted"`` (JSON lines as ``sinks.tables.write_documents`` writes them).
+
     Per document: no parsed file → failed; already in the sections store
     *and* still filled in the table → skipped (a re-fetched row whose
     sections were wiped is extracted again); else the sections are
     extracted, and a document with at least one section is ok and is
     recorded, one with none is failed and will be tried again next run.
 
-    The new sections are written to the store here, once (this is the only
-    step that runs the regex cascade); the table update, outcomes and
-    counters are then read from what was written, so writing them later
-    does not extract again, and their lineage starts at the written batch.
+    Ids come from the file listing (or the id column), staged once; the texts
+    are read once, for the extraction. The new sections are written to the store
+    here (this is the only step that runs the regex cascade), under a writer name
+    of this run; the table update, outcomes and counters are then read from what
+    was written.
     """
     exclude = [sections_file_name] if sections_file_name else None
-    run_id = int(time.time() * 1000)
-    files = read_parsed_documents(spark, parsed_dir, exclude=exclude)
-    store = read_sections(spark, sections_path, exclude_batch=run_id)
+    if source == "converted":
+        files = read_converted_documents(spark, parsed_dir)
+        ids_of_files = files.select("id")
+    else:
+        files = read_parsed_documents(spark, parsed_dir, exclude=exclude)
+        ids_of_files = list_files(spark, parsed_dir, "*.json", exclude).select("id")
+    ids_of_files = stage(ids_of_files, "files")
+    # the store as it is now: this run's own batch is not part of it
+    store = stage(read_section_rows(spark, sections_path).select("id").distinct(), "store")
     filled = documents.filter(F.col("abstract").isNotNull() | F.col("conclusion").isNotNull())
-    done = joins.known_only(store.select("id"), filled.select("id"), "id")
+    done = joins.known_only(store, filled.select("id"), "id")
 
     ids = documents.select("id")
-    tagged = joins.flag_exists(joins.flag_exists(ids, files, "has_file", "id"),
-                               done, "done", "id")
+    tagged = stage(joins.flag_exists(joins.flag_exists(ids, ids_of_files, "has_file", "id"),
+                                     done, "done", "id"), "tagged")
     todo = tagged.filter(F.col("has_file") & ~F.col("done")).select("id")
     extracted = with_sections(joins.known_only(files.select("id", "content"), todo, "id"),
                               status=None).select("id", "abstract", "conclusion")
-    batch_path = write_sections(filters.with_any_section(extracted), sections_path, run_id)
+    batch_path = write_sections(filters.with_any_section(extracted), sections_path,
+                                f"pass-{uuid.uuid4().hex}")
     found = spark.read.schema(schemas.SECTIONS).parquet(batch_path)
 
     outcome = (F.when(~F.col("has_file"), F.lit("failed"))
@@ -73,26 +87,50 @@ def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
     outcomes = (joins.flag_exists(tagged, found, "found", "id")
                 .select("id", outcome.alias("outcome")))
     new_docs = upserts.partial_update(documents, found, ["abstract", "conclusion"], "id")
-    counters = aggregates.extraction_counters(outcomes, files.select("id"), store.select("id"))
+    counters = aggregates.extraction_counters(outcomes, ids_of_files, store)
     return ExtractionRun(new_docs, found, outcomes, counters, batch_path)
 
 
+def convert(spark: SparkSession, in_dir: str, out_dir: str, parse_fn, glob: str = "*.pdf") -> DataFrame:
+    """The conversion job: list the inputs, skip those with an output before any
+    byte is read (D4), convert the rest with ``parse_fn`` (bytes to blocks),
+    write their documents (G10), and return the counters (E4): one row with
+    total, ok, failed, skipped. Run again, it converts what failed or is new."""
+    from quire.sources.files import read_binary_documents
+
+    listed = stage(list_files(spark, in_dir, glob).select("id"), "inputs")
+    try:
+        known = spark.read.schema("id string").json(out_dir)
+    except AnalysisException:      # nothing has been written yet
+        known = spark.createDataFrame([], "id string")
+    todo = stage(joins.missing_outputs(listed, known), "todo")
+    inputs = joins.known_only(read_binary_documents(spark, in_dir, glob), todo)
+    done = stage(generation.convert_documents(inputs, "content", ["id"], parse_fn), "converted")
+    write_documents(done.filter(F.col("status") == "ok"), out_dir)
+    skipped = joins.unprocessed(listed, todo).select("id", F.lit("skipped").alias("status"))
+    return aggregates.conversion_counters(done.select("id", "status").unionByName(skipped))
+
+
 def summarise(documents: DataFrame, summaries: DataFrame, make_fn=None,
               partitions: int | None = None, options: dict | None = None) -> DataFrame:
     """Summarise every paper with a section and upsert the results; a failed
     generation keeps the previous summary. Returns the next summaries table.
-    ``options`` (e.g. ``model``, ``system_prompt``) go to ``make_fn``."""
+    Without ``make_fn`` the summary is the lead of the section, a Column; with
+    it, prompts go to the caller's generator, and ``options`` (e.g. ``model``,
+    ``system_prompt``) to ``make_fn``."""
     src = filters.summarisable(documents.select("id", "abstract", "conclusion"))
-    prompts = src.select("id", summary_prompt("abstract", "conclusion").alias("prompt"),
-                         is_blank("abstract").alias("no_abstract"),
-                         is_blank("conclusion").alias("no_conclusion"))
-    gen = generation.generate(prompts, "prompt", "generated", make_fn, partitions, options)
+    blank = [is_blank("abstract").alias("no_abstract"), is_blank("conclusion").alias("no_conclusion")]
+    if make_fn is None:
+        gen = src.select("id", generation.lead_summary("abstract", "conclusion").alias("generated"), *blank)
+    else:
+        prompts = src.select("id", summary_prompt("abstract", "conclusion").alias("prompt"), *blank)
+        gen = generation.generate(prompts, "prompt", "generated", make_fn, partitions, options)
     new = gen.select("id", flag_missing_flags("generated", "no_abstract", "no_conclusion")
                      .alias("summary"))
     return upserts.upsert_summary(summaries, new, "id")
 
 
-def judge_relevance(documents: DataFrame, make_fn=None, partitions: int | None = None,
+def judge_relevance(documents: DataFrame, make_fn, partitions: int | None = None,
                     options: dict | None = None):
     """Judge pending papers (``selected IS NULL``) by their affiliation and
     write yes/no. Any failure is a final 'no'. Returns (next document
@@ -115,7 +153,7 @@ def search_hits(catalog: DataFrame, config: dict, as_of,
     from quire.plans.search import run_search
 
     hits = run_search(catalog, config, as_of, text_cols=text_cols, id_col="id")
-    return stage(hits.select("id", "title", author_string("author_names").alias("authors"),
+    return stage(hits.select("id", "title", author_string("author_names", hits).alias("authors"),
                              "pdf_url"), "fetch")
 
 
@@ -141,7 +179,7 @@ def fetch_with_affiliations(catalog: DataFrame, documents: DataFrame, summaries:
 
     hits = run_search(catalog, config, as_of, text_cols=text_cols, id_col="id")
     rows = stage(hits.select(strip_version("id", strict_ids).alias("id"), "title",
-                             author_string("author_names").alias("authors"),
+                             author_string("author_names", hits).alias("authors"),
                              affiliations("atom_xml").alias("affiliation"), "pdf_url",
                              F.col("summary").alias("abstract")), "fetch")
     return (upserts.upsert_replace(documents, rows, "id"),

@@ -8,6 +8,7 @@ caller and these functions only read from it.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,19 +56,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is. Only when
-    it is unset (local runs and tests) is a fresh scratch folder created.
+    The folder named by ``spark.checkpoint.dir`` is used as is. When it is
+    unset, a session of one process (master ``local``), whose tasks all see the
+    driver's folders, gets a fresh scratch folder; any other session has no
+    folder that its executors share, and this raises.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="quire-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # a core config may be read-only at run time;
-            pass           # getCheckpointDir() finds the folder from now on
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path:
+        return path
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="quire-ckpt-")
+    spark.sparkContext.setCheckpointDir(path)   # found by getCheckpointDir() from now on
     return path
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,20 @@ def _describe(spark: SparkSession, name: str) -> dict:
     return {r["col_name"]: r["data_type"] for r in rows}
 
 
+def table_counts(spark: SparkSession, names: list[str]) -> DataFrame:
+    """(table, n): rows of each table (E3), as after a clear."""
+    from quire.operators.aggregates import row_count
+
+    rows = [row_count(spark.table(n)).select(F.lit(n).alias("table"), "n") for n in names]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def orphans(child: DataFrame, parent: DataFrame, key: str = "id") -> DataFrame:
+    """Rows of ``child`` whose key is not in ``parent`` (the foreign-key check
+    summaries.id -> full_documents.id)."""
+    return child.join(parent.select(key), key, "left_anti")
+
+
 def clear_table(spark: SparkSession, name: str) -> int | None:
     """Delete all rows, keep the schema (G6). Returns the rows removed, or
     None when the table does not exist."""
@@ -86,7 +101,8 @@ def replace_table(spark: SparkSession, name: str, new_content: DataFrame,
     if info.get("Num Buckets") not in (None, "", "-1"):
         twin, old = f"{name}__v{stamp}", f"{name}__old{stamp}"
         spark.sql(f"CREATE TABLE {twin} LIKE {name}")
-        new_content.select(*cols).write.insertInto(twin)
+        # one task per bucket, so one file per bucket
+        new_content.select(*cols).repartition(int(info["Num Buckets"]), "id").write.insertInto(twin)
         spark.sql(f"ALTER TABLE {name} RENAME TO {old.split('.')[-1]}")
         spark.sql(f"ALTER TABLE {twin} RENAME TO {name.split('.')[-1]}")
         spark.sql(f"DROP TABLE {old}")
@@ -125,11 +141,14 @@ def write_documents(df: DataFrame, path: str, key: str = "id", texts: str = "tex
     df.select(key, texts).write.mode(mode).json(path)
 
 
-def write_sections(df: DataFrame, path: str, batch_id: int | None = None) -> str:
+def write_sections(df: DataFrame, path: str, writer: str, batch_id: int = 0) -> str:
     """Add newly extracted sections to the sections store (G9) as their own
-    ``batch_id=<n>`` folder, overwritten if it exists: a retried batch
-    rewrites the same folder. Returns the folder written."""
-    batch_id = int(time.time() * 1000) if batch_id is None else batch_id
-    out = f"{path}/batch_id={batch_id}"
-    df.select("id", "abstract", "conclusion").write.mode("overwrite").parquet(out)
+    ``writer=<w>/batch_id=<n>`` folder, overwritten if it exists: a retried
+    batch rewrites its own folder, and two writers never share one. Returns the
+    folder written."""
+    if "/" in writer or "=" in writer:
+        raise ValueError(f"writer name {writer!r} holds a path character")
+    out = f"{path}/writer={writer}/batch_id={batch_id}"
+    (df.select("id", "abstract", "conclusion", F.lit(int(time.time() * 1000)).alias("written_at"))
+       .write.mode("overwrite").parquet(out))
     return out

@@ -51,12 +51,15 @@ def read_converted_documents(spark: SparkSession, path: str) -> DataFrame:
     return df.select("id", assemble_content("texts").alias("content"))
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, path: str, glob: str = "*",
+               exclude: list[str] | None = None) -> DataFrame:
     """File listing (id = stem, path, length) without reading any content:
     the ``binaryFile`` source skips the bytes when ``content`` is pruned."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-                 .select(file_stem(F.element_at(F.split("path", "/"), -1)).alias("id"),
-                         "path", "length"))
+    name = F.element_at(F.split("path", "/"), -1)
+    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    if exclude:
+        df = df.filter(~name.isin(exclude))
+    return df.select(file_stem(name).alias("id"), "path", "length")
 
 
 def read_binary_documents(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
@@ -66,18 +69,29 @@ def read_binary_documents(spark: SparkSession, path: str, glob: str = "*.pdf") -
                          "path", "length", "content"))
 
 
-def read_sections(spark: SparkSession, path: str, exclude_batch: int | None = None) -> DataFrame:
-    """Previously extracted sections (A4): (id, abstract, conclusion); an
-    empty frame when nothing has been stored yet. The store is a folder of
-    ``batch_id=<n>`` parts; ``exclude_batch`` leaves one of them out."""
+def read_section_rows(spark: SparkSession, path: str,
+                      exclude: tuple[str, int] | None = None) -> DataFrame:
+    """All rows of the sections store, with when and by whom they were written;
+    an empty frame when nothing has been stored yet. The store is a folder of
+    ``writer=<w>/batch_id=<n>`` parts; ``exclude`` leaves one of them out."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
-        return spark.createDataFrame([], schemas.SECTIONS)
+        return spark.createDataFrame([], schemas.SECTIONS_STORED)
     df = spark.read.schema(schemas.SECTIONS_STORED).parquet(path)
-    if exclude_batch is not None:
-        df = df.filter(F.col("batch_id") != exclude_batch)
-    return df.select("id", "abstract", "conclusion")
+    if exclude is not None:
+        df = df.filter((F.col("writer") != exclude[0]) | (F.col("batch_id") != exclude[1]))
+    return df
+
+
+def read_sections(spark: SparkSession, path: str,
+                  exclude: tuple[str, int] | None = None) -> DataFrame:
+    """Previously extracted sections (A4): (id, abstract, conclusion), one
+    current row per id: the one written last (then by writer and batch)."""
+    row = F.struct("abstract", "conclusion")
+    order = F.struct("written_at", "writer", "batch_id", row)
+    return (read_section_rows(spark, path, exclude).groupBy("id")
+            .agg(F.max_by(row, order).alias("s")).select("id", "s.abstract", "s.conclusion"))
 
 
 def read_sections_json(spark: SparkSession, path: str) -> DataFrame:

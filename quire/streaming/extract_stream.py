@@ -2,10 +2,11 @@
 
 New parsed-document files dropped into a folder are extracted once. The
 file source's log (in the checkpoint) remembers which files were seen;
-``foreachBatch`` additionally skips ids already in the sections store, so
+``foreachBatch`` additionally skips ids that other batches have stored, so
 a re-sent file does not produce a second entry. Each micro-batch is
-written to its own ``batch_id=<n>`` folder with overwrite, so replaying a
-batch after a failure rewrites the same folder (idempotent).
+written to its own ``writer=<w>/batch_id=<n>`` folder with overwrite. A batch
+that is replayed after a failure leaves its own folder out of the test and
+rewrites it; streams with their own checkpoint are writers of their own.
 
 The sections store is append-only. The document table's abstract and
 conclusion are merged from it on read (``documents_with_sections``) or
@@ -15,11 +16,11 @@ document table per micro-batch would not scale.
 There is no event time in this data, so no watermark: state is only the
 file log.
 
-Scale: a micro-batch holds at most ``max_files_per_trigger`` files. Each
-micro-batch is staged (written once, ``layout.stage``): its extraction runs
-once although the batch is read twice, and the planner sees its real size.
-A batch below the broadcast threshold has its ids broadcast to find the
-ones already stored, so the store is only scanned, never shuffled.
+Scale: ``max_files_per_trigger`` bounds a micro-batch when the caller sets
+it. Each micro-batch is staged (written once, ``layout.stage``): its extraction
+runs once although the batch is read twice, and the planner sees its real size.
+A batch below the broadcast threshold has its ids broadcast to find the ones
+already stored, so the store's ids are only scanned, never shuffled.
 
 Two source layouts: ``"parsed"`` (one JSON document per file, id = file
 stem) and ``"converted"`` (JSON lines ``{"id", "texts"}`` as
@@ -28,6 +29,8 @@ stem) and ``"converted"`` (JSON lines ``{"id", "texts"}`` as
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,7 +39,7 @@ from quire.functions.sections import assemble_content, parsed_document_content,
 from quire.operators import filters, joins, upserts
 from quire.operators.layout import stage
 from quire.sinks.tables import write_sections
-from quire.sources.files import file_stem, read_sections
+from quire.sources.files import file_stem, read_section_rows
 
 
 def parsed_document_stream(spark: SparkSession, in_dir: str, glob: str = "*.json",
@@ -65,10 +68,12 @@ def converted_document_stream(spark: SparkSession, in_dir: str,
 def extract_stream(spark: SparkSession, in_dir: str, sections_dir: str, checkpoint: str,
                    glob: str = "*.json", exclude: list[str] | None = None,
                    available_now: bool = True,
-                   max_files_per_trigger: int = 10_000,
-                   source: str = "parsed") -> StreamingQuery:
+                   max_files_per_trigger: int | None = None,
+                   source: str = "parsed", writer: str | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it handles what is there
-    and stops (``query.awaitTermination()``)."""
+    and stops (``query.awaitTermination()``). ``writer`` names this stream in
+    the store; by default the name follows from its checkpoint folder."""
+    writer = writer or "stream-" + hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
     if source == "converted":
         docs = converted_document_stream(spark, in_dir, max_files_per_trigger)
     else:
@@ -78,16 +83,16 @@ def extract_stream(spark: SparkSession, in_dir: str, sections_dir: str, checkpoi
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         staged = stage(batch, f"stream-{batch_id}")
-        seen = read_sections(spark, sections_dir).select("id").join(
-            staged.select("id"), "id", "left_semi")
+        stored = read_section_rows(spark, sections_dir, exclude=(writer, batch_id)).select("id")
+        seen = stored.join(staged.select("id"), "id", "left_semi")
         fresh = upserts.latest_per_key(joins.unprocessed(staged, seen, "id"), "id")
-        write_sections(fresh, sections_dir, batch_id)
+        write_sections(fresh, sections_dir, writer, batch_id)
 
-    writer = (found.writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+    out = (found.writeStream.foreachBatch(write_batch)
+           .option("checkpointLocation", checkpoint))
+    out = out.trigger(availableNow=True) if available_now else out.trigger(
         processingTime="30 seconds")
-    return writer.start()
+    return out.start()
 
 
 def documents_with_sections(docs: DataFrame, sections: DataFrame) -> DataFrame:

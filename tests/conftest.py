@@ -36,10 +36,10 @@ def scratch_dir():
 def query_runs(spark):
     """Every registered query run once at sf0.001: name -> (columns, rows,
     final executed plan). Shared by the oracle and the plan tests."""
-    import __spark_entry__ as E
+    from quire.plans.queries import QUERIES
 
     runs = {}
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, SF0001)
         rows = df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -78,9 +78,37 @@ def test_strip_version(spark):
                "solv-int/9901001v1") == "sol"
 
 
-def test_parse_keywords():
-    assert Q.parse_keywords(['"World Model" OR "world models"', 'Diffusion']) == \
-        ["world model", "world models", "diffusion"]
+def found(spark, *expressions):
+    df = spark.createDataFrame([(1, "A World Model paper", None), (2, "x", "about video diffusion"),
+                                (3, "World model", "video"), (4, None, "world")],
+                               "n int, title string, content string")
+    return [r.n for r in df.filter(Q.keyword_predicate(["title", "content"], list(expressions))).collect()]
+
+
+def test_search_expressions(spark):
+    assert found(spark, '"World Model" OR "diffusion"') == [1, 2, 3]
+    assert found(spark, '"world model" AND "video"') == [3]
+    assert found(spark, '"world" ANDNOT ("video" OR "paper")') == [4]
+    assert found(spark, 'ti:paper OR (abs:"video" AND "diffusion")') == [1, 2]
+    assert found(spark, "video diffusion") == [2]          # words side by side are a phrase
+    assert found(spark) == found(spark, " ") == []
+    for bad in ('("a"', '"a" AND', 'au:lee', '"a" "b"', 'OR "a"', '"a'):
+        with pytest.raises(ValueError):
+            found(spark, bad)
+
+
+def test_author_string_takes_structs(spark):
+    df = spark.createDataFrame([([("A", 1), ("B", 2)],)], "v array<struct<name:string,n:int>>")
+    assert df.select(Q.author_string("v", df)).first()[0] == "A, B"
+
+
+def test_tag_text_reads_cdata_and_numeric_entities(spark):
+    from quire.functions.text import tag_texts
+    xml = ("<affiliation><![CDATA[MIT <Lab> &amp;]]></affiliation><affiliation>&#201;cole &#xC9; &amp;#201;"
+           "</affiliation><affiliation>a &lt; <![CDATA[b]]></affiliation>")
+    df = spark.createDataFrame([(xml,)], "x string")
+    assert df.select(tag_texts("x", ["affiliation"])).first()[0] == [
+        "MIT <Lab> &amp;", "\u00c9cole \u00c9 &#201;", "a < b"]
 
 
 def test_keyword_predicate(spark):

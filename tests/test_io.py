@@ -4,6 +4,7 @@ sections store, keyed dump, documents, catalog tables."""
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire import schemas
@@ -59,11 +60,55 @@ def test_write_documents_and_sections(spark, scratch_dir):
     tables.write_documents(df, f"{scratch_dir}/docs")
     assert spark.read.json(f"{scratch_dir}/docs").first().id == "p1"
     s = spark.createDataFrame([("p1", "a", None)], schemas.SECTIONS)
-    tables.write_sections(s, f"{scratch_dir}/sections", batch_id=1)
-    tables.write_sections(s.withColumn("id", F.lit("p2")), f"{scratch_dir}/sections", batch_id=2)
-    tables.write_sections(s.withColumn("id", F.lit("p2")), f"{scratch_dir}/sections", batch_id=2)
-    assert files.read_sections(spark, f"{scratch_dir}/sections").count() == 2
-    assert files.read_sections(spark, f"{scratch_dir}/sections", exclude_batch=2).count() == 1
+    store = f"{scratch_dir}/sections"
+    tables.write_sections(s, store, "w", 1)
+    tables.write_sections(s.withColumn("id", F.lit("p2")), store, "w", 2)
+    tables.write_sections(s.withColumn("id", F.lit("p2")), store, "w", 2)      # a retry
+    assert files.read_sections(spark, store).count() == 2
+    assert files.read_sections(spark, store, exclude=("w", 2)).count() == 1
+    tables.write_sections(s.withColumn("id", F.lit("p3")), store, "other", 1)  # not the first one's batch 1
+    assert files.read_sections(spark, store).count() == 3
+    tables.write_sections(s.withColumn("abstract", F.lit("newer")), store, "other", 2)
+    assert {r.id: r.abstract for r in files.read_sections(spark, store).collect()} == {
+        "p1": "newer", "p2": "a", "p3": "a"}
+
+
+def test_table_counts_and_orphans(spark):
+    spark.range(3).selectExpr("cast(id as string) id").createOrReplaceTempView("tc_docs")
+    spark.range(2, 5).selectExpr("cast(id as string) id").createOrReplaceTempView("tc_summ")
+    counts = {r["table"]: r.n for r in tables.table_counts(spark, ["tc_docs", "tc_summ"]).collect()}
+    assert counts == {"tc_docs": 3, "tc_summ": 3}
+    lost = tables.orphans(spark.table("tc_summ"), spark.table("tc_docs"))
+    assert sorted(r.id for r in lost.collect()) == ["3", "4"]
+
+
+def test_conversion_job_twice(spark, scratch_dir):
+    import os
+
+    from quire.plans import workflow
+    src, out = f"{scratch_dir}/bin", f"{scratch_dir}/converted"
+    os.makedirs(src)
+    for name, body in (("a", b"one\ntwo"), ("b", b"x"), ("c", b"\xff\xfe")):
+        open(f"{src}/{name}.pdf", "wb").write(body)
+
+    def parse(content):
+        return [{"text": line} for line in bytes(content).decode("utf-8").split("\n")]
+    first = workflow.convert(spark, src, out, parse).first().asDict()
+    assert first == {"total": 3, "ok": 2, "failed": 1, "skipped": 0}
+    again = workflow.convert(spark, src, out, parse).first().asDict()
+    assert again == {"total": 3, "ok": 0, "failed": 1, "skipped": 2}
+    got = {r.id: r.content for r in files.read_converted_documents(spark, out).collect()}
+    assert got == {"a": "one\n\ntwo\n\n", "b": "x\n\n"}
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from quire.session import ensure_checkpoint_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=SimpleNamespace(
+        getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(cluster)
 
 
 def test_catalog_tables_create_clear_replace(spark):

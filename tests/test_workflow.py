@@ -40,7 +40,7 @@ def test_summarise_and_judge(spark):
         ("b", "T", "Au", "u", None, None)], schemas.FULL_DOCUMENTS)
     summaries = spark.createDataFrame([("b", "kept")], schemas.SUMMARIES)
     out = {r.id: r.summary for r in workflow.summarise(docs, summaries).collect()}
-    assert out == {"a": "(missing conclusion) Abstract: First. Second.", "b": "kept"}
+    assert out == {"a": "(missing conclusion) First. Second.", "b": "kept"}
 
     rel = docs.withColumn("affiliation", F.lit("MIT")).withColumn("selected", F.lit(None).cast("string"))
 
