@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quire.functions.text import WS, clean_span, is_blank, strip
+from quire.functions.text import WS, clean_span, is_blank, strip, min_length
 
 # ---------------------------------------------------------------------------
 # The section patterns, in the source pipeline's own (Python
@@ -106,7 +106,8 @@ def first_long_match(content, patterns: list[str],
     spans = []
     for p in patterns:
         span = clean_span(F.regexp_extract(c, to_java(search_form(p)), 1))
-        spans.append(F.when(F.length(span) > min_chars, span))
+        # tested in a lambda, so that a pattern is searched once
+        spans.append(F.get(F.transform(F.array(span), lambda s: min_length(s, min_chars)), 0))
     return F.coalesce(*spans)
 
 

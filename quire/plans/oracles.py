@@ -8,7 +8,12 @@ lists as the Spark side, rewritten for RE2 by ``sections.to_re2``.
 
 from __future__ import annotations
 
-from quire.functions.sections import MIN_SECTION_CHARS, SECTION_PATTERNS, to_re2
+from quire.functions.sections import (ABSTRACT_PATTERNS, CONCLUSION_PATTERNS, DISCUSSION_PATTERNS,
+                                      MIN_SECTION_CHARS, to_re2)
+
+#: The fixed lists as they stand, not the shorter ones that the operators search.
+SECTION_PATTERNS = {"abstract": ABSTRACT_PATTERNS, "conclusion": CONCLUSION_PATTERNS,
+                    "discussion": DISCUSSION_PATTERNS}
 
 PAPERS_BASE = r"""
 papers_d as (
