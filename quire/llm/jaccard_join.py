@@ -119,13 +119,13 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
-    """At most ``most`` shingles of largest count (counts below 2 in a slice of
-    a few MB are left out), sorted."""
+    """At most ``most`` shingles of largest count (counts below 2 in 4 MB of text
+    are left out), sorted."""
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for part in ta.slices(batch, "text"):
+            for part in ta.slices(batch, "text", 4 << 20):
                 h, count = np.unique(shingle_sets(part.column(0), n)[1], return_counts=True)
                 some = count >= 2
                 yield pa.RecordBatch.from_arrays(
