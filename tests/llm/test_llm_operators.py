@@ -416,3 +416,16 @@ def test_pipeline_stages(spark, scratch_dir):
             assert kept.count() > 0.8 * docs.count()
         docs = kept
     assert docs.count() > 0
+
+
+def test_pipeline_stages_on_empty_and_odd_tables(spark, scratch_dir, odd_docs, no_docs):
+    import corpus_pipeline
+    for k, first in enumerate((no_docs, odd_docs)):
+        first.write.parquet(f"{scratch_dir}/odd{k}")
+        for name, stage in corpus_pipeline.STAGES:          # each on the same odd rows
+            docs = spark.read.parquet(f"{scratch_dir}/odd{k}")
+            out = stage(spark, docs, SF)
+            n = out.count()
+            assert n == 0 if k == 0 else n > 0, name
+            if name != "encode":
+                assert out.columns == docs.columns
