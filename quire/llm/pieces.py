@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from quire.llm import text_arrays as ta
 
 MARK = "▁"
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: What a byte piece costs below the lowest score of the normal pieces.
 FALLBACK = 10.0
 
