@@ -4,8 +4,9 @@ sources, SentencePiece encoding.
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet and read again as the next
-stage's docs. ``docs`` is always a stored table: two stages number its rows in
-scan order, so that rows which repeat a doc_id stay apart.
+stage's docs. Two stages number the rows, so that rows which repeat a doc_id stay
+apart; the numbers are written once (``_numbered``), as a later scan can have
+other partitions.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import jaccard_join, language_crf, mixing, pieces, quality_classifier
-from quire.llm.common import narrow, remainder, table
+from quire.llm.common import narrow, remainder, stage, table
 from quire.session import scratch_path
 
 #: Not SQL: three of the stages learn models. Each stage is tested by itself.
@@ -30,6 +31,11 @@ def _fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
+def _numbered(docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` with a stored row number: every later scan reads the same one."""
+    return stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the texts of a learned language (at least half of it by score)."""
     model = language_crf.fit(docs.where(remainder(F.col("doc_id"), 3) != 1))
@@ -49,7 +55,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of linked texts (the first in scan order)."""
     row = _fresh(docs, "row_number")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = _numbered(docs, row)
     dropped = (jaccard_join.join(numbered, id_col=row).where("component_id <> doc_id")
                .select(F.col("doc_id").alias(row)))
     return numbered.join(narrow(dropped), row, "left_anti").select(*docs.columns)
@@ -58,7 +64,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes its words: round(taken / size) times."""
     row, copies = _fresh(docs, "row_number"), _fresh(docs, "copies")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = _numbered(docs, row)
     times = (mixing.mix(numbered, id_col=row).where("size > 0")
              .select(F.col("doc_id").alias(row), F.round(F.col("taken") / F.col("size")).cast("int").alias(copies))
              .where(F.col(copies) > 0))
@@ -81,9 +87,9 @@ STAGES = [("language", language), ("quality", quality), ("near_duplicates", near
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, step in STAGES:
         path = scratch_path(spark, f"pipeline/{name}-{uuid.uuid4().hex}")
-        out = stage(spark, docs, sf_dir)
+        out = step(spark, docs, sf_dir)
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
     return docs

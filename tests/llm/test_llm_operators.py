@@ -429,3 +429,27 @@ def test_pipeline_stages_on_empty_and_odd_tables(spark, scratch_dir, odd_docs, n
             assert n == 0 if k == 0 else n > 0, name
             if name != "encode":
                 assert out.columns == docs.columns
+
+
+def test_pipeline_row_numbers_survive_a_new_split(spark, scratch_dir, monkeypatch):
+    import corpus_pipeline
+    rows = [(i, " ".join(f"w{i % 24}x{j}" for j in range(20 + i % 24)), "aa", f"s{i % 3}", 1) for i in range(96)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(
+        16, "doc_id").write.parquet(f"{scratch_dir}/in")
+    docs = spark.read.parquet(f"{scratch_dir}/in")
+    key, narrow = "spark.sql.files.maxPartitionBytes", corpus_pipeline.narrow
+
+    def split_anew(keys):
+        out = narrow(keys)
+        spark.conf.set(key, "4m")           # one file a partition from now on
+        return out
+
+    steps = (corpus_pipeline.near_duplicates, corpus_pipeline.mix)
+    usual = [sorted(map(tuple, step(spark, docs, SF).collect())) for step in steps]
+    assert len({r[1] for r in usual[0]}) == len(usual[0]) == 24
+    monkeypatch.setattr(corpus_pipeline, "narrow", split_anew)
+    for step, want in zip(steps, usual):
+        try:
+            assert sorted(map(tuple, step(spark, docs, SF).collect())) == want
+        finally:
+            spark.conf.unset(key)
