@@ -37,6 +37,10 @@ def spread_if_asked(df: DataFrame, fence_cols: list[str] | None = None) -> DataF
     return spread(df, int(n), fence_cols) if n else df
 
 
+#: At least six digits; lpad to a fixed length would cut longer ids, so that papers share one.
+_PAPER_ID = """concat('2401.', lpad(cast(doc_id as string), greatest(6, length(cast(doc_id as string))), '0'),
+  'v', doc_id % 3 + 1)"""
+
 _BLOCKS = """concat(
   array(concat('Paper ', doc_id)),
   case av when 0 then array('Abstract', ls[0]) when 1 then array('ABSTRACT', ls[0])
@@ -72,8 +76,7 @@ def papers(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataF
     strip_re = f"(?U)^{WS}+|{WS}+$"
     out = b.select(
         "doc_id",
-        F.expr("concat('2401.', lpad(cast(doc_id as string), 6, '0'), 'v', doc_id % 3 + 1)")
-         .alias("paper_id"),
+        F.expr(_PAPER_ID).alias("paper_id"),
         F.expr("substr(ls[0], 1, 60)").alias("title"),
         F.expr("array(concat('Author ', doc_id % 7), concat('Author ', doc_id % 11))")
          .alias("author_names"),
@@ -103,8 +106,7 @@ def paper_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return docs.select(
         "doc_id",
-        F.expr("concat('2401.', lpad(cast(doc_id as string), 6, '0'), 'v', doc_id % 3 + 1)")
-         .alias("paper_id"),
+        F.expr(_PAPER_ID).alias("paper_id"),
         F.expr("array(concat('Author ', doc_id % 7), concat('Author ', doc_id % 11))")
          .alias("author_names"),
         F.expr("case when doc_id % 10 <> 0 then concat('https://example.org/pdf/', doc_id) end")

@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from quire.plans import fixtures
+
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython"]
 
 
@@ -47,3 +49,13 @@ def test_python_only_in_generation_and_conversion(plans):
     with_python = {n for n, p in plans.items() if "MapInPandas" in p}
     assert with_python == {"generated_texts", "converted_pages", "converted_lines",
                            "conversion_counters"}
+
+
+def test_long_ids_stay_apart(spark, scratch_dir):
+    ids = [7, 123456, 1000000, 1000003, 1234560, 1234569, 12345678, 1000000000003]
+    (spark.createDataFrame([(i, "A line", "en", "s", 6) for i in ids],
+                           "doc_id long, text string, lang string, source string, n_chars long")
+     .write.parquet(f"{scratch_dir}/documents.parquet"))
+    want = {i: f"2401.{i:06d}v{i % 3 + 1}" for i in ids}
+    for make in (fixtures.papers, fixtures.paper_keys):
+        assert {r.doc_id: r.paper_id for r in make(spark, scratch_dir).select("doc_id", "paper_id").collect()} == want
