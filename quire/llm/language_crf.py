@@ -9,7 +9,8 @@ takes the language with the largest mean, which is its score.
 Documents carry one label each, so training sequences are spliced from runs of
 words of differently labelled texts: the transitions are learned from these.
 The fit uses a bounded sample: at most ``fit_rows`` texts per language, of at
-most ``fit_chars`` characters each (longer texts are passed over, not cut).
+most ``fit_chars`` characters each (longer texts are passed over, not cut) and
+with a word. A language without such a text is not learned; the others are.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; so
 is every text when nothing was learned; ties go to the first language in code
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm import text_arrays as ta
+from quire.llm.common import WORD
 
 GRAMS, LEXICON, AFFIX = 1 << 16, 1 << 16, 1 << 15
 SIZE = GRAMS + LEXICON + AFFIX
@@ -114,13 +116,13 @@ def train(texts: list[str], labels: list, rounds: int = 400, batch: int = 64, le
     """Maximum likelihood on spliced sequences by adaptive gradient steps."""
     import pyarrow as pa
 
-    names = sorted(set(labels))
-    k = len(names)
-    weight, change = np.zeros((SIZE, k), np.float32), np.zeros((k, k))
     w = ta.words(pa.array(texts, pa.string()))
     f = features(w)
+    names = sorted({labels[i] for i in np.unique(w.doc)})     # those that have a word
+    k = len(names)
+    weight, change = np.zeros((SIZE, k), np.float32), np.zeros((k, k))
     per = [np.flatnonzero(np.isin(w.doc, [i for i, y in enumerate(labels) if y == name])) for name in names]
-    if k < 2 or any(not len(p) for p in per):
+    if k < 2:
         return Model(names, weight, change)
     rng = np.random.default_rng(seed)
     size_of = np.diff(np.append(f.cut, len(f.gram)))
@@ -201,11 +203,11 @@ def label(column, model: Model) -> tuple[list, np.ndarray]:
 
 def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", fit_rows: int = 300,
         fit_chars: int = 12000) -> Model:
-    """Model from a bounded sample of rows with a language and a text."""
+    """Model from a bounded sample of rows with a language and a text with a word."""
     d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
                     F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
-        & F.length("text").between(1, fit_chars)).withColumn("h", F.xxhash64("id"))
+        & F.length("text").between(1, fit_chars) & F.col("text").rlike(WORD)).withColumn("h", F.xxhash64("id"))
     # a row limit per language, first in 64 parts of it; Spark applies it in each
     # task before the shuffle
     keys = d.select("id", "lang", "h").withColumn("part", F.pmod(F.xxhash64("h"), F.lit(64)))

@@ -167,6 +167,20 @@ def test_language_of_odd_rows(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
 
 
+def test_language_without_words_is_left_out(spark, prose):
+    texts = [prose(lang, 60) for lang in ("aa", "bb") for _ in range(6)]
+    model = language_crf.train(texts + [" \n", "\t"], ["aa"] * 6 + ["bb"] * 6 + ["cc"] * 2, rounds=40)
+    assert model.labels == ["aa", "bb"] and model.weight.any()
+    assert language_crf.train([" ", "\n"], ["aa", "bb"]).labels == []
+    # blank texts don't use up the rows of a language either
+    words_of = {"aa": lambda: prose("aa", 60), "bb": lambda: prose("bb", 60), "cc": lambda: "quo vadis domine " * 20}
+    rows = [(i, words_of[lang](), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 4)]
+    rows += [(100 + i, " \n" * i, lang) for i in range(1, 60) for lang in ("cc", "dd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_crf.fit(docs, fit_rows=4)
+    assert model.labels == ["aa", "bb", "cc"] and model.weight.any()
+
+
 # --------------------------------------------------------------------- 4 top-k
 
 @pytest.mark.parametrize("scale", [1.0, 40.0])
