@@ -8,9 +8,10 @@ takes the language with the largest mean, which is its score.
 
 Documents carry one label each, so training sequences are spliced from runs of
 words of differently labelled texts: the transitions are learned from these.
-The fit uses a bounded sample: at most ``fit_rows`` texts per language, of at
-most ``fit_chars`` characters each (longer texts are passed over, not cut) and
-with a word. A language without such a text is not learned; the others are.
+The fit uses a bounded sample of texts with a word: at most ``fit_rows`` per
+language, of at most ``fit_chars`` characters each. Longer texts are taken only
+where a language has too few others, and of them the first ``fit_chars``
+characters. A language without a text with a word is not learned; the others are.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; so
 is every text when nothing was learned; ties go to the first language in code
@@ -204,18 +205,21 @@ def label(column, model: Model) -> tuple[list, np.ndarray]:
 def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", fit_rows: int = 300,
         fit_chars: int = 12000) -> Model:
     """Model from a bounded sample of rows with a language and a text with a word."""
-    d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
-                    F.col(lang_col).alias("lang")).where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull()
-        & F.length("text").between(1, fit_chars) & F.col("text").rlike(WORD)).withColumn("h", F.xxhash64("id"))
+    long = F.length(text_col) > fit_chars
+    text = F.when(long, F.substring(F.ltrim(F.col(text_col), F.lit(" \t\n\x0b\x0c\r")), 1, fit_chars)).otherwise(
+        F.col(text_col))
+    d = docs.select(F.col(id_col).cast("string").alias("id"), text.alias("text"),
+                    F.col(lang_col).alias("lang"), long.alias("long")).where(
+        F.col("lang").isNotNull() & F.col("text").rlike(WORD)).withColumn("h", F.xxhash64("id"))
     # a row limit per language, first in 64 parts of it; Spark applies it in each
     # task before the shuffle
-    keys = d.select("id", "lang", "h").withColumn("part", F.pmod(F.xxhash64("h"), F.lit(64)))
+    keys = d.select("id", "lang", "long", "h").withColumn("part", F.pmod(F.xxhash64("h"), F.lit(64)))
     for by in (("lang", "part"), ("lang",)):
         keys = keys.withColumn("r", F.row_number().over(
-            Window.partitionBy(*by).orderBy("h", "id"))).where(F.col("r") <= fit_rows)
-    keys = docs.sparkSession.createDataFrame(keys.select("id", "lang").distinct().collect(), "id string, lang string")
-    got = d.join(F.broadcast(keys), ["id", "lang"]).select("lang", "h", "id", "text").collect()
+            Window.partitionBy(*by).orderBy("long", "h", "id"))).where(F.col("r") <= fit_rows)
+    keys = docs.sparkSession.createDataFrame(keys.select("id", "lang", "long").distinct().collect(),
+                                             "id string, lang string, long boolean")
+    got = d.join(F.broadcast(keys), ["id", "lang", "long"]).select("lang", "h", "id", "text").collect()
     got.sort(key=lambda r: (r["lang"], r["h"], r["id"] or "", r["text"]))
     return train([r["text"] for r in got], [r["lang"] for r in got])
 

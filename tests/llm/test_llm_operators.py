@@ -181,6 +181,15 @@ def test_language_without_words_is_left_out(spark, prose):
     assert model.labels == ["aa", "bb", "cc"] and model.weight.any()
 
 
+def test_language_of_long_texts_only_is_learned(spark, prose):
+    rows = [(i, prose("aa", 60), "aa") for i in range(8)]
+    rows += [(20 + i, " " * 600 * (i % 2) + prose("bb", 400), "bb") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_crf.fit(docs, fit_rows=6, fit_chars=500)
+    assert model.labels == ["aa", "bb"]
+    assert all(r.lang_pred == r.lang for r in language_crf.predict(docs, model).collect())
+
+
 # --------------------------------------------------------------------- 4 top-k
 
 @pytest.mark.parametrize("scale", [1.0, 40.0])
