@@ -137,8 +137,9 @@ def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, n: int, percent: int, hot: np.ndarray) -> DataFrame:
-    """(doc_id, n, class, prefix, bits) of every row. A task writes prefix and
-    bits only for the first row that it sees of a class."""
+    """(doc_id, n, class, prefix, bits) of every row; one without an id has no
+    class. A task writes prefix and bits only for the first row that it sees of
+    a class."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)   # bounded by hot_list
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -155,8 +156,9 @@ def described(docs: DataFrame, n: int, percent: int, hot: np.ndarray) -> DataFra
                 where = np.searchsorted(hot_list, h)
                 where[where == len(hot_list)] = 0
                 is_hot = hot_list[where] == h if len(hot_list) else np.zeros(len(h), bool)
-                for a, b in zip(cut, cut[1:]):
-                    if a == b:
+                no_id = part.column(0).is_null().to_numpy(zero_copy_only=False)
+                for null, a, b in zip(no_id, cut, cut[1:]):
+                    if null or a == b:          # links nothing
                         name.append(None)
                         prefix.append(None)
                         bits.append(None)

@@ -324,6 +324,14 @@ def test_join_by_brute_force(spark, odd_docs, no_docs):
     assert jaccard_join.join(no_docs).count() == 0
 
 
+def test_join_with_the_null_id_first(spark, prose):
+    same = prose("aa", 60)
+    rows = [(None, same), (1, same), (2, same + " more"), (3, prose("bb", 60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert joined(df) == brute_components(df.collect())
+    assert dict(r[::2] for r in joined(df))["2"] == "1"
+
+
 def test_join_of_large_near_groups(spark, prose):
     """More near copies than a shingle hands out as pairs: the tiles' path. A
     chain of edits, each within reach of a few others only."""
