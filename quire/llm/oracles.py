@@ -193,10 +193,105 @@ select record_id, key as url_key,
 from j"""
 
 
+def cover_codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        # nearest entry, ties to the lower one: distance * 1000 + entry is least
+        steps.append(f"""
+a{r} as materialized (
+  select row, part, min(d * 1000 + entry) as m
+  from (select p.row, p.part, b.entry, sum((p.x - b.y) * (p.x - b.y))::hugeint as d
+        from p join b{r} b on b.part = p.part and b.pos = p.pos group by all)
+  group by row, part)""")
+        if r < rounds:
+            steps.append(f"""
+b{r + 1} as materialized (
+  select b.part, b.entry, b.pos, coalesce(c.y, b.y) as y
+  from b{r} b left join (
+    select a.part, (a.m % 1000)::int as entry, p.pos, floor(sum(p.x) / count(*))::bigint as y
+    from a{r} a join p on p.row = a.row and p.part = a.part group by all) c using (part, entry, pos))""")
+    return f"""
+with v as (
+  select row_number() over () as row, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as c
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+w as (select ceil(max(len(c)) / {parts})::bigint as w from v),
+p as materialized (
+  select row, k // w as part, k % w as pos, coalesce(c[k + 1], 0) as x from (select row, c, w, unnest(range({parts} * w)) as k from v, w)),
+b0 as materialized (
+  select p.part, f.entry, p.pos, p.x as y
+  from (select row, row_number() over (order by vec_id nulls last, c) - 1 as entry from v order by entry limit {entries}) f
+  join p using (row)),{",".join(steps)},
+hash as (select sha256(string_agg(y::varchar, ',' order by part, entry, pos)) as h from b{rounds}),
+coded as (
+  select row, string_agg(printf('%02x', (m % 1000)::int), '' order by part) as code, sum(m // 1000)::bigint as error
+  from a{rounds} group by row)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, h as codebooks_sha256
+from coded join v using (row), hash"""
+
+
+CHAT = r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, false as added from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]', true
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]', true),
+e as (
+  select *, regexp_replace(role, '([<\[])(~*(?:/?s>|/?INST\]|(?:image|audio|document|other)>))', '\1~\2', 'g') as er,
+         regexp_replace(text, '([<\[])(~*(?:/?s>|/?INST\]|(?:image|audio|document|other)>))', '\1~\2', 'g') as ec
+  from t)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, ec)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, ec) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(length('<s>') + length(er) + length('[INST]') + length(ec) + length('[/INST]</s>'))::bigint as formatted_chars
+from e group by conv_id, added"""
+
+
+RESAMPLING = rf"""
+with tab as materialized (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+    case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+w as materialized (
+  select of, row, unnest(regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+  from (select 'd' as of, row_number() over () as row, text from documents
+        union all select 't', 0, text from benchmark)),
+hex as (select word, hex(encode(word)) as h from (select distinct word from w)),
+crc as materialized (
+  select word, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i:
+    (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1)),
+    lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) % 10000 as bucket
+  from hex, tab),
+n as (select bucket, count(*) filter (where of = 'd') as s, count(*) filter (where of = 't') as t from w join crc using (word) group by bucket),
+gain as (
+  select bucket, floor(1000 * ln(((t + 1)::double * (ss + 10000)::double) / ((s + 1)::double * (tt + 10000)::double)))::bigint as g
+  from n, (select sum(s) as ss, sum(t) as tt from n)),
+weight as (
+  select row, count(*) as n, floor(sum(g)::double / count(*))::bigint as weight
+  from w join crc using (word) join gain using (bucket) where of = 'd' group by row),
+h as (
+  select row_number() over () as row, doc_id, list_reduce(list_prepend(0, list_transform(range(1, 9), lambda i:
+    strpos('0123456789abcdef', sha256('2024:' || coalesce(doc_id::varchar, ''))[i]) - 1)), lambda a, d: a * 16 + d) as h
+  from documents),
+scored as (
+  select row, doc_id, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+         coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score
+  from h left join weight using (row)),
+ranked as (
+  select row, row_number() over (order by score desc, doc_id nulls last, n_features) as rank,
+         10 * count(*) over () // 100 as take
+  from scored where n_features >= 20)
+select doc_id, n_features, weight, score, case when rank <= take then rank end as rank
+from scored left join ranked using (row)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality_rules(),
     "op4_exact_topk": TOPK,
     "op5_source_mix": MIX,
     "op8_jaccard_join": JACCARD,
     "op10_warc_revisits": warc(),
+    "op11_cover_codes": cover_codes(),
+    "op12_chat_parts": CHAT,
+    "op13_target_resampling": RESAMPLING,
 }

@@ -91,6 +91,32 @@ def op10_warc_revisits(spark, sf_dir):
                                         headers.alias("headers"))
 
 
+def op11_cover_codes(spark, sf_dir):
+    from quire.llm import cover_codes
+
+    return cover_codes.compress(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_chat_parts(spark, sf_dir):
+    from quire.llm import chat
+
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.lit(False).alias("added"))
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"), F.lit(True).alias("added"))
+    chats = chat.format_chats(said.unionByName(probe), keep=("added",))
+    return chat.digest(chats, keep=("added",)).drop("added")
+
+
+def op13_target_resampling(spark, sf_dir):
+    from quire.llm import resampling
+
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_deleted_interpolation, op3_language_crf, op4_exact_topk, op5_source_mix, op6_token_counts,
-    op7_quality_classifier, op8_jaccard_join, op9_pieces, op10_warc_revisits)}
+    op7_quality_classifier, op8_jaccard_join, op9_pieces, op10_warc_revisits,
+    op11_cover_codes, op12_chat_parts, op13_target_resampling)}

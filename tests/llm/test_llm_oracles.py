@@ -11,7 +11,7 @@ from tests.llm.conftest import SF
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "conversations"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(ORACLES[name])
     cols = sorted(want.columns)
