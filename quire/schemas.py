@@ -36,12 +36,6 @@ SECTIONS = T.StructType([
     T.StructField("conclusion", S, True),
 ])
 
-# The sections store on disk: one folder per writer and batch.
-SECTIONS_STORED = T.StructType(SECTIONS.fields + [
-    T.StructField("written_at", T.LongType(), True),     # ms, when the batch was written
-    T.StructField("writer", S, True),
-    T.StructField("batch_id", T.LongType(), True),
-])
 
 TABLES = {
     "full_documents": FULL_DOCUMENTS,

@@ -28,7 +28,7 @@ SCALE_CONF = {
 # Suggested settings for a large cluster (not applied by the library): many
 # initial shuffle partitions that AQE coalesces to ~256 MB each; 128 MB
 # scan splits; small Arrow batches for binary-file conversion, where one
-# row can be a whole PDF.
+# row can be a whole PDF; the stream's state on the executors' disks.
 CLUSTER_CONF = {
     **SCALE_CONF,
     "spark.sql.shuffle.partitions": "16000",
@@ -36,6 +36,8 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

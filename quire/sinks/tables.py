@@ -18,7 +18,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructType
+
 from quire import schemas
+from quire.operators.joins import flag_exists
+from quire.operators.layout import stage
+from quire.sinks.versions import VersionedTable, newest_rows
 
 
 def create_tables(spark: SparkSession, relevance: bool = False, database: str | None = None,
@@ -67,6 +72,28 @@ def orphans(child: DataFrame, parent: DataFrame, key: str = "id") -> DataFrame:
     return child.join(parent.select(key), key, "left_anti")
 
 
+class CheckedTable:
+    """A table whose rows must have a parent (the foreign key summaries.id ->
+    full_documents.id, kept at write): ``accepted`` and ``rejected`` are versioned
+    tables, the second with a ``reason`` (``no key`` or ``no parent``)."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, key: str = "id"):
+        self.key = key
+        self.accepted = VersionedTable(spark, f"{root}/accepted", schema, key)
+        self.rejected = VersionedTable(spark, f"{root}/rejected", StructType(schema.fields).add("reason", "string"), key)
+
+    def append(self, rows: DataFrame, parent: DataFrame, writer: str, batch: int, parent_key: str | None = None) -> None:
+        """Add a batch: each row goes to one of the two tables. The parent's keys
+        are looked up once; a replayed batch changes neither table. The rejected
+        rows are committed first, so an accepted batch is always a complete one."""
+        if self.accepted.snapshot().has(writer, batch):
+            return
+        reason = F.when(F.col(self.key).isNull(), F.lit("no key")).when(~F.col("__known"), F.lit("no parent"))
+        told = stage(flag_exists(rows, parent, "__known", self.key, parent_key).withColumn("reason", reason), "checked")
+        self.rejected.append(told.where("reason is not null"), writer, batch)
+        self.accepted.append(told.where("reason is null"), writer, batch)
+
+
 def clear_table(spark: SparkSession, name: str) -> int | None:
     """Delete all rows, keep the schema (G6). Returns the rows removed, or
     None when the table does not exist."""
@@ -141,14 +168,28 @@ def write_documents(df: DataFrame, path: str, key: str = "id", texts: str = "tex
     df.select(key, texts).write.mode(mode).json(path)
 
 
-def write_sections(df: DataFrame, path: str, writer: str, batch_id: int = 0) -> str:
-    """Add newly extracted sections to the sections store (G9) as their own
-    ``writer=<w>/batch_id=<n>`` folder, overwritten if it exists: a retried
-    batch rewrites its own folder, and two writers never share one. Returns the
-    folder written."""
-    if "/" in writer or "=" in writer:
-        raise ValueError(f"writer name {writer!r} holds a path character")
-    out = f"{path}/writer={writer}/batch_id={batch_id}"
-    (df.select("id", "abstract", "conclusion", F.lit(int(time.time() * 1000)).alias("written_at"))
-       .write.mode("overwrite").parquet(out))
-    return out
+def sections_store(spark: SparkSession, path: str) -> VersionedTable:
+    """The sections store (A4, G9): a versioned table of (id, abstract, conclusion)."""
+    return VersionedTable(spark, path, schemas.SECTIONS)
+
+
+def write_sections(df: DataFrame, path: str, writer: str, batch_id: int = 0) -> int:
+    """Add newly extracted sections to the sections store (G9) as batch
+    ``batch_id`` of ``writer``. A batch is added once: repeated, it is neither
+    computed nor written, and keeps the place in the order of commits that it got
+    the first time. Returns the store's version."""
+    return sections_store(df.sparkSession, path).append(df.select("id", "abstract", "conclusion"), writer, batch_id)
+
+
+def read_batch(spark: SparkSession, path: str, writer: str, batch_id: int = 0) -> DataFrame:
+    """The sections that one batch of one writer added (until it is compacted)."""
+    return sections_store(spark, path).read(keep=lambda p: (p.writer, p.batch) == (writer, batch_id))
+
+
+def compact_sections(spark: SparkSession, path: str, keep_versions: int = 2) -> int:
+    """Make the store's parts one, with one row per id: the one committed last.
+    Returns the store's version; older versions but ``keep_versions`` are removed."""
+    store = sections_store(spark, path)
+    version = store.compact(newest_rows)
+    store.vacuum(keep_versions)
+    return version

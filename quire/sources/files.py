@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.functions.sections import assemble_content, parsed_document_content
+from quire.sinks.versions import SEQ, VersionedTable, newest_rows
 
 STEM = r"^(.*)\.[^.]+$"
 
@@ -70,28 +71,20 @@ def read_binary_documents(spark: SparkSession, path: str, glob: str = "*.pdf") -
 
 
 def read_section_rows(spark: SparkSession, path: str,
-                      exclude: tuple[str, int] | None = None) -> DataFrame:
-    """All rows of the sections store, with when and by whom they were written;
-    an empty frame when nothing has been stored yet. The store is a folder of
-    ``writer=<w>/batch_id=<n>`` parts; ``exclude`` leaves one of them out."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        return spark.createDataFrame([], schemas.SECTIONS_STORED)
-    df = spark.read.schema(schemas.SECTIONS_STORED).parquet(path)
-    if exclude is not None:
-        df = df.filter((F.col("writer") != exclude[0]) | (F.col("batch_id") != exclude[1]))
-    return df
+                      exclude: tuple[str, int] | None = None, version: int | None = None) -> DataFrame:
+    """All rows of the sections store (id, abstract, conclusion and ``SEQ``, the
+    commit that added the row); empty when nothing has been stored yet.
+    ``exclude`` leaves out one (writer, batch) by its parts, ``version`` reads an
+    earlier version."""
+    store = VersionedTable(spark, path, schemas.SECTIONS)
+    return store.read(version, with_seq=True, keep=lambda p: exclude is None or (p.writer, p.batch) != exclude)
 
 
 def read_sections(spark: SparkSession, path: str,
-                  exclude: tuple[str, int] | None = None) -> DataFrame:
+                  exclude: tuple[str, int] | None = None, version: int | None = None) -> DataFrame:
     """Previously extracted sections (A4): (id, abstract, conclusion), one
-    current row per id: the one written last (then by writer and batch)."""
-    row = F.struct("abstract", "conclusion")
-    order = F.struct("written_at", "writer", "batch_id", row)
-    return (read_section_rows(spark, path, exclude).groupBy("id")
-            .agg(F.max_by(row, order).alias("s")).select("id", "s.abstract", "s.conclusion"))
+    current row per id: the one committed last."""
+    return newest_rows(read_section_rows(spark, path, exclude, version)).drop(SEQ)
 
 
 def read_sections_json(spark: SparkSession, path: str) -> DataFrame:

@@ -1,26 +1,33 @@
 """Incremental section extraction as a file stream.
 
-New parsed-document files dropped into a folder are extracted once. The
-file source's log (in the checkpoint) remembers which files were seen;
-``foreachBatch`` additionally skips ids that other batches have stored, so
-a re-sent file does not produce a second entry. Each micro-batch is
-written to its own ``writer=<w>/batch_id=<n>`` folder with overwrite. A batch
-that is replayed after a failure leaves its own folder out of the test and
-rewrites it; streams with their own checkpoint are writers of their own.
+New parsed-document files dropped into a folder are extracted once. Two kinds of
+state keep it so, both in the checkpoint: the file source's log (which files were
+seen) and a keyed state store (which ids were): ``dropDuplicates`` on the id
+passes an id's first row and drops all later ones, so a document that is sent
+again in another file isn't stored twice. No micro-batch looks at the sections
+store, whatever its size.
+
+Each micro-batch is one commit to the store (``sinks.tables.write_sections``). A
+batch that is replayed after a failure finds itself committed and changes
+nothing; one that failed before its commit starts from the state of the batch
+before, so it admits the same ids again. Streams with their own checkpoint are
+writers of their own; an id that two of them extract has two rows in the store,
+of which readers take the one committed last.
 
 The sections store is append-only. The document table's abstract and
 conclusion are merged from it on read (``documents_with_sections``) or
 compacted with ``partial_update`` + ``replace_table``; rewriting the whole
 document table per micro-batch would not scale.
 
-There is no event time in this data, so no watermark: state is only the
-file log.
+There is no event time in this data, so no watermark: the state holds one id per
+stored document. With ``spark.sql.streaming.stateStore.providerClass`` set to
+Spark's RocksDB provider (``session.CLUSTER_CONF``) it lives on the executors'
+disks, not in their heaps. It is partitioned by ``spark.sql.shuffle.partitions``
+as of the first start. When one micro-batch holds several rows of a new id, one of
+them is admitted; which one is not defined.
 
-Scale: ``max_files_per_trigger`` bounds a micro-batch when the caller sets
-it. Each micro-batch is staged (written once, ``layout.stage``): its extraction
-runs once although the batch is read twice, and the planner sees its real size.
-A batch below the broadcast threshold has its ids broadcast to find the ones
-already stored, so the store's ids are only scanned, never shuffled.
+Scale: ``max_files_per_trigger`` bounds a micro-batch when the caller sets it. A
+batch is computed once, by the write of its commit.
 
 Two source layouts: ``"parsed"`` (one JSON document per file, id = file
 stem) and ``"converted"`` (JSON lines ``{"id", "texts"}`` as
@@ -36,10 +43,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.sections import assemble_content, parsed_document_content, with_sections
-from quire.operators import filters, joins, upserts
-from quire.operators.layout import stage
-from quire.sinks.tables import write_sections
-from quire.sources.files import file_stem, read_section_rows
+from quire.operators import filters, upserts
+from quire.sinks.tables import sections_store, write_sections
+from quire.sources.files import file_stem
 
 
 def parsed_document_stream(spark: SparkSession, in_dir: str, glob: str = "*.json",
@@ -81,14 +87,16 @@ def extract_stream(spark: SparkSession, in_dir: str, sections_dir: str, checkpoi
     found = filters.with_any_section(
         with_sections(docs, status=None).select("id", "abstract", "conclusion"))
 
+    admitted = found.dropDuplicates(["id"])
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        staged = stage(batch, f"stream-{batch_id}")
-        stored = read_section_rows(spark, sections_dir, exclude=(writer, batch_id)).select("id")
-        seen = stored.join(staged.select("id"), "id", "left_semi")
-        fresh = upserts.latest_per_key(joins.unprocessed(staged, seen, "id"), "id")
-        write_sections(fresh, sections_dir, writer, batch_id)
+        if sections_store(spark, sections_dir).snapshot().has(writer, batch_id):
+            # replayed: nothing to store, but the keyed state commits with the batch's run
+            batch.write.format("noop").mode("overwrite").save()
+        else:
+            write_sections(batch, sections_dir, writer, batch_id)
 
-    out = (found.writeStream.foreachBatch(write_batch)
+    out = (admitted.writeStream.foreachBatch(write_batch)
            .option("checkpointLocation", checkpoint))
     out = out.trigger(availableNow=True) if available_now else out.trigger(
         processingTime="30 seconds")

@@ -89,3 +89,97 @@ def test_reextracted_document_has_one_current_row(spark, scratch_dir):
     assert [r.abstract for r in current.collect()] == [f"{LONG} revised"]
     third = documents_with_sections(docs, current)
     assert third.first().abstract == f"{LONG} revised"
+
+
+def batches_of(spark, store):
+    from quire.sinks.tables import sections_store
+    return sections_store(spark, store).snapshot()
+
+
+def test_copied_file_is_a_document_of_its_own(spark, scratch_dir):
+    src, store, ckpt = f"{scratch_dir}/in", f"{scratch_dir}/store", f"{scratch_dir}/ckpt"
+    files_in(src, ["p0", "p1"])
+    run(spark, src, store, ckpt)
+    files_in(src, ["p2"])
+    files_in(f"{scratch_dir}/again", ["p0"])
+    import shutil
+    shutil.copy(f"{scratch_dir}/again/p0.json", f"{src}/p0.copy.json")     # its own stem: a new id
+    run(spark, src, store, ckpt)
+    rows = [r.id for p in batches_of(spark, store).parts
+            for r in spark.read.parquet(f"{store}/data/{p.name}").select("id").collect()]
+    assert sorted(rows) == ["p0", "p0.copy", "p1", "p2"]
+
+
+def test_converted_lines_with_repeated_ids(spark, scratch_dir):
+    src, store, ckpt = f"{scratch_dir}/in", f"{scratch_dir}/store", f"{scratch_dir}/ckpt"
+    import os
+    os.makedirs(src)
+
+    def lines(name, ids):
+        with open(f"{src}/{name}.json", "w") as f:
+            for i in ids:
+                f.write(json.dumps({"id": i, **json.loads(doc(i))}) + "\n")
+
+    def go():
+        q = extract_stream(spark, src, store, ckpt, source="converted")
+        q.awaitTermination(120)
+    lines("one", ["a", "b", "a"])
+    go()
+    lines("two", ["b", "c", "a", "c"])
+    go()
+    go()
+    rows = [r.id for p in batches_of(spark, store).parts
+            for r in spark.read.parquet(f"{store}/data/{p.name}").select("id").collect()]
+    assert sorted(rows) == ["a", "b", "c"]
+    assert sorted(r.id for r in read_sections(spark, store).collect()) == ["a", "b", "c"]
+
+
+def test_no_micro_batch_reads_the_store(spark, scratch_dir):
+    """With the stored files made unreadable, the stream goes on."""
+    import os
+    src, store, ckpt = f"{scratch_dir}/in", f"{scratch_dir}/store", f"{scratch_dir}/ckpt"
+    files_in(src, ["p0", "p1"])
+    run(spark, src, store, ckpt)
+    spoiled = 0
+    for folder, _, names in os.walk(f"{store}/data"):
+        for n in names:
+            if n.endswith(".parquet"):
+                open(f"{folder}/{n}", "w").write("not parquet")
+                spoiled += 1
+    assert spoiled
+    files_in(src, ["p5"])
+    q = extract_stream(spark, src, store, ckpt, exclude=["sections_store.json"])
+    q.awaitTermination(120)
+    assert q.exception() is None
+    last = batches_of(spark, store).parts[-1]
+    assert [r.id for r in spark.read.parquet(f"{store}/data/{last.name}").collect()] == ["p5"]
+
+
+def test_restart_with_state_on_disk(spark, scratch_dir):
+    """RocksDB state: a run that fails before its commit starts from the state
+    before it, one that fails after it changes nothing."""
+    import os
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        src, store, ckpt = f"{scratch_dir}/in", f"{scratch_dir}/store", f"{scratch_dir}/ckpt"
+        files_in(src, ["p0", "p1"])
+        run(spark, src, store, ckpt)
+        files_in(src, ["p2"])
+        run(spark, src, store, ckpt)
+        first = batches_of(spark, store)
+        os.unlink(f"{ckpt}/commits/1")
+        if os.path.exists(f"{ckpt}/commits/.1.crc"):
+            os.unlink(f"{ckpt}/commits/.1.crc")
+        os.unlink(f"{store}/manifests/{first.version:020d}.json")      # never committed to the store
+        assert sorted(r.id for r in run(spark, src, store, ckpt).collect()) == ["p0", "p1", "p2"]
+        second = batches_of(spark, store)
+        assert [(p.writer, p.batch) for p in second.parts] == [(p.writer, p.batch) for p in first.parts]
+        os.unlink(f"{ckpt}/commits/1")                                 # committed to the store, then lost
+        if os.path.exists(f"{ckpt}/commits/.1.crc"):
+            os.unlink(f"{ckpt}/commits/.1.crc")
+        assert sorted(r.id for r in run(spark, src, store, ckpt).collect()) == ["p0", "p1", "p2"]
+        assert batches_of(spark, store) == second
+    finally:
+        spark.conf.set(key, before)
