@@ -46,6 +46,15 @@ def conversion_counters(converted: DataFrame, col: str = "status") -> DataFrame:
     return count_by_status(converted, ["ok", "failed", "skipped"], col)
 
 
+def observed_extraction(spark, total: int, files: int, stored: int, ok: int, skipped: int) -> DataFrame:
+    """The row of ``extraction_counters`` from counts that ``DataFrame.observe``
+    took while the pass wrote its tables: a document that is neither ok nor
+    skipped has failed."""
+    return spark.createDataFrame([(total, files, stored, ok, skipped, total - ok - skipped)],
+                                 "total_documents long, json_files long, previously_processed long, ok long, "
+                                 "skipped long, failed long")
+
+
 def extraction_counters(outcomes: DataFrame, files: DataFrame, done: DataFrame,
                         outcome: str = "outcome") -> DataFrame:
     """Run summary of an extraction pass (E2 with E3):

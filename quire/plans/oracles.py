@@ -34,7 +34,7 @@ papers_b as (
   from papers_d),
 papers as (
   select b.doc_id,
-    '2401.' || lpad(b.doc_id::varchar, 6, '0') || 'v' || (b.doc_id % 3 + 1) as paper_id,
+    '2401.' || lpad(b.doc_id::varchar, greatest(6, length(b.doc_id::varchar))::int, '0') || 'v' || (b.doc_id % 3 + 1) as paper_id,
     substr(ls[1], 1, 60) as title,
     ['Author ' || (b.doc_id % 7), 'Author ' || (b.doc_id % 11)] as author_names,
     case when b.doc_id % 10 <> 0 then 'https://example.org/pdf/' || b.doc_id end as pdf_url,
@@ -435,4 +435,5 @@ select s.paper_id,
     as abstract_preview,
   array_to_string(string_split(p.content, chr(10))[1:5], chr(10)) as content_head
 from sections s join papers p on s.doc_id = p.doc_id""", sections=True)
-    return o
+    from quire.plans.store_oracles import store_oracles
+    return o | store_oracles(o)

@@ -541,3 +541,7 @@ QUERIES = {
     "verdicts": q_verdicts,
     "preview": q_preview,
 }
+
+from quire.plans.store_queries import QUERIES as _STORE_QUERIES  # noqa: E402  (it uses the fixtures above)
+
+QUERIES |= _STORE_QUERIES

@@ -13,17 +13,16 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quire import schemas
 from quire.functions.prompts import flag_missing_flags, relevance_prompt, summary_prompt
 from quire.functions.sections import with_sections
 from quire.functions.text import is_blank
 from quire.functions.verdict import parse_verdict
 from quire.operators import aggregates, filters, generation, joins, upserts
 from quire.operators.layout import stage
-from quire.sinks.tables import write_documents, write_sections
+from quire.sinks.tables import read_batch, write_documents, write_sections
 from quire.sources.files import (list_files, read_converted_documents, read_parsed_documents,
                                   read_section_rows)
 
@@ -34,7 +33,7 @@ class ExtractionRun:
     new_sections: DataFrame   # (id, abstract, conclusion) written to the store by this run
     outcomes: DataFrame       # (id, outcome) per document: ok / skipped / failed
     counters: DataFrame       # one row of run statistics
-    batch_path: str           # where this run's sections were written
+    writer: str               # the name of this run's batch in the sections store
 
 
 def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
@@ -64,21 +63,29 @@ def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
     else:
         files = read_parsed_documents(spark, parsed_dir, exclude=exclude)
         ids_of_files = list_files(spark, parsed_dir, "*.json", exclude).select("id")
-    ids_of_files = stage(ids_of_files, "files")
+    # every count is taken while its rows are written: nothing is read again for it
+    seen = {name: Observation(name) for name in ("files", "store", "tagged", "extracted")}
+    rows = F.count(F.lit(1)).alias("n")
+    ids_of_files = stage(ids_of_files.observe(seen["files"], rows), "files")
     # the store as it is now: this run's own batch is not part of it
-    store = stage(read_section_rows(spark, sections_path).select("id").distinct(), "store")
+    store = stage(read_section_rows(spark, sections_path).select("id").distinct().observe(seen["store"], rows), "store")
     filled = documents.filter(F.col("abstract").isNotNull() | F.col("conclusion").isNotNull())
     done = joins.known_only(store, filled.select("id"), "id")
 
     ids = documents.select("id")
-    tagged = stage(joins.flag_exists(joins.flag_exists(ids, ids_of_files, "has_file", "id"),
-                                     done, "done", "id"), "tagged")
+    tagged = joins.flag_exists(joins.flag_exists(ids, ids_of_files, "has_file", "id"), done, "done", "id")
+    tagged = stage(tagged.observe(seen["tagged"], rows,
+                                  F.count_if(F.col("has_file") & F.col("done")).alias("skipped")), "tagged")
     todo = tagged.filter(F.col("has_file") & ~F.col("done")).select("id")
     extracted = with_sections(joins.known_only(files.select("id", "content"), todo, "id"),
                               status=None).select("id", "abstract", "conclusion")
-    batch_path = write_sections(filters.with_any_section(extracted), sections_path,
-                                f"pass-{uuid.uuid4().hex}")
-    found = spark.read.schema(schemas.SECTIONS).parquet(batch_path)
+    if source == "converted":      # lines may repeat an id; a folder's files can't
+        extracted = upserts.latest_per_key(extracted, "id")
+    extracted = extracted.observe(seen["extracted"], F.count_if(
+        F.col("abstract").isNotNull() | F.col("conclusion").isNotNull()).alias("ok"))
+    writer = f"pass-{uuid.uuid4().hex}"
+    write_sections(filters.with_any_section(extracted), sections_path, writer)
+    found = read_batch(spark, sections_path, writer)
 
     outcome = (F.when(~F.col("has_file"), F.lit("failed"))
                 .when(F.col("done"), F.lit("skipped"))
@@ -87,8 +94,11 @@ def extraction_pass(spark: SparkSession, documents: DataFrame, parsed_dir: str,
     outcomes = (joins.flag_exists(tagged, found, "found", "id")
                 .select("id", outcome.alias("outcome")))
     new_docs = upserts.partial_update(documents, found, ["abstract", "conclusion"], "id")
-    counters = aggregates.extraction_counters(outcomes, ids_of_files, store)
-    return ExtractionRun(new_docs, found, outcomes, counters, batch_path)
+    told = seen["tagged"].get
+    counters = aggregates.observed_extraction(
+        spark, total=told["n"], files=seen["files"].get["n"], stored=seen["store"].get["n"],
+        ok=seen["extracted"].get["ok"], skipped=told["skipped"])
+    return ExtractionRun(new_docs, found, outcomes, counters, writer)
 
 
 def convert(spark: SparkSession, in_dir: str, out_dir: str, parse_fn, glob: str = "*.pdf") -> DataFrame:
@@ -98,17 +108,21 @@ def convert(spark: SparkSession, in_dir: str, out_dir: str, parse_fn, glob: str
     total, ok, failed, skipped. Run again, it converts what failed or is new."""
     from quire.sources.files import read_binary_documents
 
-    listed = stage(list_files(spark, in_dir, glob).select("id"), "inputs")
+    seen = {name: Observation(name) for name in ("listed", "todo", "done")}
+    rows = F.count(F.lit(1)).alias("n")
+    listed = stage(list_files(spark, in_dir, glob).select("id").observe(seen["listed"], rows), "inputs")
     try:
         known = spark.read.schema("id string").json(out_dir)
     except AnalysisException:      # nothing has been written yet
         known = spark.createDataFrame([], "id string")
-    todo = stage(joins.missing_outputs(listed, known), "todo")
+    todo = stage(joins.missing_outputs(listed, known).observe(seen["todo"], rows), "todo")
     inputs = joins.known_only(read_binary_documents(spark, in_dir, glob), todo)
-    done = stage(generation.convert_documents(inputs, "content", ["id"], parse_fn), "converted")
-    write_documents(done.filter(F.col("status") == "ok"), out_dir)
-    skipped = joins.unprocessed(listed, todo).select("id", F.lit("skipped").alias("status"))
-    return aggregates.conversion_counters(done.select("id", "status").unionByName(skipped))
+    done = generation.convert_documents(inputs, "content", ["id"], parse_fn).observe(
+        seen["done"], F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") != "ok").alias("failed"))
+    write_documents(done.filter(F.col("status") == "ok"), out_dir)      # converted, counted and written in one pass
+    total, todo_n = seen["listed"].get["n"], seen["todo"].get["n"]
+    return spark.createDataFrame([(total, seen["done"].get["ok"], seen["done"].get["failed"], total - todo_n)],
+                                 "total long, ok long, failed long, skipped long")
 
 
 def summarise(documents: DataFrame, summaries: DataFrame, make_fn=None,
