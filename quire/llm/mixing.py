@@ -4,8 +4,11 @@ Slot i of the mix is the golden-ratio point i * phi (mod 1), kept as an exact
 31-bit integer, mapped through the sources' cumulative target shares. So every
 stretch of the schedule holds each source in close proportion to its target.
 The slots of a source are ranked, and rank r takes block (r - 1) mod n of that
-source's shuffled text, cut into n blocks of equal tokens. Shuffling is by the
-md5 of the document id, so a rerun gives the same mix.
+source's shuffled text, cut into n blocks of equal tokens (one more or less). A
+source gets as many slots as its target holds of its own blocks: the few that the
+schedule gives beyond that stay empty, the few that it lacks follow at the end.
+Sources of few words have blocks of few words, so their targets are met as well.
+Shuffling is by the md5 of the document id, so a rerun gives the same mix.
 
 Defined cases: a null or wordless text has size 0 and is never taken; a null
 source is one source of its own, last in order; rows that repeat a doc_id are
@@ -26,8 +29,10 @@ SPAN = 1 << 31
 STEP = 1327217885
 #: Shares are looked up in so many equal intervals of [0, 1).
 BINS = 4096
-#: Slots per ranking segment: no window is longer than this.
+#: Slots per ranking segment, and segments per group of them: no window is longer.
 SEGMENT = 2048
+#: A source of at least so many words has at least so many blocks.
+LEAST_BLOCKS = 16
 
 
 def sizes(docs: DataFrame, id_col="doc_id", source_col="source", text_col="text") -> DataFrame:
@@ -36,9 +41,10 @@ def sizes(docs: DataFrame, id_col="doc_id", source_col="source", text_col="text"
                        F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
-def targets(sized: DataFrame, weights=(1, 2, 3), limit: int = 3) -> DataFrame:
+def targets(sized: DataFrame, weights=(1, 2, 3), limit: int = 3, block_tokens: int = 32) -> DataFrame:
     """One row per source: pos (order by code point, null last), source_size,
-    target, and lo / hi, its interval of [0, SPAN).
+    target, n_blocks, slots (its target in blocks of its own), all_slots, and
+    lo / hi, its interval of [0, SPAN).
 
     The targets share the total by weight; none exceeds ``limit`` times its
     source, and the excess is shared again by weight. In order of cap / weight
@@ -65,11 +71,17 @@ def targets(sized: DataFrame, weights=(1, 2, 3), limit: int = 3) -> DataFrame:
                                    F.struct(F.col("source_size") / F.col("w"), "pos"))).over(everything)
     per = per.withColumn("target", F.least(F.col("cap").cast("double"),
                                            F.coalesce(rate * F.col("w"), F.col("cap").cast("double"))))
-    cum = F.sum("target").over(Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    per = per.withColumn("hi", F.when(F.col("total") > 0, F.round(cum / F.col("total") * SPAN))
-                         .otherwise(0).cast("long"))
+    per = per.withColumn("n_blocks", F.greatest(F.ceil(F.col("source_size") / block_tokens),
+                                                F.least(F.col("source_size"), F.lit(LEAST_BLOCKS))))
+    per = per.withColumn("slots", F.when(F.col("source_size") > 0, F.floor(
+        F.col("target") * F.col("n_blocks") / F.col("source_size") + 0.5)).otherwise(0).cast("long"))
+    per = per.withColumn("all_slots", F.sum("slots").over(everything))
+    cum = F.sum("slots").over(Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    share = cum.cast("double") / F.col("all_slots").cast("double")
+    per = per.withColumn("hi", F.when(F.col("all_slots") > 0, F.round(share * SPAN)).otherwise(0).cast("long"))
     lo = F.coalesce(F.lag("hi").over(Window.orderBy("pos")), F.lit(0))
-    return per.withColumn("lo", lo).select("source", "pos", "w", "source_size", "target", "total", "lo", "hi")
+    return per.withColumn("lo", lo).select("source", "pos", "w", "source_size", "target", "total", "n_blocks", "slots",
+                                           "all_slots", "lo", "hi")
 
 
 def schedule(shares: DataFrame, n_slots: int) -> DataFrame:
@@ -85,9 +97,16 @@ def schedule(shares: DataFrame, n_slots: int) -> DataFrame:
               .join(spans, "bin").where("x >= lo and x < hi")
               .select("slot", "pos", F.floor(F.col("slot") / SEGMENT).alias("seg")))
     counts = mapped.groupBy("pos", "seg").agg(F.count("*").alias("n"))
-    before = counts.select("pos", "seg", F.coalesce(F.sum("n").over(
-        Window.partitionBy("pos").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("before"))
+    # running sums in two levels: groups of segments, then the segments of a group
+    counts = counts.withColumn("group", F.floor(F.col("seg") / SEGMENT))
+    rows_before = (Window.unboundedPreceding, -1)
+    groups = counts.groupBy("pos", "group").agg(F.sum("n").alias("g"))
+    groups = groups.select("pos", "group", F.coalesce(F.sum("g").over(
+        Window.partitionBy("pos").orderBy("group").rowsBetween(*rows_before)), F.lit(0)).alias("g_before"))
+    inner = F.coalesce(F.sum("n").over(
+        Window.partitionBy("pos", "group").orderBy("seg").rowsBetween(*rows_before)), F.lit(0))
+    before = counts.withColumn("inner", inner).join(groups, ["pos", "group"]).select(
+        "pos", "seg", (F.col("inner") + F.col("g_before")).alias("before"))
     within = mapped.withColumn("r", F.row_number().over(Window.partitionBy("pos", "seg").orderBy("slot")))
     return within.join(before, ["pos", "seg"]).select("slot", "pos", (F.col("r") + F.col("before")).alias("rank"))
 
@@ -122,19 +141,29 @@ def mix(docs: DataFrame, id_col="doc_id", source_col="source", text_col="text",
     times the size. A slot of a source that would need another pass stays empty.
     """
     sized = stage(sizes(docs, id_col, source_col, text_col), "sizes")
-    shares = stage(targets(sized, weights, limit), "shares")
-    total = shares.agg(F.max("total")).first()[0] or 0
-    b = block_tokens
-    slots = schedule(shares, -(-total // b))
-    n_blocks = shares.select("pos", F.ceil(F.col("source_size") / b).alias("n_blocks"))
-    times = (slots.join(n_blocks, "pos").where(F.col("rank") <= limit * F.col("n_blocks"))
+    shares = stage(targets(sized, weights, limit, block_tokens), "shares")
+    n_slots = shares.agg(F.max("all_slots")).first()[0] or 0
+    quota = shares.select("pos", "n_blocks", "slots")
+    ranked = stage(schedule(shares, n_slots).select("pos", "rank"), "slots")
+    had = ranked.groupBy("pos").agg(F.count("*").alias("had"))
+    # what a source's schedule lacks of its quota: a few slots, by the sequence's low discrepancy
+    late = (quota.join(had, "pos", "left").withColumn("had", F.coalesce("had", F.lit(0)))
+            .where("had < slots").select("pos", F.explode(F.sequence(F.col("had") + 1, F.col("slots"))).alias("rank")))
+    times = (ranked.unionByName(late).join(quota, "pos").where("rank <= slots")
              .groupBy("pos", ((F.col("rank") - 1) % F.col("n_blocks")).alias("block"))
              .agg(F.count("*").alias("times")))
-    placed = stream(sized.where("size > 0"), shares)
+    # block j begins at j * base + min(j, extra): the first blocks hold one word more
+    cut = shares.where("source_size > 0").select(
+        "pos", F.expr("source_size div n_blocks").alias("base"), F.expr("source_size % n_blocks").alias("extra"))
+    placed = stream(sized.where("size > 0"), shares).join(cut, "pos")
+
+    def block_of(word):
+        return (f"case when {word} < extra * (base + 1) then {word} div (base + 1) "
+                f"else extra + ({word} - extra * (base + 1)) div base end")
     pieces = (placed.withColumn("block", F.explode(F.sequence(
-                  F.floor(F.col("start") / b), F.floor((F.col("start") + F.col("size") - 1) / b))))
-              .withColumn("part", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * b)
-                          - F.greatest(F.col("start"), F.col("block") * b)))
+                  F.expr(block_of("start")), F.expr(block_of("(start + size - 1)")))))
+              .withColumn("part", F.expr("least(start + size, (block + 1) * base + least(block + 1, extra)) "
+                                         "- greatest(start, block * base + least(block, extra))")))
     taken = (pieces.join(times, ["pos", "block"], "left")
              .groupBy("doc_id", "pos", "start", "size")
              .agg(F.sum(F.col("part") * F.coalesce("times", F.lit(0))).cast("long").alias("taken"))
