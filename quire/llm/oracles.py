@@ -68,14 +68,14 @@ from (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_fail
 
 TOPK = """
 with v as (
-  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as c from embeddings
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as c from embeddings
   where embedding is not null and vec_id is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (
-  select q.vec_id as query_id, o.vec_id, list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * o.c[i]))::bigint as score
-  from v q join v o on o.vec_id <> q.vec_id where q.vec_id % 20 = 0)
+  select q.row, q.vec_id as query_id, o.vec_id, list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * o.c[i]))::bigint as score
+  from v q join v o on o.row <> q.row where q.vec_id % 20 = 0)
 select query_id, rank::integer as rank, vec_id, score
-from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20"""
+from (select *, row_number() over (partition by row order by score desc, vec_id) as rank from s) where rank <= 20"""
 
 MIX = rf"""
 with d as (
@@ -96,24 +96,43 @@ r as (
   order by source_size::double / w, pos limit 1),
 t as (
   select c.*, least(cap::double, coalesce((select rate from r) * w, cap::double)) as target from c),
+b as (
+  select *, greatest((source_size + 31) // 32, least(source_size, 16)) as n_blocks from t),
+n as (
+  select *, source_size // greatest(n_blocks, 1) as base, source_size % greatest(n_blocks, 1) as extra,
+         case when source_size > 0 then floor(target * n_blocks / source_size + 0.5)::bigint else 0 end as slots
+  from b),
 h as (
-  select *, case when total > 0 then round(sum(target) over (order by pos) / total * 2147483648)::bigint else 0 end as hi from t),
-share as (select *, coalesce(lag(hi) over (order by pos), 0) as lo, (source_size + 31) // 32 as n_blocks from h),
+  select *, sum(slots) over () as all_slots,
+         case when sum(slots) over () > 0 then round((sum(slots) over (order by pos))::double / (sum(slots) over ())::double * 2147483648)::bigint
+              else 0 end as hi
+  from n),
+share as (select *, coalesce(lag(hi) over (order by pos), 0) as lo from h),
 slot as (
   select i, ((i + 1) % 2147483648) * 1327217885 % 2147483648 as x
-  from range(0, coalesce(((select max(total) from share) + 31) // 32, 0)::bigint) as g(i)),
+  from range(0, coalesce((select max(all_slots) from share), 0)::bigint) as g(i)),
 ranked as (
-  select pos, n_blocks, row_number() over (partition by pos order by i) as rank from slot join share on x >= lo and x < hi),
+  select pos, n_blocks, slots, row_number() over (partition by pos order by i) as rank from slot join share on x >= lo and x < hi),
+settled as (
+  select pos, n_blocks, rank from ranked where rank <= slots
+  union all
+  select pos, n_blocks, unnest(range(had + 1, slots + 1)) from (
+    select share.pos, share.n_blocks, share.slots, count(ranked.pos) as had
+    from share left join ranked using (pos) group by all) where had < slots),
 times as (
-  select pos, (rank - 1) % n_blocks as block, count(*) as times from ranked where rank <= 3 * n_blocks group by all),
+  select pos, (rank - 1) % n_blocks as block, count(*) as times from settled group by all),
 place as (
-  select row, doc_id, size, pos, coalesce(sum(size) over (
+  select row, doc_id, size, pos, base, extra, coalesce(sum(size) over (
            partition by pos order by md5(coalesce(doc_id::varchar, '')), doc_id nulls first, size
            rows between unbounded preceding and 1 preceding), 0)::bigint as start
   from d join share on d.source is not distinct from share.source where size > 0),
 piece as (
-  select row, pos, block, least(start + size, (block + 1) * 32) - greatest(start, block * 32) as part
-  from (select *, unnest(range(start // 32, (start + size - 1) // 32 + 1)) as block from place)),
+  select row, pos, block, least(start + size, (block + 1) * base + least(block + 1, extra))
+                          - greatest(start, block * base + least(block, extra)) as part
+  from (select *, unnest(range(
+          case when start < extra * (base + 1) then start // (base + 1) else extra + (start - extra * (base + 1)) // base end,
+          case when start + size - 1 < extra * (base + 1) then (start + size - 1) // (base + 1)
+               else extra + (start + size - 1 - extra * (base + 1)) // base end + 1)) as block from place)),
 taken as (
   select row, sum(part * coalesce(times, 0))::bigint as taken from piece left join times using (pos, block) group by row)
 select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken

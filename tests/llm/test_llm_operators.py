@@ -198,21 +198,59 @@ def test_topk_by_brute_force(spark, scale):
     x = rng.normal(size=(400, 6)) * rng.exponential(scale, size=(400, 1))
     x[50:90] = x[0]                                       # ties
     rows = [(int(i), [float(a) for a in v]) for i, v in enumerate(x)]
-    rows += [(900, None), (920, [None] * 6), (940, [math.nan] * 6), (960, []), (980, [1.0, 2.0]), (40, rows[40][1])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as score", "2 as band")
-    got = {tuple(r) for r in topk.search(df, lambda i: i % 20 == 0, k=7, tile_rows=64, block_rows=8).collect()}
-    ints = {i: np.pad(np.floor(64 * np.array(v, float)), (0, 6 - len(v))).astype(int) for i, v in rows[:400]}
-    ints |= {960: np.zeros(6, int), 980: np.array([64, 128, 0, 0, 0, 0])}
-    want = set()
-    for q in (i for i in ints if i % 20 == 0):
-        best = sorted((-int(ints[q] @ v), i) for i, v in ints.items() if i != q)[:7]
-        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
-    assert got == want
+    rows += [(900, None), (920, [None] * 6), (940, [math.nan] * 6), (960, []), (980, [1.0, 2.0]), (None, rows[1][1])]
+    rows += [(40, rows[40][1]), (41, rows[42][1]), (60, rows[7][1]), (60, rows[8][1])]       # repeated ids
+    assert top(spark, rows, 7, tile_rows=64, block_rows=8) == brute_top(rows, 7)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert topk.search(df.where("vec_id < 0"), lambda i: i % 20 == 0).count() == 0
 
 
+def top(spark, rows, k, **more):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as score", "2 as band")
+    return sorted(map(str, map(tuple, topk.search(df.repartition(3), lambda i: i % 20 == 0, k=k, **more).collect())))
+
+
+def brute_top(rows, k):
+    ints = [(i, [math.floor(64 * x) for x in v]) for i, v in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for a, (q, x) in enumerate(ints):
+        if q % 20 == 0:
+            best = sorted((-sum(p * r for p, r in zip(x, y)), i) for b, (i, y) in enumerate(ints) if b != a)[:k]
+            want += [(q, n + 1, i, -s if -(1 << 63) <= -s < 1 << 63 else None) for n, (s, i) in enumerate(best)]
+    return sorted(map(str, want))
+
+
+def test_topk_keeps_rows_that_repeat_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (1, [5.0, 0.0]), (1, [9.0, 0.0]), (0, [2.0, 0.0]), (2, [5.0, 1.0])]
+    assert top(spark, rows, 4) == brute_top(rows, 4)
+    assert "(0, 1, 1, 36864)" in top(spark, rows, 4)
+
+
+def test_topk_of_huge_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(a) for a in rng.normal(size=4) * 10.0 ** rng.integers(-2, 6)]) for i in range(60)]
+    rows += [(100, [1e9, 0.0, 3.0, 0.0]), (101, [1e9 + 1, 1.0, 0.0, 0.0]), (102, [-4e16, 1.0, 1.0, 2.0]), (120, [2.5e9, 1e8, 0.0, -7.0])]
+    assert top(spark, rows, 5, tile_rows=16, block_rows=2) == brute_top(rows, 5)
+
+
 # --------------------------------------------------------------------- 5 mixing
 
+def test_mix_meets_the_targets_of_small_sources(spark):
+    """Sources of 1, 10 and 33 words (and some more) beside large ones."""
+    size = {"a": [1], "b": [3, 7], "c": [33], "d": [20] * 50, "e": [1, 1, 1], "f": [11, 22], "g": [100], "h": [57] * 40}
+    rows = [(i, s, "w " * n) for i, (s, n) in enumerate((s, n) for s, ns in size.items() for n in ns)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    for s, ns in size.items():
+        own = [r for r in out if r.source == s]
+        taken, target = sum(r.taken for r in own), own[0].target
+        assert abs(taken - target) <= max(0.1 * target, 1), (s, taken, target)
+        assert all(r.taken <= 3 * r.size for r in own)
+    equal = [(i, "st"[i], "w " * 33) for i in range(2)]
+    out = mixing.mix(spark.createDataFrame(equal, "doc_id long, source string, text string"), weights=(1, 2)).collect()
+    assert sum(r.taken for r in out) == pytest.approx(66, abs=3)
+
+
 def test_mix_is_near_its_targets(spark, odd_docs, no_docs):
     big = spark.range(900).selectExpr("id as doc_id", "concat('s', id % 3 * (id % 4)) as source",
                                       "repeat('w ', cast(20 + id % 50 as int)) as text")
