@@ -13,36 +13,49 @@ WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), {GAP}), lambda x
 
 #: The rules' votes, written by hand in the order of ``quality_rules.RULES``.
 VOTES = (
-    "case when n_words < 10 then -1 else 0 end",
-    "case when 100.0 * n_repeat_words / greatest(n_words, 1) > 20 then -1 else 0 end",
-    "case when 100.0 * n_same / greatest(n_words, 1) > 10 then -1 else 0 end",
-    "case when 100.0 * n_dup_lines / greatest(n_lines, 1) > 30 then -1 else 0 end",
-    "case when 100.0 * n_symbols / greatest(word_chars, 1) > 5 then -1 else 0 end",
-    "case when 100.0 * n_shouts / greatest(n_words, 1) > 15 then -1 else 0 end",
-    "case when 100.0 * n_bars / greatest(n_words, 1) > 15 then -1 else 0 end",
-    "case when 100.0 * (n_symbols + n_shouts) / greatest(n_words, 1) > 20 then -1 "
-    "when 100.0 * (n_symbols + n_shouts) / greatest(n_words, 1) <= 3 then 1 else 0 end",
+    "case when n_words < 10 then -1 when n_words >= 30 then 1 else 0 end",
+    "case when 100.0 * n_repeat_words / nullif(n_words, 0) > 20 then -1 when 100.0 * n_repeat_words / nullif(n_words, 0) <= 1 then 1 else 0 end",
+    "case when 100.0 * n_symbols / nullif(word_chars, 0) > 3 then -1 when 100.0 * n_symbols / nullif(word_chars, 0) <= 0.2 then 1 else 0 end",
+    "case when 100.0 * n_capitals / nullif(word_chars, 0) > 20 then -1 "
+    "when 100.0 * n_capitals / nullif(word_chars, 0) between 0.2 and 8 then 1 else 0 end",
+    "case when n_words < 20 then 0 when 100.0 * n_stops / n_words < 1 or 100.0 * n_stops / n_words > 50 then -1 "
+    "when 100.0 * n_stops / n_words between 2 and 25 then 1 else 0 end",
+    "case when n_words < 40 then 0 when 100.0 * n_commas / n_words < 0.5 or 100.0 * n_commas / n_words > 40 then -1 "
+    "when 100.0 * n_commas / n_words between 1 and 15 then 1 else 0 end",
+    "case when 1.0 * word_chars / nullif(n_words, 0) < 3 or 1.0 * word_chars / nullif(n_words, 0) > 14 then -1 "
+    "when 1.0 * word_chars / nullif(n_words, 0) between 4 and 9 then 1 else 0 end",
+    "case when n_words not between 20 and 2000 then 0 when 100.0 * n_distinct / n_words < 20 then -1 "
+    "when 100.0 * n_distinct / n_words >= 45 then 1 else 0 end",
+    "case when n_lines < 3 then 0 when 100.0 * n_dup_lines / n_lines > 30 then -1 when 100.0 * n_dup_lines / n_lines <= 5 then 1 else 0 end",
+    "case when 100.0 * n_shouts / nullif(n_words, 0) > 15 then -1 else 0 end",
+    "case when 100.0 * n_same / nullif(n_words, 0) > 10 then -1 else 0 end",
+    "case when 100.0 * n_plain / nullif(n_words, 0) < 60 then -1 when 100.0 * n_plain / nullif(n_words, 0) >= 85 then 1 else 0 end",
+    "case when 100.0 * n_lone / nullif(n_words, 0) > 8 then -1 else 0 end",
+    "case when 100.0 * n_odd_ends / nullif(n_words, 0) > 15 then -1 when 100.0 * n_odd_ends / nullif(n_words, 0) <= 3 then 1 else 0 end",
 )
 
 
-def quality_rules(rounds: int = 25) -> str:
+def quality_rules(rounds: int = 30) -> str:
     m = len(VOTES)
-
-    def logit(p):
-        return f"ln({p} / (1 - {p}))"
-    q = " + ".join([logit("prior"), *[f"v[{i}] * {logit(f'acc[{i}]')}" for i in range(1, m + 1)]])
-    acc = ", ".join(
-        f"least(greatest((coalesce(sum(case when v[{i}] <> 0 then n * case when v[{i}] > 0 then q else 1 - q end end), 0)"
-        f" + 9.0) / (coalesce(sum(case when v[{i}] <> 0 then n end), 0) + 10.0), 0.6), 0.99)" for i in range(1, m + 1))
-    steps = [f"e0 as materialized (select [{', '.join(['0.9::double'] * m)}] as acc, 0.5::double as prior)"]
+    good, bad = "0.02, 0.38, 0.6", "0.3, 0.3, 0.4"
+    cells = f"select unnest(range({3 * m})) as k"
+    terms = " + ".join(f"ln(bad[{3 * j + 2} + v[{j + 1}]]) - ln(good[{3 * j + 2} + v[{j + 1}]])" for j in range(m))
+    q = f"1 / (1 + exp(ln((1 - share) / share) + {terms}))"
+    steps = [f"e0 as materialized (select [{', '.join([good] * m)}]::double[] as good, [{', '.join([bad] * m)}]::double[] as bad, 0.8::double as share)"]
     for r in range(rounds):
-        steps.append(f"p{r} as materialized (select v, n, 1 / (1 + exp(-({q}))) as q from pat, e{r})")
-        steps.append(f"e{r + 1} as materialized (select [{acc}] as acc, least(greatest("
-                     f"(coalesce(sum(n * q), 0) + 5.0) / (coalesce(sum(n), 0) + 10.0), 0.1), 0.9) as prior from p{r})")
+        steps.append(f"p{r} as materialized (select id, v, n, n * {q} as q from pat, e{r})")
+        steps.append(f"""
+t{r} as materialized (select coalesce(sum(q), 0) as q, coalesce(sum(n), 0) as n from p{r}),
+e{r + 1} as materialized (
+  select list((s.q + 10 * e0.good[k + 1]) / (t.q + 10) order by k) as good,
+         list((s.n - s.q + 10 * e0.bad[k + 1]) / (t.n - t.q + 10) order by k) as bad, (any_value(t.q) + 8.0) / (any_value(t.n) + 10.0) as share
+  from (select cells.k, coalesce(sum(p.q), 0) as q, coalesce(sum(p.n), 0) as n
+        from cells left join said on said.k = cells.k left join p{r} p on p.id = said.id group by cells.k) s, t{r} t, e0)""")
     return rf"""
 with d as (
   select row_number() over () as row, doc_id, coalesce(text, '') as t, {WORDS} as ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) as ls
   from documents),
 win as (
   select row, i, array_to_string(ws[i:i + 4], ' ') as w
@@ -53,16 +66,22 @@ f as (
   select d.row, doc_id, len(ws) as n_words, length(array_to_string(ws, '')) as word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
          length(regexp_replace(t, '[^!]', '', 'g')) as n_shouts,
+         length(regexp_replace(t, '[^.]', '', 'g')) as n_stops, length(regexp_replace(t, '[^,]', '', 'g')) as n_commas,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_capitals, len(list_distinct(ws)) as n_distinct,
+         len(list_filter(ws, lambda x: regexp_matches(x, '^\p{{L}}+[.,;:!?]?$'))) as n_plain,
+         len(list_filter(ws, lambda x: regexp_matches(x, '^[^\p{{L}}\p{{N}}]+$'))) as n_lone,
+         len(list_filter(ws, lambda x: regexp_matches(x, '^\p{{L}}(?s:.)*[^\p{{L}}]{{2}}$'))) as n_odd_ends,
          len(ls) - len(list_distinct(ls)) as n_dup_lines, len(ls) as n_lines,
          coalesce(c.n, 0) as n_repeat_words,
-         len(list_filter(ws, lambda x: x = '|')) as n_bars,
          len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) as n_same
   from d left join covered c on c.row = d.row),
 v as (select *, [{', '.join(VOTES)}] as v from f),
-pat as materialized (select v, count(*)::double as n from v group by v),
+pat as materialized (select row_number() over () as id, v, n from (select v, count(*)::double as n from v group by v)),
+cells as materialized ({cells}),
+said as materialized (select id, 3 * (j - 1) + v[j] + 1 as k from (select id, v, unnest(range(1, {m + 1})) as j from pat)),
 {', '.join(steps)}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and 1 / (1 + exp(-({q}))) >= 0.5 as kept
+       not base_failed and round({q}, 9) >= 0.5 as kept
 from (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from v), e{rounds}"""
 
 

@@ -1,12 +1,15 @@
 """Quality rules by weak supervision, in DataFrame operations only.
 
-Each rule votes good (1) or bad (-1) on a text or abstains (0). A one-coin
-model ties the votes to the unknown quality: rule j, when it votes, is right
-with probability a_j. Expectation-maximisation over the counts of distinct
-vote patterns (at most 3 ** rules rows, whatever the input) estimates the a_j
-and the share of good texts, and a text is kept when its posterior probability
-of being good is at least ``keep_at``. So one doubtful vote no longer rejects
-a text, as it does when all rules must pass.
+Each rule votes good (1) or bad (-1) on a text or abstains (0). Each looks at a
+count of its own, so that given a text's quality the votes are about independent.
+The model has three rates per rule and quality: how often it votes good, abstains
+and votes bad on good texts, and on bad ones. So a rule that only ever raises
+alarms can be rated as well (its hits and its false alarms), and so can its
+silence. Expectation-maximisation over the counts of distinct vote patterns (at
+most 3 ** rules rows, whatever the input) estimates the rates and the share of
+good texts; a text is kept when its posterior probability of being good is at
+least ``keep_at``. So one doubtful vote no longer rejects a text, as it does when
+all rules must pass.
 
 Defined cases: a null or empty text has no words and fails the base rules;
 rows that repeat are scored as they stand; an empty table gives no rows; extra
@@ -15,29 +18,39 @@ columns are ignored.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import stage, words
 
 SYMBOLS = "#*$%&|<>"
+#: Letters with one mark of a sentence at most; words without letter or digit;
+#: words that start with a letter and end in two characters that aren't letters.
+PLAIN, LONE, ODD_END = r"^\p{L}+[.,;:!?]?$", r"^[^\p{L}\p{N}]+$", r"(?s)^\p{L}.*[^\p{L}]{2}$"
 
-#: (rule, SQL measure over the features, good vote when, bad vote when).
-#: Most rules detect one kind of junk and abstain on all other texts; good
-#: votes come from the rules that describe running prose.
+#: (rule, SQL measure over the features, good vote when, bad vote when); a null
+#: measure (too few words to say) abstains.
 RULES = (
-    ("short", "n_words", None, "x < 10"),
-    ("repeats", "100.0 * n_repeat_words / greatest(n_words, 1)", None, "x > 20"),
-    ("same_word", "100.0 * n_same / greatest(n_words, 1)", None, "x > 10"),
-    ("lines", "100.0 * n_dup_lines / greatest(n_lines, 1)", None, "x > 30"),
-    ("symbols", "100.0 * n_symbols / greatest(word_chars, 1)", None, "x > 5"),
-    ("shouting", "100.0 * n_shouts / greatest(n_words, 1)", None, "x > 15"),
-    ("bars", "100.0 * n_bars / greatest(n_words, 1)", None, "x > 15"),
-    ("marks", "100.0 * (n_symbols + n_shouts) / greatest(n_words, 1)", "x <= 3", "x > 20"),
+    ("length", "n_words", "x >= 30", "x < 10"),
+    ("repeats", "100.0 * n_repeat_words / nullif(n_words, 0)", "x <= 1", "x > 20"),
+    ("symbols", "100.0 * n_symbols / nullif(word_chars, 0)", "x <= 0.2", "x > 3"),
+    ("capitals", "100.0 * n_capitals / nullif(word_chars, 0)", "x between 0.2 and 8", "x > 20"),
+    ("sentences", "case when n_words >= 20 then 100.0 * n_stops / n_words end", "x between 2 and 25", "x < 1 or x > 50"),
+    ("commas", "case when n_words >= 40 then 100.0 * n_commas / n_words end", "x between 1 and 15", "x < 0.5 or x > 40"),
+    ("word_length", "1.0 * word_chars / nullif(n_words, 0)", "x between 4 and 9", "x < 3 or x > 14"),
+    ("variety", "case when n_words between 20 and 2000 then 100.0 * n_distinct / n_words end", "x >= 45", "x < 20"),
+    ("lines", "case when n_lines >= 3 then 100.0 * n_dup_lines / n_lines end", "x <= 5", "x > 30"),
+    ("shouting", "100.0 * n_shouts / nullif(n_words, 0)", None, "x > 15"),
+    ("same_word", "100.0 * n_same / nullif(n_words, 0)", None, "x > 10"),
+    ("plain_words", "100.0 * n_plain / nullif(n_words, 0)", "x >= 85", "x < 60"),
+    ("lone_marks", "100.0 * n_lone / nullif(n_words, 0)", None, "x > 8"),
+    ("endings", "100.0 * n_odd_ends / nullif(n_words, 0)", "x <= 3", "x > 15"),
 )
 
+#: Where estimation starts: how often a rule votes bad, abstains, votes good.
+START_GOOD = (0.02, 0.38, 0.6)
+START_BAD = (0.3, 0.3, 0.4)
+
 
 def _count_of(text: Column, chars: str) -> Column:
     """Characters of ``text`` that are in ``chars``."""
@@ -47,6 +60,11 @@ def _count_of(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(rest)
 
 
+def _matching(words_col: str, pattern: str) -> Column:
+    """Words that a pattern matches."""
+    return F.size(F.filter(words_col, lambda w: w.rlike(pattern))).cast("long")
+
+
 def features(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """Counts of every text; all of them linear in its length, but for a sort
     of the window hashes of texts that do repeat a five-word window."""
@@ -59,9 +77,14 @@ def features(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         F.length(F.array_join("ws", "")).cast("long").alias("word_chars"),
         _count_of(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         _count_of(F.col("t"), "!").cast("long").alias("n_shouts"),
-        (F.size("ws") - F.size(F.array_remove("ws", "|"))).cast("long").alias("n_bars"))
+        _count_of(F.col("t"), ".").cast("long").alias("n_stops"),
+        _count_of(F.col("t"), ",").cast("long").alias("n_commas"),
+        F.regexp_count("t", F.lit("[A-Z]")).cast("long").alias("n_capitals"),
+        _matching("ws", PLAIN).alias("n_plain"), _matching("ws", LONE).alias("n_lone"),
+        _matching("ws", ODD_END).alias("n_odd_ends"))
     d = d.select(
-        "doc_id", "word_chars", "n_symbols", "n_shouts", "n_bars", "h",
+        "doc_id", "word_chars", "n_symbols", "n_shouts", "n_stops", "n_commas", "n_capitals", "h",
+        F.size(F.array_distinct("h")).cast("long").alias("n_distinct"), "n_plain", "n_lone", "n_odd_ends",
         F.size("h").cast("long").alias("n_words"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -83,77 +106,76 @@ def features(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         F.lit(0), lambda a, x: a + x)
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                     F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-                    "n_lines", "n_shouts", "n_same", "n_bars")
+                    "n_lines", "n_shouts", "n_same", "n_stops", "n_commas", "n_capitals", "n_distinct",
+                    "n_plain", "n_lone", "n_odd_ends")
 
 
 def votes(feats: DataFrame, rules=RULES) -> DataFrame:
     """A column ``vote_<rule>`` for each rule: 1, 0 or -1."""
     def vote(measure, good, bad):
-        x = f"({measure})"
-        cases = [f"when {test.replace('x', x, 1)} then {v}" for test, v in ((bad, -1), (good, 1)) if test]
+        cases = [f"when {test.replace('x', f'({measure})')} then {v}" for test, v in ((bad, -1), (good, 1)) if test]
         return F.expr(f"case {' '.join(cases)} else 0 end")
     return feats.withColumns({f"vote_{name}": vote(m, good, bad) for name, m, good, bad in rules})
 
 
-def _logit(p: Column) -> Column:
-    return F.log(p / (1 - p))
-
-
 def _sum(array: Column) -> Column:
     return F.aggregate(array, F.lit(0.0), lambda a, x: a + x)
 
 
-def posterior(vote: Column, accuracy: Column, prior: Column) -> Column:
-    """P(good | votes) under the one-coin model; ``vote`` and ``accuracy`` are arrays."""
-    return 1 / (1 + F.exp(-(_logit(prior) + _sum(F.zip_with(vote, accuracy, lambda v, a: v * _logit(a))))))
+def posterior(vote: Column, good: Column, bad: Column, share: Column) -> Column:
+    """P(good | votes). ``good`` and ``bad`` are flat arrays of the rates, three
+    a rule: how often it votes -1, 0, 1."""
+    def log_rate(rates):
+        return _sum(F.transform(vote, lambda v, j: F.log(F.get(rates, 3 * j + v + 1))))
+    return 1 / (1 + F.exp(F.log((1 - share) / share) + log_rate(bad) - log_rate(good)))
 
 
-def fit(voted: DataFrame, cols: list[str], rounds: int = 25, start: float = 0.9,
-        prior: float = 0.5, pseudo: float = 10.0, within=(0.6, 0.99),
-        share_within=(0.1, 0.9)) -> tuple[list[float], float]:
-    """(accuracies, share of good texts) by expectation-maximisation.
+def fit(voted: DataFrame, cols: list[str], rounds: int = 30, share: float = 0.8,
+        pseudo: float = 10.0) -> tuple[list[float], list[float], float]:
+    """(rates on good texts, rates on bad texts, share of good texts) by
+    expectation-maximisation.
 
     Works on the counts of distinct vote patterns, at most 3 ** rules rows
-    whatever the input, and is one expression over them. ``pseudo`` votes at
-    accuracy ``start`` and ``pseudo`` texts at share ``prior`` are added to
-    each estimate, so an empty table gives the starting values. A rule is taken
-    to be better than chance and never infallible (``within``), and the share
-    of good texts stays inside ``share_within``: without these bounds the
-    model can explain all bad votes as mistakes of their rules.
+    whatever the input, and is one expression over them. ``pseudo`` texts of each
+    quality that vote at the starting rates are added to each estimate, so no rate
+    is 0, and an empty table gives the starting values. Nothing else bounds them.
     """
     counts = voted.groupBy(F.array(*cols).alias("v")).agg(F.count("*").cast("double").alias("n"))
     patterns = counts.agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("pats"))
+    start = [F.array(*[F.lit(float(x)) for x in rates] * len(cols)) for rates in (START_GOOD, START_BAD)]
+    cells = F.sequence(F.lit(0), F.lit(3 * len(cols) - 1))
 
     def step(state, _):
         # expectation: the posterior of each pattern; maximisation: weighted shares
         post = F.transform("pats", lambda p: F.struct(
-            p["v"].alias("v"), p["n"].alias("n"), posterior(p["v"], state["acc"], state["prior"]).alias("q")))
+            p["v"].alias("v"), p["n"].alias("n"),
+            (p["n"] * posterior(p["v"], state["good"], state["bad"], state["share"])).alias("q")))
 
         def update(ps):
-            def accuracy(j):
-                said = F.filter(ps, lambda p: F.get(p["v"], j) != 0)
-                right = _sum(F.transform(said, lambda p: p["n"] * F.when(F.get(p["v"], j) > 0, p["q"])
-                                         .otherwise(1 - p["q"])))
-                a = (right + pseudo * start) / (_sum(F.transform(said, lambda p: p["n"])) + pseudo)
-                return F.least(F.greatest(a, F.lit(within[0])), F.lit(within[1]))
-            share = ((_sum(F.transform(ps, lambda p: p["n"] * p["q"])) + pseudo * prior)
-                     / (_sum(F.transform(ps, lambda p: p["n"])) + pseudo))
-            return F.struct(F.transform(F.sequence(F.lit(0), F.lit(len(cols) - 1)), accuracy).alias("acc"),
-                            F.least(F.greatest(share, F.lit(share_within[0])),
-                                    F.lit(share_within[1])).alias("prior"))
+            all_good = _sum(F.transform(ps, lambda p: p["q"]))
+            total = _sum(F.transform(ps, lambda p: p["n"]))
+
+            def rates(weight, mass, first):
+                def rate(k):
+                    said = F.filter(ps, lambda p: F.get(p["v"], F.floor(k / 3).cast("int")) == k % 3 - 1)
+                    return (_sum(F.transform(said, weight)) + pseudo * F.get(first, k)) / (mass + pseudo)
+                return F.transform(cells, rate)
+            return F.struct(rates(lambda p: p["q"], all_good, start[0]).alias("good"),
+                            rates(lambda p: p["n"] - p["q"], total - all_good, start[1]).alias("bad"),
+                            ((all_good + pseudo * share) / (total + pseudo)).alias("share"))
         return F.element_at(F.transform(F.array(post), update), 1)
 
-    first = F.struct(F.array(*[F.lit(start)] * len(cols)).alias("acc"), F.lit(prior).alias("prior"))
+    first = F.struct(start[0].alias("good"), start[1].alias("bad"), F.lit(share).alias("share"))
     row = patterns.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), first, step).alias("m")).first()
-    return list(row["m"]["acc"]), row["m"]["prior"]
+    return list(row["m"]["good"]), list(row["m"]["bad"]), row["m"]["share"]
 
 
 def score(docs: DataFrame, id_col="doc_id", text_col="text", rules=RULES, keep_at: float = 0.5) -> DataFrame:
     """Features, ``base_failed``, the votes, ``posterior`` and ``kept`` of every row."""
     voted = stage(votes(features(docs, id_col, text_col), rules), "votes")
     cols = [f"vote_{r[0]}" for r in rules]
-    acc, share = fit(voted, cols)
+    good, bad, share = fit(voted, cols)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    p = F.round(posterior(F.array(*cols), F.array(*map(F.lit, acc)), F.lit(share)), 9)
+    p = F.round(posterior(F.array(*cols), F.array(*map(F.lit, good)), F.array(*map(F.lit, bad)), F.lit(share)), 9)
     return (voted.withColumn("base_failed", failed).withColumn("posterior", p)
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= keep_at)))
