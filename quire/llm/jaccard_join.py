@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import text_arrays as ta
-from quire.llm.common import components, narrow, stage
+from quire.llm.common import components, lean, narrow, stage
 
 #: A shingle in the prefixes of more classes than this is handled by tiles.
 FEW = 32
@@ -119,20 +119,32 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
-    """At most ``most`` shingles of largest count (counts below 2 in 4 MB of text
-    are left out), sorted."""
+    """At most ``most`` shingles of largest count (counts below 2 in 1 MB of text
+    are left out), sorted. A histogram of the counts, in steps of an eighth of a
+    doubling, gives the least count that so many shingles reach, so the driver gets
+    no more rows than these."""
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for part in ta.slices(batch, "text", 4 << 20):
+            for part in ta.slices(batch, "text", 1 << 20):
                 h, count = np.unique(shingle_sets(part.column(0), n)[1], return_counts=True)
                 some = count >= 2
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[some].view(np.int64)), pa.array(count[some])], ["h", "n"])
 
-    top = (docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "h").limit(most).select("h").collect())   # at most ``most`` numbers
+    step = F.floor(F.log2("n") * 8).cast("int")
+    counts = docs.select("text").mapInArrow(lean(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = stage(counts.withColumn("step", step), "counts")
+    reached, least = 0, None
+    for r in sorted(counts.groupBy("step").count().collect(), reverse=True):       # at most 504 rows
+        reached += r["count"]
+        if reached > most:
+            break
+        least = r["step"]
+    if least is None:
+        return np.zeros(0, np.uint64)
+    top = counts.where(F.col("step") >= least).select("h").collect()
     return np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
 
 
@@ -182,7 +194,7 @@ def described(docs: DataFrame, n: int, percent: int, hot: np.ndarray) -> DataFra
                     ["doc_id", "n", "class", "prefix", "bits"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n long, class long, prefix array<long>, bits binary")
+        lean(run), f"doc_id {id_type}, n long, class long, prefix array<long>, bits binary")
 
 
 def _runs(percent: int):
@@ -281,7 +293,7 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
         F.first("bits", ignorenulls=True).alias("bits")), "classes")
     tokens = (about.where("prefix is not null").select(F.explode("prefix").alias("token"), "n", "class")
               .repartition("token").sortWithinPartitions("token", "n", "class"))
-    found = stage(tokens.mapInArrow(_runs(percent), "kind int, a long, b long"), "candidates")
+    found = stage(tokens.mapInArrow(lean(_runs(percent)), "kind int, a long, b long"), "candidates")
 
     def passing(batches):
         import pyarrow as pa
@@ -296,7 +308,7 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
     left = classes.select(F.col("class").alias("a"), "n", F.col("bits").alias("p"))
     right = classes.select(F.col("class").alias("b"), F.col("n").alias("m"), F.col("bits").alias("q"))
     pairs = stage(found.where("kind = 0").select("a", "b").distinct().join(left, "a").join(right, "b")
-                  .select("a", "b", "n", "m", "p", "q").mapInArrow(passing, "a long, b long"), "pairs")
+                  .select("a", "b", "n", "m", "p", "q").mapInArrow(lean(passing), "a long, b long"), "pairs")
 
     # clusters: classes connected through heavy shingles
     heavy = found.where("kind = 1").select(F.col("a").alias("class"), F.col("b").alias("token"))
@@ -326,7 +338,7 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
                                                  ["class", "set"])
 
     sets = stage(docs.join(keys, "doc_id").select("expected", "text").mapInArrow(
-        sets_of, "class long, set binary").dropDuplicates(["class"]), "sets")
+        lean(sets_of), "class long, set binary").dropDuplicates(["class"]), "sets")
 
     def verified(batches):
         import pyarrow as pa
@@ -340,7 +352,7 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
 
     light = (pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("p")), "a")
              .join(sets.select(F.col("class").alias("b"), F.col("set").alias("q")), "b")
-             .select("a", "b", "p", "q").mapInArrow(verified, "a long, b long"))
+             .select("a", "b", "p", "q").mapInArrow(lean(verified), "a long, b long"))
 
     # tiles: (cluster, band of sizes, block)
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
