@@ -8,10 +8,13 @@ takes the language with the largest mean, which is its score.
 
 Documents carry one label each, so training sequences are spliced from runs of
 words of differently labelled texts: the transitions are learned from these.
-The fit uses a bounded sample of texts with a word: at most ``fit_rows`` per
-language, of at most ``fit_chars`` characters each. Longer texts are taken only
-where a language has too few others, and of them the first ``fit_chars``
-characters. A language without a text with a word is not learned; the others are.
+The fit uses a bounded sample: at most ``fit_rows`` labelled pieces per language,
+of at most ``piece_chars`` characters, drawn from all parts of all texts. A
+language without a text with a word is not learned; the others are.
+
+A prediction takes a text of any length whole (its arrays need some 40 bytes a
+byte of the longest text of a slice). The model, broadcast, has ``SIZE`` floats a
+language.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; so
 is every text when nothing was learned; ties go to the first language in code
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm import text_arrays as ta
-from quire.llm.common import WORD
+from quire.llm.common import WORD, lean
 
 GRAMS, LEXICON, AFFIX = 1 << 16, 1 << 16, 1 << 15
 SIZE = GRAMS + LEXICON + AFFIX
@@ -187,57 +190,69 @@ def has_letter(column, w: ta.Words) -> np.ndarray:
     return found
 
 
-def label(column, model: Model) -> tuple[list, np.ndarray]:
-    """(language, score) of each text of an Arrow string array."""
+def label(column, model: Model) -> tuple[list, np.ndarray, np.ndarray]:
+    """(language, score, confidence) of each text of an Arrow string array: the
+    score is the share of the language in the text, the confidence the mean of its
+    words' best posteriors, high in a text that switches between known languages."""
     w = ta.words(column)
     n, k = len(column), len(model.labels)
     known = has_letter(column, w)
     if not k:
-        return ["und"] * n, np.zeros(n)
+        return ["und"] * n, np.zeros(n), np.zeros(n)
     p = marginals(emissions(features(w), model.weight), model.change, *lines(w))
     count = np.maximum(np.bincount(w.doc, minlength=n), 1)
     mean = np.stack([np.bincount(w.doc, p[:, j], n) / count for j in range(k)], 1)
     best = mean.argmax(1)
     score = np.where(known, mean[np.arange(n), best], 0.0)
-    return [model.labels[b] if ok else "und" for b, ok in zip(best, known)], np.clip(score, 0, 1)
+    sure = np.where(known, np.bincount(w.doc, p.max(1) if len(p) else None, n) / count, 0.0)
+    names = [model.labels[b] if ok else "und" for b, ok in zip(best, known)]
+    return names, np.clip(score, 0, 1), np.clip(sure, 0, 1)
 
 
 def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", fit_rows: int = 300,
-        fit_chars: int = 12000) -> Model:
-    """Model from a bounded sample of rows with a language and a text with a word."""
-    long = F.length(text_col) > fit_chars
-    text = F.when(long, F.substring(F.ltrim(F.col(text_col), F.lit(" \t\n\x0b\x0c\r")), 1, fit_chars)).otherwise(
-        F.col(text_col))
-    d = docs.select(F.col(id_col).cast("string").alias("id"), text.alias("text"),
-                    F.col(lang_col).alias("lang"), long.alias("long")).where(
-        F.col("lang").isNotNull() & F.col("text").rlike(WORD)).withColumn("h", F.xxhash64("id"))
+        piece_chars: int = 12000) -> Model:
+    """Model from a bounded sample of labelled rows.
+
+    The rows are pieces of at most ``piece_chars`` characters, into which every
+    text with a language is cut from its start to its end; pieces without a word
+    are left out. Of each language the ``fit_rows`` pieces with the smallest hash
+    of id, place and text are taken, wherever in whichever text they are. Rows
+    that repeat id and text count once.
+    """
+    size = F.length("text")
+    places = F.sequence(F.lit(0), F.greatest(F.ceil(size / piece_chars).cast("int") - 1, F.lit(0)))
+    d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    d = d.where(F.col("lang").isNotNull() & F.col("text").rlike(WORD))
+    d = d.select("id", "lang", F.posexplode(F.transform(places, lambda i: F.substring(
+        F.col("text"), i * piece_chars + 1, F.lit(piece_chars)))).alias("place", "text"))
+    d = d.where(F.col("text").rlike(WORD)).select("lang", "text", F.xxhash64("id", "place", "text").alias("h"))
     # a row limit per language, first in 64 parts of it; Spark applies it in each
     # task before the shuffle
-    keys = d.select("id", "lang", "long", "h").withColumn("part", F.pmod(F.xxhash64("h"), F.lit(64)))
+    keys = d.select("lang", "h").withColumn("part", F.pmod(F.xxhash64("h"), F.lit(64))).distinct()
     for by in (("lang", "part"), ("lang",)):
         keys = keys.withColumn("r", F.row_number().over(
-            Window.partitionBy(*by).orderBy("long", "h", "id"))).where(F.col("r") <= fit_rows)
-    keys = docs.sparkSession.createDataFrame(keys.select("id", "lang", "long").distinct().collect(),
-                                             "id string, lang string, long boolean")
-    got = d.join(F.broadcast(keys), ["id", "lang", "long"]).select("lang", "h", "id", "text").collect()
-    got.sort(key=lambda r: (r["lang"], r["h"], r["id"] or "", r["text"]))
+            Window.partitionBy(*by).orderBy("h"))).where(F.col("r") <= fit_rows)
+    keys = docs.sparkSession.createDataFrame(keys.select("lang", "h").collect(), "lang string, h long")
+    got = d.join(F.broadcast(keys), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
+    got.sort(key=lambda r: (r["lang"], r["h"]))
     return train([r["text"] for r in got], [r["lang"] for r in got])
 
 
-def predict(docs: DataFrame, model: Model, text_col="text", as_columns=("lang_pred", "score")) -> DataFrame:
-    """All columns of ``docs`` (but those named ``as_columns``) and the two of the prediction."""
+def predict(docs: DataFrame, model: Model, text_col="text", as_columns=("lang_pred", "score", "confidence")) -> DataFrame:
+    """All columns of ``docs`` (but those named ``as_columns``) and the three of the prediction."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))   # a few MB, fixed by the bucket count
     place = docs.columns.index(text_col)
     keep = [i for i, c in enumerate(docs.columns) if c not in as_columns]
-    schema = docs.drop(*as_columns).schema.add(as_columns[0], "string").add(as_columns[1], "double")
+    schema = docs.drop(*as_columns).schema.add(as_columns[0], "string").add(as_columns[1], "double").add(as_columns[2], "double")
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             for part in ta.slices(batch, text_col):
-                lang, p = label(part.column(place), Model(*shared.value))
+                lang, p, sure = label(part.column(place), Model(*shared.value))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in keep] + [pa.array(lang, pa.string()), pa.array(p)], schema.names)
+                    [part.column(i) for i in keep] + [pa.array(lang, pa.string()), pa.array(p), pa.array(sure)],
+                    schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -28,7 +28,7 @@ def op3_language_crf(spark, sf_dir):
     held = remainder(F.col("doc_id"), 3) == 1
     model = language_crf.fit(docs.where(~held))
     return language_crf.predict(docs.select("doc_id", "text", held.alias("held_out")), model).select(
-        "doc_id", "held_out", "lang_pred", "score")
+        "doc_id", "held_out", "lang_pred", "score", "confidence")
 
 
 def op4_exact_topk(spark, sf_dir):
