@@ -97,7 +97,7 @@ def chunks(docs: DataFrame, part: int) -> DataFrame:
         held = {True: [], False: []}
         tokens = {True: 0, False: 0}
         for batch in batches:
-            for part_of in ta.slices(batch, "text"):
+            for part_of in ta.slices(batch, "text", 2 << 20):
                 r = np.asarray(part_of.column(2))
                 w = ta.words(part_of.column(1))
                 count = np.bincount(w.doc, minlength=part_of.num_rows)

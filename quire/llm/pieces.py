@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from quire.llm import text_arrays as ta
+from quire.llm.common import lean
 
 MARK = "▁"
 REMEMBERED = 150_000
@@ -133,7 +134,7 @@ def encode(docs: DataFrame, model: str, text_col="text") -> DataFrame:
         coder = None
         for batch in batches:
             coder = coder or Pieces(model)
-            for part in ta.slices(batch, text_col, 1 << 20):
+            for part in ta.slices(batch, text_col):
                 ids, n, n_bytes, score, same = [], [], [], [], []
                 for text in part.column(place).to_pylist():
                     i, s, b = coder.encode(text or "")
@@ -147,7 +148,7 @@ def encode(docs: DataFrame, model: str, text_col="text") -> DataFrame:
                     + [pa.array(ids, pa.list_(pa.int32())), pa.array(n, pa.int64()), pa.array(n_bytes, pa.int64()),
                        pa.array(score, pa.float64()), pa.array(same, pa.bool_())], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def decode(rows: DataFrame, model: str, ids_col="ids", as_column="text") -> DataFrame:

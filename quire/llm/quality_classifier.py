@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import text_arrays as ta
+from quire.llm.common import lean
 
 BUCKETS = 1 << 16
 #: Two more indicators: a word twice, and three times, in a row.
@@ -140,7 +141,8 @@ def probabilities(column, model: Model) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality",
         fit_rows: int = 5000) -> Model:
-    """Model from at most ``fit_rows`` rows of ``labels`` (label 0 or 1)."""
+    """Model from at most ``fit_rows`` rows of ``labels`` (label 0 or 1), each with
+    one text: of rows that repeat an id, the one with the smallest features."""
     spark = docs.sparkSession
     order = F.xxhash64(F.col(id_col).cast("string"))
     picked = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"), order.alias("h"))
@@ -164,7 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
                     ["h", "id", "y", "f"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    got = rows.mapInArrow(vectors, f"h long, id {id_type}, y int, f binary").collect()
+    # one row a label: of rows that repeat an id, the smallest by its features
+    got = (rows.mapInArrow(lean(vectors), f"h long, id {id_type}, y int, f binary")
+           .groupBy("h", "id", "y").agg(F.min("f").alias("f")).collect())
     got.sort(key=lambda r: (r["h"], str(r["id"]), r["y"], bytes(r["f"])))
     return train([(np.frombuffer(r["f"], np.int32).astype(np.int64), r["y"]) for r in got])
 
@@ -184,4 +188,4 @@ def score(docs: DataFrame, model: Model, text_col="text", as_column="score") ->
                 p = probabilities(part.column(place), Model(*shared.value))
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in keep] + [pa.array(p)], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -83,7 +83,7 @@ def words(column, lower: bool = True) -> Words:
     return Words(data, offsets, start, length, doc, h)
 
 
-def slices(batch, text: str, most_bytes: int = 2 << 20):
+def slices(batch, text: str, most_bytes: int = 512 << 10):
     """The batch in runs of rows of about ``most_bytes`` of text; a longer
     text is a run of its own, whole."""
     _, offsets = raw(batch.column(batch.schema.get_field_index(text)))

@@ -151,7 +151,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, text_col="text", limit: int =
         counter = None
         for batch in batches:
             counter = counter or Counter(vocabulary)
-            for part in ta.slices(batch, text_col):
+            for part in ta.slices(batch, text_col, 2 << 20):
                 text = part.column(place)
                 n = np.array([counter.count(t) if t else 0 for t in text.to_pylist()], np.int64)
                 size = np.diff(ta.raw(text)[1])
