@@ -7,6 +7,9 @@ returns a DataFrame, which is written as Parquet and read again as the next
 stage's docs. Two stages number the rows, so that rows which repeat a doc_id stay
 apart; the numbers are written once (``_numbered``), as a later scan can have
 other partitions.
+
+In every stage an empty table gives no rows, columns beyond those of documents
+stay as they are whatever their names, and a text of any length is taken whole.
 """
 
 from __future__ import annotations
@@ -37,15 +40,27 @@ def _numbered(docs: DataFrame, row: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the texts of a learned language (at least half of it by score)."""
+    """Keeps the texts whose words are of learned languages, one or several: the
+    words' best posteriors are at least 0.5 on average, so a text that switches
+    between learned languages stays, whatever its largest share.
+
+    Null and empty texts, and texts without a letter, go (`und`); rows that repeat
+    an id or a text are decided alike, by their text alone; a null lang is not
+    learned from. Without a labelled text there is no language, and all go.
+    """
     model = language_crf.fit(docs.where(remainder(F.col("doc_id"), 3) != 1))
-    lang, score = _fresh(docs, "lang_pred"), _fresh(docs, "lang_score")
-    told = language_crf.predict(docs, model, as_columns=(lang, score))
-    return told.where((F.col(lang) != "und") & (F.col(score) >= 0.5)).select(*docs.columns)
+    lang, score, sure = (_fresh(docs, f"lang_{name}") for name in ("pred", "score", "confidence"))
+    told = language_crf.predict(docs, model, as_columns=(lang, score, sure))
+    return told.where((F.col(lang) != "und") & (F.col(sure) >= 0.5)).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the texts whose probability of label 1 is at least 0.3."""
+    """Keeps the texts whose probability of label 1 is at least 0.3.
+
+    Null and empty texts get the model's probability of a text without features;
+    rows that repeat an id or a text are decided alike, by their text alone.
+    Without labels of both kinds every text gets one probability.
+    """
     labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 5) != 0)
     score = _fresh(docs, "quality_score")
     told = quality_classifier.score(docs, quality_classifier.fit(docs, labels), as_column=score)
@@ -53,16 +68,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of linked texts (the first in scan order)."""
+    """Keeps one row of each group of linked texts: the one with the smallest
+    doc_id (a null id comes last; of rows that repeat it, the first in the stored
+    order).
+
+    Texts without words are linked with nothing, so all of them stay. Rows that
+    repeat an id are rows of their own, and stay unless their texts are linked.
+    """
     row = _fresh(docs, "row_number")
     numbered = _numbered(docs, row)
-    dropped = (jaccard_join.join(numbered, id_col=row).where("component_id <> doc_id")
-               .select(F.col("doc_id").alias(row)))
+    linked = stage(jaccard_join.join(numbered, id_col=row).select(
+        F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")), "groups")
+    # the groups of two rows and more, with all their rows
+    large = narrow(linked.where("__row <> __group").select(F.col("__group").alias("__of")).distinct())
+    members = linked.join(large, F.col("__group") == F.col("__of")).select("__row", "__group")
+    ids = numbered.select(F.col(row).alias("__row"), F.col("doc_id").alias("__id"))
+    order = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row"))
+    members = stage(ids.join(members, "__row"), "members")
+    keepers = members.groupBy("__group").agg(F.min(order)["row"].alias("__keep"))
+    dropped = (members.join(keepers, "__group").where("__row <> __keep").select(F.col("__row").alias(row)))
     return numbered.join(narrow(dropped), row, "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes its words: round(taken / size) times."""
+    """Each row as often as the mix takes its words: round(taken / size) times.
+
+    Texts without words have nothing to take and go, as do rows of which the mix
+    takes less than half; a null source is a source of its own; rows that repeat
+    an id are rows of their own.
+    """
     row, copies = _fresh(docs, "row_number"), _fresh(docs, "copies")
     numbered = _numbered(docs, row)
     times = (mixing.mix(numbered, id_col=row).where("size > 0")
@@ -73,7 +107,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, n_pieces, ids) of every row."""
+    """(doc_id, lang, source, n_pieces, ids) of every row; a null or empty text has
+    no pieces, and rows that repeat are encoded as they stand."""
     import public_tokenizers
 
     out = pieces.encode(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -88,7 +123,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        path = scratch_path(spark, f"pipeline/{name}-{uuid.uuid4().hex}")
+        path = scratch_path(spark, f"staged/{spark.sparkContext.applicationId}/pipeline-{name}-{uuid.uuid4().hex}")
         out = step(spark, docs, sf_dir)
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
