@@ -119,15 +119,15 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
-    """At most ``most`` shingles of largest count (counts below 2 in 1 MB of text
-    are left out), sorted. A histogram of the counts, in steps of an eighth of a
-    doubling, gives the least count that so many shingles reach, so the driver gets
-    no more rows than these."""
+    """About ``most`` shingles of largest count (counts below 2 in 2 MB of text are
+    left out), sorted. A histogram of the counts, in steps of an eighth of a
+    doubling, gives the steps that fit whole; of the next one, a share by hash. So
+    the driver gets no more rows than these (and a few by chance)."""
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for part in ta.slices(batch, "text", 1 << 20):
+            for part in ta.slices(batch, "text", 2 << 20):
                 h, count = np.unique(shingle_sets(part.column(0), n)[1], return_counts=True)
                 some = count >= 2
                 yield pa.RecordBatch.from_arrays(
@@ -136,15 +136,15 @@ def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
     step = F.floor(F.log2("n") * 8).cast("int")
     counts = docs.select("text").mapInArrow(lean(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     counts = stage(counts.withColumn("step", step), "counts")
-    reached, least = 0, None
+    reached, share = 0, F.lit(False)
     for r in sorted(counts.groupBy("step").count().collect(), reverse=True):       # at most 504 rows
+        part = min(1.0, (most - reached) / r["count"])
+        inside = F.lit(True) if part == 1 else F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < int(part * (1 << 20))
+        share = share | ((F.col("step") == r["step"]) & inside)
         reached += r["count"]
-        if reached > most:
+        if reached >= most:
             break
-        least = r["step"]
-    if least is None:
-        return np.zeros(0, np.uint64)
-    top = counts.where(F.col("step") >= least).select("h").collect()
+    top = counts.where(share).select("h").collect()
     return np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
 
 
