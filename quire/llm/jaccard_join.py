@@ -119,7 +119,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
-    """About ``most`` shingles of largest count (counts below 2 in 2 MB of text are
+    """About ``most`` shingles of largest count (counts below 2 in 4 MB of text are
     left out), sorted. A histogram of the counts, in steps of an eighth of a
     doubling, gives the steps that fit whole; of the next one, a share by hash. So
     the driver gets no more rows than these (and a few by chance)."""
@@ -127,7 +127,7 @@ def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
         import pyarrow as pa
 
         for batch in batches:
-            for part in ta.slices(batch, "text", 2 << 20):
+            for part in ta.slices(batch, "text", 4 << 20):
                 h, count = np.unique(shingle_sets(part.column(0), n)[1], return_counts=True)
                 some = count >= 2
                 yield pa.RecordBatch.from_arrays(
