@@ -14,7 +14,16 @@ def store_oracles(plain: dict[str, str]) -> dict[str, str]:
     o = {"merged_replace": plain["upsert_replace"], "merged_insert": plain["insert_if_absent"],
          "merged_update": plain["partial_update"], "merged_summary": plain["upsert_summary"],
          "merged_selected": plain["set_selected"], "sections_replayed": plain["sections_current"],
-         "search_indexed": plain["search_boolean"]}
+         "search_indexed": plain["search_boolean"], "answers_kept": plain["generated_texts"],
+         "parsed_files": plain["read_converted"], "packed_files": plain["read_converted"]}
+    # a file holds a line and the text, those with doc_id % 8 = 5 what can't be converted
+    body = "case when doc_id % 8 <> 5 then 'text' || chr(10) || coalesce(text, '') else 'bad' end"
+    o["binary_files"] = with_papers(f"""
+select paper_id as id, strlen({body}) as length, sha256({body}) as sha256 from papers join documents using (doc_id)""")
+    o["conversion_observed"] = f"""
+select count(*) as total, count(*) filter (where doc_id % 4 <> 0 and {body} <> 'bad') as ok,
+       count(*) filter (where doc_id % 4 <> 0 and {body} = 'bad') as failed, count(*) filter (where doc_id % 4 = 0) as skipped
+from documents"""
     o["table_versions"] = with_papers("""
 , kept as (select p.doc_id, s.abstract from papers p join sections s on p.doc_id = s.doc_id
            where p.doc_id % 2 = 0 or p.doc_id % 3 = 0)

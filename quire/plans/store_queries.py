@@ -166,7 +166,96 @@ def q_labels_enforced(spark, sf):
             .unionByName(checked.rejected.read()))
 
 
+def parsed_files(spark, sf, root: str) -> None:
+    """One parsed-document JSON file per paper, named by its id."""
+    from quire.sources.packed import write_files
+
+    docs = fixtures.papers(spark, sf).select(F.concat("paper_id", F.lit(".json")).alias("name"), F.to_json(F.struct(
+        F.transform("blocks", lambda b: F.struct(b.alias("text"))).alias("texts"))).alias("body"))
+    write_files(docs, root, "name", "body")
+
+
+def q_parsed_files(spark, sf):
+    """A2: one JSON file per paper, read as they are."""
+    from quire.sources.files import read_parsed_documents
+
+    root = folder(spark, "files")
+    parsed_files(spark, sf, root)
+    return read_parsed_documents(spark, root).select("id", "content")
+
+
+def q_packed_files(spark, sf):
+    """A2 from containers: the same files, packed first."""
+    from quire.sources.packed import PackedFiles
+
+    root = folder(spark, "files")
+    parsed_files(spark, sf, f"{root}/in")
+    packed = PackedFiles(spark, f"{root}/packed", BUCKETS)
+    packed.refresh(f"{root}/in", "*.json")
+    return packed.read_parsed()
+
+
+def text_lines(content):
+    """A ``parse_fn`` that SQL can mirror: the lines of a file; a bad one fails."""
+    if content == b"bad":
+        raise ValueError("bad file")
+    return [{"text": line} for line in content.decode().split("\n")]
+
+
+def binary_files(spark, sf, root: str) -> None:
+    """One file per document: a first line and its text, or, for doc_id % 8 = 5,
+    what can't be converted."""
+    from quire.sources.packed import write_files
+
+    docs = fixtures.paper_keys(spark, sf).select("doc_id", "paper_id").join(
+        fixtures.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    write_files(docs.select(F.concat("paper_id", F.lit(".pdf")).alias("name"),
+                            F.when(F.col("doc_id") % 8 != 5, F.concat(
+                                F.lit("text\n"), F.coalesce("text", F.lit("")))).otherwise("bad").alias("body")), root, "name", "body")
+
+
+def q_binary_files(spark, sf):
+    """A3: listing and bytes of binary files."""
+    from quire.sources.files import list_files, read_binary_documents
+
+    root = folder(spark, "files")
+    binary_files(spark, sf, root)
+    listed = list_files(spark, root, "*.pdf").select("id", "length")
+    return listed.join(read_binary_documents(spark, root).select("id", F.sha2("content", 256).alias("sha256")), "id")
+
+
+def q_conversion_observed(spark, sf):
+    """A conversion job over files, of which doc_id % 4 = 0 have an
+    output already; counted while it writes."""
+    from quire.plans import workflow
+
+    root = folder(spark, "files")
+    binary_files(spark, sf, f"{root}/in")
+    tables.write_documents(fixtures.paper_keys(spark, sf).where("doc_id % 4 = 0").select(
+        F.col("paper_id").alias("id"), F.lit(None).cast("array<map<string,string>>").alias("texts")), f"{root}/out")
+    return workflow.convert(spark, f"{root}/in", f"{root}/out", text_lines)
+
+
+def q_answers_kept(spark, sf):
+    """H3 by prompt hash: half of the papers first, then all of them; what was
+    answered isn't sent again."""
+    from quire.functions.prompts import summary_prompt
+    from quire.operators.answers import AnswerStore
+
+    s = stage(Q.sections(spark, sf).select("doc_id", "paper_id", summary_prompt("abstract", "conclusion").alias("prompt")),
+              "prompts")
+    answers = AnswerStore(spark, folder(spark, "answers"), BUCKETS)
+    answers.generate(s.where("doc_id % 2 = 0"), "prompt", "generated", Q.prompt_heads, options={"n": 40}, batch_size=256)
+    return answers.generate(s, "prompt", "generated", Q.prompt_heads, options={"n": 40}, batch_size=256).select(
+        "paper_id", "generated")
+
+
 QUERIES = {
+    "parsed_files": q_parsed_files,
+    "packed_files": q_packed_files,
+    "binary_files": q_binary_files,
+    "conversion_observed": q_conversion_observed,
+    "answers_kept": q_answers_kept,
     "merged_replace": q_merged_replace,
     "merged_insert": q_merged_insert,
     "merged_update": q_merged_update,

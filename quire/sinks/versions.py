@@ -217,9 +217,10 @@ class VersionedTable:
         if not buckets:
             rows.write.parquet(f"{self.root}/data/{name}")
             return (Part(name, -1),)
-        # rows of a bucket meet in one task, or in several when there are many
+        # rows of a bucket meet in one task, or in several when there are many; a
+        # file's rows are ordered by key, so its statistics lead to a key's row groups
         bucketed = rows.withColumn(BUCKET, bucket_of(self.key, buckets)).hint("rebalance", F.col(BUCKET))
-        bucketed.write.partitionBy(BUCKET).parquet(f"{self.root}/data/{name}")
+        bucketed.sortWithinPartitions(BUCKET, self.key).write.partitionBy(BUCKET).parquet(f"{self.root}/data/{name}")
         found = [n for n in self.folder.names(f"data/{name}") if n.startswith(f"{BUCKET}=")]
         return tuple(Part(f"{name}/{n}", -1, int(n.partition("=")[2])) for n in found)
 
