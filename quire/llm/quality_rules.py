@@ -26,7 +26,10 @@ from quire.llm.common import stage, words
 SYMBOLS = "#*$%&|<>"
 #: Letters with one mark of a sentence at most; words without letter or digit;
 #: words that start with a letter and end in two characters that aren't letters.
-PLAIN, LONE, ODD_END = r"^\p{L}+[.,;:!?]?$", r"^[^\p{L}\p{N}]+$", r"(?s)^\p{L}.*[^\p{L}]{2}$"
+_START, _END = r"(?<![^\x20\x09-\x0D])", r"(?![^\x20\x09-\x0D])"
+PLAIN = rf"{_START}\p{{L}}+[.,;:!?]?{_END}"
+LONE = rf"{_START}[^\p{{L}}\p{{N}}\x20\x09-\x0D]+{_END}"
+ODD_END = rf"{_START}\p{{L}}[^\x20\x09-\x0D]*[^\p{{L}}\x20\x09-\x0D]{{2}}{_END}"
 
 #: (rule, SQL measure over the features, good vote when, bad vote when); a null
 #: measure (too few words to say) abstains.
@@ -60,11 +63,6 @@ def _count_of(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(rest)
 
 
-def _matching(words_col: str, pattern: str) -> Column:
-    """Words that a pattern matches."""
-    return F.size(F.filter(words_col, lambda w: w.rlike(pattern))).cast("long")
-
-
 def features(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """Counts of every text; all of them linear in its length, but for a sort
     of the window hashes of texts that do repeat a five-word window."""
@@ -80,8 +78,8 @@ def features(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         _count_of(F.col("t"), ".").cast("long").alias("n_stops"),
         _count_of(F.col("t"), ",").cast("long").alias("n_commas"),
         F.regexp_count("t", F.lit("[A-Z]")).cast("long").alias("n_capitals"),
-        _matching("ws", PLAIN).alias("n_plain"), _matching("ws", LONE).alias("n_lone"),
-        _matching("ws", ODD_END).alias("n_odd_ends"))
+        *[F.regexp_count("t", F.lit(pattern)).cast("long").alias(name)      # whole words of the text
+          for name, pattern in (("n_plain", PLAIN), ("n_lone", LONE), ("n_odd_ends", ODD_END))])
     d = d.select(
         "doc_id", "word_chars", "n_symbols", "n_shouts", "n_stops", "n_commas", "n_capitals", "h",
         F.size(F.array_distinct("h")).cast("long").alias("n_distinct"), "n_plain", "n_lone", "n_odd_ends",
