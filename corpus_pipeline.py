@@ -5,8 +5,8 @@ sources, SentencePiece encoding.
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet and read again as the next
 stage's docs. Two stages number the rows, so that rows which repeat a doc_id stay
-apart; the numbers are written once (``_numbered``), as a later scan can have
-other partitions.
+apart (``_numbered``): by file and place in it, which no later scan changes, so the
+texts aren't written again.
 
 In every stage an empty table gives no rows, columns beyond those of documents
 stay as they are whatever their names, and a text of any length is taken whole.
@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm import jaccard_join, language_crf, mixing, pieces, quality_classifier
@@ -25,6 +26,10 @@ from quire.session import scratch_path
 
 #: Not SQL: three of the stages learn models. Each stage is tested by itself.
 ORACLE_SQL = None
+#: A table of at most so many file names (some 150 bytes each) is broadcast.
+MOST_FILES = 200_000
+#: Files are numbered in so many groups, and a file has fewer than ROWS rows.
+GROUPS, ROWS = 4096, 1 << 36
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -35,8 +40,39 @@ def _fresh(docs: DataFrame, name: str) -> str:
 
 
 def _numbered(docs: DataFrame, row: str) -> DataFrame:
-    """``docs`` with a stored row number: every later scan reads the same one."""
-    return stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    """``docs`` with a row number that every later scan repeats, however it is
+    split: the file's number and the row's place in the file. Rows that aren't read
+    straight from Parquet files, or are from over ``MOST_FILES`` of them, are written
+    once with their numbers instead.
+    """
+    files = _files(docs)
+    if files is None:
+        return stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    path, place = _fresh(docs, "file_path"), _fresh(docs, "file_place")
+    about = docs.metadataColumn("_metadata")
+    return (docs.withColumns({path: about["file_path"], place: about["row_index"]})
+            .join(F.broadcast(files), F.col(path) == F.col("__path"))
+            .withColumn(row, F.col("__file") * ROWS + F.col(place)).select(*docs.columns, row))
+
+
+def _files(docs: DataFrame) -> DataFrame | None:
+    """(__path, __file), a written table with a number for each of the files that
+    ``docs`` is read from, or None where ``_numbered`` can't go by files."""
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        return None         # an explode would repeat a row's file and place
+    try:
+        about = docs.metadataColumn("_metadata")
+        paths = docs.groupBy(about["file_path"].alias("__path")).agg(
+            F.count("*").alias("rows"), F.max(about["row_index"]).alias("last"))
+    except AnalysisException:               # not Parquet
+        return None
+    group = F.pmod(F.xxhash64("__path"), F.lit(GROUPS))
+    place = F.row_number().over(Window.partitionBy(group).orderBy("__path")) - 1
+    files = stage(paths.select("__path", (place * GROUPS + group).alias("__file"),
+                               (F.col("rows") == F.col("last") + 1).alias("once")), "files")
+    n, once = files.agg(F.count("*"), F.coalesce(F.min("once"), F.lit(True))).first()
+    # a folder named twice in one read has its rows twice
+    return files.select("__path", "__file") if n <= MOST_FILES and once else None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
