@@ -658,3 +658,21 @@ def test_pipeline_row_numbers_survive_a_new_split(spark, scratch_dir, monkeypatc
             assert sorted(map(tuple, step(spark, docs, SF).collect())) == want
         finally:
             spark.conf.unset(key)
+
+
+def test_pipeline_numbers_rows_by_file_and_place(spark, scratch_dir):
+    """Numbers are unique and no copy of the texts is written; rows that a scan
+    repeats, or that aren't read straight from Parquet, are written with theirs."""
+    import corpus_pipeline
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit(1).alias("file_path"))
+    docs.repartition(7).write.parquet(f"{scratch_dir}/numbered")
+    docs.write.json(f"{scratch_dir}/lines")
+    path = f"{scratch_dir}/numbered"
+    read = spark.read.parquet(path)
+    for frame, by_file in ((read, True), (spark.read.parquet(path, path), False), (read.union(read), False),
+                           (read.where("doc_id < 9"), False), (spark.read.json(f"{scratch_dir}/lines"), False),
+                           (docs, False)):
+        assert (corpus_pipeline._files(frame) is not None) == by_file
+        out = corpus_pipeline._numbered(frame, "n")
+        assert out.columns == [*frame.columns, "n"]
+        assert out.select("n").distinct().count() == out.count() == frame.count()
