@@ -26,10 +26,10 @@ from quire.session import scratch_path
 
 #: Not SQL: three of the stages learn models. Each stage is tested by itself.
 ORACLE_SQL = None
-#: A table of at most so many file names (some 150 bytes each) is broadcast.
+#: At most so many file names (some 150 bytes each) are sorted in one task and broadcast.
 MOST_FILES = 200_000
-#: Files are numbered in so many groups, and a file has fewer than ROWS rows.
-GROUPS, ROWS = 4096, 1 << 36
+#: A file has fewer rows than this.
+ROWS = 1 << 36
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -52,7 +52,7 @@ def _numbered(docs: DataFrame, row: str) -> DataFrame:
     about = docs.metadataColumn("_metadata")
     return (docs.withColumns({path: about["file_path"], place: about["row_index"]})
             .join(F.broadcast(files), F.col(path) == F.col("__path"))
-            .withColumn(row, F.col("__file") * ROWS + F.col(place)).select(*docs.columns, row))
+            .withColumn(row, F.col("__file").cast("long") * ROWS + F.col(place)).select(*docs.columns, row))
 
 
 def _files(docs: DataFrame) -> DataFrame | None:
@@ -66,13 +66,12 @@ def _files(docs: DataFrame) -> DataFrame | None:
             F.count("*").alias("rows"), F.max(about["row_index"]).alias("last"))
     except AnalysisException:               # not Parquet
         return None
-    group = F.pmod(F.xxhash64("__path"), F.lit(GROUPS))
-    place = F.row_number().over(Window.partitionBy(group).orderBy("__path")) - 1
-    files = stage(paths.select("__path", (place * GROUPS + group).alias("__file"),
-                               (F.col("rows") == F.col("last") + 1).alias("once")), "files")
+    files = stage(paths.select("__path", (F.col("rows") == F.col("last") + 1).alias("once")), "files")
     n, once = files.agg(F.count("*"), F.coalesce(F.min("once"), F.lit(True))).first()
-    # a folder named twice in one read has its rows twice
-    return files.select("__path", "__file") if n <= MOST_FILES and once else None
+    if n > MOST_FILES or not once:          # a folder named twice in one read has its rows twice
+        return None
+    # by name: a rerun that writes the same files under another job's id numbers them alike
+    return stage(files.select("__path", F.row_number().over(Window.orderBy("__path")).alias("__file")), "files")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
