@@ -676,3 +676,16 @@ def test_pipeline_numbers_rows_by_file_and_place(spark, scratch_dir):
         out = corpus_pipeline._numbered(frame, "n")
         assert out.columns == [*frame.columns, "n"]
         assert out.select("n").distinct().count() == out.count() == frame.count()
+
+
+def test_pipeline_mix_agrees_between_reruns(spark, scratch_dir):
+    """The same rows written twice, under other file names: the same mix."""
+    import corpus_pipeline
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(5 + i % 40)), "aa", f"s{i % 3}", 1) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(2)
+    got = []
+    for k in range(2):
+        frame.write.parquet(f"{scratch_dir}/rerun{k}")
+        mixed = corpus_pipeline.mix(spark, spark.read.parquet(f"{scratch_dir}/rerun{k}"), SF)
+        got.append(sorted(r.doc_id for r in mixed.collect()))
+    assert got[0] == got[1]
