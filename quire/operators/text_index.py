@@ -34,6 +34,9 @@ from quire.operators import upserts
 from quire.operators.layout import stage
 from quire.sinks.versions import BUCKET, VersionedTable, bucket_of
 
+#: Bytes of text whose postings one task sorts, and of stored postings whose matches
+#: one task groups: some 150 MB of its memory.
+TEXT_BYTES, POSTING_BYTES = 8 << 20, 4 << 20
 _S, _I, _L = T.StringType(), T.IntegerType(), T.LongType()
 POSTINGS = T.StructType([T.StructField("term", _S), T.StructField("field", _I), T.StructField("id", _S),
                          T.StructField("pos", _I), T.StructField("batch", _L)])
@@ -64,7 +67,10 @@ class TextIndex:
         its highest batch, in whatever order batches are added."""
         one = stage(upserts.latest_per_key(docs.select(F.col(id_col).alias("id"), *self.fields), "id"), "to-index")
         found = occurrences(one, self.fields)
-        self.postings.append(found.withColumn("batch", F.lit(batch).cast("long")), "index", batch)
+        size = one.agg(F.sum(reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
+                                                         for c in self.fields]))).first()[0] or 0
+        self.postings.append(found.withColumn("batch", F.lit(batch).cast("long")), "index", batch,
+                             tasks=1 + size // TEXT_BYTES)
         self.terms.append(found.select("term").distinct(), "index", batch)
 
         def own(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -92,6 +98,8 @@ class TextIndex:
         right_field = reduce(lambda a, b: a | b, [(F.col("phrase") == k) & F.col("field").isin(list(fs))
                                                   for k, (fs, _) in enumerate(phrases)])
         rows = rows.where(right_field).withColumn("start", F.col("pos") - F.col("place"))
+        # a task's groups are those of a bounded share of the postings, however many there are
+        rows = rows.repartition(1 + self.postings.stored_bytes(used) // POSTING_BYTES, "id")
         size = F.array(*[F.lit(len(ws)) for ws in words])
         # a token fills a place once, so a phrase is there when all its places are
         whole = (rows.groupBy("phrase", "id", "batch", "field", "start").agg(F.count(F.lit(1)).alias("n"))

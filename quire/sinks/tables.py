@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quire import schemas
 from quire.operators.joins import flag_exists
@@ -80,7 +80,7 @@ class CheckedTable:
     def __init__(self, spark: SparkSession, root: str, schema: StructType, key: str = "id"):
         self.key = key
         self.accepted = VersionedTable(spark, f"{root}/accepted", schema, key)
-        self.rejected = VersionedTable(spark, f"{root}/rejected", StructType(schema.fields).add("reason", "string"), key)
+        self.rejected = VersionedTable(spark, f"{root}/rejected", StructType([*schema.fields, StructField("reason", StringType())]), key)
 
     def append(self, rows: DataFrame, parent: DataFrame, writer: str, batch: int, parent_key: str | None = None) -> None:
         """Add a batch: each row goes to one of the two tables. The parent's keys

@@ -107,6 +107,9 @@ class Folder:
         finally:
             stream.close()
 
+    def size(self, name: str) -> int:
+        return self.fs.getContentSummary(self._at(name)).getLength()
+
     def delete(self, name: str) -> bool:
         return self.fs.delete(self._at(name), True)
 
@@ -185,6 +188,12 @@ class VersionedTable:
         return (rows.withColumn("part", name).join(F.broadcast(numbers), "part")
                 .select(*cols, F.coalesce(SEQ, "number").alias(SEQ)))
 
+    def stored_bytes(self, buckets: Iterable[int] | None = None) -> int:
+        """Bytes of the newest version's files, or of some buckets' files."""
+        wanted = None if buckets is None else set(buckets)
+        return sum(self.folder.size(f"data/{p.name}") for p in self.snapshot().parts
+                   if wanted is None or p.bucket in wanted)
+
     def path(self, part: Part) -> str:
         return f"{self.root}/data/{part.name}"
 
@@ -210,8 +219,10 @@ class VersionedTable:
         """The empty first version, unless there is one."""
         return self.commit(lambda base: Snapshot(0, buckets=buckets) if base.version < 0 else None)
 
-    def write(self, df: DataFrame, buckets: int | None, extra: tuple[str, ...] = ()) -> tuple[Part, ...]:
-        """Write rows as new parts, which no version names yet."""
+    def write(self, df: DataFrame, buckets: int | None, extra: tuple[str, ...] = (),
+              tasks: int | None = None) -> tuple[Part, ...]:
+        """Write rows as new parts, which no version names yet. With ``tasks``, so many
+        sort and write the buckets; without, Spark's advisory size decides."""
         name = uuid.uuid4().hex
         rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields], *extra)
         if not buckets:
@@ -219,7 +230,13 @@ class VersionedTable:
             return (Part(name, -1),)
         # rows of a bucket meet in one task, or in several when there are many; a
         # file's rows are ordered by key, so its statistics lead to a key's row groups
-        bucketed = rows.withColumn(BUCKET, bucket_of(self.key, buckets)).hint("rebalance", F.col(BUCKET))
+        bucketed = rows.withColumn(BUCKET, bucket_of(self.key, buckets))
+        if tasks:       # a bucket's rows are dealt by all their columns: those of one key may be many
+            shares = -(-tasks // buckets)
+            share = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in self.schema.fields], F.lit(1)), F.lit(shares))
+            bucketed = bucketed.repartition(tasks, F.col(BUCKET), share)
+        else:
+            bucketed = bucketed.hint("rebalance", F.col(BUCKET))
         bucketed.sortWithinPartitions(BUCKET, self.key).write.partitionBy(BUCKET).parquet(f"{self.root}/data/{name}")
         found = [n for n in self.folder.names(f"data/{name}") if n.startswith(f"{BUCKET}=")]
         return tuple(Part(f"{name}/{n}", -1, int(n.partition("=")[2])) for n in found)
@@ -228,14 +245,15 @@ class VersionedTable:
         for top in {p.name.split("/")[0] for p in parts}:
             self.folder.delete(f"data/{top}")
 
-    def append(self, df: DataFrame, writer: str | None = None, batch: int | None = None) -> int:
+    def append(self, df: DataFrame, writer: str | None = None, batch: int | None = None,
+               tasks: int | None = None) -> int:
         """Add rows. A named writer's batch is added once: replayed, it changes
-        nothing and isn't even computed."""
+        nothing and isn't even computed. ``tasks`` as for ``write``."""
         named = writer is not None and batch is not None
         now = self.snapshot()
         if named and now.has(writer, batch):
             return now.version
-        written = self.write(df, now.buckets)
+        written = self.write(df, now.buckets, tasks=tasks)
         mine = {p.name for p in written}
 
         def add(base: Snapshot) -> Snapshot | None:

@@ -152,3 +152,29 @@ def test_counters_are_taken_while_writing(spark, scratch_dir):
     first = workflow.convert(spark, f"{scratch_dir}/raw", f"{scratch_dir}/out", parse)
     assert tuple(first.first()) == (3, 2, 1, 0)
     assert tuple(workflow.convert(spark, f"{scratch_dir}/raw", f"{scratch_dir}/out", parse).first()) == (3, 0, 1, 2)
+
+
+def test_index_tasks_follow_the_text(spark, scratch_dir, monkeypatch):
+    from quire.operators import text_index
+
+    monkeypatch.setattr(text_index, "TEXT_BYTES", 1000)
+    monkeypatch.setattr(text_index, "POSTING_BYTES", 2000)
+    docs = spark.createDataFrame([(f"q{i}", "a b", "a b c " * 40) for i in range(60)] + texts(60), DDL)
+    index = TextIndex(spark, scratch_dir, ["title", "content"], buckets=2)
+    index.add(docs, 0)
+    parts = spark.read.parquet(*[index.postings.path(p) for p in index.postings.snapshot().parts])
+    sizes = [r["count"] for r in parts.groupBy("_metadata.file_path").count().collect()]
+    assert len(sizes) > 6 and max(sizes) < parts.count() / 3        # one term's rows are in several files too
+    plan = index.matches([((0, 1), "a b"), ((1,), "c")])._jdf.queryExecution().toString()
+    assert 1 + index.postings.stored_bytes() // 2000 > 4
+    assert "REPARTITION_BY_NUM" in plan
+    for e in EXPRESSIONS:
+        assert ids(index.search(e)) == ids(filters.search_papers(docs, e).select("id")), e
+
+
+def test_checked_table_leaves_the_schema_as_it_is(spark, scratch_dir):
+    from quire import schemas
+    from quire.sinks.tables import CheckedTable
+
+    CheckedTable(spark, scratch_dir, schemas.SUMMARIES, "id")
+    assert schemas.SUMMARIES.names == [f.name for f in schemas.SUMMARIES.fields] == ["id", "summary"]
