@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.layout import stage  # noqa: F401  (the operators import it from here)
+from quire.operators.layout import lean, stage  # noqa: F401  (the operators import them from here)
 
 #: A word is a run of characters other than space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,27 +26,6 @@ def remainder(key: Column, n: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % n, F.lit(0))
 
 
-def lean(run):
-    """``run``, a function for ``mapInArrow``, that gives freed memory back to the
-    system when a task ends. A Python worker waits for its next task beside the
-    executor's heap; what its allocators keep of past arrays counts there."""
-    def out(batches):
-        try:
-            yield from run(batches)
-        finally:
-            import ctypes
-            import gc
-
-            import pyarrow as pa
-
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
-            if trim is not None:
-                trim(0)
-    return out
-
-
 #: Keys of at most so many rows (some 16 bytes each) are broadcast.
 BROADCAST_ROWS = 1_000_000
 

@@ -55,6 +55,27 @@ def stage(df: DataFrame, name: str = "batch") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(run):
+    """``run``, a function for ``mapInArrow``, that gives freed memory back to the
+    system when a task ends. A Python worker waits for its next task beside the
+    executor's heap; what its allocators keep of past arrays counts there."""
+    def out(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
+            if trim is not None:
+                trim(0)
+    return out
+
+
 def remove_staged(spark: SparkSession, application_id: str) -> bool:
     """Housekeeping: delete the staged batches of one job, named by its
     application id, from the shared checkpoint folder. They must outlive the

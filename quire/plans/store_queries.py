@@ -24,6 +24,8 @@ from quire.sinks import tables
 from quire.sinks.versions import VersionedTable
 
 BUCKETS = 16
+#: Subfolders that small files are written to.
+FOLDERS = 256
 #: Named searches in the config's shape; the oracle states them again in SQL.
 SEARCHES = {
     "worlds": {"keywords": ['"world model" OR "world models"', '"ndre" OR "eauou"'], "max_results": 25},
@@ -172,7 +174,7 @@ def parsed_files(spark, sf, root: str) -> None:
 
     docs = fixtures.papers(spark, sf).select(F.concat("paper_id", F.lit(".json")).alias("name"), F.to_json(F.struct(
         F.transform("blocks", lambda b: F.struct(b.alias("text"))).alias("texts"))).alias("body"))
-    write_files(docs, root, "name", "body")
+    write_files(docs, root, "name", "body", FOLDERS)
 
 
 def q_parsed_files(spark, sf):
@@ -211,7 +213,7 @@ def binary_files(spark, sf, root: str) -> None:
         fixtures.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     write_files(docs.select(F.concat("paper_id", F.lit(".pdf")).alias("name"),
                             F.when(F.col("doc_id") % 8 != 5, F.concat(
-                                F.lit("text\n"), F.coalesce("text", F.lit("")))).otherwise("bad").alias("body")), root, "name", "body")
+                                F.lit("text\n"), F.coalesce("text", F.lit("")))).otherwise("bad").alias("body")), root, "name", "body", FOLDERS)
 
 
 def q_binary_files(spark, sf):

@@ -116,7 +116,7 @@ def convert(spark: SparkSession, in_dir: str, out_dir: str, parse_fn, glob: str
     except AnalysisException:      # nothing has been written yet
         known = spark.createDataFrame([], "id string")
     todo = stage(joins.missing_outputs(listed, known).observe(seen["todo"], rows), "todo")
-    inputs = joins.known_only(read_binary_documents(spark, in_dir, glob), todo)
+    inputs = read_binary_documents(spark, in_dir, glob, only=todo)
     done = generation.convert_documents(inputs, "content", ["id"], parse_fn).observe(
         seen["done"], F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") != "ok").alias("failed"))
     write_documents(done.filter(F.col("status") == "ok"), out_dir)      # converted, counted and written in one pass

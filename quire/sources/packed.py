@@ -21,30 +21,37 @@ from quire.operators import upserts
 from quire.operators.answers import shared_fs
 from quire.operators.layout import stage
 from quire.sinks.versions import VersionedTable
-from quire.sources.files import file_stem
+from quire.sources.files import file_stem, listed_files, with_bytes
 
 PACKED = T.StructType([T.StructField("id", T.StringType()), T.StructField("path", T.StringType()),
                        T.StructField("length", T.LongType()), T.StructField("modified", T.TimestampType()),
                        T.StructField("content", T.BinaryType())])
 
 
-def write_files(df: DataFrame, path: str, name: str, content: str) -> int:
+def write_files(df: DataFrame, path: str, name: str, content: str, folders: int = 0) -> int:
     """One file per row, named by ``name``, with the bytes (or UTF-8 text) of
     ``content``; the tasks write them. A file is moved into place when it is
     complete, and a task that is tried again writes the same files. Returns the
-    number of files. A NULL content is an empty file; a NULL name fails the job."""
+    number of files. With ``folders``, a file goes to one of so many subfolders
+    ``part=<number>`` by its name, which ``files.listed_files`` lists by several
+    tasks. A NULL content is an empty file; a NULL name fails the job."""
     def run(batches):
         import uuid
+        import zlib
 
         import pyarrow as pa
 
-        fs, root = shared_fs(path)
-        fs.create_dir(root, recursive=True)
-        n = 0
+        fs, top = shared_fs(path)
+        fs.create_dir(top, recursive=True)
+        made, n = {top}, 0
         for batch in batches:
             for file_name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if file_name is None or "/" in file_name:
                     raise ValueError(f"not a file name: {file_name!r}")
+                root = f"{top}/part={zlib.crc32(file_name.encode()) % folders}" if folders else top
+                if root not in made:
+                    fs.create_dir(root, recursive=True)
+                    made.add(root)
                 aside = f"{root}/.{uuid.uuid4().hex}"
                 with fs.open_output_stream(aside) as out:
                     out.write(body or b"")
@@ -67,17 +74,13 @@ class PackedFiles:
     def refresh(self, folder: str, glob: str = "*", exclude: list[str] | None = None) -> int:
         """Pack what is new or changed in ``folder``; files that are gone stay
         packed. Returns the table's version."""
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-        base = F.element_at(F.split("path", "/"), -1)
-        if exclude:
-            files = files.where(~base.isin(exclude))
-        listed = files.select(file_stem(base).alias("id"), "path", "length", F.col("modificationTime").alias("modified"))
+        listed = stage(listed_files(self.spark, folder, glob, exclude).select(
+            file_stem("name").alias("id"), "path", "length", "modified"), "listed")
         known = self.table.read().select("id", "length", "modified")
-        todo = stage(listed.join(known, ["id", "length", "modified"], "left_anti").select("path"), "to-pack")
+        todo = stage(listed.join(known, ["id", "length", "modified"], "left_anti"), "to-pack")
         if todo.isEmpty():
             return self.table.snapshot().version
-        fresh = files.join(todo, "path", "left_semi").select(
-            file_stem(base).alias("id"), "path", "length", F.col("modificationTime").alias("modified"), "content")
+        fresh = with_bytes(todo)
         fresh = fresh.withColumn("order", F.col("modified"))
         return self.table.merge(fresh, lambda old, new: upserts.upsert_replace(old, new, "id", seq="order"))
 

@@ -141,3 +141,41 @@ def test_packed_files_equal_the_files(spark, scratch_dir):
     some = packed.read(["p3", "p5"])
     assert sorted(r.id for r in some.collect()) == ["p3", "p5"]
     assert "In(id" in some._jdf.queryExecution().executedPlan().toString()            # reaches the scan
+
+
+def odd_folder(root):
+    for folder in ("odd", "parts/part=3/q=1", "mixed/k=1"):
+        os.makedirs(f"{root}/{folder}")
+    for name in ("odd/a b.json", "odd/p%20q.json", "odd/é.json", "odd/_x.json", "odd/.h.json", "odd/_metadata.json", "odd/empty.json",
+                 "odd/c.json._COPYING_", "odd/[1].json", "odd/x.pdf", "parts/part=3/q=1/deep.json", "mixed/top.json", "mixed/k=1/below.json"):
+        with open(f"{root}/{name}", "w") as f:
+            f.write("" if name == "odd/empty.json" else '{"texts":[{"text":"t"}]}')
+
+
+def test_tasks_list_what_sparks_scan_lists(spark, scratch_dir):
+    odd_folder(scratch_dir)
+    odd, parts = f"{scratch_dir}/odd", f"{scratch_dir}/parts"
+    for folder, glob in [(odd, "*"), (odd, "{x,a b}.*"), (odd, "p%20[a-q].j?on"), (parts, "*"), (f"{scratch_dir}/mixed", "*")]:
+        scan = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+        want = sorted(map(tuple, scan.select("path", "length", "modificationTime", "content").collect()))
+        got = files.with_bytes(files.listed_files(spark, folder, glob))
+        assert sorted(map(tuple, got.select("path", "length", "modified", "content").collect())) == want, (folder, glob)
+    raw = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(odd).select(
+        "_metadata.file_path", "value")
+    got = files.read_parsed_documents(spark, odd).select("path", "raw")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, raw.collect()))
+    some = spark.createDataFrame([("deep",), ("deep",), (None,)], "id string")
+    assert [r.id for r in files.read_binary_documents(spark, parts, "*", only=some).collect()] == ["deep"]
+    # what the tasks can't list is left to the scan
+    assert [r.id for r in files.list_files(spark, f"{parts}/part=*", "*").collect()] == ["deep"]
+
+
+def test_many_small_files_are_few_tasks(spark, scratch_dir):
+    n = 32 * 16 * 2         # Spark's scan counts 4 MB for opening a file: 32 of them to a task
+    df = spark.range(n).selectExpr("concat(id, '.json') as name", "concat('{\"texts\":[{\"text\":\"', id, '\"}]}') as body")
+    assert write_files(df, f"{scratch_dir}/f", "name", "body", folders=8) == n
+    assert all(d.startswith("part=") for d in os.listdir(f"{scratch_dir}/f"))
+    parsed = files.read_parsed_documents(spark, f"{scratch_dir}/f")
+    assert parsed.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism < n // 32
+    assert {(r.id, r.content) for r in parsed.collect()} == {(str(i), f"{i}\n\n") for i in range(n)}
+    assert files.list_files(spark, f"{scratch_dir}/f").count() == n
