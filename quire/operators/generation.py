@@ -1,7 +1,7 @@
 """Batch jobs that call out of the JVM: text generation (H3) and document
 conversion (H6).
 
-Both run as ``mapInPandas``: Spark ships Arrow batches of rows to Python
+They run as ``mapInPandas`` and ``mapInArrow``: Spark ships Arrow batches of rows to Python
 workers, and the caller's function is built once per task (one client per
 partition), never per row. Failures are caught per row and become a NULL
 result or a 'failed' status, so one bad row does not fail the job; a lost
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.text import is_blank
+from quire.operators.layout import lean
 
 # ----------------------------------------------------------------- generation
 
@@ -141,6 +142,9 @@ def html_blocks(html: str) -> list[dict]:
     return [{"label": lab, "text": txt} for lab, txt in p.blocks]
 
 
+#: Rows and bytes of content that are converted at a time; a longer one alone, whole.
+SLICE_ROWS, SLICE_BYTES = 256, 1 << 20
+
 CONVERTED = T.StructType([
     T.StructField("texts", T.ArrayType(T.MapType(T.StringType(), T.StringType())), True),
     T.StructField("status", T.StringType(), False),
@@ -152,7 +156,8 @@ def convert_documents(df: DataFrame, content_col: str, keep: list[str],
                       parse_fn: Callable[[object], list[dict]] = html_blocks,
                       skip_col: str | None = None) -> DataFrame:
     """Convert each row's ``content_col`` (HTML text or file bytes) into text
-    blocks with ``parse_fn`` (H6). Output: ``keep`` columns plus
+    blocks with ``parse_fn`` (H6), in slices of bounded bytes, so that a task's
+    memory doesn't follow its input. Output: ``keep`` columns plus
     ``texts`` (array<map<string,string>>), ``status`` ok / failed / skipped
     and ``error``. Rows where ``skip_col`` is true (the output already
     exists) are reported as skipped; their bytes do not go to Python.
@@ -161,20 +166,33 @@ def convert_documents(df: DataFrame, content_col: str, keep: list[str],
     src = df.filter(~skip).select(*keep, content_col)
     schema = T.StructType([f for f in src.schema.fields if f.name in keep] + CONVERTED.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts, status, error = [], [], []
-            for content in pdf[content_col]:
-                try:
-                    blocks = parse_fn(content)
-                    texts.append([{str(k): (None if v is None else str(v)) for k, v in b.items()}
-                                  for b in blocks])
-                    status.append("ok"), error.append(None)
-                except Exception as e:  # per-row catch, as the source pipeline
-                    texts.append(None), status.append("failed"), error.append(repr(e))
-            yield pdf[keep].assign(texts=texts, status=status, error=error)
-
-    done = src.mapInPandas(run, schema)
+    def converted(rows):
+        import pyarrow as pa
+
+        texts, status, error = [], [], []
+        for content in rows.column(len(keep)).to_pylist():
+            try:
+                blocks = parse_fn(content)
+                texts.append([list({str(k): (None if v is None else str(v)) for k, v in b.items()}.items())
+                              for b in blocks])
+                status.append("ok"), error.append(None)
+            except Exception as e:  # per-row catch, as the source pipeline
+                texts.append(None), status.append("failed"), error.append(repr(e))
+        return pa.RecordBatch.from_arrays(
+            [*rows.columns[:len(keep)], pa.array(texts, pa.list_(pa.map_(pa.string(), pa.string()))),
+             pa.array(status, pa.string()), pa.array(error, pa.string())], schema.names)
+
+    def run(batches):
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:      # the blocks of a whole batch would be Python objects at once
+                rows = batch.slice(at, SLICE_ROWS)
+                while rows.num_rows > 1 and rows.column(len(keep)).nbytes > SLICE_BYTES:
+                    rows = rows.slice(0, rows.num_rows // 2)
+                yield converted(rows)
+                at += rows.num_rows
+
+    done = src.mapInArrow(lean(run), schema)
     if not skip_col:
         return done
     none = [F.lit("skipped") if f.name == "status" else F.lit(None).cast(f.dataType) for f in CONVERTED.fields]

@@ -212,3 +212,21 @@ def test_upsert_with_a_hot_key_holding_a_third_of_the_batch(spark):
     assert out.count() == 1 + 1 + (n - n // 3)          # x, hot, every cold key
     hot = out.filter(F.col("id") == "hot").collect()
     assert [r.title for r in hot] == [f"t{n - 3}"]        # the last row of the hot key
+
+
+def test_conversion_goes_by_slices(spark):
+    def parse(content):
+        if content == "bad":
+            raise ValueError("bad")
+        # what the task holds at a time: the rows of the batch that it builds
+        import sys
+        frame = sys._getframe(1)
+        n = len(frame.f_locals["pdf"]) if "pdf" in frame.f_locals else frame.f_locals["rows"].num_rows
+        return [{"text": content[:5], "n": n, None: None}]
+    rows = [(i, None if i == 7 else "bad" if i % 10 == 9 else "x" * (300_000 if i % 100 == 0 else 10)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, body string").coalesce(1)
+    out = {r.k: r for r in generation.convert_documents(df, "body", ["k"], parse).collect()}
+    assert len(out) == 600 and sum(r.status == "failed" for r in out.values()) == 61 and out[7].texts is None
+    ok = [r for r in out.values() if r.status == "ok"]
+    assert all(r.texts[0]["text"] == "xxxxx" and r.texts[0]["None"] is None for r in ok)
+    assert max(int(r.texts[0]["n"]) for r in ok) <= generation.SLICE_ROWS
