@@ -128,7 +128,9 @@ def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
 
         for batch in batches:
             for part in ta.slices(batch, "text", 4 << 20):
-                h, count = np.unique(shingle_sets(part.column(0), n)[1], return_counts=True)
+                # the arrays of words and places are some 40 times the text: built for less of it
+                sets = [shingle_sets(few.column(0), n)[1] for few in ta.slices(part, "text")]
+                h, count = np.unique(np.concatenate(sets), return_counts=True)
                 some = count >= 2
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[some].view(np.int64)), pa.array(count[some])], ["h", "n"])

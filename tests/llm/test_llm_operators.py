@@ -689,3 +689,31 @@ def test_pipeline_mix_agrees_between_reruns(spark, scratch_dir):
         mixed = corpus_pipeline.mix(spark, spark.read.parquet(f"{scratch_dir}/rerun{k}"), SF)
         got.append(sorted(r.doc_id for r in mixed.collect()))
     assert got[0] == got[1]
+
+
+def test_frequent_shingles_are_counted_over_4_mb_in_less_memory(spark, monkeypatch):
+    import pyarrow as pa
+
+    texts = [f"same words in every text here {i} and then {i * 7} some more " * 60 for i in range(700)]
+    seen, real = [], jaccard_join.shingle_sets
+
+    def watched(column, n=5):
+        seen.append(column.nbytes)
+        return real(column, n)
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, ddl):
+            self.run = run
+            raise StopIteration
+    docs = Docs()
+    with pytest.raises(StopIteration):
+        jaccard_join.hot_shingles(docs, 5, 10)
+    monkeypatch.setattr(jaccard_join, "shingle_sets", watched)
+    out = list(docs.run([pa.RecordBatch.from_pydict({"text": texts})]))
+    assert len(out) == 1 and max(seen) < 600 << 10
+    want = collections.Counter(int(h) for h in real(pa.array(texts))[1])
+    got = dict(zip((h % 2**64 for h in out[0].column(0).to_pylist()), out[0].column(1).to_pylist()))
+    assert got == {h: n for h, n in want.items() if n >= 2}
