@@ -231,10 +231,9 @@ class VersionedTable:
         # rows of a bucket meet in one task, or in several when there are many; a
         # file's rows are ordered by key, so its statistics lead to a key's row groups
         bucketed = rows.withColumn(BUCKET, bucket_of(self.key, buckets))
-        if tasks:       # a bucket's rows are dealt by all their columns: those of one key may be many
-            shares = -(-tasks // buckets)
-            share = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in self.schema.fields], F.lit(1)), F.lit(shares))
-            bucketed = bucketed.repartition(tasks, F.col(BUCKET), share)
+        if tasks:       # even shares, whose ends may fall inside a bucket, even inside a key's rows
+            share = F.xxhash64(*[F.col(f"`{f.name}`") for f in self.schema.fields])
+            bucketed = bucketed.repartitionByRange(tasks, F.col(BUCKET), share)
         else:
             bucketed = bucketed.hint("rebalance", F.col(BUCKET))
         bucketed.sortWithinPartitions(BUCKET, self.key).write.partitionBy(BUCKET).parquet(f"{self.root}/data/{name}")
