@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.layout import lean, stage  # noqa: F401  (the operators import them from here)
+from quire.operators.layout import lean, lean_call, stage  # noqa: F401  (the operators import them from here)
 
 #: A word is a run of characters other than space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"

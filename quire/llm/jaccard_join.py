@@ -146,8 +146,8 @@ def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
         reached += r["count"]
         if reached >= most:
             break
-    top = counts.where(share).select("h").collect()
-    return np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
+    top = counts.where(share).select("h").toArrow()     # as rows they would be some 100 bytes each, twice
+    return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
 def described(docs: DataFrame, n: int, percent: int, hot: np.ndarray) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm import text_arrays as ta
-from quire.llm.common import WORD, lean
+from quire.llm.common import WORD, lean, lean_call
 
 GRAMS, LEXICON, AFFIX = 1 << 16, 1 << 16, 1 << 15
 SIZE = GRAMS + LEXICON + AFFIX
@@ -115,17 +115,33 @@ def lines(w: ta.Words) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(w.start)))
 
 
+def studied(texts: list[str]) -> tuple[np.ndarray, Features]:
+    """(text of each word, features of the words), some texts at a time: the arrays of
+    words and places are some 40 times the text."""
+    import pyarrow as pa
+
+    doc, gram, cut, other, done = [], [], [], [], [0, 0]
+    for part in ta.slices(pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())}), "text"):
+        w = ta.words(part.column(0))
+        f = features(w)
+        doc.append((w.doc + done[0]).astype(np.int32))
+        gram.append(f.gram.astype(np.uint16))       # buckets below GRAMS
+        cut.append(f.cut + done[1])
+        other.append(f.other.astype(np.int32))
+        done = [done[0] + part.num_rows, done[1] + len(f.gram)]
+    if not doc:
+        return np.zeros(0, np.int32), features(ta.words(pa.array([], pa.string())))
+    return np.concatenate(doc), Features(*(np.concatenate(x) for x in (gram, cut, other)))
+
+
 def train(texts: list[str], labels: list, rounds: int = 400, batch: int = 64, length: int = 32,
           rate: float = 0.1, seed: int = 5) -> Model:
     """Maximum likelihood on spliced sequences by adaptive gradient steps."""
-    import pyarrow as pa
-
-    w = ta.words(pa.array(texts, pa.string()))
-    f = features(w)
-    names = sorted({labels[i] for i in np.unique(w.doc)})     # those that have a word
+    doc, f = studied(texts)
+    names = sorted({labels[i] for i in np.unique(doc)})     # those that have a word
     k = len(names)
     weight, change = np.zeros((SIZE, k), np.float32), np.zeros((k, k))
-    per = [np.flatnonzero(np.isin(w.doc, [i for i, y in enumerate(labels) if y == name])) for name in names]
+    per = [np.flatnonzero(np.isin(doc, [i for i, y in enumerate(labels) if y == name])) for name in names]
     if k < 2:
         return Model(names, weight, change)
     rng = np.random.default_rng(seed)
@@ -235,7 +251,9 @@ def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", fit_
     keys = docs.sparkSession.createDataFrame(keys.select("lang", "h").collect(), "lang string, h long")
     got = d.join(F.broadcast(keys), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
     got.sort(key=lambda r: (r["lang"], r["h"]))
-    return train([r["text"] for r in got], [r["lang"] for r in got])
+    texts, labels = [r["text"] for r in got], [r["lang"] for r in got]
+    del got
+    return lean_call(train, texts, labels)
 
 
 def predict(docs: DataFrame, model: Model, text_col="text", as_columns=("lang_pred", "score", "confidence")) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import text_arrays as ta
-from quire.llm.common import lean
+from quire.llm.common import lean, lean_call
 
 BUCKETS = 1 << 16
 #: Two more indicators: a word twice, and three times, in a row.
@@ -119,7 +119,7 @@ def train(samples: list[tuple[np.ndarray, int]]) -> Model:
     def values(f):  # scaled indicators of unit length, and the bias
         v = ratio[f]
         return np.append(v / max(float(np.sqrt(v @ v)), 1e-9), 1.0)
-    rows = [np.append(s[0], SIZE) for s in samples]
+    rows = [np.append(s[0], np.int32(SIZE)) for s in samples]
     vals = [values(s[0]) for s in samples]
     y = np.where(label == 1, 1.0, -1.0)
     use = np.flatnonzero(~aside)
@@ -170,7 +170,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     got = (rows.mapInArrow(lean(vectors), f"h long, id {id_type}, y int, f binary")
            .groupBy("h", "id", "y").agg(F.min("f").alias("f")).collect())
     got.sort(key=lambda r: (r["h"], str(r["id"]), r["y"], bytes(r["f"])))
-    return train([(np.frombuffer(r["f"], np.int32).astype(np.int64), r["y"]) for r in got])
+    samples = [(np.frombuffer(r["f"], np.int32), r["y"]) for r in got]
+    del got
+    return lean_call(train, samples)
 
 
 def score(docs: DataFrame, model: Model, text_col="text", as_column="score") -> DataFrame:

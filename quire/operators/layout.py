@@ -55,25 +55,37 @@ def stage(df: DataFrame, name: str = "batch") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Gives freed memory back to the system. A Python worker waits for its next task
+    beside the executor's heap; what its allocators keep of past arrays counts there."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
+    if trim is not None:
+        trim(0)
+
+
 def lean(run):
-    """``run``, a function for ``mapInArrow``, that gives freed memory back to the
-    system when a task ends. A Python worker waits for its next task beside the
-    executor's heap; what its allocators keep of past arrays counts there."""
+    """``run``, a function for ``mapInArrow``, with ``give_back`` when a task ends."""
     def out(batches):
         try:
             yield from run(batches)
         finally:
-            import ctypes
-            import gc
+            give_back()
+    return out
 
-            import pyarrow as pa
 
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
-            if trim is not None:
-                trim(0)
-    return out
+def lean_call(run, *args):
+    """What ``run`` gives, as for a group of ``applyInPandas``, with ``give_back`` after it."""
+    try:
+        return run(*args)
+    finally:
+        give_back()
 
 
 def remove_staged(spark: SparkSession, application_id: str) -> bool:
