@@ -28,13 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import text_arrays as ta
-from quire.llm.common import remainder, stage
+from quire.llm.common import lean, lean_call, remainder, stage
 
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 CHUNK_TOKENS = 1_000_000
 #: Entries that a bucket should hold; the number of buckets follows the input.
 BUCKET_ENTRIES = 750_000
 BUCKETS = 48        # context-frequency buckets: counts up to 2 ** 47
+#: A chunk's tokens are scored so many at a time (a longer text at once).
+SCORED_TOKENS = 100_000
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -61,12 +63,26 @@ def unpack_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(unpack(b, np.uint64), dtype=np.uint64)
 
 
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct hashes, sorted; the place of each hash among them), in half of
+    the memory that ``np.unique`` takes."""
+    order = np.argsort(h)
+    found = h[order]
+    new = np.append(True, found[1:] != found[:-1])[:len(h)]
+    at = np.empty(len(h), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return found[new], at
+
+
 def pairs_of(words: np.ndarray, seq: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each token's bigram, local context of each token or -1 for the start)."""
-    context = np.append(-1, seq[:-1])
+    context = np.append(seq.dtype.type(-1), seq[:-1])
     context[first] = -1
-    before = np.where(context < 0, START, words[context])
-    return ta.mix64(before * np.uint64(0x9E3779B97F4A7C15) + ta.mix64(words[seq])), context
+    pair = words[context]
+    pair[context < 0] = START
+    pair *= np.uint64(0x9E3779B97F4A7C15)
+    pair += ta.mix64(words)[seq]
+    return ta.mix64(pair), context
 
 
 def chunks(docs: DataFrame, part: int) -> DataFrame:
@@ -81,7 +97,7 @@ def chunks(docs: DataFrame, part: int) -> DataFrame:
         sizes = np.concatenate([h[1] for h in held])
         train = np.concatenate([h[2] for h in held])
         hashes = np.concatenate([h[3] for h in held])
-        words, seq = np.unique(hashes, return_inverse=True)
+        words, seq = distinct(hashes)
         return pa.RecordBatch.from_arrays(
             [pa.array([number]), pa.array([em]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
              *[pa.array([b], pa.binary()) for b in (pack(sizes.astype(np.int32)), pack(train.astype(np.uint8)),
@@ -97,7 +113,7 @@ def chunks(docs: DataFrame, part: int) -> DataFrame:
         held = {True: [], False: []}
         tokens = {True: 0, False: 0}
         for batch in batches:
-            for part_of in ta.slices(batch, "text", 2 << 20):
+            for part_of in ta.slices(batch, "text"):
                 r = np.asarray(part_of.column(2))
                 w = ta.words(part_of.column(1))
                 count = np.bincount(w.doc, minlength=part_of.num_rows)
@@ -120,14 +136,14 @@ def chunks(docs: DataFrame, part: int) -> DataFrame:
                 number += 1
 
     return docs.select("doc_id", "text", "r").mapInArrow(
-        run, f"chunk long, em boolean, ids array<{id_type.simpleString()}>, sizes binary, train binary, "
+        lean(run), f"chunk long, em boolean, ids array<{id_type.simpleString()}>, sizes binary, train binary, "
              "seq binary, words binary, n_words long, n_tokens long")
 
 
 def _opened(row) -> tuple:
     """(words, seq, sizes, train flags per document, first token of each)."""
     sizes, train = unpack(row["sizes"], np.int32).astype(np.int64), unpack(row["train"], np.uint8).astype(bool)
-    return (unpack_sorted(row["words"]), unpack(row["seq"], np.uint32).astype(np.int64), sizes, train,
+    return (unpack_sorted(row["words"]), unpack(row["seq"], np.int32), sizes, train,
             np.cumsum(sizes) - sizes)
 
 
@@ -138,14 +154,14 @@ def requests(table: DataFrame, kind: str, buckets: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 words, seq, sizes, train, first = _opened(row)
                 use = np.repeat(train, sizes)
                 if kind == "word":
                     h, n = words, np.bincount(seq[use], minlength=len(words))
                 else:
                     pair, _ = pairs_of(words, seq, first)
-                    h, at = np.unique(pair, return_inverse=True)
+                    h, at = distinct(pair)
                     n = np.bincount(at[use], minlength=len(h))
                 to = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 cut = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))
@@ -158,7 +174,7 @@ def requests(table: DataFrame, kind: str, buckets: int) -> DataFrame:
                     ["bucket", "chunk", "em", "h", "n"])
 
     cols = ["chunk", "em", "sizes", "train", "seq", "words"]
-    return table.select(*cols).mapInArrow(run, "bucket long, chunk long, em boolean, h binary, n binary")
+    return table.select(*cols).mapInArrow(lean(run), "bucket long, chunk long, em boolean, h binary, n binary")
 
 
 def answers(asked: DataFrame) -> DataFrame:
@@ -169,7 +185,7 @@ def answers(asked: DataFrame) -> DataFrame:
         lists = [unpack_sorted(b) for b in rows["h"]]
         counts = [unpack(b, np.uint32).astype(np.int64) for b in rows["n"]]
         cut = np.cumsum([0, *map(len, lists)])
-        h, at = np.unique(np.concatenate(lists), return_inverse=True)
+        h, at = distinct(np.concatenate(lists))
         n = np.concatenate(counts)
         em = np.repeat(rows["em"].to_numpy(bool), np.diff(cut))
         total = np.bincount(at, n, len(h)).astype(np.int64)
@@ -183,7 +199,7 @@ def answers(asked: DataFrame) -> DataFrame:
             "rest_tokens": np.where(one, int(rest.sum()), 0)})
 
     return asked.groupBy("bucket").applyInPandas(
-        run, "chunk long, bucket long, em boolean, total binary, rest binary, distinct long, tokens long, rest_tokens long")
+        lambda key, rows: lean_call(run, key, rows), "chunk long, bucket long, em boolean, total binary, rest binary, distinct long, tokens long, rest_tokens long")
 
 
 def _gather(rows: pd.DataFrame, column: str) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +216,8 @@ def _token_counts(row, rows, column):
     words, seq, sizes, train, first = _opened(row)
     one, two = _gather(rows, column)
     pair, context = pairs_of(words, seq, first)
-    _, at = np.unique(pair, return_inverse=True)
+    at = distinct(pair)[1]
+    del pair
     starts = int(one[np.searchsorted(words, END)])     # as many starts as ends
     return two[at], np.where(context < 0, starts, one[context]), one[seq], sizes, first
 
@@ -241,27 +258,48 @@ def score(docs: DataFrame, id_col="doc_id", text_col="text", folds: int = 10, pa
 
     def heldout(key, rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         c2, cv, cw, _, _ = _token_counts(rows.iloc[0], replies, "rest")
-        found, k = np.unique(np.stack([c2, cv, cw], 1), axis=0, return_counts=True)
-        return pd.DataFrame({"c2": found[:, 0], "cv": found[:, 1], "cw": found[:, 2], "k": k})
+        # each count as its place among the chunk's: three places make one number
+        code, values = np.zeros(len(c2), np.int64), []
+        for c in (c2, cv, cw):
+            value, at = distinct(c)
+            code *= len(value)
+            code += at
+            values.append(value)
+        code, k = np.unique(code, return_counts=True)
+        code, at_w = np.divmod(code, len(values[2]))
+        at_2, at_v = np.divmod(code, len(values[1]))
+        return pd.DataFrame({"c2": values[0][at_2], "cv": values[1][at_v], "cw": values[2][at_w], "k": k})
 
     em_rows = table.where("em").drop("ids").groupBy("chunk")
     em_replies = answered.where("em").select(F.col("chunk").alias("of"), "bucket", "kind", "rest").groupBy("of")
-    held = em_rows.cogroup(em_replies).applyInPandas(heldout, "c2 long, cv long, cw long, k long")
+    held = em_rows.cogroup(em_replies).applyInPandas(
+        lambda key, rows, replies: lean_call(heldout, key, rows, replies), "c2 long, cv long, cw long, k long")
     weight = learn_weights(held.groupBy("c2", "cv", "cw").agg(F.sum("k").alias("k")), n_rest, v)
 
     def scored(key, rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         row = rows.iloc[0]
         c2, cv, cw, sizes, first = _token_counts(row, replies, "total")
-        w = weight[np.floor(np.log2(cv + 1.0)).astype(np.int64)]
-        p = w[:, 0] * c2 / np.maximum(cv, 1) + w[:, 1] * cw / max(n, 1) + w[:, 2] / (v + 1)
-        base = np.log10((cw + 0.1) / (n + 0.1 * (v + 1)))
+        known, base, own = [], [], []
+        i = 0
+        while i < len(first):       # whole texts
+            j = max(i + 1, int(np.searchsorted(first, first[i] + SCORED_TOKENS)))
+            end = first[j] if j < len(first) else len(cw)
+            two, of, one = (c[first[i]:end] for c in (c2, cv, cw))
+            w = weight[np.floor(np.log2(of + 1.0)).astype(np.int64)]
+            p = w[:, 0] * two / np.maximum(of, 1) + w[:, 1] * one / max(n, 1) + w[:, 2] / (v + 1)
+            at = first[i:j] - first[i]
+            known.append(np.add.reduceat((one > 0).astype(np.int64), at))
+            base.append(np.add.reduceat(np.log10((one + 0.1) / (n + 0.1 * (v + 1))), at))
+            own.append(np.add.reduceat(np.log10(p), at))
+            i = j
         train = unpack(row["train"], np.uint8).astype(bool)
         return pd.DataFrame({
             "doc_id": list(row["ids"]), "held_out": ~train, "n_tokens": sizes,
-            "n_known": np.add.reduceat((cw > 0).astype(np.int64), first), "train_tokens": n,
-            "base_score": np.add.reduceat(base, first), "score": np.add.reduceat(np.log10(p), first)})
+            "n_known": np.concatenate(known), "train_tokens": n,
+            "base_score": np.concatenate(base), "score": np.concatenate(own)})
 
     replies = answered.select(F.col("chunk").alias("of"), "bucket", "kind", "total").groupBy("of")
     return table.groupBy("chunk").cogroup(replies).applyInPandas(
-        scored, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        lambda key, rows, replies: lean_call(scored, key, rows, replies),
+        f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                 "base_score double, score double")
