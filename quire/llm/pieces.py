@@ -19,8 +19,12 @@ whole; extra columns are kept (but for those named like a result).
 
 from __future__ import annotations
 
+import operator
 import re
+from array import array
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -28,11 +32,32 @@ from quire.llm import text_arrays as ta
 from quire.llm.common import lean
 
 MARK = "▁"
-REMEMBERED = 150_000
+REMEMBERED = 240_000
 #: What a byte piece costs below the lowest score of the normal pieces.
 FALLBACK = 10.0
 
 
+class Known(dict):
+    """Words with what ``make`` gives for them. It keeps ``most`` words at most, in two
+    halves: when the newer one is full, it replaces the older one, and a word found
+    there is new again. So words that come often stay, however many others there are."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.half, self.older = make, max(1, most // 2), {}
+
+    def __missing__(self, word: str):
+        got = self.older.get(word)
+        if got is None:
+            got = self.make(word)
+        if len(word) <= 64:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
+            self[word] = got
+        return got
+
+
 class Pieces:
     """Encoder and decoder for one model file."""
 
@@ -61,34 +86,37 @@ class Pieces:
         # line ends are cut off too, where no piece has them
         alone = "" if any("\n" in self.piece[i] for i in normal) else "\n"
         self.words = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (r"|\n" if alone else "")).findall
-        self.known: dict[str, tuple] = {}
+        self.known = Known(self.segmented, REMEMBERED)
+        self.spelled_size = np.array([len(b) for b in self.spelled], np.int64)
+        self.spelled_at = np.cumsum(self.spelled_size) - self.spelled_size
+        self.spelled_bytes = np.frombuffer(b"".join(self.spelled), np.uint8)
+        self.fallback = np.isin(np.arange(n), [*self.byte.values(), self.unknown])
 
     def viterbi(self, text: str) -> tuple[list[int], float, int]:
         """(ids, score, byte pieces) of one word."""
         n, low = len(text), self.low
         worst = float("-inf")
-        best, back = [worst] * (n + 1), [None] * (n + 1)
+        best, sizes, pieces = [worst] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         best[0] = 0.0
         done = 0        # positions up to here have their final score
-
-        def fall_back(upto):
-            nonlocal done
-            while done < upto:
+        for end, (size, score, i) in self.automaton.iter(text):
+            while done < end:
                 done += 1
                 if best[done] == worst:   # no piece ends here: bytes of one character
                     best[done] = best[done - 1] + low * len(text[done - 1].encode("utf-8", "replace"))
-        for end, (size, score, i) in self.automaton.iter(text):
-            fall_back(end)
             s = best[end + 1 - size] + score
-            if s > best[end + 1] or s == best[end + 1] and back[end + 1] and size > back[end + 1][0]:
-                best[end + 1], back[end + 1] = s, (size, i)
-        fall_back(n)
+            end += 1
+            if s > best[end] or s == best[end] and 0 < sizes[end] < size:
+                best[end], sizes[end], pieces[end] = s, size, i
+        while done < n:
+            done += 1
+            if best[done] == worst:
+                best[done] = best[done - 1] + low * len(text[done - 1].encode("utf-8", "replace"))
         ids, at, n_bytes = [], n, 0
         while at:
-            if back[at]:
-                size, i = back[at]
-                ids.append(i)
-                at -= size
+            if sizes[at]:
+                ids.append(pieces[at])
+                at -= sizes[at]
             else:
                 at -= 1
                 own = [self.byte.get(b, self.unknown) for b in text[at].encode("utf-8", "replace")]
@@ -96,22 +124,29 @@ class Pieces:
                 n_bytes += len(own)
         return ids[::-1], best[n], n_bytes
 
-    def encode(self, text: str) -> tuple[list[int], float, int]:
+    def segmented(self, word: str) -> tuple[bytes, float]:
+        """(ids as 32-bit numbers, score) of one word."""
+        ids, score, _ = self.viterbi(word)
+        return array("i", ids).tobytes(), score
+
+    def encode_packed(self, text: str) -> tuple[bytes, float]:
+        """(ids as 32-bit numbers, score)."""
         if not text:
-            return [], 0.0, 0
-        known, ids, score, n_bytes = self.known, [], 0.0, 0
-        for word in self.words(MARK + text.replace(" ", MARK)):
-            got = known.get(word)
-            if got is None:
-                got = self.viterbi(word)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(word) <= 64:
-                    known[word] = got
-            ids += got[0]
-            score += got[1]
-            n_bytes += got[2]
-        return ids, score, n_bytes
+            return b"", 0.0
+        ids, score = zip(*map(self.known.__getitem__, self.words(MARK + text.replace(" ", MARK))))
+        return b"".join(ids), reduce(operator.add, score, 0.0)      # word by word; sum() rounds otherwise
+
+    def encode(self, text: str) -> tuple[list[int], float, int]:
+        """(ids, score, byte pieces)."""
+        packed, score = self.encode_packed(text)
+        ids = np.frombuffer(packed, np.int32)
+        return ids.tolist(), score, int(self.fallback[ids].sum())
+
+    def spell(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes that the pieces spell, where those of each piece begin; one more than pieces)."""
+        size = self.spelled_size[ids]
+        cut = np.append(0, np.cumsum(size))
+        return self.spelled_bytes[np.arange(cut[-1]) + np.repeat(self.spelled_at[ids] - cut[:-1], size)], cut
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
@@ -135,18 +170,24 @@ def encode(docs: DataFrame, model: str, text_col="text") -> DataFrame:
         for batch in batches:
             coder = coder or Pieces(model)
             for part in ta.slices(batch, text_col):
-                ids, n, n_bytes, score, same = [], [], [], [], []
-                for text in part.column(place).to_pylist():
-                    i, s, b = coder.encode(text or "")
-                    ids.append(i)
-                    n.append(len(i))
-                    n_bytes.append(b)
-                    score.append(s)
-                    same.append(coder.decode(i) == (text or "").replace(MARK, " "))
+                texts = [text or "" for text in part.column(place).to_pylist()]
+                packed, score = zip(*map(coder.encode_packed, texts))
+                cut = np.append(0, np.cumsum([len(p) // 4 for p in packed]))
+                ids = np.frombuffer(b"".join(packed), np.int32)
+                n_bytes = np.diff(np.append(0, np.cumsum(coder.fallback[ids]))[cut])
+                said, at = coder.spell(ids)
+                said, at = said.tobytes(), at[cut]
+                same = []
+                for text, i, j, a, b in zip(texts, cut, cut[1:], at, at[1:]):
+                    text = text.replace(MARK, " ")
+                    # what is spelled begins with the space that encoding puts before a text
+                    same.append(said[a + 1 if a < b and said[a] == 32 else a:b] == text.encode("utf-8")
+                                or coder.decode(ids[i:j].tolist()) == text)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in keep]
-                    + [pa.array(ids, pa.list_(pa.int32())), pa.array(n, pa.int64()), pa.array(n_bytes, pa.int64()),
-                       pa.array(score, pa.float64()), pa.array(same, pa.bool_())], schema.names)
+                    + [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(ids)), pa.array(np.diff(cut)),
+                       pa.array(n_bytes, pa.int64()), pa.array(score, pa.float64()), pa.array(same, pa.bool_())],
+                    schema.names)
 
     return docs.mapInArrow(lean(run), schema)
 
