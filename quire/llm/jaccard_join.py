@@ -129,7 +129,7 @@ def hot_shingles(docs: DataFrame, n: int, most: int) -> np.ndarray:
         for batch in batches:
             for part in ta.slices(batch, "text", 4 << 20):
                 # the arrays of words and places are some 40 times the text: built for less of it
-                sets = [shingle_sets(few.column(0), n)[1] for few in ta.slices(part, "text")]
+                sets = [shingle_sets(few.column(0), n)[1] for few in ta.slices(part, "text", ta.FEW_BYTES)]
                 h, count = np.unique(np.concatenate(sets), return_counts=True)
                 some = count >= 2
                 yield pa.RecordBatch.from_arrays(
@@ -162,7 +162,7 @@ def described(docs: DataFrame, n: int, percent: int, hot: np.ndarray) -> DataFra
 
         seen = set()
         for batch in batches:
-            for part in ta.slices(batch, "text"):
+            for part in ta.slices(batch, "text", ta.FEW_BYTES):
                 doc, h = shingle_sets(part.column(1), n)
                 cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 size, name, prefix, bits = np.diff(cut), [], [], []
@@ -328,7 +328,7 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
         import pyarrow as pa
 
         for batch in batches:
-            for part in ta.slices(batch, "text"):
+            for part in ta.slices(batch, "text", ta.FEW_BYTES):
                 doc, h = shingle_sets(part.column(1), n)
                 cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 name, blob = [], []

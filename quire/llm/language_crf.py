@@ -267,7 +267,7 @@ def predict(docs: DataFrame, model: Model, text_col="text", as_columns=("lang_pr
         import pyarrow as pa
 
         for batch in batches:
-            for part in ta.slices(batch, text_col):
+            for part in ta.slices(batch, text_col, ta.FEW_BYTES):
                 lang, p, sure = label(part.column(place), Model(*shared.value))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in keep] + [pa.array(lang, pa.string()), pa.array(p), pa.array(sure)],

@@ -49,7 +49,7 @@ def indicators(column) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([h2[ok2], h3[ok3], np.full(len(d2), BUCKETS), np.full(len(d3), BUCKETS + 1)]).astype(np.int64))
 
 
-def present(column, most: int = 256):
+def present(column, most: int = 64):
     """Runs of ``most`` texts: (first, number of texts, text numbers, buckets),
     every bucket once per text."""
     for i in range(0, len(column), most):
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
         import pyarrow as pa
 
         for batch in batches:
-            for part in ta.slices(batch, "text"):
+            for part in ta.slices(batch, "text", ta.FEW_BYTES):
                 text = part.column(3)
                 found = []
                 for _, n, doc, bucket in present(text):
@@ -186,7 +186,7 @@ def score(docs: DataFrame, model: Model, text_col="text", as_column="score") ->
         import pyarrow as pa
 
         for batch in batches:
-            for part in ta.slices(batch, text_col):
+            for part in ta.slices(batch, text_col, ta.FEW_BYTES):
                 p = probabilities(part.column(place), Model(*shared.value))
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in keep] + [pa.array(p)], schema.names)
 

@@ -36,6 +36,11 @@ def randoms(n: int, seed: int) -> np.ndarray:
 _BYTE = randoms(256, 1)
 
 
+#: Bytes of text for which a worker builds its arrays at a time; some 40 to 90 times as
+#: much memory, in each of an executor's workers.
+FEW_BYTES = 128 << 10
+
+
 class Words(NamedTuple):
     data: np.ndarray      # bytes of all texts
     offsets: np.ndarray   # where each text starts; one more than texts
