@@ -248,7 +248,8 @@ def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", fit_
     for by in (("lang", "part"), ("lang",)):
         keys = keys.withColumn("r", F.row_number().over(
             Window.partitionBy(*by).orderBy("h"))).where(F.col("r") <= fit_rows)
-    keys = docs.sparkSession.createDataFrame(keys.select("lang", "h").collect(), "lang string, h long")
+    # as Arrow, for which executors start no Python workers of their own
+    keys = docs.sparkSession.createDataFrame(keys.select("lang", "h").toArrow(), "lang string, h long")
     got = d.join(F.broadcast(keys), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
     got.sort(key=lambda r: (r["lang"], r["h"]))
     texts, labels = [r["text"] for r in got], [r["lang"] for r in got]

@@ -147,7 +147,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     order = F.xxhash64(F.col(id_col).cast("string"))
     picked = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"), order.alias("h"))
               .where("id is not null and y in (0, 1)").orderBy("h", "id", "y").limit(fit_rows))
-    picked = spark.createDataFrame(picked.collect(), picked.schema)   # at most fit_rows rows
+    # at most fit_rows rows; as Arrow, for which executors start no Python workers of their own
+    picked = spark.createDataFrame(picked.toArrow(), picked.schema)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(picked), "id").select("h", "id", "y", "text")
 

@@ -52,3 +52,20 @@ def test_a_remembered_word_takes_one_object():
     tracemalloc.stop()
     assert len(coder.known) > 20_000
     assert held < 230 * 20_000
+
+
+def test_fits_start_no_workers_for_their_keys(spark, monkeypatch):
+    """Rows given to ``createDataFrame`` as a list go through Python workers with a daemon of
+    their own, which stay on the executors beside those of the operators."""
+    docs = spark.createDataFrame([(i, "la vie est a nous" if i % 2 else "the life we live", "fr" if i % 2 else "en")
+                                  for i in range(8)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    create, given = type(spark).createDataFrame, []
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: given.append(type(data)) or create(
+        self, data, *a, **b))
+    assert language_crf.fit(docs).labels == ["en", "fr"]
+    assert quality_classifier.fit(docs, labels).slope != 0
+    none = docs.where("false")
+    assert language_crf.fit(none).labels == []
+    assert quality_classifier.fit(none, labels.where("false")).slope == 0
+    assert given and set(given) == {pa.Table}
