@@ -9,16 +9,19 @@ sets form one class, named by a hash of the set, and classes are joined:
    most frequent shingles last, so passages that many documents share seldom
    make candidates. Any order is right, so the list of frequent ones may be
    bounded (``hot_list``).
-2. A shingle shared by few classes gives its pairs of fitting size directly.
-   One shared by many puts its classes into one cluster (connected through
-   such shingles), whose members are cut into tiles: bands of sizes (only
-   equal or neighbouring bands can link) and, within a band, bounded blocks.
-   Every pair of tiles is one small group; no group of copies meets in one task.
+2. A shingle shared by few classes gives its pairs of fitting size directly. In
+   one shared by many, each class makes a pair with the least one.
 3. Each set has a hashed bitmap of parities. The bits in which two bitmaps
    differ are at most the elements in which the sets differ, which bounds the
    overlap from above; what passes is verified by an exact intersection of
-   sorted arrays. Inside a tile, pairs that are already connected are skipped.
-4. Links make components (``common.components``).
+   sorted arrays.
+4. The classes of a shared shingle are cut into tiles: bands of sizes (only equal
+   or neighbouring bands can link) and, within a band, bounded blocks. A tile
+   compares bitmaps, not sets, of classes that aren't yet connected. Few pass, as
+   most shingles that many share are passages in texts of their own; classes that
+   pass make clusters, in whose tiles the sets are compared. Pairs that are already
+   connected are skipped. No group of copies meets in one task.
+5. Links make components (``common.components``).
 
 Defined cases: a document without words has no set, size 0, and is its own
 component; a null id gets a null component and links nothing; rows that repeat
@@ -38,6 +41,8 @@ from quire.llm.common import components, lean, narrow, stage
 
 #: A shingle in the prefixes of more classes than this is handled by tiles.
 FEW = 32
+#: Classes of a block whose bitmaps, or whose sets, a tile compares.
+BITMAPS, SETS = 1024, 256
 _STEP = ta.randoms(64, 3)
 _BIT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -256,9 +261,11 @@ def _runs(percent: int):
 
 
 def _tile_links(percent: int):
-    """Links between two tiles of sets, enough to connect what they connect."""
+    """Links between two tiles of sets, enough to connect what they connect
+    beyond the groups that are connected before."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         names = np.concatenate([left["l_class"].to_numpy(), right["r_class"].to_numpy()])
+        groups = np.concatenate([left["l_group"].to_numpy(), right["r_group"].to_numpy()])
         blobs = [*left["l_set"], *right["r_set"]]
         names, at = np.unique(names, return_index=True)
         sets = [np.frombuffer(blobs[i], np.uint64) for i in at]
@@ -267,7 +274,7 @@ def _tile_links(percent: int):
         size = np.array([len(s) for s in sets], np.int64)
         width = width_for(int(size.max()) if len(size) else 1)
         bits = np.stack([bitmap(s, width) for s in sets]) if sets else np.zeros((0, 1), np.uint64)
-        group = np.arange(len(names))
+        group = groups[at]
         a, b = [], []
         order = np.argsort(size, kind="stable")
         for k, i in enumerate(order):
@@ -286,6 +293,115 @@ def _tile_links(percent: int):
     return run
 
 
+def _near(percent: int):
+    """Rows (tile, side, n, class, group, bits), ordered by tile, to (a, b) that
+    connect, tile by tile, all classes with a pair across groups whose bitmaps allow
+    a link. ``side`` has bit 1 for the left and bit 2 for the right."""
+    def compared(side, n, name, group, bits):
+        order = np.argsort(n, kind="stable")
+        side, n, name, group = side[order], n[order], name[order], group[order]
+        # as many words as half the widest bitmap that its own size needs, row by row
+        whole = [np.frombuffer(bits[i], np.uint64) for i in order]
+        width = np.array([len(w) for w in whole])
+        parts, place = {}, np.zeros(len(n), np.int64)
+        for w in np.unique(width):
+            rows = np.flatnonzero(width == w)
+            full = np.stack([whole[i] for i in rows])
+            parts[w] = rows[0], full, full[:, :w // 2] ^ full[:, w // 2:] if w > 1 else full
+            place[rows] = np.arange(len(rows))
+        last = np.searchsorted(n, 100 * n // percent, "right")     # sizes beyond are too large
+        label, found = np.arange(len(n)), np.zeros(len(n), bool)
+        for i in range(len(n) - 1):
+            differ = []
+            for w, halved in ((width[i], False), (2 * width[i], True)):
+                if w in parts:
+                    start, full, half = parts[w]
+                    lo, hi = max(i + 1, start) - start, min(last[i], start + len(full)) - start
+                    if lo < hi:
+                        own = parts[width[i]][1][place[i]]
+                        differ.append(np.bitwise_count((half if halved else full)[lo:hi] ^ own).sum(1))
+            if not differ:
+                continue
+            differ = np.concatenate(differ).astype(np.int64)
+            rest = slice(i + 1, i + 1 + len(differ))
+            ok = (group[rest] != group[i]) & may_link(n[i], n[rest], differ, percent)
+            ok &= ((side[rest] & 2 > 0) & (side[i] & 1 > 0)) | ((side[rest] & 1 > 0) & (side[i] & 2 > 0))
+            if ok.any():
+                hits = np.append(np.flatnonzero(ok) + i + 1, i)
+                found[hits] = True
+                label[np.isin(label, label[hits])] = label[hits].min()
+        return name[found], name[label[found]]
+
+    def run(batches):
+        import pyarrow as pa
+
+        held = None                 # the rows of the last tile: two blocks at most
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            tile = table.column(0).to_numpy()
+            first = np.append(np.flatnonzero(np.append(True, tile[1:] != tile[:-1])), len(tile))
+            a, b = [], []
+            for lo, hi in zip(first[:-2], first[1:-1]):
+                x, y = compared(*(table.column(k).slice(lo, hi - lo).to_numpy() for k in range(1, 6)))
+                a.append(x)
+                b.append(y)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            held = pa.Table.from_batches(table.slice(first[-2]).to_batches()).combine_chunks().to_batches()[0]
+        if held is not None:
+            x, y = compared(*(held.column(k).to_numpy(zero_copy_only=False) for k in range(1, 6)))
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+    return run
+
+
+def tiles(member: DataFrame, of: str, most: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``member`` with band and block, tile): every pair of equal or
+    neighbouring bands of sizes of one ``of``, cut into blocks of some ``most``."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
+    member = member.withColumn("band", band)
+    blocks = member.groupBy(of, "band").agg(F.ceil(F.count("*") / most).alias("blocks"))
+    member = member.join(blocks, [of, "band"]).withColumn(
+        "block", F.pmod(F.xxhash64("class"), F.col("blocks"))).drop("blocks")
+    up = blocks.select(of, (F.col("band") - 1).alias("band"), F.col("blocks").alias("up_blocks"))
+    # bands are as wide as the size filter, so sizes two bands apart never link
+    own = blocks.select(of, "band", F.col("band").alias("band2"), "blocks", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).select(
+        of, "band", "block", "band2", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block2"))
+    next_up = blocks.join(up, [of, "band"]).select(
+        of, "band", (F.col("band") + 1).alias("band2"), "up_blocks", F.explode(
+            F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).select(
+        of, "band", "block", "band2", F.explode(
+            F.sequence(F.lit(0).cast("long"), F.col("up_blocks") - 1)).alias("block2"))
+    return member, own.unionByName(next_up)
+
+
+def near_classes(heavy: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b) that connect the classes of ``heavy(class, token)`` with a pair that
+    shares a token, isn't in one group and whose bitmaps allow a link."""
+    meet = heavy.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    mixed = meet.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi"),
+                                      F.count("*").alias("k")).where("lo <> hi").select("token", "k")
+    meet = stage(meet.join(mixed, "token").join(classes.select("class", "n"), "class"), "meetings")
+    bits = classes.select("class", "bits")
+    columns = ["tile", "side", "n", "class", "group"]
+    small = meet.where(F.col("k") <= BITMAPS).select(
+        F.xxhash64("token").alias("tile"), F.lit(3).alias("side"), "n", "class", "group")
+    member, tile = tiles(meet.where(F.col("k") > BITMAPS).drop("k"), "token", BITMAPS, percent)
+    member, tile = stage(member, "many"), stage(tile, "tiles")
+    key = F.xxhash64("token", "band", "block", "band2", "block2").alias("tile")
+    same = F.when(F.expr("band = band2 and block = block2"), 3)
+    lefts = member.join(tile, ["token", "band", "block"]).select(
+        key, F.coalesce(same, F.lit(1)).alias("side"), "n", "class", "group")
+    rights = (member.withColumnsRenamed({"band": "band2", "block": "block2"})
+              .join(tile.where("band <> band2 or block <> block2"), ["token", "band2", "block2"])
+              .select(key, F.lit(2).alias("side"), "n", "class", "group"))
+    rows = small.unionByName(lefts).unionByName(rights).join(bits, "class").select(*columns, "bits")
+    rows = rows.repartition("tile").sortWithinPartitions("tile")
+    return stage(rows.mapInArrow(lean(_near(percent)), "a long, b long"), "near")
+
+
 def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(links between classes, classes): links(a, b) connect what the join
     connects; classes(class, n, rep) has the smallest id of each class."""
@@ -307,23 +423,18 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
             keep = np.flatnonzero(ok)
             yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(keep)) for i in (0, 1)], ["a", "b"])
 
+    # a shingle that many share also gives the pairs with its least class: those that
+    # share several with one class are often its copies, and are connected before any tile
+    heavy = stage(found.where("kind = 1").select(F.col("a").alias("class"), F.col("b").alias("token")).distinct(),
+                  "heavy")
+    least = heavy.groupBy("token").agg(F.min("class").alias("a"))
+    stars = (heavy.join(least, "token").where("class <> a").groupBy("a", F.col("class").alias("b"))
+             .count().where("count > 1").select("a", "b"))
     left = classes.select(F.col("class").alias("a"), "n", F.col("bits").alias("p"))
     right = classes.select(F.col("class").alias("b"), F.col("n").alias("m"), F.col("bits").alias("q"))
-    pairs = stage(found.where("kind = 0").select("a", "b").distinct().join(left, "a").join(right, "b")
+    pairs = stage(found.where("kind = 0").select("a", "b").unionByName(stars).distinct().join(left, "a").join(right, "b")
                   .select("a", "b", "n", "m", "p", "q").mapInArrow(lean(passing), "a long, b long"), "pairs")
 
-    # clusters: classes connected through heavy shingles
-    heavy = found.where("kind = 1").select(F.col("a").alias("class"), F.col("b").alias("token"))
-    least = heavy.groupBy("token").agg(F.min("class").alias("m"))
-    joined = heavy.join(least, "token").select(F.col("class").alias("a"), F.col("m").alias("b"))
-    cluster = stage(components(joined).select(F.col("node").alias("class"), F.col("component").alias("cluster")),
-                    "clusters")
-
-    # the sets of the classes that need verifying, from one row of each class
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("class")).unionByName(cluster.select("class"))
-              .distinct().join(classes.select("class", "rep"), "class"))
-    keys = narrow(wanted.select(F.col("class").alias("expected"), F.col("rep").alias("doc_id")))
-
     def sets_of(batches):
         import pyarrow as pa
 
@@ -339,8 +450,12 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
                 yield pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), pa.array(blob, pa.binary())],
                                                  ["class", "set"])
 
-    sets = stage(docs.join(keys, "doc_id").select("expected", "text").mapInArrow(
-        lean(sets_of), "class long, set binary").dropDuplicates(["class"]), "sets")
+    def sets(wanted):
+        """The sets of classes that need verifying, from one row of each class."""
+        wanted = wanted.distinct().join(classes.select("class", "rep"), "class")
+        keys = narrow(wanted.select(F.col("class").alias("expected"), F.col("rep").alias("doc_id")))
+        return stage(docs.join(keys, "doc_id").select("expected", "text").mapInArrow(
+            lean(sets_of), "class long, set binary").dropDuplicates(["class"]), "sets")
 
     def verified(batches):
         import pyarrow as pa
@@ -352,35 +467,33 @@ def links(docs: DataFrame, about: DataFrame, n: int, percent: int) -> tuple[Data
             keep = pa.array(np.flatnonzero(ok))
             yield pa.RecordBatch.from_arrays([batch.column(i).take(keep) for i in (0, 1)], ["a", "b"])
 
-    light = (pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("p")), "a")
-             .join(sets.select(F.col("class").alias("b"), F.col("set").alias("q")), "b")
-             .select("a", "b", "p", "q").mapInArrow(lean(verified), "a long, b long"))
-
-    # tiles: (cluster, band of sizes, block)
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
-    member = stage(cluster.join(classes.select("class", "n"), "class").withColumn("band", band), "members")
-    blocks = member.groupBy("cluster", "band").agg(F.ceil(F.count("*") / 256).alias("blocks"))
-    member = member.join(blocks, ["cluster", "band"]).withColumn(
-        "block", F.pmod(F.xxhash64("class"), F.col("blocks"))).select("cluster", "band", "block", "class")
-    up = blocks.select("cluster", (F.col("band") - 1).alias("band"), F.col("blocks").alias("up_blocks"))
-    # bands are as wide as the size filter, so sizes two bands apart never link
-    own = blocks.select("cluster", "band", F.col("band").alias("band2"), "blocks", F.explode(
-        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).select(
-        "cluster", "band", "block", "band2", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block2"))
-    next_up = blocks.join(up, ["cluster", "band"]).select(
-        "cluster", "band", (F.col("band") + 1).alias("band2"), "up_blocks", F.explode(
-            F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).select(
-        "cluster", "band", "block", "band2", F.explode(
-            F.sequence(F.lit(0).cast("long"), F.col("up_blocks") - 1)).alias("block2"))
-    tile = stage(own.unionByName(next_up), "tiles")
+    own = sets(pairs.select(F.explode(F.array("a", "b")).alias("class")))
+    light = stage(pairs.join(own.select(F.col("class").alias("a"), F.col("set").alias("p")), "a")
+                  .join(own.select(F.col("class").alias("b"), F.col("set").alias("q")), "b")
+                  .select("a", "b", "p", "q").mapInArrow(lean(verified), "a long, b long"), "links")
+    if heavy.isEmpty():
+        return light, classes
+    groups = stage(components(light).select(F.col("node").alias("class"), F.col("component").alias("group")), "groups")
+    light = groups.select(F.col("class").alias("a"), F.col("group").alias("b"))
+    near = near_classes(heavy, classes, groups, percent)
+    if near.isEmpty():
+        return light, classes
+
+    # clusters of classes that may link, with their sets
+    cluster = components(near).select(F.col("node").alias("class"), F.col("component").alias("cluster"))
+    member = stage(cluster.join(classes.select("class", "n"), "class").join(groups, "class", "left").withColumn(
+        "group", F.coalesce("group", "class")), "members")
+    with_set = sets(member.select("class"))
+    member, tile = tiles(member, "cluster", SETS, percent)
+    tile = stage(tile, "tiles")
     key = ["cluster", "band", "block", "band2", "block2"]
-    with_set = member.join(sets, "class")
+    with_set = member.join(with_set, "class")
     lefts = with_set.join(tile, ["cluster", "band", "block"]).select(
-        *key, F.col("class").alias("l_class"), F.col("set").alias("l_set"))
+        *key, F.col("class").alias("l_class"), F.col("group").alias("l_group"), F.col("set").alias("l_set"))
     rights = (with_set.withColumnsRenamed({"band": "band2", "block": "block2"})
               .join(tile, ["cluster", "band2", "block2"])
               .select(*[F.col(k).alias(k) for k in key], F.col("class").alias("r_class"),
-                      F.col("set").alias("r_set")))
+                      F.col("group").alias("r_group"), F.col("set").alias("r_set")))
     tiled = lefts.groupBy(*key).cogroup(rights.groupBy(*key)).applyInPandas(_tile_links(percent), "a long, b long")
     return stage(light.unionByName(tiled), "links"), classes
 
