@@ -55,6 +55,14 @@ def stage(df: DataFrame, name: str = "batch") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def give_back() -> None:
     """Gives freed memory back to the system. A Python worker waits for its next task
     beside the executor's heap; what its allocators keep of past arrays counts there."""

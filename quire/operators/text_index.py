@@ -15,7 +15,10 @@ Three versioned tables (``sinks.versions``) under one folder:
 
 A search finds the terms that can fill each place of its phrases in ``terms``
 (some words a distinct one, not the texts), reads the postings of these terms'
-buckets only, and lines the places up by position. ``add`` indexes a batch of
+buckets only, keeps those that fill a place, and lines the places up by position.
+Only these are shuffled. ``add`` shuffles a batch's ids and distinct terms; its
+postings, many times the text, are sorted and written by the tasks that read the
+text (which is dealt anew where a task would have too much). ``add`` indexes a batch of
 documents and leaves what is there as it is; a document that comes again in a
 later batch belongs to that one. A batch that is added again changes nothing, and
 one that failed half-way is completed.
@@ -25,18 +28,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.search import expression_predicate
 from quire.operators import upserts
-from quire.operators.layout import stage
+from quire.operators.layout import stage, unstage
 from quire.sinks.versions import BUCKET, VersionedTable, bucket_of
 
-#: Bytes of text whose postings one task sorts, and of stored postings whose matches
-#: one task groups: some 150 MB of its memory.
-TEXT_BYTES, POSTING_BYTES = 8 << 20, 4 << 20
+#: Bytes of text whose postings one task sorts (some 600 MB; it spills what it can't
+#: hold), and of stored postings whose matches one task groups (some 150 MB).
+TEXT_BYTES, POSTING_BYTES = 32 << 20, 4 << 20
 _S, _I, _L = T.StringType(), T.IntegerType(), T.LongType()
 POSTINGS = T.StructType([T.StructField("term", _S), T.StructField("field", _I), T.StructField("id", _S),
                          T.StructField("pos", _I), T.StructField("batch", _L)])
@@ -65,36 +68,44 @@ class TextIndex:
         """Index a batch of documents (of rows that repeat an id, one: the last
         by its values). Batches number the documents' versions: an id belongs to
         its highest batch, in whatever order batches are added."""
-        one = stage(upserts.latest_per_key(docs.select(F.col(id_col).alias("id"), *self.fields), "id"), "to-index")
-        found = occurrences(one, self.fields)
+        given = one = stage(docs.select(F.col(id_col).alias("id"), *self.fields)
+                            .withColumn("id", upserts.checked_key("id")), "to-index")
+        repeated = stage(one.groupBy("id").count().where("count > 1").select("id"), "repeated")
+        if not repeated.isEmpty():          # only rows that repeat an id are shuffled with their texts
+            last = stage(upserts.latest_per_key(one.join(repeated, "id", "left_semi"), "id"), "to-index")
+            one = one.join(repeated, "id", "left_anti").unionByName(last)
         size = one.agg(F.sum(reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
                                                          for c in self.fields]))).first()[0] or 0
-        self.postings.append(found.withColumn("batch", F.lit(batch).cast("long")), "index", batch,
-                             tasks=1 + size // TEXT_BYTES)
-        self.terms.append(found.select("term").distinct(), "index", batch)
+        tasks = 1 + size // TEXT_BYTES
+        dealt = one.repartition(tasks, "id") if tasks > one.rdd.getNumPartitions() else one
+        self.postings.append(occurrences(dealt, self.fields).withColumn("batch", F.lit(batch).cast("long")),
+                             "index", batch, False)
+        self.terms.append(occurrences(one, self.fields).select("term").distinct(), "index", batch, False)
 
         def own(old: DataFrame, new: DataFrame) -> DataFrame:
             return old.unionByName(new).groupBy("id").agg(F.max("batch").alias("batch"))
         self.owners.merge(one.select("id", F.lit(batch).cast("long").alias("batch")), own)
+        unstage(given)
 
-    def candidates(self, places: list[tuple[int, int, str, str]]) -> DataFrame:
-        """(term, phrase, place, bucket): the terms that can fill each (phrase,
-        place, word, how)."""
-        term = F.col("term")
-        how = {"contains": term.contains, "ends": term.endswith, "starts": term.startswith, "equals": lambda w: term == w}
-        fits = F.array(*[F.when(how[kind](F.lit(word)), F.struct(F.lit(k).alias("phrase"), F.lit(j).alias("place")))
-                         for k, j, word, kind in places])
-        rows = self.terms.read().distinct().select("term", F.inline(F.filter(fits, lambda x: x.isNotNull())))
-        return stage(rows.withColumn(BUCKET, bucket_of("term", self.buckets)), "terms")
+    def buckets_of(self, fills: Column) -> set[int]:
+        """The buckets of the terms for which ``fills`` holds."""
+        rows = self.terms.read().where(fills).select(bucket_of("term", self.buckets).alias(BUCKET))
+        return {r[0] for r in rows.distinct().collect()}          # at most ``buckets`` rows
 
     def matches(self, phrases: list[tuple[tuple[int, ...], str]]) -> DataFrame:
         """(id, phrase): the documents where each (fields, phrase) occurs."""
         words = [p.split(" ") for _, p in phrases]
         places = [(k, j, w, "contains" if len(ws) == 1 else "ends" if j == 0 else
                    "starts" if j == len(ws) - 1 else "equals") for k, ws in enumerate(words) for j, w in enumerate(ws)]
-        terms = self.candidates(places)
-        used = {r[0] for r in terms.select(BUCKET).distinct().collect()}          # at most ``buckets`` rows
-        rows = self.postings.read(buckets=used).join(terms.select("term", "phrase", "place"), "term")
+        term = F.col("term")
+        how = {"contains": term.contains, "ends": term.endswith, "starts": term.startswith, "equals": lambda w: term == w}
+        tests = [(k, j, how[kind](F.lit(word))) for k, j, word, kind in places]
+        fills = reduce(lambda a, b: a | b, [test for _, _, test in tests])
+        used = self.buckets_of(fills)
+        # (phrase, place) that the term can fill, in the scan: matching terms can be as many as new words
+        fits = F.array(*[F.when(test, F.struct(F.lit(k).alias("phrase"), F.lit(j).alias("place"))) for k, j, test in tests])
+        rows = self.postings.read(buckets=used).where(fills).select(
+            "field", "id", "pos", "batch", F.inline(F.filter(fits, lambda x: x.isNotNull())))
         right_field = reduce(lambda a, b: a | b, [(F.col("phrase") == k) & F.col("field").isin(list(fs))
                                                   for k, (fs, _) in enumerate(phrases)])
         rows = rows.where(right_field).withColumn("start", F.col("pos") - F.col("place"))

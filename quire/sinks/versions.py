@@ -220,9 +220,9 @@ class VersionedTable:
         return self.commit(lambda base: Snapshot(0, buckets=buckets) if base.version < 0 else None)
 
     def write(self, df: DataFrame, buckets: int | None, extra: tuple[str, ...] = (),
-              tasks: int | None = None) -> tuple[Part, ...]:
-        """Write rows as new parts, which no version names yet. With ``tasks``, so many
-        sort and write the buckets; without, Spark's advisory size decides."""
+              spread: bool = True) -> tuple[Part, ...]:
+        """Write rows as new parts, which no version names yet. Without ``spread`` the
+        tasks that hold the rows sort them and write a file for each of their buckets."""
         name = uuid.uuid4().hex
         rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields], *extra)
         if not buckets:
@@ -231,10 +231,7 @@ class VersionedTable:
         # rows of a bucket meet in one task, or in several when there are many; a
         # file's rows are ordered by key, so its statistics lead to a key's row groups
         bucketed = rows.withColumn(BUCKET, bucket_of(self.key, buckets))
-        if tasks:       # even shares, whose ends may fall inside a bucket, even inside a key's rows
-            share = F.xxhash64(*[F.col(f"`{f.name}`") for f in self.schema.fields])
-            bucketed = bucketed.repartitionByRange(tasks, F.col(BUCKET), share)
-        else:
+        if spread:
             bucketed = bucketed.hint("rebalance", F.col(BUCKET))
         bucketed.sortWithinPartitions(BUCKET, self.key).write.partitionBy(BUCKET).parquet(f"{self.root}/data/{name}")
         found = [n for n in self.folder.names(f"data/{name}") if n.startswith(f"{BUCKET}=")]
@@ -245,14 +242,14 @@ class VersionedTable:
             self.folder.delete(f"data/{top}")
 
     def append(self, df: DataFrame, writer: str | None = None, batch: int | None = None,
-               tasks: int | None = None) -> int:
+               spread: bool = True) -> int:
         """Add rows. A named writer's batch is added once: replayed, it changes
-        nothing and isn't even computed. ``tasks`` as for ``write``."""
+        nothing and isn't even computed. ``spread`` as for ``write``."""
         named = writer is not None and batch is not None
         now = self.snapshot()
         if named and now.has(writer, batch):
             return now.version
-        written = self.write(df, now.buckets, tasks=tasks)
+        written = self.write(df, now.buckets, spread=spread)
         mine = {p.name for p in written}
 
         def add(base: Snapshot) -> Snapshot | None:

@@ -178,3 +178,27 @@ def test_checked_table_leaves_the_schema_as_it_is(spark, scratch_dir):
 
     CheckedTable(spark, scratch_dir, schemas.SUMMARIES, "id")
     assert schemas.SUMMARIES.names == [f.name for f in schemas.SUMMARIES.fields] == ["id", "summary"]
+
+
+def test_index_shuffles_ids_and_terms_but_no_postings(spark, scratch_dir, monkeypatch):
+    dealt, frame = [], type(spark.range(0))
+    for name in ("repartitionByRange", "repartition"):
+        def seen(self, *a, own=getattr(frame, name)):
+            dealt.append(set(self.columns))
+            return own(self, *a)
+        monkeypatch.setattr(frame, name, seen)
+    rows = texts(80, 7)
+    index = TextIndex(spark, scratch_dir, ["title", "content"], buckets=4)
+    index.add(spark.createDataFrame(rows + [(i, "ﬀ later", c) for i, _, c in rows[:20]], DDL), 0)
+    assert not [c for c in dealt if "pos" in c]
+    # of rows that repeat an id, the last by its values
+    last = {i: (i, t, c) for i, t, c in rows}
+    last |= {i: (i, "ﬀ later", c) for i, _, c in rows[:20]}
+    current = spark.createDataFrame(list(last.values()), DDL)
+    for e in EXPRESSIONS + [['"ﬀ later"']]:
+        assert ids(index.search(e)) == ids(filters.search_papers(current, e).select("id")), e
+    # postings meet no table of terms, of which there can be as many as new words
+    plan = index.matches([((0, 1), "a b"), ((1,), "c")])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Join LeftSemi" in plan
+    with pytest.raises(Exception, match="NULL in key column"):
+        index.add(spark.createDataFrame([(None, "a", "b")], DDL), 1)
