@@ -37,7 +37,7 @@ from quire.operators import upserts
 from quire.operators.layout import stage, unstage
 from quire.sinks.versions import BUCKET, VersionedTable, bucket_of
 
-#: Bytes of text whose postings one task sorts (some 600 MB; it spills what it can't
+#: Bytes of text whose postings one task sorts (some 700 MB; it spills what it can't
 #: hold), and of stored postings whose matches one task groups (some 150 MB).
 TEXT_BYTES, POSTING_BYTES = 32 << 20, 4 << 20
 _S, _I, _L = T.StringType(), T.IntegerType(), T.LongType()
